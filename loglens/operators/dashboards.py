@@ -105,3 +105,30 @@ def log_search(parsed: DataFrame, contains: str | None = None, status: str | Non
     if ip is not None:
         cond = cond & (F.col("ip") == ip)
     return parsed.where(cond)
+
+
+def search_feed(decoded: DataFrame, keep: tuple[str, ...] = ("offset", "timestamp"),
+                **params) -> DataFrame:
+    """``log_search`` over raw (decoded) records.
+
+    Necessary conditions are checked on the raw line first - the time range
+    on the record time stamp and a plain substring test for ``contains``
+    and ``status`` - so only candidate lines pay for the regex parse.
+    """
+    from loglens.operators import parse
+    raw = F.lit(True)
+    lake = "date" in decoded.columns
+    if params.get("start") is not None:
+        start = F.lit(params["start"]).cast("timestamp")
+        raw = raw & (F.col("timestamp") >= start)
+        if lake:  # partition pruning on the date folders
+            raw = raw & (F.col("date") >= F.to_date(start))
+    if params.get("end") is not None:
+        end = F.lit(params["end"]).cast("timestamp")
+        raw = raw & (F.col("timestamp") < end)
+        if lake:
+            raw = raw & (F.col("date") <= F.to_date(end))
+    for k in ("contains", "status", "ip"):
+        if params.get(k) is not None:
+            raw = raw & F.col("value").contains(params[k])
+    return log_search(parse.parse_access(decoded.where(raw), keep=keep), **params)

@@ -14,11 +14,27 @@ from loglens.functions import patterns as P
 
 
 def decode(envelope: DataFrame) -> DataFrame:
-    """Kafka record -> key/value as text, plus topic, partition, offset, timestamp."""
+    """Kafka record -> key/value as text, plus topic, partition, offset, timestamp.
+
+    A lake partition column ``date`` is passed through so later time-range
+    filters can prune partitions.
+    """
+    extra = ["date"] if "date" in envelope.columns else []
     return envelope.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
-        "topic", "partition", "offset", "timestamp")
+        "topic", "partition", "offset", "timestamp", *extra)
+
+
+def matched_only(decoded: DataFrame, pattern: str = P.EXTENDED_PATTERN) -> DataFrame:
+    """Lines the pattern matches, filtered on the raw value *before* parsing.
+
+    Filtering on a parsed field instead (``status != ''``) would make
+    Catalyst push the predicate below the parse projection and run the
+    regex twice per line; ``rlike`` on the raw text runs it once and the
+    parse then sees only surviving lines.
+    """
+    return decoded.where(F.col("value").rlike(pattern))
 
 
 def parse_access(decoded: DataFrame, keep: tuple[str, ...] = ("key", "timestamp"),
@@ -48,10 +64,16 @@ def parse_any(decoded: DataFrame, keep: tuple[str, ...] = ("offset",)) -> DataFr
     return fx.with_groups(decoded, "value", P.ANY_PATTERN, P.ANY_FIELDS, list(keep))
 
 
-def enrich(parsed: DataFrame, keep: tuple[str, ...] = ("offset",)) -> DataFrame:
-    """Parsed rows only -> event time, method/uri/protocol, endpoint, status class, bytes."""
+def enrich(parsed: DataFrame, keep: tuple[str, ...] = ("offset",),
+           drop_unparsed: bool = True) -> DataFrame:
+    """Parsed rows only -> event time, method/uri/protocol, endpoint, status class, bytes.
+
+    Pass ``drop_unparsed=False`` when the input is already restricted to
+    matching lines (see ``matched_only``) or read from a parsed lake.
+    """
     req = F.col("request")
-    return parsed.where(F.col("status") != "").select(
+    src = parsed.where(F.col("status") != "") if drop_unparsed else parsed
+    return src.select(
         *keep,
         fx.access_time(F.col("datetime")).alias("event_time"),
         "ip",

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.operators import alerts, dashboards, metrics, parse
-from loglens.session import configure
-from loglens.sources import recipe
+from loglens.sources import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +31,7 @@ def _ntz(name: str) -> F.Column:
 
 
 def decoded(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
-    configure(spark)
-    return parse.decode(recipe.access_envelope(spark, sf_dir, variant))
+    return parse.decode(feeds.feed(spark, sf_dir, "access", variant))
 
 
 def parsed(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
@@ -42,7 +40,9 @@ def parsed(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFram
 
 
 def enriched(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
-    return parse.enrich(parsed(spark, sf_dir, variant), keep=("offset",))
+    matched = parse.matched_only(decoded(spark, sf_dir, variant))
+    return parse.enrich(parse.parse_access(matched, keep=("offset",)), keep=("offset",),
+                        drop_unparsed=False)
 
 
 def q_envelope_decode(spark, sf_dir):
@@ -121,8 +121,7 @@ def q_client_profile(spark, sf_dir):
 
 
 def q_json_alerts(spark, sf_dir):
-    configure(spark)
-    app = alerts.parse_json_log(recipe.json_envelope(spark, sf_dir), keep=("offset",))
+    app = alerts.parse_json_log(feeds.feed(spark, sf_dir, "json"), keep=("offset",))
     return alerts.severity_filter(app).select(
         "offset", _ntz("kafka_ingestion_time"), _ntz("log_timestamp"),
         "log_level", "log_message", "user_id")
@@ -133,7 +132,7 @@ def q_error_anomalies(spark, sf_dir):
 
 
 def q_log_search(spark, sf_dir):
-    hits = dashboards.log_search(parsed(spark, sf_dir), **SEARCH)
+    hits = dashboards.search_feed(decoded(spark, sf_dir), **SEARCH)
     return hits.select("offset", _ntz("timestamp"), "ip", "request", "status")
 
 
