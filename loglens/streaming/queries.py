@@ -1,9 +1,119 @@
-"""Streaming query keys (filled in below)."""
+"""Streaming query keys: the same operators driven by Structured Streaming.
+
+Each key streams the materialised envelope feed (a file-source stand-in
+for the Kafka topic) through the operator with ``availableNow``, writes a
+checkpointed sink in a fresh folder under the shared root, and returns the
+sink read back as a batch DataFrame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loglens.operators import alerts, metrics, parse
+from loglens.plans import oracle as O
+from loglens.session import scratch_path
+from loglens.sources import feeds, kafka
+from loglens.streaming import runner, sinks
+
+METRIC_COLUMNS = ("window_start", "window_end", "total_requests", "error_4xx_count",
+                  "error_5xx_count", "total_bytes")
+APPEND_WATERMARK = "10 minutes"
+
+
+def _stream_feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant: str = "plain",
+                 max_files: int | None = None) -> DataFrame:
+    return kafka.envelope_file_stream(spark, feeds.feed_path(spark, sf_dir, kind, variant),
+                                      max_files_per_trigger=max_files)
+
+
+def q_stream_parse_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse-only stream (append): every record exactly once."""
+    src = parse.decode(_stream_feed(spark, sf_dir, max_files=8))
+    out = parse.parse_access(src, keep=("offset", "timestamp"))
+    run = scratch_path(spark, "stream_parse_append")
+    runner.finish(sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+    return spark.read.parquet(f"{run}/out").withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def q_stream_minute_metrics_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest-time minute metrics in update mode, no watermark (as the
+    original job), upserted per micro-batch; read back last write per window."""
+    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, max_files=8)))
+    agg = metrics.flatten_window(metrics.window_metrics(src, "timestamp"), ntz=False)
+    run = scratch_path(spark, "stream_minute_metrics_update")
+    runner.finish(sinks.upsert_metrics(agg, f"{run}/out", f"{run}/checkpoint",
+                                       trigger=runner.AVAILABLE_NOW))
+    latest = sinks.read_upserts(spark, f"{run}/out", "window_start")
+    return latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                         *METRIC_COLUMNS[2:])
+
+
+def q_stream_minute_metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute metrics in append mode with a watermark: each closed window once."""
+    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir)))
+    agg = metrics.flatten_window(
+        metrics.window_metrics(src, "timestamp", watermark=APPEND_WATERMARK), ntz=False)
+    run = scratch_path(spark, "stream_minute_metrics_append")
+    runner.finish(sinks.parquet_append(agg, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+    return spark.read.parquet(f"{run}/out").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), *METRIC_COLUMNS[2:])
+
+
+def q_stream_event_time_minute_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-time minute metrics over the late feed, watermark 10 minutes, append."""
+    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, variant="late")))
+    agg = metrics.event_time_metrics(src, watermark=APPEND_WATERMARK)
+    run = scratch_path(spark, "stream_event_time_minute_metrics")
+    out = agg.select(F.col("window_start").cast("timestamp").alias("window_start"),
+                     F.col("window_end").cast("timestamp").alias("window_end"), *METRIC_COLUMNS[2:])
+    runner.finish(sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+    return spark.read.parquet(f"{run}/out").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), *METRIC_COLUMNS[2:])
+
+
+def q_stream_json_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON app-log severity alerts as a stream (processing_time dropped)."""
+    app = alerts.parse_json_log(_stream_feed(spark, sf_dir, kind="json", max_files=8),
+                                keep=("offset",))
+    out = alerts.severity_filter(app).drop("processing_time")
+    run = scratch_path(spark, "stream_json_alerts")
+    runner.finish(sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+    return spark.read.parquet(f"{run}/out").select(
+        "offset", F.col("kafka_ingestion_time").cast("timestamp_ntz").alias("kafka_ingestion_time"),
+        F.col("log_timestamp").cast("timestamp_ntz").alias("log_timestamp"),
+        "log_level", "log_message", "user_id")
 
 
 def stream_queries():
-    return {}
+    return {
+        "stream_parse_append": q_stream_parse_append,
+        "stream_minute_metrics_update": q_stream_minute_metrics_update,
+        "stream_minute_metrics_append": q_stream_minute_metrics_append,
+        "stream_event_time_minute_metrics": q_stream_event_time_minute_metrics,
+        "stream_json_alerts": q_stream_json_alerts,
+    }
+
+
+def _closed(sql: str, ingest_max: str) -> str:
+    """Only windows a 10-minute watermark has closed after the whole feed."""
+    return (f"SELECT * FROM ({sql}) w WHERE window_end <= "
+            f"({ingest_max}) - INTERVAL 10 minute")
 
 
 def stream_oracles():
-    return {}
+    b = O.batch_oracles()
+    late_max = ("SELECT max(ts - to_seconds(20 * (event_id % 5))) FROM events "
+                "WHERE event_id % 101 <> 0 AND event_id % 97 <> 0 AND event_id % 103 <> 0")
+    return {
+        "stream_parse_append": b["access_log_parse"],
+        "stream_minute_metrics_update": b["minute_metrics"],
+        "stream_minute_metrics_append": _closed(b["minute_metrics"], "SELECT max(ts) FROM events"),
+        "stream_event_time_minute_metrics": _closed(b["event_time_minute_metrics"], late_max),
+        "stream_json_alerts": b["json_alerts"],
+    }
