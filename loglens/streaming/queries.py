@@ -90,8 +90,23 @@ def q_stream_json_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "log_level", "log_message", "user_id")
 
 
+def q_stream_minute_metrics_shared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One source read -> raw lake + additive per-batch partials, merged."""
+    from loglens.streaming import jobs
+    run = scratch_path(spark, "stream_minute_metrics_shared_scan")
+    q = jobs.start_shared_scan_job(spark, _stream_feed(spark, sf_dir, max_files=8),
+                                   f"{run}/raw", f"{run}/partials", f"{run}/checkpoint",
+                                   trigger=runner.AVAILABLE_NOW)
+    runner.finish(q)
+    m = jobs.merge_partials(spark, f"{run}/partials")
+    return m.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                    *METRIC_COLUMNS[2:])
+
+
 def stream_queries():
     return {
+        "stream_minute_metrics_shared_scan": q_stream_minute_metrics_shared_scan,
         "stream_parse_append": q_stream_parse_append,
         "stream_minute_metrics_update": q_stream_minute_metrics_update,
         "stream_minute_metrics_append": q_stream_minute_metrics_append,
@@ -113,6 +128,7 @@ def stream_oracles():
     return {
         "stream_parse_append": b["access_log_parse"],
         "stream_minute_metrics_update": b["minute_metrics"],
+        "stream_minute_metrics_shared_scan": b["minute_metrics"],
         "stream_minute_metrics_append": _closed(b["minute_metrics"], "SELECT max(ts) FROM events"),
         "stream_event_time_minute_metrics": _closed(b["event_time_minute_metrics"], late_max),
         "stream_json_alerts": b["json_alerts"],
