@@ -1,0 +1,140 @@
+"""Streaming semantics: late data, watermark, restart, sinks and jobs."""
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from loglens.operators import metrics, parse
+from loglens.plans import queries as Q
+from loglens.sources import feeds, files, kafka
+from loglens.streaming import jobs, runner, sinks
+
+LINE = '10.0.0.{ip} - - [01/Jan/2024:00:00:00 +0000] "GET /list HTTP/1.0" {status} 100 "-" "UA"'
+
+
+def _drop_file(spark, inbox, name, stamps, status="200"):
+    rows = [(None, LINE.format(ip=i, status=status).encode(), "access_log", 0, i,
+             dt.datetime.fromisoformat(f"2024-01-01 {s}")) for i, s in enumerate(stamps)]
+    spark.createDataFrame(rows, kafka.ENVELOPE_SCHEMA).coalesce(1) \
+        .write.mode("overwrite").parquet(os.path.join(inbox, name))
+
+
+def _stream(spark, inbox):
+    return spark.readStream.schema(kafka.ENVELOPE_SCHEMA).option("recursiveFileLookup", "true") \
+        .parquet(inbox)
+
+
+def _counts(df):
+    return {r.window_start.strftime("%H:%M"): r.total_requests for r in df.collect()}
+
+
+def test_late_data_update_without_watermark(spark, scratch):
+    base = scratch("late-update")
+    inbox, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    batches = [["00:00:10", "00:01:10"], ["00:10:10"], ["00:00:20", "00:20:10"]]
+    for i, stamps in enumerate(batches):
+        _drop_file(spark, inbox, f"f{i}", stamps)
+        agg = metrics.flatten_window(metrics.window_metrics(
+            parse.parse_access(parse.decode(_stream(spark, inbox)))), ntz=False)
+        runner.finish(sinks.upsert_metrics(agg, out, ckpt, trigger=runner.AVAILABLE_NOW))
+    log = spark.read.parquet(out)
+    # the late row re-emits window 00:00 with its new count
+    assert log.where(F.col("window_start") == "2024-01-01 00:00:00").count() == 2
+    assert _counts(sinks.read_upserts(spark, out)) == {"00:00": 2, "00:01": 1, "00:10": 1, "00:20": 1}
+    # a restart with no new data adds nothing
+    n = log.count()
+    agg = metrics.flatten_window(metrics.window_metrics(
+        parse.parse_access(parse.decode(_stream(spark, inbox)))), ntz=False)
+    runner.finish(sinks.upsert_metrics(agg, out, ckpt, trigger=runner.AVAILABLE_NOW))
+    assert spark.read.parquet(out).count() == n
+
+
+def test_late_data_append_with_watermark(spark, scratch):
+    base = scratch("late-append")
+    inbox, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    batches = [["00:00:10", "00:01:10"], ["00:10:10"], ["00:00:20", "00:20:10"]]
+    seen = []
+    for i, stamps in enumerate(batches):
+        _drop_file(spark, inbox, f"f{i}", stamps)
+        agg = metrics.flatten_window(metrics.window_metrics(
+            parse.parse_access(parse.decode(_stream(spark, inbox))), watermark="2 minutes",
+            approx_ips=False), ntz=False)
+        runner.finish(sinks.parquet_append(agg, out, ckpt, runner.AVAILABLE_NOW))
+        seen.append(_counts(spark.read.parquet(out)) if i else {})
+    assert seen[1] == {"00:00": 1, "00:01": 1}           # closed once the watermark passed
+    assert seen[2] == {"00:00": 1, "00:01": 1, "00:10": 1}  # late row dropped, nothing re-emitted
+
+
+def test_restart_matches_batch(spark, scratch):
+    """Process part of a feed, restart on the same checkpoint, no double counting."""
+    base = scratch("restart")
+    feed = feeds.feed(spark, SF001)
+    inbox, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    first = feed.where("offset < 600").drop("date")
+    second = feed.where("offset >= 600").drop("date")
+    for i, part in enumerate([first, second]):
+        part.write.mode("overwrite").parquet(f"{inbox}/p{i}")
+        agg = metrics.flatten_window(metrics.window_metrics(
+            parse.parse_access(parse.decode(_stream(spark, inbox)))), ntz=False)
+        runner.finish(sinks.upsert_metrics(agg, out, ckpt, trigger=runner.AVAILABLE_NOW))
+    got = sinks.read_upserts(spark, out).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "total_requests",
+        "error_4xx_count", "error_5xx_count", "total_bytes")
+    want = Q.q_minute_metrics(spark, SF001).drop("window_end")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_raw_lake_and_document_sink(spark, scratch):
+    base = scratch("lake")
+    src = Q.decoded(spark, SF001)
+    n = src.count()
+    stream = parse.parse_access(parse.decode(kafka.envelope_file_stream(
+        spark, feeds.feed_path(spark, SF001))), keep=("offset", "timestamp"))
+    runner.finish(sinks.raw_lake(stream, f"{base}/lake", f"{base}/ck1", runner.AVAILABLE_NOW))
+    lake = spark.read.parquet(f"{base}/lake")
+    assert lake.count() == n and "date" in lake.columns
+    assert lake.select("date").distinct().count() == src.select(F.to_date("timestamp")).distinct().count()
+    runner.finish(sinks.document_sink(stream, f"{base}/docs/pyspark_logs_{{date}}", f"{base}/ck2",
+                                      time_col="timestamp", trigger=runner.AVAILABLE_NOW))
+    docs = spark.read.parquet(f"{base}/docs/pyspark_logs")
+    assert docs.count() == n and {"batch_id", "date"} <= set(docs.columns)
+
+
+def test_text_files_and_publish(spark, scratch):
+    base = scratch("text")
+    lines = Q.decoded(spark, SF001).select(F.concat(F.lit("  "), "value", F.lit(" ")).alias("value"))
+    blanks = spark.range(5).select(F.lit("   ").alias("value"))
+    lines.unionByName(blanks).write.option("compression", "gzip").text(f"{base}/logs")
+    txt = files.log_files(spark, f"{base}/logs", glob="part-*.gz", min_partitions=4)
+    assert txt.count() == 1005
+    sinks.publish_lines(spark, f"{base}/logs", f"{base}/topic", glob="part-*")
+    env = kafka.envelope_batch(spark, f"{base}/topic")
+    assert env.count() == 1000
+    got = parse.parse_quality(parse.decode(env))
+    want = Q.q_parse_quality(spark, SF001)
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_access_jobs_and_shared_scan(spark, scratch):
+    base = scratch("jobs")
+    env = kafka.envelope_file_stream(spark, feeds.feed_path(spark, SF001))
+    qs = jobs.start_access_jobs(spark, env, raw_path=f"{base}/raw", metrics_path=f"{base}/m",
+                                checkpoint_root=f"{base}/ck", trigger=runner.AVAILABLE_NOW)
+    for q in qs:
+        runner.finish(q)
+    jobs.await_jobs(spark, qs, timeout_s=1)
+    m = sinks.read_upserts(spark, f"{base}/m")
+    want = Q.q_minute_metrics(spark, SF001)
+    assert m.count() == want.count()
+    assert spark.read.parquet(f"{base}/raw").count() == Q.decoded(spark, SF001).count()
+    q = jobs.start_shared_scan_job(spark, kafka.envelope_file_stream(
+        spark, feeds.feed_path(spark, SF001), max_files_per_trigger=5),
+        f"{base}/raw2", f"{base}/partials", f"{base}/ck2", trigger=runner.AVAILABLE_NOW)
+    runner.finish(q)
+    merged = jobs.merge_partials(spark, f"{base}/partials").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "total_requests", "error_4xx_count", "error_5xx_count", "total_bytes")
+    assert merged.exceptAll(want).count() == 0 and want.exceptAll(merged).count() == 0
