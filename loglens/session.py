@@ -57,14 +57,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_ROOT_KEY = "spark.loglens.sharedRoot"
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints, feeds and written tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
     Only a local-mode session without one gets a fresh temporary folder,
-    which is then recorded in the session so later calls agree.
+    registered as the context's checkpoint dir so later calls agree.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_ROOT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
@@ -73,10 +76,10 @@ def shared_root(spark: SparkSession) -> str:
             raise RuntimeError(
                 "set spark.checkpoint.dir to a cluster-shared folder "
                 "(HDFS/S3/ABFS) before running loglens streaming or lineage-cutting jobs")
-        root = tempfile.mkdtemp(prefix="loglens-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loglens-"))
+        root = spark.sparkContext.getCheckpointDir()
+    if spark.conf.get(_ROOT_KEY, None) != root:
+        spark.conf.set(_ROOT_KEY, root)
     return root.rstrip("/")
 
 

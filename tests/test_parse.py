@@ -105,11 +105,14 @@ def test_json_classes(spark):
 _token = st.text(alphabet=st.characters(blacklist_characters=' "\n\r\t\u0001',
                                         blacklist_categories=("Cs", "Zs", "Zl", "Zp", "Cc")),
                  min_size=1, max_size=12)
-_quoted = st.text(alphabet=st.characters(blacklist_characters='"\n\r\u0001',
+_quoted = st.text(alphabet=st.characters(blacklist_characters='"\n\u0001',
                                          blacklist_categories=("Cs",)), max_size=20)
+# Java's "." does not match these, so a quoted field holding one makes the
+# whole line unparsed (same as the original job's regexp_extract).
+_JAVA_LINE_TERMINATORS = set("\n\r\u0085\u2028\u2029")
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=15, deadline=None)
 @given(ip=_token, req=_quoted, status=st.integers(100, 999), size=st.integers(0, 10**9),
        ref=_quoted, ua=_quoted, common=st.booleans())
 def test_render_then_parse(spark, ip, req, status, size, ref, ua, common):
@@ -119,11 +122,13 @@ def test_render_then_parse(spark, ip, req, status, size, ref, ua, common):
     else:
         line = f'{ip} - - [{stamp}] "{req}" {status} {size} "{ref}" "{ua}"'
     df = _frame(spark, [line])
-    any_row = parse.parse_any(df).collect()[0]
-    assert (any_row.ip, any_row.request, any_row.status, any_row.bytes) == (ip, req, str(status), str(size))
     elf = parse.parse_access(df, keep=("offset",)).collect()[0]
     naive = parse.parse_access(df, keep=("offset",), single_pass=False).collect()[0]
     assert elf == naive
+    if _JAVA_LINE_TERMINATORS & set(req + ("" if common else ref + ua)):
+        return
+    any_row = parse.parse_any(df).collect()[0]
+    assert (any_row.ip, any_row.request, any_row.status, any_row.bytes) == (ip, req, str(status), str(size))
     if not common:
         assert (elf.referrer, elf.user_agent) == (ref, ua)
         assert (any_row.referrer, any_row.user_agent) == (ref, ua)
