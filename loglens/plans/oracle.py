@@ -168,6 +168,7 @@ def batch_oracles() -> dict[str, str]:
           WHEN regexp_matches(line, {pat_any}) THEN 'parsed_other'
           ELSE 'unparsed' END AS line_class, count(*) AS line_count
         FROM ({lines}) l GROUP BY 1"""
+    s["text_log_quality"] = s["parse_quality"]
     s["minute_metrics"] = _minute_metrics("plain", '"timestamp"')
     s["minute_overview"] = _overview_body() + "SELECT * FROM o"
     s["minute_active_ips_exact"] = _with_parsed() + \

@@ -72,6 +72,13 @@ def q_parse_quality(spark, sf_dir):
     return parse.parse_quality(decoded(spark, sf_dir))
 
 
+def q_text_log_quality(spark, sf_dir):
+    """Gzip text log files (generator naming) -> parse classes."""
+    from loglens.sources import files
+    lines = files.log_files(spark, feeds.text_feed_path(spark, sf_dir))
+    return parse.parse_quality(lines)
+
+
 def q_minute_metrics(spark, sf_dir):
     return metrics.minute_metrics(parsed(spark, sf_dir))
 
@@ -144,6 +151,7 @@ def batch_queries() -> dict[str, Query]:
         "access_log_parse_any": q_access_log_parse_any,
         "access_log_enriched": q_access_log_enriched,
         "parse_quality": q_parse_quality,
+        "text_log_quality": q_text_log_quality,
         "minute_metrics": q_minute_metrics,
         "minute_overview": q_minute_overview,
         "minute_active_ips_exact": q_minute_active_ips_exact,

@@ -83,3 +83,25 @@ def feed_path(spark: SparkSession, sf_dir: str, kind: str = "access", variant: s
 def feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant: str = "plain") -> DataFrame:
     """The feed as an envelope DataFrame (``date`` partition column included)."""
     return kafka.envelope_batch(spark, feed_path(spark, sf_dir, kind, variant))
+
+
+def text_feed_path(spark: SparkSession, sf_dir: str, variant: str = "plain") -> str:
+    """The access feed as gzip text log files named like the generator's output
+    (``access_log_<yyyymmdd-HHMMSS>_<n>.log.gz``); written once, then reused."""
+    path = f"{shared_root(spark)}/feeds/text-{variant}-{_fingerprint(spark, sf_dir)}"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    tmp = f"{path}.tmp-{os.getpid()}"
+    lines = feed(spark, sf_dir, "access", variant)
+    lines.select(F.col("value").cast("string").alias("value")) \
+        .write.mode("overwrite").option("compression", "gzip").text(tmp)
+    fs, src = _fs(spark, tmp)
+    parts = sorted(st.getPath().getName() for st in fs.listStatus(src)
+                   if st.getPath().getName().startswith("part-"))
+    for i, name in enumerate(parts):
+        fs.rename(spark._jvm.org.apache.hadoop.fs.Path(f"{tmp}/{name}"),
+                  spark._jvm.org.apache.hadoop.fs.Path(f"{tmp}/access_log_20240101-000000_{i:05d}.log.gz"))
+    _, dst = _fs(spark, path)
+    if not fs.rename(src, dst) and not path_exists(spark, f"{path}/_SUCCESS"):
+        raise RuntimeError(f"could not publish text feed {path}")
+    return path

@@ -52,6 +52,22 @@ def q_stream_minute_metrics_update(spark: SparkSession, sf_dir: str) -> DataFram
                          *METRIC_COLUMNS[2:])
 
 
+def q_stream_minute_overview_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric-overview documents (rate, error %, mean size, HLL active IPs) upserted
+    per micro-batch keyed by window_start; the approximate IP count is left out
+    of the checked projection."""
+    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, max_files=8)))
+    docs = metrics.overview_from_metrics(
+        metrics.flatten_window(metrics.window_metrics(src, "timestamp"), ntz=False))
+    run = scratch_path(spark, "stream_minute_overview_update")
+    runner.finish(sinks.upsert_metrics(docs, f"{run}/out", f"{run}/checkpoint",
+                                       trigger=runner.AVAILABLE_NOW))
+    latest = sinks.read_upserts(spark, f"{run}/out", "window_start")
+    return latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                         "request_per_minute", "error_rate_percent", "average_response_size")
+
+
 def q_stream_minute_metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute metrics in append mode with a watermark: each closed window once."""
     src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir)))
@@ -109,6 +125,7 @@ def stream_queries():
         "stream_minute_metrics_shared_scan": q_stream_minute_metrics_shared_scan,
         "stream_parse_append": q_stream_parse_append,
         "stream_minute_metrics_update": q_stream_minute_metrics_update,
+        "stream_minute_overview_update": q_stream_minute_overview_update,
         "stream_minute_metrics_append": q_stream_minute_metrics_append,
         "stream_event_time_minute_metrics": q_stream_event_time_minute_metrics,
         "stream_json_alerts": q_stream_json_alerts,
@@ -129,6 +146,9 @@ def stream_oracles():
         "stream_parse_append": b["access_log_parse"],
         "stream_minute_metrics_update": b["minute_metrics"],
         "stream_minute_metrics_shared_scan": b["minute_metrics"],
+        "stream_minute_overview_update": (
+            O._overview_body() + "SELECT window_start, window_end, request_per_minute, "
+            "error_rate_percent, average_response_size FROM o"),
         "stream_minute_metrics_append": _closed(b["minute_metrics"], "SELECT max(ts) FROM events"),
         "stream_event_time_minute_metrics": _closed(b["event_time_minute_metrics"], late_max),
         "stream_json_alerts": b["json_alerts"],
