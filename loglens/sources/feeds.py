@@ -80,6 +80,18 @@ def feed_path(spark: SparkSession, sf_dir: str, kind: str = "access", variant: s
     return path
 
 
+def file_count(spark: SparkSession, path: str) -> int:
+    """Number of data files under ``path`` (driver-side listing, no job)."""
+    fs, p = _fs(spark, path)
+    it = fs.listFiles(p, True)
+    n = 0
+    while it.hasNext():
+        name = it.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            n += 1
+    return n
+
+
 def feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant: str = "plain") -> DataFrame:
     """The feed as an envelope DataFrame (``date`` partition column included)."""
     return kafka.envelope_batch(spark, feed_path(spark, sf_dir, kind, variant))

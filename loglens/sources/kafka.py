@@ -61,9 +61,12 @@ def kafka_batch(spark: SparkSession, bootstrap_servers: str, topic: str,
     return r.load()
 
 
-def envelope_batch(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of a stored envelope table (Parquet, optionally date-partitioned)."""
-    return spark.read.parquet(path)
+def envelope_batch(spark: SparkSession, path: str, partitioned: bool = True) -> DataFrame:
+    """Batch read of a stored envelope table (Parquet, optionally date-partitioned).
+
+    The schema is fixed, so it is given rather than inferred from footers.
+    """
+    return spark.read.schema(LAKE_SCHEMA if partitioned else ENVELOPE_SCHEMA).parquet(path)
 
 
 def envelope_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,

@@ -23,14 +23,16 @@ APPEND_WATERMARK = "10 minutes"
 
 
 def _stream_feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant: str = "plain",
-                 max_files: int | None = None) -> DataFrame:
-    return kafka.envelope_file_stream(spark, feeds.feed_path(spark, sf_dir, kind, variant),
-                                      max_files_per_trigger=max_files)
+                 batches: int = 1) -> DataFrame:
+    """The feed as a file stream split into about ``batches`` micro-batches."""
+    path = feeds.feed_path(spark, sf_dir, kind, variant)
+    per = None if batches <= 1 else max(1, -(-feeds.file_count(spark, path) // batches))
+    return kafka.envelope_file_stream(spark, path, max_files_per_trigger=per)
 
 
 def q_stream_parse_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parse-only stream (append): every record exactly once."""
-    src = parse.decode(_stream_feed(spark, sf_dir, max_files=8))
+    src = parse.decode(_stream_feed(spark, sf_dir, batches=2))
     out = parse.parse_access(src, keep=("offset", "timestamp"))
     run = scratch_path(spark, "stream_parse_append")
     runner.finish(sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
@@ -41,7 +43,7 @@ def q_stream_parse_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_minute_metrics_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest-time minute metrics in update mode, no watermark (as the
     original job), upserted per micro-batch; read back last write per window."""
-    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, max_files=8)))
+    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, batches=2)))
     agg = metrics.flatten_window(metrics.window_metrics(src, "timestamp"), ntz=False)
     run = scratch_path(spark, "stream_minute_metrics_update")
     runner.finish(sinks.upsert_metrics(agg, f"{run}/out", f"{run}/checkpoint",
@@ -56,7 +58,7 @@ def q_stream_minute_overview_update(spark: SparkSession, sf_dir: str) -> DataFra
     """Metric-overview documents (rate, error %, mean size, HLL active IPs) upserted
     per micro-batch keyed by window_start; the approximate IP count is left out
     of the checked projection."""
-    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, max_files=8)))
+    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, batches=2)))
     docs = metrics.overview_from_metrics(
         metrics.flatten_window(metrics.window_metrics(src, "timestamp"), ntz=False))
     run = scratch_path(spark, "stream_minute_overview_update")
@@ -95,7 +97,7 @@ def q_stream_event_time_minute_metrics(spark: SparkSession, sf_dir: str) -> Data
 
 def q_stream_json_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON app-log severity alerts as a stream (processing_time dropped)."""
-    app = alerts.parse_json_log(_stream_feed(spark, sf_dir, kind="json", max_files=8),
+    app = alerts.parse_json_log(_stream_feed(spark, sf_dir, kind="json", batches=2),
                                 keep=("offset",))
     out = alerts.severity_filter(app).drop("processing_time")
     run = scratch_path(spark, "stream_json_alerts")
@@ -110,7 +112,7 @@ def q_stream_minute_metrics_shared_scan(spark: SparkSession, sf_dir: str) -> Dat
     """One source read -> raw lake + additive per-batch partials, merged."""
     from loglens.streaming import jobs
     run = scratch_path(spark, "stream_minute_metrics_shared_scan")
-    q = jobs.start_shared_scan_job(spark, _stream_feed(spark, sf_dir, max_files=8),
+    q = jobs.start_shared_scan_job(spark, _stream_feed(spark, sf_dir, batches=2),
                                    f"{run}/raw", f"{run}/partials", f"{run}/checkpoint",
                                    trigger=runner.AVAILABLE_NOW)
     runner.finish(q)
