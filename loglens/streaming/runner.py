@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 AVAILABLE_NOW = {"availableNow": True}
+_SHUFFLE = "spark.sql.shuffle.partitions"
 
 
 def finish(query: StreamingQuery, timeout_s: float = 1800.0) -> StreamingQuery:
@@ -17,3 +21,21 @@ def finish(query: StreamingQuery, timeout_s: float = 1800.0) -> StreamingQuery:
     if exc is not None:
         raise RuntimeError(f"streaming query failed: {exc}")
     return query
+
+
+def run_available(spark: SparkSession, start: Callable[[], StreamingQuery],
+                  state_partitions: int | None = None, timeout_s: float = 1800.0) -> StreamingQuery:
+    """Start a query with ``start()`` and block until it has consumed its input.
+
+    A stateful query fixes its shuffle (= state store) width at its first
+    batch and keeps it for the life of the checkpoint. ``state_partitions``
+    (default: the cluster's parallelism) applies to this query only; the
+    session setting is restored once the blocking run is over.
+    """
+    width = state_partitions or spark.sparkContext.defaultParallelism
+    before = spark.conf.get(_SHUFFLE)
+    spark.conf.set(_SHUFFLE, str(width))
+    try:
+        return finish(start(), timeout_s)
+    finally:
+        spark.conf.set(_SHUFFLE, before)

@@ -138,3 +138,20 @@ def test_access_jobs_and_shared_scan(spark, scratch):
         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
         "total_requests", "error_4xx_count", "error_5xx_count", "total_bytes")
     assert merged.exceptAll(want).count() == 0 and want.exceptAll(merged).count() == 0
+
+
+def test_console_sinks_run(spark, scratch, capsys):
+    base = scratch("console")
+    env = kafka.envelope_file_stream(spark, feeds.feed_path(spark, SF001))
+    parsed = parse.parse_access(parse.decode(env), keep=("offset", "timestamp"))
+    runner.finish(sinks.console(parsed, "append", f"{base}/c1", runner.AVAILABLE_NOW, num_rows=2))
+    agg = metrics.window_metrics(parsed)
+    runner.finish(sinks.console(agg, "update", f"{base}/c2", runner.AVAILABLE_NOW, num_rows=2))
+
+
+def test_quarantine_split(spark):
+    good, bad = parse.quarantine_split(Q.decoded(spark, SF001))
+    classes = {r.line_class: r.line_count for r in Q.q_parse_quality(spark, SF001).collect()}
+    assert good.count() == classes["parsed_elf"]
+    assert bad.count() == sum(v for k, v in classes.items() if k != "parsed_elf")
+    assert "line_class" in bad.columns and "line_class" not in good.columns
