@@ -171,6 +171,7 @@ def batch_oracles() -> dict[str, str]:
     s["text_log_quality"] = s["parse_quality"]
     s["minute_metrics"] = _minute_metrics("plain", '"timestamp"')
     s["minute_overview"] = _overview_body() + "SELECT * FROM o"
+    s["dense_minute_overview"] = _overview_body("dense") + "SELECT * FROM o"
     s["minute_active_ips_exact"] = _with_parsed() + \
         f"SELECT {_MINUTE} AS window_start, count(DISTINCT ip) AS active_ip_count FROM p GROUP BY 1"
     s["minute_mean_bytes"] = _with_parsed() + \

@@ -87,6 +87,11 @@ def q_minute_overview(spark, sf_dir):
     return metrics.overview(parsed(spark, sf_dir), exact_ips=True)
 
 
+def q_dense_minute_overview(spark, sf_dir):
+    """Overview on the dense feed (40 lines per minute, the original feed rate)."""
+    return metrics.overview(parsed(spark, sf_dir, "dense"), exact_ips=True)
+
+
 def q_minute_active_ips_exact(spark, sf_dir):
     return metrics.active_ips(parsed(spark, sf_dir), exact=True)
 
@@ -154,6 +159,7 @@ def batch_queries() -> dict[str, Query]:
         "text_log_quality": q_text_log_quality,
         "minute_metrics": q_minute_metrics,
         "minute_overview": q_minute_overview,
+        "dense_minute_overview": q_dense_minute_overview,
         "minute_active_ips_exact": q_minute_active_ips_exact,
         "minute_active_ips_approx": q_minute_active_ips_approx,
         "minute_mean_bytes": q_minute_mean_bytes,

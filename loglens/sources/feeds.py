@@ -71,13 +71,19 @@ def feed_path(spark: SparkSession, sf_dir: str, kind: str = "access", variant: s
     n = write_partitions(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     with_date(env).repartitionByRange(n, "timestamp", "offset") \
         .write.mode("overwrite").partitionBy("date").parquet(tmp)
+    _publish(spark, tmp, path)
+    return path
+
+
+def _publish(spark: SparkSession, tmp: str, path: str) -> None:
+    """Move a finished temporary folder into place; a concurrent writer that
+    published first wins and this copy is dropped."""
     fs, src = _fs(spark, tmp)
     _, dst = _fs(spark, path)
-    if not fs.rename(src, dst) and not path_exists(spark, f"{path}/_SUCCESS"):
-        raise RuntimeError(f"could not publish feed {path}")
-    if path_exists(spark, tmp):
+    if fs.exists(dst) or not fs.rename(src, dst):
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            raise RuntimeError(f"could not publish {path}")
         fs.delete(src, True)
-    return path
 
 
 def file_count(spark: SparkSession, path: str) -> int:
@@ -113,7 +119,5 @@ def text_feed_path(spark: SparkSession, sf_dir: str, variant: str = "plain") ->
     for i, name in enumerate(parts):
         fs.rename(spark._jvm.org.apache.hadoop.fs.Path(f"{tmp}/{name}"),
                   spark._jvm.org.apache.hadoop.fs.Path(f"{tmp}/access_log_20240101-000000_{i:05d}.log.gz"))
-    _, dst = _fs(spark, path)
-    if not fs.rename(src, dst) and not path_exists(spark, f"{path}/_SUCCESS"):
-        raise RuntimeError(f"could not publish text feed {path}")
+    _publish(spark, tmp, path)
     return path
