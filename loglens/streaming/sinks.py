@@ -155,7 +155,10 @@ def read_upserts(spark: SparkSession, path: str, key: str | list[str] = "window_
 
 def compact_upserts(spark: SparkSession, path: str, out: str,
                     key: str | list[str] = "window_start") -> None:
-    """Rewrite the resolved table once (periodic compaction of the upsert log)."""
+    """Rewrite the resolved table into ``out`` (periodic compaction of the upsert
+    log). ``out`` must be a new location: the log is read while this runs."""
+    if out.rstrip("/") == path.rstrip("/"):
+        raise ValueError("compact into a new location, then swap it in")
     read_upserts(spark, path, key).withColumn("batch_id", F.lit(0).cast("bigint")) \
         .write.mode("overwrite").parquet(f"{out}/batch_id=0")
 

@@ -155,3 +155,11 @@ def test_quarantine_split(spark):
     assert good.count() == classes["parsed_elf"]
     assert bad.count() == sum(v for k, v in classes.items() if k != "parsed_elf")
     assert "line_class" in bad.columns and "line_class" not in good.columns
+
+
+def test_cli_publish(spark, scratch):
+    from loglens import cli
+    base = scratch("cli")
+    Q.decoded(spark, SF001).select("value").write.text(f"{base}/logs")
+    cli.main(["publish", "--source", f"{base}/logs", "--lake", f"{base}/topic"])
+    assert kafka.envelope_batch(spark, f"{base}/topic", partitioned=False).count() == 1000
