@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from loglens.functions import patterns as P
 
-# Separator used by the single-pass extractor. A line that already contains
-# it falls back to per-group extraction, so any input is handled exactly.
-_SEP = "\u0001"
+# The single-pass extractor joins groups with char(1); a line that already
+# contains that byte falls back to per-group extraction, so any input is
+# handled exactly.
 
 
 def extract_groups_naive(value: Column, pattern: str, names: tuple[str, ...]) -> list[Column]:
@@ -21,6 +21,10 @@ def extract_groups_naive(value: Column, pattern: str, names: tuple[str, ...]) ->
     return [F.regexp_extract(value, pattern, i + 1).alias(n) for i, n in enumerate(names)]
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def with_groups(df: DataFrame, value: str, pattern: str, names: tuple[str, ...],
                 keep: list[str]) -> DataFrame:
     """Project ``keep`` plus every group of ``pattern`` matched on ``value``.
@@ -31,26 +35,30 @@ def with_groups(df: DataFrame, value: str, pattern: str, names: tuple[str, ...],
     input, '' for every field of a line that does not match. The split
     array is materialised in its own projection so Catalyst evaluates the
     regex once per row rather than once per field.
+
+    The projection is written as SQL (one ``selectExpr`` per step) with raw
+    string literals, so the pattern reaches the JVM verbatim whatever the
+    session's escaping settings.
     """
+    if "'" in pattern:
+        raise ValueError("pattern must not contain a single quote")
     n = len(names)
-    template = _SEP.join(f"${i}" for i in range(1, n + 1))
+    pat = f"r'{pattern}'"
+    tail = f"r'{pattern}[\\s\\S]*'"
+    template = ", char(1), ".join(f"'${i}'" for i in range(1, n + 1))
+    v = _ident(value)
+    tmp = "__loglens_parts"
+    kept = [_ident(k) for k in keep if k != value]
     # The tail swallows the rest of the line (newlines included), so the
     # anchored pattern can match at most once.
-    joined = F.regexp_replace(F.col(value), pattern + r"[\s\S]*", template)
-    parts = F.split(joined, _SEP, -1)
-    tmp = "__loglens_parts"
-    staged = df.select(*[F.col(k) for k in keep if k != value], F.col(value), parts.alias(tmp))
-    v = F.col(value)
-    arr = F.col(tmp)
-    fields = []
-    for i, name in enumerate(names):
-        fields.append(
-            F.when(v.isNull(), F.lit(None).cast("string"))
-            .when(v.contains(_SEP), F.regexp_extract(v, pattern, i + 1))
-            .when(F.size(arr) == n, arr.getItem(i))
-            .otherwise(F.lit(""))
-            .alias(name))
-    return staged.select(*[F.col(k) for k in keep if k != value], *fields)
+    staged = df.selectExpr(*kept, v, f"split(regexp_replace({v}, {tail}, concat({template})), "
+                                     f"char(1), -1) AS {tmp}")
+    fields = [
+        f"CASE WHEN {v} IS NULL THEN CAST(NULL AS STRING) "
+        f"WHEN contains({v}, char(1)) THEN regexp_extract({v}, {pat}, {i + 1}) "
+        f"WHEN size({tmp}) = {n} THEN {tmp}[{i}] ELSE '' END AS {_ident(name)}"
+        for i, name in enumerate(names)]
+    return staged.selectExpr(*kept, *fields)
 
 
 def endpoint_of(request: Column) -> Column:
