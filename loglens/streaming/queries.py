@@ -35,7 +35,8 @@ def q_stream_parse_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = parse.decode(_stream_feed(spark, sf_dir, batches=2))
     out = parse.parse_access(src, keep=("offset", "timestamp"))
     run = scratch_path(spark, "stream_parse_append")
-    runner.run_available(spark, lambda: sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+    runner.run_available(spark, label="stream_parse_append", start=lambda:
+        sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
     return spark.read.parquet(f"{run}/out").withColumn(
         "timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
@@ -46,8 +47,9 @@ def q_stream_minute_metrics_update(spark: SparkSession, sf_dir: str) -> DataFram
     src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, batches=2)))
     agg = metrics.flatten_window(metrics.window_metrics(src, "timestamp"), ntz=False)
     run = scratch_path(spark, "stream_minute_metrics_update")
-    runner.run_available(spark, lambda: sinks.upsert_metrics(agg, f"{run}/out", f"{run}/checkpoint",
-                                       trigger=runner.AVAILABLE_NOW))
+    runner.run_available(spark, label="stream_minute_metrics_update", start=lambda:
+        sinks.upsert_metrics(agg, f"{run}/out", f"{run}/checkpoint",
+                             trigger=runner.AVAILABLE_NOW))
     latest = sinks.read_upserts(spark, f"{run}/out", "window_start")
     return latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                          F.col("window_end").cast("timestamp_ntz").alias("window_end"),
@@ -62,8 +64,9 @@ def q_stream_minute_overview_update(spark: SparkSession, sf_dir: str) -> DataFra
     docs = metrics.overview_from_metrics(
         metrics.flatten_window(metrics.window_metrics(src, "timestamp"), ntz=False))
     run = scratch_path(spark, "stream_minute_overview_update")
-    runner.run_available(spark, lambda: sinks.upsert_metrics(docs, f"{run}/out", f"{run}/checkpoint",
-                                       trigger=runner.AVAILABLE_NOW))
+    runner.run_available(spark, label="stream_minute_overview_update", start=lambda:
+        sinks.upsert_metrics(docs, f"{run}/out", f"{run}/checkpoint",
+                             trigger=runner.AVAILABLE_NOW))
     latest = sinks.read_upserts(spark, f"{run}/out", "window_start")
     return latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                          F.col("window_end").cast("timestamp_ntz").alias("window_end"),
@@ -76,7 +79,8 @@ def q_stream_minute_metrics_append(spark: SparkSession, sf_dir: str) -> DataFram
     agg = metrics.flatten_window(
         metrics.window_metrics(src, "timestamp", watermark=APPEND_WATERMARK), ntz=False)
     run = scratch_path(spark, "stream_minute_metrics_append")
-    runner.run_available(spark, lambda: sinks.parquet_append(agg, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+    runner.run_available(spark, label="stream_minute_metrics_append", start=lambda:
+        sinks.parquet_append(agg, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
     return spark.read.parquet(f"{run}/out").select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), *METRIC_COLUMNS[2:])
@@ -89,7 +93,8 @@ def q_stream_event_time_minute_metrics(spark: SparkSession, sf_dir: str) -> Data
     run = scratch_path(spark, "stream_event_time_minute_metrics")
     out = agg.select(F.col("window_start").cast("timestamp").alias("window_start"),
                      F.col("window_end").cast("timestamp").alias("window_end"), *METRIC_COLUMNS[2:])
-    runner.run_available(spark, lambda: sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+    runner.run_available(spark, label="stream_event_time_minute_metrics", start=lambda:
+        sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
     return spark.read.parquet(f"{run}/out").select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), *METRIC_COLUMNS[2:])
@@ -101,7 +106,8 @@ def q_stream_json_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 keep=("offset",))
     out = alerts.severity_filter(app).drop("processing_time")
     run = scratch_path(spark, "stream_json_alerts")
-    runner.run_available(spark, lambda: sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+    runner.run_available(spark, label="stream_json_alerts", start=lambda:
+        sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
     return spark.read.parquet(f"{run}/out").select(
         "offset", F.col("kafka_ingestion_time").cast("timestamp_ntz").alias("kafka_ingestion_time"),
         F.col("log_timestamp").cast("timestamp_ntz").alias("log_timestamp"),
@@ -112,7 +118,8 @@ def q_stream_minute_metrics_shared_scan(spark: SparkSession, sf_dir: str) -> Dat
     """One source read -> raw lake + additive per-batch partials, merged."""
     from loglens.streaming import jobs
     run = scratch_path(spark, "stream_minute_metrics_shared_scan")
-    runner.run_available(spark, lambda: jobs.start_shared_scan_job(
+    runner.run_available(spark, label="stream_minute_metrics_shared_scan", start=lambda:
+        jobs.start_shared_scan_job(
         spark, _stream_feed(spark, sf_dir, batches=2), f"{run}/raw", f"{run}/partials",
         f"{run}/checkpoint", trigger=runner.AVAILABLE_NOW))
     m = jobs.merge_partials(spark, f"{run}/partials")

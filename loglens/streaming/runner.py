@@ -10,6 +10,18 @@ from pyspark.sql.streaming import StreamingQuery
 AVAILABLE_NOW = {"availableNow": True}
 _SHUFFLE = "spark.sql.shuffle.partitions"
 
+# Progress summary of the last blocking run per label (rows, batches, time).
+PROGRESS: dict[str, dict] = {}
+
+
+def summarize(query: StreamingQuery) -> dict:
+    """Rows, micro-batches and processing rate from the query's progress log."""
+    prog = [p for p in query.recentProgress if p.numInputRows is not None]
+    rows = sum(p.numInputRows for p in prog)
+    ms = sum((p.durationMs or {}).get("triggerExecution", 0) for p in prog)
+    return {"rows": rows, "batches": sum(1 for p in prog if p.numInputRows),
+            "trigger_ms": ms, "rows_per_sec": round(rows * 1000.0 / ms, 1) if ms else None}
+
 
 def finish(query: StreamingQuery, timeout_s: float = 1800.0) -> StreamingQuery:
     """Wait for an availableNow query; re-raise its failure."""
@@ -24,7 +36,8 @@ def finish(query: StreamingQuery, timeout_s: float = 1800.0) -> StreamingQuery:
 
 
 def run_available(spark: SparkSession, start: Callable[[], StreamingQuery],
-                  state_partitions: int | None = None, timeout_s: float = 1800.0) -> StreamingQuery:
+                  state_partitions: int | None = None, timeout_s: float = 1800.0,
+                  label: str | None = None) -> StreamingQuery:
     """Start a query with ``start()`` and block until it has consumed its input.
 
     A stateful query fixes its shuffle (= state store) width at its first
@@ -36,6 +49,9 @@ def run_available(spark: SparkSession, start: Callable[[], StreamingQuery],
     before = spark.conf.get(_SHUFFLE)
     spark.conf.set(_SHUFFLE, str(width))
     try:
-        return finish(start(), timeout_s)
+        q = finish(start(), timeout_s)
     finally:
         spark.conf.set(_SHUFFLE, before)
+    if label:
+        PROGRESS[label] = summarize(q)
+    return q
