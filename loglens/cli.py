@@ -37,6 +37,8 @@ def _args(argv=None):
                     help="parquet or org.elasticsearch.spark.sql")
     ap.add_argument("--source", help="folder of text log files (publish)")
     ap.add_argument("--name", default="loglens")
+    ap.add_argument("--state-partitions", type=int,
+                    help="state-store width of the metric query (fixed at its first start)")
     return ap.parse_args(argv)
 
 
@@ -44,6 +46,8 @@ def main(argv=None) -> None:
     a = _args(argv)
     spark = build_session(app_name=f"loglens-{a.command}")
     trigger = {"processingTime": a.trigger}
+    if a.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(a.state_partitions))
     ckpt = f"{shared_root(spark)}/jobs/{a.name}-{a.command}"
     if a.command == "publish":
         sinks.publish_lines(spark, a.source, a.lake or "", fmt="kafka" if a.bootstrap else "parquet",

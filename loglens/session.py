@@ -26,19 +26,48 @@ DEFAULT_CONF = {
 }
 
 
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, cores: int, split_bytes: int = 256 * MB,
+               shuffle_bytes_per_partition: int = 1024 * MB) -> dict[str, str]:
+    """Settings sized to an input of ``input_bytes`` on ``cores`` task slots.
+
+    * scan splits of ``split_bytes`` (Parquet row groups are read whole), so
+      100 TB is ~400k scan tasks, about 50 waves on 8000 slots;
+    * an initial shuffle width of one partition per ``shuffle_bytes_per_partition``
+      of input (at least two per slot, at most 50k). Metric shuffles carry
+      only partial aggregates, far less than the input, and AQE coalesces
+      them to ``advisoryPartitionSizeInBytes``; wide ones (distinct IP x
+      endpoint) keep enough partitions to stay in memory;
+    * AQE skew handling splits any oversized shuffle partition.
+    """
+    width = max(2 * cores, min(50_000, -(-input_bytes // shuffle_bytes_per_partition)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "loglens",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  input_bytes: int | None = None, cores: int | None = None) -> SparkSession:
     """Build (or reuse) a session configured for loglens jobs.
 
-    On a cluster leave ``master`` unset (spark-submit decides) and size
-    ``shuffle_partitions`` to the data: about 128-256 MB per shuffle
-    partition after map-side combine; AQE coalesces from there.
+    On a cluster leave ``master`` unset (spark-submit decides) and pass
+    ``input_bytes`` and ``cores`` to size splits and shuffles with
+    ``scale_conf``; ``shuffle_partitions`` sets the width directly.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes and cores:
+        conf.update(scale_conf(input_bytes, cores))
     conf.update(REQUIRED_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
