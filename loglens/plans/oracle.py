@@ -212,6 +212,7 @@ def batch_oracles() -> dict[str, str]:
     s["log_search"] = _with_parsed() + f"""SELECT "offset", "timestamp", ip, request, status FROM p
         WHERE contains(request, {_q(SEARCH['contains'])}) AND status = {_q(SEARCH['status'])}
           AND "timestamp" >= TIMESTAMP {_q(SEARCH['start'])} AND "timestamp" < TIMESTAMP {_q(SEARCH['end'])}"""
+    s["lake_log_search"] = s["log_search"]
     return s
 
 

@@ -148,6 +148,17 @@ def q_log_search(spark, sf_dir):
     return hits.select("offset", _ntz("timestamp"), "ip", "request", "status")
 
 
+def q_lake_log_search(spark, sf_dir):
+    """D10 on the parsed, date-partitioned lake: the date range prunes folders,
+    the status / substring / time predicates are pushed into the Parquet scan."""
+    lake = spark.read.parquet(feeds.parsed_lake_path(spark, sf_dir))
+    params = dict(SEARCH)
+    hits = dashboards.log_search(lake, **params).where(
+        (F.col("date") >= F.to_date(F.lit(params["start"])))
+        & (F.col("date") <= F.to_date(F.lit(params["end"]))))
+    return hits.select("offset", _ntz("timestamp"), "ip", "request", "status")
+
+
 def batch_queries() -> dict[str, Query]:
     return {
         "envelope_decode": q_envelope_decode,
@@ -173,6 +184,7 @@ def batch_queries() -> dict[str, Query]:
         "json_alerts": q_json_alerts,
         "error_anomalies": q_error_anomalies,
         "log_search": q_log_search,
+        "lake_log_search": q_lake_log_search,
     }
 
 

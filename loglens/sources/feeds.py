@@ -121,3 +121,19 @@ def text_feed_path(spark: SparkSession, sf_dir: str, variant: str = "plain") ->
                   spark._jvm.org.apache.hadoop.fs.Path(f"{tmp}/access_log_20240101-000000_{i:05d}.log.gz"))
     _publish(spark, tmp, path)
     return path
+
+
+def parsed_lake_path(spark: SparkSession, sf_dir: str, variant: str = "plain") -> str:
+    """The access feed parsed once and stored as a date-partitioned lake."""
+    from loglens.operators import parse
+    from loglens.streaming import sinks
+    path = f"{shared_root(spark)}/lakes/access-{variant}-{_fingerprint(spark, sf_dir)}"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    tmp = f"{path}.tmp-{os.getpid()}"
+    src = feed_path(spark, sf_dir, "access", variant)
+    parsed = parse.parse_access(parse.decode(kafka.envelope_batch(spark, src)),
+                                keep=("offset", "timestamp"))
+    sinks.write_lake(parsed, tmp, write_partitions(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    _publish(spark, tmp, path)
+    return path

@@ -58,3 +58,11 @@ def test_log_search_prunes_partitions_and_pushes_filters(spark):
 def test_top_endpoints_is_take_ordered(spark):
     plan = _plan(E.queries()["top_endpoints"](spark, SF001))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_lake_search_pushes_every_predicate(spark):
+    plan = _plan(E.queries()["lake_log_search"](spark, SF001))
+    assert "PartitionFilters: [isnotnull(date" in plan
+    for f in ("EqualTo(status,404)", "StringContains(request,wp-admin)",
+              "LessThan(timestamp"):
+        assert f in plan, f
