@@ -61,10 +61,12 @@ def main(argv=None) -> None:
     elif a.command == "parse":
         qs = [sinks.console(jobs.parsed_stream(src), "append", ckpt, trigger)]
     else:
-        app = alerts.severity_filter(alerts.parse_json_log(src))
+        app = alerts.severity_filter(alerts.parse_json_log(
+            src, keep=("topic", "partition", "offset")))
         if a.index:
             qs = [sinks.document_sink(app, a.index, ckpt, fmt=a.index_format,
-                                      time_col="log_timestamp", trigger=trigger)]
+                                      time_col="log_timestamp", trigger=trigger,
+                                      id_cols=("topic", "partition", "offset"))]
         else:
             qs = [sinks.console(app, "append", ckpt, trigger)]
     jobs.await_jobs(spark, qs)

@@ -33,13 +33,14 @@ def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str,
 
     ``max_offsets_per_trigger`` caps a micro-batch so a replay of a large
     backlog proceeds in bounded steps; ``minPartitions`` can be passed in
-    ``options`` to split fat Kafka partitions across more tasks.
+    ``options`` to split fat Kafka partitions across more tasks. Offsets
+    lost to retention fail the query (Spark's default) rather than being
+    skipped; pass ``{"failOnDataLoss": "false"}`` to accept the gap.
     """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers)
          .option("subscribe", topic)
-         .option("startingOffsets", starting_offsets)
-         .option("failOnDataLoss", "false"))
+         .option("startingOffsets", starting_offsets))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in (options or {}).items():

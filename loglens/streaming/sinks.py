@@ -106,19 +106,28 @@ def _batch_writer(fmt: str, target: str, options: dict[str, str], date_col: str
 
 def document_sink(records: DataFrame, resource: str, checkpoint: str,
                   fmt: str = "parquet", options: dict[str, str] | None = None,
-                  time_col: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+                  time_col: str | None = None, trigger: dict | None = None,
+                  id_cols: tuple[str, ...] | None = None) -> StreamingQuery:
     """Append records to a document store, one micro-batch at a time.
 
     ``fmt="org.elasticsearch.spark.sql"`` writes to Elasticsearch with
     ``resource`` as ``es.resource`` - a ``{date}`` placeholder there is
-    resolved per document by the connector from the ``date`` field. Pass
-    ``es.mapping.id`` in ``options`` for idempotent re-delivery. With the
+    resolved per document by the connector from the ``date`` field.
+    ``id_cols`` builds a ``doc_id`` used as ``es.mapping.id`` for idempotent
+    re-delivery. With the
     default Parquet fallback ``resource`` is a base path and ``{date}``
     becomes a ``date=`` folder level.
     """
     opts = dict(options or {})
     routed = "{date}" in resource
     df = records
+    if id_cols:
+        # A stable document id (e.g. Kafka topic/partition/offset) makes a
+        # re-delivered micro-batch overwrite its documents instead of
+        # duplicating them.
+        df = df.withColumn("doc_id", F.concat_ws("-", *[F.col(c).cast("string") for c in id_cols]))
+        if fmt == ES_FORMAT:
+            opts.setdefault("es.mapping.id", "doc_id")
     if routed:
         src = F.col(time_col) if time_col else F.current_timestamp()
         df = df.withColumn("date", F.date_format(src, "yyyy.MM.dd" if fmt == ES_FORMAT

@@ -97,9 +97,11 @@ def test_raw_lake_and_document_sink(spark, scratch):
     assert lake.count() == n and "date" in lake.columns
     assert lake.select("date").distinct().count() == src.select(F.to_date("timestamp")).distinct().count()
     runner.finish(sinks.document_sink(stream, f"{base}/docs/pyspark_logs_{{date}}", f"{base}/ck2",
-                                      time_col="timestamp", trigger=runner.AVAILABLE_NOW))
+                                      time_col="timestamp", trigger=runner.AVAILABLE_NOW,
+                                      id_cols=("offset",)))
     docs = spark.read.parquet(f"{base}/docs/pyspark_logs")
-    assert docs.count() == n and {"batch_id", "date"} <= set(docs.columns)
+    assert docs.count() == n and {"batch_id", "date", "doc_id"} <= set(docs.columns)
+    assert docs.select("doc_id").distinct().count() == n
 
 
 def test_text_files_and_publish(spark, scratch):
