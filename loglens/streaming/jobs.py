@@ -63,7 +63,10 @@ def batch_partials(parsed: DataFrame, width: str = metrics.MINUTE) -> DataFrame:
         F.count_if(F.col("status").startswith("4")).alias("error_4xx_count"),
         F.count_if(F.col("status").startswith("5")).alias("error_5xx_count"),
         F.sum(fx.to_long(F.col("bytes"))).alias("total_bytes"),
-        F.hll_sketch_agg(F.col("ip")).alias("ip_sketch"),
+        # The sketch skips empty strings, but unparsed lines carry ip '' and
+        # count as one client (as with approx_count_distinct); an injective
+        # prefix keeps them. NULL stays NULL and is skipped by both.
+        F.hll_sketch_agg(F.concat(F.lit("ip:"), F.col("ip"))).alias("ip_sketch"),
     ).select(F.col("window.start").alias("window_start"),
              F.col("window.end").alias("window_end"),
              "total_requests", "error_4xx_count", "error_5xx_count", "total_bytes", "ip_sketch")

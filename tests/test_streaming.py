@@ -165,3 +165,60 @@ def test_cli_publish(spark, scratch):
     Q.decoded(spark, SF001).select("value").write.text(f"{base}/logs")
     cli.main(["publish", "--source", f"{base}/logs", "--lake", f"{base}/topic"])
     assert kafka.envelope_batch(spark, f"{base}/topic", partitioned=False).count() == 1000
+
+
+EVENT_LINE = '10.0.0.{ip} - - [01/Jan/2024:{hms} +0000] "GET /list HTTP/1.0" 200 100 "-" "UA"'
+
+
+def _drop_event_file(spark, inbox, name, event_times):
+    rows = [(None, EVENT_LINE.format(ip=i, hms=t).encode(), "access_log", 0, i,
+             dt.datetime(2024, 1, 1, 12, 0, 0)) for i, t in enumerate(event_times)]
+    spark.createDataFrame(rows, kafka.ENVELOPE_SCHEMA).coalesce(1) \
+        .write.mode("overwrite").parquet(os.path.join(inbox, name))
+
+
+def test_event_time_late_data_with_watermark(spark, scratch):
+    """Late lines inside the watermark update their minute; older ones are dropped."""
+    base = scratch("event-late")
+    inbox, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    batches = [["00:00:10", "00:01:10"], ["00:05:10"], ["00:04:30", "00:00:40", "00:20:10"]]
+    for i, stamps in enumerate(batches):
+        _drop_event_file(spark, inbox, f"f{i}", stamps)
+        agg = metrics.event_time_metrics(
+            parse.parse_access(parse.decode(_stream(spark, inbox))), watermark="2 minutes")
+        runner.finish(sinks.parquet_append(agg, out, ckpt, runner.AVAILABLE_NOW))
+    got = _counts(spark.read.parquet(out))
+    # 00:04:30 is within 2 minutes of 00:05:10 -> counted; 00:00:40 is too late
+    assert got == {"00:00": 1, "00:01": 1, "00:04": 1, "00:05": 1}
+
+
+def test_compacted_upserts_read_the_same(spark, scratch):
+    base = scratch("compact")
+    env = kafka.envelope_file_stream(spark, feeds.feed_path(spark, SF001), max_files_per_trigger=4)
+    agg = metrics.flatten_window(metrics.window_metrics(parse.parse_access(parse.decode(env))),
+                                 ntz=False)
+    runner.finish(sinks.upsert_metrics(agg, f"{base}/log", f"{base}/ck", trigger=runner.AVAILABLE_NOW))
+    before = sinks.read_upserts(spark, f"{base}/log")
+    sinks.compact_upserts(spark, f"{base}/log", f"{base}/compact")
+    after = sinks.read_upserts(spark, f"{base}/compact")
+    assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
+    import pytest
+    with pytest.raises(ValueError):
+        sinks.compact_upserts(spark, f"{base}/log", f"{base}/log")
+
+
+def test_shared_scan_hll_close_to_exact(spark, scratch):
+    base = scratch("hll")
+    q = jobs.start_shared_scan_job(spark, kafka.envelope_file_stream(
+        spark, feeds.feed_path(spark, SF001, variant="dense"), max_files_per_trigger=3),
+        f"{base}/raw", f"{base}/partials", f"{base}/ck", trigger=runner.AVAILABLE_NOW)
+    runner.finish(q)
+    merged = jobs.merge_partials(spark, f"{base}/partials").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("active_ip_count").alias("approx"))
+    exact = metrics.active_ips(Q.parsed(spark, SF001, "dense"), exact=True)
+    j = merged.join(exact, "window_start")
+    s = j.select(F.count("*").alias("n"),
+                 F.avg(F.abs(F.col("approx") - F.col("active_ip_count")) / F.col("active_ip_count"))
+                 .alias("mre")).collect()[0]
+    assert s.n == exact.count() and s.mre < 0.05
