@@ -33,3 +33,18 @@ def test_scale_conf_bounds():
     assert int(big["spark.sql.shuffle.partitions"]) == 50_000
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_dashboards_on_parsed_lake_equal_feed(spark):
+    """Parse once into the lake, query many: same answers, no regex at query time."""
+    from loglens.operators import alerts, dashboards, metrics
+    from loglens.plans import queries as Q
+    lake = spark.read.parquet(feeds.parsed_lake_path(spark, SF001))
+    feed = Q.parsed(spark, SF001)
+    for op in (dashboards.client_profile, dashboards.user_agent_share,
+               dashboards.status_class_share, dashboards.access_heatmap,
+               metrics.minute_metrics, alerts.error_anomalies):
+        a, b = op(lake), op(feed)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, op.__name__
+    plan = dashboards.user_agent_share(lake)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan
