@@ -109,15 +109,29 @@ def merge_partials(spark: SparkSession, partials_path: str) -> DataFrame:
 
 def await_jobs(spark: SparkSession, queries: list[StreamingQuery],
                timeout_s: float | None = None) -> None:
-    """Block until any query ends; re-raise a failure (the original job only
-    waited on its first query, so a dead metrics query went unnoticed)."""
-    if timeout_s is None:
-        spark.streams.awaitAnyTermination()
-    else:
-        spark.streams.awaitAnyTermination(timeout_s)
-    for q in queries:
-        if not q.isActive and q.exception() is not None:
-            for other in queries:
-                if other.isActive:
-                    other.stop()
-            raise RuntimeError(f"query {q.name or q.id} failed: {q.exception()}")
+    """Block until one of ``queries`` ends (or ``timeout_s`` passes).
+
+    If any of them failed, the others are stopped and the failure is
+    raised, so a dead metrics query never goes unnoticed behind a healthy
+    raw query (the original job waited on its first query only).
+    """
+    while all(q.isActive for q in queries):
+        spark.streams.resetTerminated()
+        if not all(q.isActive for q in queries):
+            break
+        try:
+            if timeout_s is None:
+                spark.streams.awaitAnyTermination()
+            else:
+                spark.streams.awaitAnyTermination(timeout_s)
+        except Exception:  # noqa: BLE001 - the failed query is reported below
+            pass
+        if timeout_s is not None:
+            break
+    failed = [q for q in queries if not q.isActive and q.exception() is not None]
+    if failed:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        q = failed[0]
+        raise RuntimeError(f"query {q.name or q.id} failed: {q.exception()}")

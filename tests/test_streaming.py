@@ -222,3 +222,19 @@ def test_shared_scan_hll_close_to_exact(spark, scratch):
                  F.avg(F.abs(F.col("approx") - F.col("active_ip_count")) / F.col("active_ip_count"))
                  .alias("mre")).collect()[0]
     assert s.n == exact.count() and s.mre < 0.05
+
+
+def test_failed_sink_stops_sibling_and_raises(spark, scratch):
+    """One job failing (no search-index connector here) stops the other."""
+    import pytest
+    base = scratch("fail")
+    path = feeds.feed_path(spark, SF001)
+    healthy = sinks.memory(parse.parse_access(parse.decode(
+        kafka.envelope_file_stream(spark, path))), "fail_probe_raw",
+        trigger={"processingTime": "1 second"}, checkpoint=f"{base}/c1")
+    records = parse.decode(kafka.envelope_file_stream(spark, path))
+    broken = sinks.document_sink(records, "pyspark_logs_{date}", f"{base}/c2",
+                                 fmt=sinks.ES_FORMAT, time_col="timestamp", id_cols=("offset",))
+    with pytest.raises(RuntimeError, match="(?i)elasticsearch|data source"):
+        jobs.await_jobs(spark, [healthy, broken], timeout_s=120)
+    assert not healthy.isActive and not broken.isActive
