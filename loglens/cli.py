@@ -37,6 +37,8 @@ def _args(argv=None):
                     help="parquet or org.elasticsearch.spark.sql")
     ap.add_argument("--source", help="folder of text log files (publish)")
     ap.add_argument("--name", default="loglens")
+    ap.add_argument("--files-per-batch", type=int,
+                    help="raw-lake writer tasks per micro-batch (bounds small files)")
     ap.add_argument("--state-partitions", type=int,
                     help="state-store width of the metric query (fixed at its first start)")
     return ap.parse_args(argv)
@@ -57,7 +59,7 @@ def main(argv=None) -> None:
                              a.max_offsets_per_trigger)
     if a.command == "metrics":
         qs = jobs.start_access_jobs(spark, src, a.name, a.lake, a.metrics, ckpt, trigger,
-                                    a.watermark)
+                                    a.watermark, a.files_per_batch)
     elif a.command == "parse":
         qs = [sinks.console(jobs.parsed_stream(src), "append", ckpt, trigger)]
     else:

@@ -34,7 +34,8 @@ def parsed_stream(envelope: DataFrame) -> DataFrame:
 def start_access_jobs(spark: SparkSession, envelope: DataFrame, name: str = "access",
                       raw_path: str | None = None, metrics_path: str | None = None,
                       checkpoint_root: str | None = None, trigger: dict | None = None,
-                      watermark: str | None = None) -> list[StreamingQuery]:
+                      watermark: str | None = None,
+                      files_per_batch: int | None = None) -> list[StreamingQuery]:
     """Start the raw-record query and the minute-metric query.
 
     Without ``raw_path``/``metrics_path`` both go to the console (append and
@@ -44,7 +45,8 @@ def start_access_jobs(spark: SparkSession, envelope: DataFrame, name: str = "acc
     root = checkpoint_root or f"{shared_root(spark)}/jobs/{name}"
     parsed = parsed_stream(envelope)
     if raw_path:
-        q_raw = sinks.raw_lake(parsed, raw_path, f"{root}/raw", trigger)
+        q_raw = sinks.raw_lake(parsed, raw_path, f"{root}/raw", trigger,
+                               files_per_batch=files_per_batch)
     else:
         q_raw = sinks.console(parsed, "append", f"{root}/raw", trigger)
     agg = metrics.window_metrics(parsed, "timestamp", watermark=watermark)
@@ -74,8 +76,13 @@ def batch_partials(parsed: DataFrame, width: str = metrics.MINUTE) -> DataFrame:
 
 def start_shared_scan_job(spark: SparkSession, envelope: DataFrame, raw_path: str,
                           partials_path: str, checkpoint: str,
-                          trigger: dict | None = None) -> StreamingQuery:
-    """One read of the source feeding both the raw lake and the metrics."""
+                          trigger: dict | None = None,
+                          files_per_batch: int | None = None) -> StreamingQuery:
+    """One read of the source feeding both the raw lake and the metrics.
+
+    ``files_per_batch`` bounds the raw files a micro-batch writes (see
+    ``sinks.raw_lake``); the partial metrics are tiny either way.
+    """
     parsed = parsed_stream(envelope)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -83,8 +90,10 @@ def start_shared_scan_job(spark: SparkSession, envelope: DataFrame, raw_path: st
         # the source offsets of this batch, which are fixed in the offset log.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            (batch.withColumns({"date": F.to_date("timestamp"), "batch_id": F.lit(batch_id)})
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            raw = batch.withColumns({"date": F.to_date("timestamp"), "batch_id": F.lit(batch_id)})
+            if files_per_batch:
+                raw = raw.repartition(files_per_batch)
+            (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("date", "batch_id").parquet(raw_path))
             (batch_partials(batch).write.mode("overwrite")
              .parquet(f"{partials_path}/batch_id={batch_id}"))

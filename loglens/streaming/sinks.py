@@ -52,14 +52,21 @@ def memory(df: DataFrame, name: str, mode: str = "append", trigger: dict | None
 
 
 def raw_lake(parsed: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-             time_col: str = "timestamp") -> StreamingQuery:
+             time_col: str = "timestamp", files_per_batch: int | None = None) -> StreamingQuery:
     """Append parsed records to a Parquet lake partitioned by UTC ``date``.
 
     The file sink commits through its own metadata log, so a restarted
     query neither loses nor duplicates a batch; readers going through the
     log (``spark.read.parquet(path)``) see only committed files.
+
+    Each input task writes its own file per date, so a batch read from many
+    Kafka partitions yields many small files. ``files_per_batch`` trades
+    one round-robin shuffle of the batch (balanced whatever the key
+    distribution) for that many writer tasks.
     """
     out = parsed.withColumn("date", F.to_date(F.col(time_col)))
+    if files_per_batch:
+        out = out.repartition(files_per_batch)
     return (_writer(out, "append", checkpoint, trigger, None).format("parquet")
             .partitionBy("date").option("path", path).start())
 

@@ -293,3 +293,15 @@ def test_replayed_batch_is_idempotent_shared_scan(spark, scratch):
     assert spark.read.parquet(f"{base}/raw").count() == 1000
     merged = jobs.merge_partials(spark, f"{base}/partials")
     assert merged.agg(F.sum("total_requests")).collect()[0][0] == 1000
+
+
+def test_raw_lake_bounds_files_per_batch(spark, scratch):
+    base = _local(scratch("lake-files"))
+    stream = parse.parse_access(parse.decode(kafka.envelope_file_stream(
+        spark, feeds.feed_path(spark, SF001))), keep=("offset", "timestamp"))
+    runner.finish(sinks.raw_lake(stream, f"{base}/lake", f"{base}/ck", runner.AVAILABLE_NOW,
+                                 files_per_batch=2))
+    assert spark.read.parquet(f"{base}/lake").count() == 1000
+    files = [f for d, _, fs in os.walk(f"{base}/lake") if "_spark_metadata" not in d
+             for f in fs if f.endswith(".parquet")]
+    assert 0 < len(files) <= 2 * 31  # at most two writers, one file each per date
