@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +35,19 @@ FEED_VERSION = 2
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the source table: location, size and modification time."""
     fs, p = _fs(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     st = fs.getFileStatus(p)
-    raw = f"v{FEED_VERSION}|{os.path.abspath(sf_dir) if '://' not in sf_dir else sf_dir}|{st.getLen()}|{st.getModificationTime()}"
+    where = sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
+    raw = f"v{FEED_VERSION}|{where}|{st.getLen()}|{st.getModificationTime()}"
     return hashlib.sha1(raw.encode()).hexdigest()[:16]
 
 
+def _tmp(path: str) -> str:
+    """A private sibling folder to write into before publishing ``path``."""
+    return f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+
+
 # Target bytes of source data per write task.
 WRITE_BYTES_PER_TASK = 256 * 1024 * 1024
 
@@ -67,7 +75,7 @@ def feed_path(spark: SparkSession, sf_dir: str, kind: str = "access", variant: s
     # slices (sampled bounds, so a hot day is split across tasks rather than
     # landing on one), and each task writes one or two date folders instead
     # of one small file per (task, date).
-    tmp = f"{path}.tmp-{os.getpid()}-{id(env)}"
+    tmp = _tmp(path)
     n = write_partitions(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     with_date(env).repartitionByRange(n, "timestamp", "offset") \
         .write.mode("overwrite").partitionBy("date").parquet(tmp)
@@ -109,7 +117,7 @@ def text_feed_path(spark: SparkSession, sf_dir: str, variant: str = "plain") ->
     path = f"{shared_root(spark)}/feeds/text-{variant}-{_fingerprint(spark, sf_dir)}"
     if path_exists(spark, f"{path}/_SUCCESS"):
         return path
-    tmp = f"{path}.tmp-{os.getpid()}"
+    tmp = _tmp(path)
     lines = feed(spark, sf_dir, "access", variant)
     lines.select(F.col("value").cast("string").alias("value")) \
         .write.mode("overwrite").option("compression", "gzip").text(tmp)
@@ -130,7 +138,7 @@ def parsed_lake_path(spark: SparkSession, sf_dir: str, variant: str = "plain") -
     path = f"{shared_root(spark)}/lakes/access-{variant}-{_fingerprint(spark, sf_dir)}"
     if path_exists(spark, f"{path}/_SUCCESS"):
         return path
-    tmp = f"{path}.tmp-{os.getpid()}"
+    tmp = _tmp(path)
     src = feed_path(spark, sf_dir, "access", variant)
     parsed = parse.parse_access(parse.decode(kafka.envelope_batch(spark, src)),
                                 keep=("offset", "timestamp"))
