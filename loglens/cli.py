@@ -6,6 +6,10 @@
     ... cli.py alerts  --bootstrap host:9092 --topic app_log [--index 'pyspark_logs_{date}']
     ... cli.py publish --source DIR (--bootstrap host:9092 --topic access_log | --lake PATH)
 
+Without a broker, ``--envelope-path DIR`` streams envelope Parquet files
+instead; ``--available-now`` processes what is there and exits (scheduled
+batch-style runs on the same checkpoints).
+
 (``python -m loglens.cli ...`` works the same where pyspark is installed.)
 Checkpoints go under ``spark.checkpoint.dir``; a job restarted with the same
 ``--name`` resumes where it stopped.
@@ -18,13 +22,17 @@ import argparse
 from loglens.operators import alerts
 from loglens.session import build_session, shared_root
 from loglens.sources import kafka
-from loglens.streaming import jobs, sinks
+from loglens.streaming import jobs, runner, sinks
 
 
 def _args(argv=None):
     ap = argparse.ArgumentParser(prog="loglens")
     ap.add_argument("command", choices=["metrics", "parse", "alerts", "publish"])
     ap.add_argument("--bootstrap", help="Kafka bootstrap servers")
+    ap.add_argument("--envelope-path",
+                    help="read envelope Parquet files from this folder instead of Kafka")
+    ap.add_argument("--available-now", action="store_true",
+                    help="process what is available, then stop (scheduled runs)")
     ap.add_argument("--topic", default="access_log")
     ap.add_argument("--starting-offsets", default="earliest")
     ap.add_argument("--max-offsets-per-trigger", type=int)
@@ -47,7 +55,7 @@ def _args(argv=None):
 def main(argv=None) -> None:
     a = _args(argv)
     spark = build_session(app_name=f"loglens-{a.command}")
-    trigger = {"processingTime": a.trigger}
+    trigger = {"availableNow": True} if a.available_now else {"processingTime": a.trigger}
     if a.state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(a.state_partitions))
     ckpt = f"{shared_root(spark)}/jobs/{a.name}-{a.command}"
@@ -55,8 +63,11 @@ def main(argv=None) -> None:
         sinks.publish_lines(spark, a.source, a.lake or "", fmt="kafka" if a.bootstrap else "parquet",
                             topic=a.topic, bootstrap_servers=a.bootstrap)
         return
-    src = kafka.kafka_stream(spark, a.bootstrap, a.topic, a.starting_offsets,
-                             a.max_offsets_per_trigger)
+    if a.envelope_path:
+        src = kafka.envelope_file_stream(spark, a.envelope_path)
+    else:
+        src = kafka.kafka_stream(spark, a.bootstrap, a.topic, a.starting_offsets,
+                                 a.max_offsets_per_trigger)
     if a.command == "metrics":
         qs = jobs.start_access_jobs(spark, src, a.name, a.lake, a.metrics, ckpt, trigger,
                                     a.watermark, a.files_per_batch)
@@ -71,7 +82,11 @@ def main(argv=None) -> None:
                                       id_cols=("topic", "partition", "offset"))]
         else:
             qs = [sinks.console(app, "append", ckpt, trigger)]
-    jobs.await_jobs(spark, qs)
+    if a.available_now:
+        for q in qs:
+            runner.finish(q)
+    else:
+        jobs.await_jobs(spark, qs)
 
 
 if __name__ == "__main__":

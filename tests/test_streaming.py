@@ -305,3 +305,17 @@ def test_raw_lake_bounds_files_per_batch(spark, scratch):
     files = [f for d, _, fs in os.walk(f"{base}/lake") if "_spark_metadata" not in d
              for f in fs if f.endswith(".parquet")]
     assert 0 < len(files) <= 2 * 31  # at most two writers, one file each per date
+
+
+def test_cli_metrics_job_end_to_end(spark, scratch):
+    from loglens import cli
+    base = scratch("cli-metrics")
+    cli.main(["metrics", "--envelope-path", feeds.feed_path(spark, SF001), "--available-now",
+              "--lake", f"{base}/lake", "--metrics", f"{base}/m", "--name", base.rsplit("/", 1)[-1],
+              "--files-per-batch", "2", "--state-partitions", "4"])
+    assert spark.read.parquet(f"{base}/lake").count() == 1000
+    got = sinks.read_upserts(spark, f"{base}/m").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "total_requests",
+        "error_4xx_count", "error_5xx_count", "total_bytes")
+    want = Q.q_minute_metrics(spark, SF001).drop("window_end")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
