@@ -121,9 +121,9 @@ def document_sink(records: DataFrame, resource: str, checkpoint: str,
     ``resource`` as ``es.resource`` - a ``{date}`` placeholder there is
     resolved per document by the connector from the ``date`` field.
     ``id_cols`` builds a ``doc_id`` used as ``es.mapping.id`` for idempotent
-    re-delivery. With the
-    default Parquet fallback ``resource`` is a base path and ``{date}``
-    becomes a ``date=`` folder level.
+    re-delivery. With the default Parquet fallback ``resource`` is a base
+    path, ``{date}`` becomes a ``date=`` folder level and each micro-batch
+    overwrites its own ``batch_id=N`` folder (idempotent on replay).
     """
     opts = dict(options or {})
     routed = "{date}" in resource
