@@ -31,7 +31,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 # Bump when the feed's content or layout changes, so stale copies are not reused.
-FEED_VERSION = 2
+FEED_VERSION = 3
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -78,7 +78,9 @@ def feed_path(spark: SparkSession, sf_dir: str, kind: str = "access", variant: s
     tmp = _tmp(path)
     n = write_partitions(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     with_date(env).repartitionByRange(n, "timestamp", "offset") \
-        .write.mode("overwrite").partitionBy("date").parquet(tmp)
+        .sortWithinPartitions("timestamp", "offset") \
+        .write.mode("overwrite").option("compression", "zstd") \
+        .partitionBy("date").parquet(tmp)
     _publish(spark, tmp, path)
     return path
 
