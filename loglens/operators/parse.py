@@ -59,9 +59,13 @@ def typed(parsed: DataFrame) -> DataFrame:
     })
 
 
-def parse_any(decoded: DataFrame, keep: tuple[str, ...] = ("offset",)) -> DataFrame:
+def parse_any(decoded: DataFrame, keep: tuple[str, ...] = ("offset",),
+              single_pass: bool = True) -> DataFrame:
     """Common or extended line -> eight string fields (remote_user included)."""
-    return fx.with_groups(decoded, "value", P.ANY_PATTERN, P.ANY_FIELDS, list(keep))
+    if single_pass:
+        return fx.with_groups(decoded, "value", P.ANY_PATTERN, P.ANY_FIELDS, list(keep))
+    return decoded.select(*keep, *fx.extract_groups_naive(
+        F.col("value"), P.ANY_PATTERN, P.ANY_FIELDS))
 
 
 def enrich(parsed: DataFrame, keep: tuple[str, ...] = ("offset",),

@@ -125,6 +125,7 @@ def test_render_then_parse(spark, ip, req, status, size, ref, ua, common):
     elf = parse.parse_access(df, keep=("offset",)).collect()[0]
     naive = parse.parse_access(df, keep=("offset",), single_pass=False).collect()[0]
     assert elf == naive
+    assert parse.parse_any(df).collect() == parse.parse_any(df, single_pass=False).collect()
     if _JAVA_LINE_TERMINATORS & set(req + ("" if common else ref + ua)):
         return
     any_row = parse.parse_any(df).collect()[0]
@@ -134,3 +135,20 @@ def test_render_then_parse(spark, ip, req, status, size, ref, ua, common):
         assert (any_row.referrer, any_row.user_agent) == (ref, ua)
     else:
         assert elf.ip == ""
+
+
+@pytest.mark.parametrize("pattern", [P.EXTENDED_PATTERN, P.ANY_PATTERN])
+def test_single_pass_equals_per_group_on_line_classes(spark, pattern):
+    from loglens.functions import parsing as fx
+    names = tuple(f"g{i}" for i in range(1, 9 if pattern == P.ANY_PATTERN else 8))
+    df = _frame(spark, [c[1] for c in CASES] + [PREFIX + " 404 -", PREFIX + ' 200 5 "r"'])
+    fast = fx.with_groups(df, "value", pattern, names, ["offset"]).orderBy("offset").collect()
+    slow = df.select("offset", *fx.extract_groups_naive(F.col("value"), pattern, names)) \
+        .orderBy("offset").collect()
+    assert fast == slow
+
+
+def test_pattern_with_quote_is_rejected(spark):
+    from loglens.functions import parsing as fx
+    with pytest.raises(ValueError):
+        fx.with_groups(_frame(spark, ["x"]), "value", "(')", ("a",), ["offset"])
