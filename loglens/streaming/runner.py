@@ -19,8 +19,11 @@ def summarize(query: StreamingQuery) -> dict:
     prog = [p for p in query.recentProgress if p.numInputRows is not None]
     rows = sum(p.numInputRows for p in prog)
     ms = sum((p.durationMs or {}).get("triggerExecution", 0) for p in prog)
+    late = sum(op.numRowsDroppedByWatermark or 0 for p in prog for op in (p.stateOperators or []))
+    state = [op.numRowsTotal for op in (prog[-1].stateOperators or [])] if prog else []
     return {"rows": rows, "batches": sum(1 for p in prog if p.numInputRows),
-            "trigger_ms": ms, "rows_per_sec": round(rows * 1000.0 / ms, 1) if ms else None}
+            "trigger_ms": ms, "rows_per_sec": round(rows * 1000.0 / ms, 1) if ms else None,
+            "dropped_by_watermark": late, "state_rows": state}
 
 
 def finish(query: StreamingQuery, timeout_s: float = 1800.0) -> StreamingQuery:

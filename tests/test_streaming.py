@@ -186,7 +186,8 @@ def test_event_time_late_data_with_watermark(spark, scratch):
         _drop_event_file(spark, inbox, f"f{i}", stamps)
         agg = metrics.event_time_metrics(
             parse.parse_access(parse.decode(_stream(spark, inbox))), watermark="2 minutes")
-        runner.finish(sinks.parquet_append(agg, out, ckpt, runner.AVAILABLE_NOW))
+        q = runner.finish(sinks.parquet_append(agg, out, ckpt, runner.AVAILABLE_NOW))
+    assert runner.summarize(q)["dropped_by_watermark"] == 1  # the 00:00:40 line
     got = _counts(spark.read.parquet(out))
     # 00:04:30 is within 2 minutes of 00:05:10 -> counted; 00:00:40 is too late
     assert got == {"00:00": 1, "00:01": 1, "00:04": 1, "00:05": 1}
