@@ -51,11 +51,13 @@ def with_groups(df: DataFrame, value: str, pattern: str, names: tuple[str, ...],
     kept = [_ident(k) for k in keep if k != value]
     # The tail swallows the rest of the line (newlines included), so the
     # anchored pattern can match at most once.
+    sep = "__loglens_has_sep"
     staged = df.selectExpr(*kept, v, f"split(regexp_replace({v}, {tail}, concat({template})), "
-                                     f"char(1), -1) AS {tmp}")
+                                     f"char(1), -1) AS {tmp}",
+                           f"contains({v}, char(1)) AS {sep}")
     fields = [
         f"CASE WHEN {v} IS NULL THEN CAST(NULL AS STRING) "
-        f"WHEN contains({v}, char(1)) THEN regexp_extract({v}, {pat}, {i + 1}) "
+        f"WHEN {sep} THEN regexp_extract({v}, {pat}, {i + 1}) "
         f"WHEN size({tmp}) = {n} THEN {tmp}[{i}] ELSE '' END AS {_ident(name)}"
         for i, name in enumerate(names)]
     return staged.selectExpr(*kept, *fields)
