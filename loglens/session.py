@@ -91,6 +91,20 @@ def configure(spark: SparkSession) -> SparkSession:
 _ROOT_KEY = "spark.loglens.sharedRoot"
 
 
+def resolve_root(configured: str | None, context_dir: str | None, master: str) -> str | None:
+    """The shared root from the session's settings, or None if a local-mode
+    session may create its own. Raises on a cluster without one: a
+    machine-local folder there would not be visible to other executors."""
+    root = configured or context_dir
+    if root:
+        return root
+    if not (master or "").startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a cluster-shared folder "
+            "(HDFS/S3/ABFS) before running loglens streaming or lineage-cutting jobs")
+    return None
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints, feeds and written tables.
 
@@ -98,15 +112,9 @@ def shared_root(spark: SparkSession) -> str:
     Only a local-mode session without one gets a fresh temporary folder,
     registered as the context's checkpoint dir so later calls agree.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_ROOT_KEY, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a cluster-shared folder "
-                "(HDFS/S3/ABFS) before running loglens streaming or lineage-cutting jobs")
+    root = resolve_root(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_ROOT_KEY, None),
+                        spark.sparkContext.getCheckpointDir(), spark.sparkContext.master)
+    if root is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loglens-"))
         root = spark.sparkContext.getCheckpointDir()
     if spark.conf.get(_ROOT_KEY, None) != root:

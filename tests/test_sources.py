@@ -48,3 +48,12 @@ def test_dashboards_on_parsed_lake_equal_feed(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, op.__name__
     plan = dashboards.user_agent_share(lake)._jdf.queryExecution().executedPlan().toString()
     assert "regexp_replace" not in plan
+
+
+def test_shared_root_rules():
+    from loglens.session import resolve_root
+    assert resolve_root("hdfs:///ckpt", None, "yarn") == "hdfs:///ckpt"
+    assert resolve_root(None, "s3a://b/ckpt/uuid", "k8s://x") == "s3a://b/ckpt/uuid"
+    assert resolve_root(None, None, "local[8]") is None
+    with pytest.raises(RuntimeError):
+        resolve_root(None, None, "spark://master:7077")
