@@ -40,6 +40,7 @@ def _args(argv=None):
     ap.add_argument("--watermark", help="bound metric state, e.g. '10 minutes'")
     ap.add_argument("--lake", help="raw-record lake path (default: console)")
     ap.add_argument("--metrics", help="metric upsert table path (default: console)")
+    ap.add_argument("--quarantine", help="dead-letter table for lines that do not parse")
     ap.add_argument("--index", help="document resource, e.g. pyspark_logs_{date}")
     ap.add_argument("--index-format", default="parquet",
                     help="parquet or org.elasticsearch.spark.sql")
@@ -70,7 +71,7 @@ def main(argv=None) -> None:
                                  a.max_offsets_per_trigger)
     if a.command == "metrics":
         qs = jobs.start_access_jobs(spark, src, a.name, a.lake, a.metrics, ckpt, trigger,
-                                    a.watermark, a.files_per_batch)
+                                    a.watermark, a.files_per_batch, a.quarantine)
     elif a.command == "parse":
         qs = [sinks.console(jobs.parsed_stream(src), "append", ckpt, trigger)]
     else:

@@ -35,12 +35,16 @@ def start_access_jobs(spark: SparkSession, envelope: DataFrame, name: str = "acc
                       raw_path: str | None = None, metrics_path: str | None = None,
                       checkpoint_root: str | None = None, trigger: dict | None = None,
                       watermark: str | None = None,
-                      files_per_batch: int | None = None) -> list[StreamingQuery]:
+                      files_per_batch: int | None = None,
+                      quarantine_path: str | None = None) -> list[StreamingQuery]:
     """Start the raw-record query and the minute-metric query.
 
     Without ``raw_path``/``metrics_path`` both go to the console (append and
     update). ``watermark`` bounds the metric state (the original job has
-    none, so its state grows without limit).
+    none, so its state grows without limit). ``quarantine_path`` adds a
+    third query that appends every line the extended pattern rejects, with
+    its class (``null``, ``parsed_other``, ``unparsed``), to a dead-letter
+    table.
     """
     root = checkpoint_root or f"{shared_root(spark)}/jobs/{name}"
     parsed = parsed_stream(envelope)
@@ -55,7 +59,12 @@ def start_access_jobs(spark: SparkSession, envelope: DataFrame, name: str = "acc
                                    f"{root}/metrics", trigger=trigger)
     else:
         q_m = sinks.console(agg, "update", f"{root}/metrics", trigger)
-    return [q_raw, q_m]
+    queries = [q_raw, q_m]
+    if quarantine_path:
+        _, rejected = parse.quarantine_split(parse.decode(envelope))
+        queries.append(sinks.parquet_append(rejected, quarantine_path, f"{root}/quarantine",
+                                            trigger))
+    return queries
 
 
 def batch_partials(parsed: DataFrame, width: str = metrics.MINUTE) -> DataFrame:

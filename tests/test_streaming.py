@@ -313,8 +313,14 @@ def test_cli_metrics_job_end_to_end(spark, scratch):
     base = scratch("cli-metrics")
     cli.main(["metrics", "--envelope-path", feeds.feed_path(spark, SF001), "--available-now",
               "--lake", f"{base}/lake", "--metrics", f"{base}/m", "--name", base.rsplit("/", 1)[-1],
-              "--files-per-batch", "2", "--state-partitions", "4"])
+              "--files-per-batch", "2", "--state-partitions", "4",
+              "--quarantine", f"{base}/bad"])
     assert spark.read.parquet(f"{base}/lake").count() == 1000
+    classes = {r.line_class: r.line_count for r in Q.q_parse_quality(spark, SF001).collect()}
+    bad = spark.read.parquet(f"{base}/bad")
+    assert bad.count() == 1000 - classes["parsed_elf"]
+    assert {r.line_class for r in bad.select("line_class").distinct().collect()} <= \
+        {"parsed_other", "unparsed", "null"}
     got = sinks.read_upserts(spark, f"{base}/m").select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "total_requests",
         "error_4xx_count", "error_5xx_count", "total_bytes")
