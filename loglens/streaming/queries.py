@@ -128,8 +128,24 @@ def q_stream_minute_metrics_shared_scan(spark: SparkSession, sf_dir: str) -> Dat
                     *METRIC_COLUMNS[2:])
 
 
+def q_stream_access_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original two-query layout: parsed records appended to the raw lake
+    and minute metrics upserted, each query reading the source on its own."""
+    from loglens.streaming import jobs
+    run = scratch_path(spark, "stream_access_jobs")
+    runner.run_available(spark, label="stream_access_jobs", start=lambda: jobs.start_access_jobs(
+        spark, _stream_feed(spark, sf_dir, batches=2), raw_path=f"{run}/raw",
+        metrics_path=f"{run}/metrics", checkpoint_root=f"{run}/checkpoints",
+        trigger=runner.AVAILABLE_NOW))
+    latest = sinks.read_upserts(spark, f"{run}/metrics", "window_start")
+    return latest.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                         *METRIC_COLUMNS[2:])
+
+
 def stream_queries():
     return {
+        "stream_access_jobs": q_stream_access_jobs,
         "stream_minute_metrics_shared_scan": q_stream_minute_metrics_shared_scan,
         "stream_parse_append": q_stream_parse_append,
         "stream_minute_metrics_update": q_stream_minute_metrics_update,
@@ -154,6 +170,7 @@ def stream_oracles():
         "stream_parse_append": b["access_log_parse"],
         "stream_minute_metrics_update": b["minute_metrics"],
         "stream_minute_metrics_shared_scan": b["minute_metrics"],
+        "stream_access_jobs": b["minute_metrics"],
         "stream_minute_overview_update": (
             O._overview_body() + "SELECT window_start, window_end, request_per_minute, "
             "error_rate_percent, average_response_size FROM o"),

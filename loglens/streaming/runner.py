@@ -38,10 +38,12 @@ def finish(query: StreamingQuery, timeout_s: float = 1800.0) -> StreamingQuery:
     return query
 
 
-def run_available(spark: SparkSession, start: Callable[[], StreamingQuery],
+def run_available(spark: SparkSession,
+                  start: Callable[[], StreamingQuery | list[StreamingQuery]],
                   state_partitions: int | None = None, timeout_s: float = 1800.0,
-                  label: str | None = None) -> StreamingQuery:
-    """Start a query with ``start()`` and block until it has consumed its input.
+                  label: str | None = None) -> StreamingQuery | list[StreamingQuery]:
+    """Start a query (or several) with ``start()`` and block until each has
+    consumed its input.
 
     A stateful query fixes its shuffle (= state store) width at its first
     batch and keeps it for the life of the checkpoint. ``state_partitions``
@@ -52,9 +54,12 @@ def run_available(spark: SparkSession, start: Callable[[], StreamingQuery],
     before = spark.conf.get(_SHUFFLE)
     spark.conf.set(_SHUFFLE, str(width))
     try:
-        q = finish(start(), timeout_s)
+        started = start()
+        many = isinstance(started, list)
+        qs = [finish(q, timeout_s) for q in (started if many else [started])]
     finally:
         spark.conf.set(_SHUFFLE, before)
     if label:
-        PROGRESS[label] = summarize(q)
-    return q
+        parts = [summarize(q) for q in qs]
+        PROGRESS[label] = parts[0] if len(parts) == 1 else {"queries": parts}
+    return qs if many else qs[0]
