@@ -36,7 +36,8 @@ def _args(argv=None):
     ap.add_argument("--topic", default="access_log")
     ap.add_argument("--starting-offsets", default="earliest")
     ap.add_argument("--max-offsets-per-trigger", type=int)
-    ap.add_argument("--trigger", default="30 seconds", help="processing-time trigger")
+    ap.add_argument("--trigger", help="processing-time trigger, e.g. '30 seconds' "
+                                      "(default: next micro-batch as soon as one ends)")
     ap.add_argument("--watermark", help="bound metric state, e.g. '10 minutes'")
     ap.add_argument("--lake", help="raw-record lake path (default: console)")
     ap.add_argument("--metrics", help="metric upsert table path (default: console)")
@@ -56,7 +57,8 @@ def _args(argv=None):
 def main(argv=None) -> None:
     a = _args(argv)
     spark = build_session(app_name=f"loglens-{a.command}")
-    trigger = {"availableNow": True} if a.available_now else {"processingTime": a.trigger}
+    trigger = ({"availableNow": True} if a.available_now
+               else {"processingTime": a.trigger} if a.trigger else None)
     if a.state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(a.state_partitions))
     ckpt = f"{shared_root(spark)}/jobs/{a.name}-{a.command}"

@@ -109,9 +109,10 @@ def start_shared_scan_job(spark: SparkSession, envelope: DataFrame, raw_path: st
         finally:
             batch.unpersist()
 
-    return (parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "30 seconds"}))
-            .foreachBatch(write).start())
+    w = parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.foreachBatch(write).start()
 
 
 def merge_partials(spark: SparkSession, partials_path: str) -> DataFrame:
