@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.operators import alerts, dashboards, metrics, parse
@@ -26,7 +26,7 @@ SEARCH = {"contains": "wp-admin", "status": "404",
           "start": "2024-01-05 00:00:00", "end": "2024-01-20 00:00:00"}
 
 
-def _ntz(name: str) -> F.Column:
+def _ntz(name: str) -> Column:
     return F.col(name).cast("timestamp_ntz").alias(name)
 
 
