@@ -57,3 +57,14 @@ def test_shared_root_rules():
     assert resolve_root(None, None, "local[8]") is None
     with pytest.raises(RuntimeError):
         resolve_root(None, None, "spark://master:7077")
+
+
+def test_log_files_spreads_only_big_gzip(spark, monkeypatch):
+    from loglens.sources import files
+    path = feeds.text_feed_path(spark, SF001)
+    plain = files.log_files(spark, path)
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(files, "GZIP_SPREAD_BYTES", 0)
+    spread = files.log_files(spark, path)
+    assert "RoundRobinPartitioning" in spread._jdf.queryExecution().executedPlan().toString()
+    assert spread.count() == plain.count() == 1000
