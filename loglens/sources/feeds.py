@@ -31,7 +31,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 # Bump when the feed's content or layout changes, so stale copies are not reused.
-FEED_VERSION = 3
+FEED_VERSION = 4
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -81,10 +81,32 @@ def feed_path(spark: SparkSession, sf_dir: str, kind: str = "access", variant: s
         .sortWithinPartitions("timestamp", "offset") \
         .write.mode("overwrite").option("compression", "zstd") \
         .partitionBy("date").parquet(tmp)
+    _stamp_in_time_order(spark, tmp)
     _publish(spark, tmp, path)
     return path
 
 
+def _stamp_in_time_order(spark: SparkSession, path: str) -> None:
+    """Give the feed's files increasing modification times in record-time order.
+
+    A file stream source takes files oldest first, so replaying the feed
+    as a stream then delivers it roughly in time order, like a topic, and
+    watermarks advance as they would live. Files are ordered by (date
+    folder, part number); the range-partitioned write makes that time order.
+    """
+    fs, p = _fs(spark, path)
+    it = fs.listFiles(p, True)
+    files = []
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if name.endswith(".parquet"):
+            files.append((st.getPath().getParent().getName(), name, st.getPath()))
+    base = max(0, spark._jvm.System.currentTimeMillis() - 1000 * (len(files) + 1))
+    for i, (_, _, fp) in enumerate(sorted(files, key=lambda f: (f[0], f[1]))):
+        fs.setTimes(fp, base + 1000 * i, -1)
+
+
 def _publish(spark: SparkSession, tmp: str, path: str) -> None:
     """Move a finished temporary folder into place; a concurrent writer that
     published first wins and this copy is dropped."""
