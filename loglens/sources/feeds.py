@@ -107,7 +107,7 @@ def _stamp_in_time_order(spark: SparkSession, path: str) -> None:
         for i, (_, _, fp) in enumerate(sorted(files, key=lambda f: (f[0], f[1]))):
             fs.setTimes(fp, base + 1000 * i, -1)
     except Exception:  # noqa: BLE001 - object stores may not support setTimes
-        pass  # replay order then follows the write order; results are unchanged
+        pass  # replay then follows the store's own file order
 
 
 def _publish(spark: SparkSession, tmp: str, path: str) -> None:
