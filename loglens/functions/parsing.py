@@ -94,10 +94,25 @@ def to_long(text: Column) -> Column:
     return text.try_cast("bigint")
 
 
+_REGEX_META = set(".^$*+?()[]{}\\")
+
+
+def matches(text: Column, regex: str) -> Column:
+    """``text rlike regex``; an alternation of plain literals (``a|b``) becomes
+    substring tests, which give the same answer without the regex engine."""
+    alts = regex.split("|")
+    if any(ch in _REGEX_META for ch in regex) or not all(alts):
+        return text.rlike(regex)
+    cond = text.contains(alts[0])
+    for alt in alts[1:]:
+        cond = cond | text.contains(alt)
+    return cond
+
+
 def _first_match(text: Column, rules, default: str) -> Column:
     out = None
     for regex, label in rules:
-        cond = text.rlike(regex)
+        cond = matches(text, regex)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     return out.otherwise(F.lit(default))
 
@@ -110,5 +125,5 @@ def device_of(user_agent: Column) -> Column:
     ua = F.coalesce(user_agent, F.lit(""))
     out = F.when(ua == "", F.lit(P.DEVICE_EMPTY))
     for regex, label in P.DEVICE_RULES:
-        out = out.when(ua.rlike(regex), F.lit(label))
+        out = out.when(matches(ua, regex), F.lit(label))
     return out.otherwise(F.lit(P.DEVICE_OTHER))

@@ -152,3 +152,12 @@ def test_pattern_with_quote_is_rejected(spark):
     from loglens.functions import parsing as fx
     with pytest.raises(ValueError):
         fx.with_groups(_frame(spark, ["x"]), "value", "(')", ("a",), ["offset"])
+
+
+def test_literal_alternations_match_like_rlike(spark):
+    from loglens.functions import parsing as fx
+    texts = ["Opera/9.80", "x OPR/1", "Mozilla Firefox", "", None, "a.b", "aXb"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for rx in ("Opera|OPR/", "Firefox|FxiOS", "Safari", "a.b"):
+        got = df.select(fx.matches(df.t, rx).alias("m"), df.t.rlike(rx).alias("r")).collect()
+        assert all(r.m == r.r for r in got), rx

@@ -34,8 +34,7 @@ ONE_PARSE = ["minute_metrics", "minute_overview", "minute_active_ips_exact",
 def test_single_regex_pass(spark, key):
     plan = _plan(E.queries()[key](spark, SF001))
     assert plan.count("regexp_replace(") == 1, key
-    if key != "user_agent_share":  # its browser/device rules are rlike tests
-        assert "RLIKE(" not in plan, key
+    assert "RLIKE(" not in plan, key  # user-agent rules are literal substring tests
 
 
 def test_minute_metrics_one_shuffle_after_partial_agg(spark):
