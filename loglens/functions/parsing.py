@@ -26,7 +26,7 @@ def _ident(name: str) -> str:
 
 
 def with_groups(df: DataFrame, value: str, pattern: str, names: tuple[str, ...],
-                keep: list[str]) -> DataFrame:
+                keep: list[str], keep_source: bool = False) -> DataFrame:
     """Project ``keep`` plus every group of ``pattern`` matched on ``value``.
 
     Single pass: one ``regexp_replace`` rewrites a matching line to its
@@ -38,7 +38,7 @@ def with_groups(df: DataFrame, value: str, pattern: str, names: tuple[str, ...],
 
     The projection is written as SQL (one ``selectExpr`` per step) with raw
     string literals, so the pattern reaches the JVM verbatim whatever the
-    session's escaping settings.
+    session's escaping settings. ``keep_source`` keeps the parsed column.
     """
     if "'" in pattern:
         raise ValueError("pattern must not contain a single quote")
@@ -60,7 +60,35 @@ def with_groups(df: DataFrame, value: str, pattern: str, names: tuple[str, ...],
         f"WHEN {sep} THEN regexp_extract({v}, {pat}, {i + 1}) "
         f"WHEN size({tmp}) = {n} THEN {tmp}[{i}] ELSE '' END AS {_ident(name)}"
         for i, name in enumerate(names)]
-    return staged.selectExpr(*kept, *fields)
+    return staged.selectExpr(*kept, *([v] if keep_source else []), *fields)
+
+
+def with_groups_matched(df: DataFrame, value: str, pattern: str, names: tuple[str, ...],
+                        keep: list[str]) -> DataFrame:
+    """Like ``with_groups`` but only for lines the pattern matches.
+
+    The parse yields a zero- or one-element array that ``inline`` turns
+    into rows, so non-matching lines vanish inside the generator. A row
+    filter would instead be pushed below the parse projection and run the
+    regex a second time; predicates on generator output stay above it.
+    """
+    if "'" in pattern:
+        raise ValueError("pattern must not contain a single quote")
+    n = len(names)
+    pat = f"r'{pattern}'"
+    tail = f"r'{pattern}[\\s\\S]*'"
+    template = ", char(1), ".join(f"'${i}'" for i in range(1, n + 1))
+    v = _ident(value)
+    tmp, sep = "__loglens_parts", "__loglens_has_sep"
+    kept = [_ident(k) for k in keep if k != value]
+    staged = df.selectExpr(*kept, v, f"split(regexp_replace({v}, {tail}, concat({template})), "
+                                     f"char(1), -1) AS {tmp}",
+                           f"contains({v}, char(1)) AS {sep}")
+    fast = ", ".join(f"'{name}', {tmp}[{i}]" for i, name in enumerate(names))
+    slow = ", ".join(f"'{name}', regexp_extract({v}, {pat}, {i + 1})" for i, name in enumerate(names))
+    rows = (f"CASE WHEN {sep} THEN CASE WHEN {v} RLIKE {pat} THEN array(named_struct({slow})) END "
+            f"WHEN size({tmp}) = {n} THEN array(named_struct({fast})) END")
+    return staged.selectExpr(*kept, f"inline(coalesce({rows}, array()))")
 
 
 def endpoint_of(request: Column) -> Column:

@@ -113,7 +113,8 @@ def search_feed(decoded: DataFrame, keep: tuple[str, ...] = ("offset", "timestam
 
     Necessary conditions are checked on the raw line first - the time range
     on the record time stamp and a plain substring test for ``contains``
-    and ``status`` - so only candidate lines pay for the regex parse.
+    and ``status`` - so only candidate lines pay for the regex parse, which
+    runs once per candidate (``parse_access_matched``).
     """
     from loglens.operators import parse
     raw = F.lit(True)
@@ -131,4 +132,4 @@ def search_feed(decoded: DataFrame, keep: tuple[str, ...] = ("offset", "timestam
     for k in ("contains", "status", "ip"):
         if params.get(k) is not None:
             raw = raw & F.col("value").contains(params[k])
-    return log_search(parse.parse_access(decoded.where(raw), keep=keep), **params)
+    return log_search(parse.parse_access_matched(decoded.where(raw), keep=keep), **params)

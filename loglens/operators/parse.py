@@ -31,8 +31,8 @@ def matched_only(decoded: DataFrame, pattern: str = P.EXTENDED_PATTERN) -> DataF
 
     Filtering on a parsed field instead (``status != ''``) would make
     Catalyst push the predicate below the parse projection and run the
-    regex twice per line; ``rlike`` on the raw text runs it once and the
-    parse then sees only surviving lines.
+    regex twice per line. ``rlike`` here plus a later parse is still two
+    passes over a matching line; ``parse_access_matched`` does it in one.
     """
     return decoded.where(F.col("value").rlike(pattern))
 
@@ -50,6 +50,14 @@ def parse_access(decoded: DataFrame, keep: tuple[str, ...] = ("key", "timestamp"
         F.col("value"), P.EXTENDED_PATTERN, P.EXTENDED_FIELDS))
 
 
+def parse_access_matched(decoded: DataFrame, keep: tuple[str, ...] = ("key", "timestamp")
+                         ) -> DataFrame:
+    """``parse_access`` restricted to lines the extended pattern matches,
+    with one regex pass per line (see ``parsing.with_groups_matched``)."""
+    return fx.with_groups_matched(decoded, "value", P.EXTENDED_PATTERN, P.EXTENDED_FIELDS,
+                                  list(keep))
+
+
 def typed(parsed: DataFrame) -> DataFrame:
     """Add status_code_int, bytes_int (int, NULL if absent/overflowing), timestamp_ts."""
     return parsed.withColumns({
@@ -75,16 +83,16 @@ def enrich(parsed: DataFrame, keep: tuple[str, ...] = ("offset",),
     Pass ``drop_unparsed=False`` when the input is already restricted to
     matching lines (see ``matched_only``) or read from a parsed lake.
     """
-    req = F.col("request")
     src = parsed.where(F.col("status") != "") if drop_unparsed else parsed
-    return src.select(
+    base = src.select(*keep, "ip", "datetime", "status", "bytes", "request")
+    # method / uri / protocol in one regex pass over the request line
+    split = fx.with_groups(base, "request", P.REQUEST_PATTERN, ("method", "uri", "protocol"),
+                           list(keep) + ["ip", "datetime", "status", "bytes"], keep_source=True)
+    return split.select(
         *keep,
         fx.access_time(F.col("datetime")).alias("event_time"),
-        "ip",
-        F.regexp_extract(req, P.REQUEST_PATTERN, 1).alias("method"),
-        F.regexp_extract(req, P.REQUEST_PATTERN, 2).alias("uri"),
-        F.regexp_extract(req, P.REQUEST_PATTERN, 3).alias("protocol"),
-        fx.endpoint_of(req).alias("endpoint"),
+        "ip", "method", "uri", "protocol",
+        fx.endpoint_of(F.col("request")).alias("endpoint"),
         fx.status_class_of(F.col("status")).alias("status_class"),
         fx.to_long(F.col("bytes")).alias("bytes_long"),
     )

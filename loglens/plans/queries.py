@@ -40,9 +40,8 @@ def parsed(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFram
 
 
 def enriched(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
-    matched = parse.matched_only(decoded(spark, sf_dir, variant))
-    return parse.enrich(parse.parse_access(matched, keep=("offset",)), keep=("offset",),
-                        drop_unparsed=False)
+    matched = parse.parse_access_matched(decoded(spark, sf_dir, variant), keep=("offset",))
+    return parse.enrich(matched, keep=("offset",), drop_unparsed=False)
 
 
 def q_envelope_decode(spark, sf_dir):

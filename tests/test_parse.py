@@ -161,3 +161,11 @@ def test_literal_alternations_match_like_rlike(spark):
     for rx in ("Opera|OPR/", "Firefox|FxiOS", "Safari", "a.b"):
         got = df.select(fx.matches(df.t, rx).alias("m"), df.t.rlike(rx).alias("r")).collect()
         assert all(r.m == r.r for r in got), rx
+
+
+def test_matched_parse_equals_filter_then_parse(spark):
+    df = _frame(spark, [c[1] for c in CASES])
+    one_pass = parse.parse_access_matched(df, keep=("offset",)).orderBy("offset").collect()
+    two_pass = parse.parse_access(parse.matched_only(df), keep=("offset",)) \
+        .orderBy("offset").collect()
+    assert one_pass == two_pass and len(one_pass) == 5

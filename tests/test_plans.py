@@ -69,3 +69,12 @@ def test_lake_search_pushes_every_predicate(spark):
     for f in ("EqualTo(status,404)", "StringContains(request,wp-admin)",
               "LessThan(timestamp"):
         assert f in plan, f
+
+
+@pytest.mark.parametrize("key", ["access_log_enriched", "log_search"])
+def test_row_level_outputs_parse_once(spark, key):
+    """Parsed-rows-only outputs drop unmatched lines inside the generator,
+    so no row filter drags a second regex pass below the parse."""
+    plan = _plan(E.queries()[key](spark, SF001))
+    assert plan.count("regexp_replace(value") == 1, key  # one pass over the log line
+    assert "Generate inline" in plan
