@@ -47,18 +47,19 @@ def run_available(spark: SparkSession,
 
     A stateful query fixes its shuffle (= state store) width at its first
     batch and keeps it for the life of the checkpoint. ``state_partitions``
-    (default: the cluster's parallelism) applies to this query only; the
-    session setting is restored once the blocking run is over.
+    (default: the cluster's parallelism) applies to this query only: a
+    streaming query runs on a copy of the session taken when it starts, so
+    the caller's setting is restored as soon as ``start()`` returns.
     """
     width = state_partitions or spark.sparkContext.defaultParallelism
     before = spark.conf.get(_SHUFFLE)
     spark.conf.set(_SHUFFLE, str(width))
     try:
         started = start()
-        many = isinstance(started, list)
-        qs = [finish(q, timeout_s) for q in (started if many else [started])]
     finally:
         spark.conf.set(_SHUFFLE, before)
+    many = isinstance(started, list)
+    qs = [finish(q, timeout_s) for q in (started if many else [started])]
     if label:
         parts = [summarize(q) for q in qs]
         PROGRESS[label] = parts[0] if len(parts) == 1 else {"queries": parts}

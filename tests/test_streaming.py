@@ -326,3 +326,17 @@ def test_cli_metrics_job_end_to_end(spark, scratch):
         "error_4xx_count", "error_5xx_count", "total_bytes")
     want = Q.q_minute_metrics(spark, SF001).drop("window_end")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_state_width_is_per_query(spark, scratch):
+    import json
+    base = _local(scratch("width"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    agg = metrics.flatten_window(metrics.window_metrics(parse.parse_access(parse.decode(
+        kafka.envelope_file_stream(spark, feeds.feed_path(spark, SF001))))), ntz=False)
+    runner.run_available(spark, lambda: sinks.upsert_metrics(
+        agg, f"{base}/out", f"{base}/ck", trigger=runner.AVAILABLE_NOW), state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    meta = json.loads(open(f"{base}/ck/offsets/0").read().splitlines()[1])
+    assert meta["conf"]["spark.sql.shuffle.partitions"] == "3"
+    assert sinks.read_upserts(spark, f"{base}/out").count() == Q.q_minute_metrics(spark, SF001).count()
