@@ -51,7 +51,12 @@ def _args(argv=None):
                     help="raw-lake writer tasks per micro-batch (bounds small files)")
     ap.add_argument("--state-partitions", type=int,
                     help="state-store width of the metric query (fixed at its first start)")
-    return ap.parse_args(argv)
+    a = ap.parse_args(argv)
+    if a.command == "publish" and not (a.source and (a.bootstrap or a.lake)):
+        ap.error("publish needs --source and either --bootstrap (Kafka) or --lake (table)")
+    if a.command != "publish" and not (a.bootstrap or a.envelope_path):
+        ap.error(f"{a.command} needs --bootstrap (Kafka) or --envelope-path")
+    return a
 
 
 def main(argv=None) -> None:

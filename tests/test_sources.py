@@ -68,3 +68,12 @@ def test_log_files_spreads_only_big_gzip(spark, monkeypatch):
     spread = files.log_files(spark, path)
     assert "RoundRobinPartitioning" in spread._jdf.queryExecution().executedPlan().toString()
     assert spread.count() == plain.count() == 1000
+
+
+def test_cli_argument_checks():
+    from loglens import cli
+    with pytest.raises(SystemExit):
+        cli._args(["publish", "--source", "/x"])
+    with pytest.raises(SystemExit):
+        cli._args(["metrics"])
+    assert cli._args(["metrics", "--envelope-path", "/x"]).envelope_path == "/x"
