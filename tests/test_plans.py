@@ -78,3 +78,9 @@ def test_row_level_outputs_parse_once(spark, key):
     plan = _plan(E.queries()[key](spark, SF001))
     assert plan.count("regexp_replace(value") == 1, key  # one pass over the log line
     assert "Generate inline" in plan
+
+
+def test_json_alerts_parse_each_record_once(spark):
+    plan = _plan(E.queries()["json_alerts"](spark, SF001))
+    assert plan.count("from_json(") == 1
+    assert "Generate inline" in plan
