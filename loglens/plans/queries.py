@@ -45,93 +45,112 @@ def enriched(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFr
 
 
 def q_envelope_decode(spark, sf_dir):
+    """Kafka record decode."""
     d = decoded(spark, sf_dir)
     return d.select("key", "value", "topic", "partition", "offset", _ntz("timestamp"))
 
 
 def q_access_log_parse(spark, sf_dir):
+    """Seven-field access-log parse (all lines, '' when unmatched)."""
     return parsed(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 def q_access_log_typed(spark, sf_dir):
+    """Typed columns with ANSI-safe casts."""
     t = parse.typed(parsed(spark, sf_dir))
     return t.select(*[c for c in PARSED_COLUMNS if c != "timestamp"], "status_code_int",
                     "bytes_int", _ntz("timestamp"), _ntz("timestamp_ts"))
 
 
 def q_access_log_parse_any(spark, sf_dir):
+    """L2: common or extended format, eight fields."""
     return parse.parse_any(decoded(spark, sf_dir), keep=("offset",))
 
 
 def q_access_log_enriched(spark, sf_dir):
+    """Parsed rows with event time, request parts, endpoint, status class."""
     return enriched(spark, sf_dir).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
 def q_parse_quality(spark, sf_dir):
+    """L3: line counts per parse class."""
     return parse.parse_quality(decoded(spark, sf_dir))
 
 
 def q_text_log_quality(spark, sf_dir):
-    """Gzip text log files (generator naming) -> parse classes."""
+    """Gzip text log files (generator naming) -> parse classes."""
     from loglens.sources import files
     lines = files.log_files(spark, feeds.text_feed_path(spark, sf_dir))
     return parse.parse_quality(lines)
 
 
 def q_minute_metrics(spark, sf_dir):
+    """Per-minute metrics on ingest time."""
     return metrics.minute_metrics(parsed(spark, sf_dir))
 
 
 def q_minute_overview(spark, sf_dir):
+    """The overview document, exact distinct IPs."""
     return metrics.overview(parsed(spark, sf_dir), exact_ips=True)
 
 
 def q_dense_minute_overview(spark, sf_dir):
-    """Overview on the dense feed (40 lines per minute, the original feed rate)."""
+    """Overview on the dense feed (40 lines per minute, the original feed rate)."""
     return metrics.overview(parsed(spark, sf_dir, "dense"), exact_ips=True)
 
 
 def q_minute_active_ips_exact(spark, sf_dir):
+    """Exact distinct client IPs per minute."""
     return metrics.active_ips(parsed(spark, sf_dir), exact=True)
 
 
 def q_minute_active_ips_approx(spark, sf_dir):
+    """HLL++ distinct client IPs per minute (rows-only check)."""
     return metrics.active_ips(parsed(spark, sf_dir), exact=False)
 
 
 def q_minute_mean_bytes(spark, sf_dir):
+    """avg(bytes) per minute over rows with bytes."""
     return metrics.mean_bytes(parsed(spark, sf_dir))
 
 
 def q_event_time_minute_metrics(spark, sf_dir):
+    """Per-minute metrics on the lines' own time, late feed."""
     return metrics.event_time_metrics(parsed(spark, sf_dir, "late"))
 
 
 def q_error_windows(spark, sf_dir):
+    """Minutes with error rate >= 50% and >= 2 requests."""
     return alerts.error_windows(metrics.overview(parsed(spark, sf_dir), exact_ips=False))
 
 
 def q_status_class_share(spark, sf_dir):
+    """Requests and share per status class."""
     return dashboards.status_class_share(parsed(spark, sf_dir))
 
 
 def q_top_endpoints(spark, sf_dir):
+    """D3: ten most requested endpoints (weighted feed)."""
     return dashboards.top_endpoints(parsed(spark, sf_dir, "weighted"), k=10)
 
 
 def q_user_agent_share(spark, sf_dir):
+    """Requests by browser and device."""
     return dashboards.user_agent_share(parsed(spark, sf_dir))
 
 
 def q_access_heatmap(spark, sf_dir):
+    """Requests by day of week and hour."""
     return dashboards.access_heatmap(parsed(spark, sf_dir))
 
 
 def q_client_profile(spark, sf_dir):
+    """Per-IP requests, endpoints, first/last seen, errors."""
     return dashboards.client_profile(parsed(spark, sf_dir))
 
 
 def q_json_alerts(spark, sf_dir):
+    """JSON app-log severity alerts."""
     app = alerts.parse_json_log(feeds.feed(spark, sf_dir, "json"), keep=("offset",))
     return alerts.severity_filter(app).select(
         "offset", _ntz("kafka_ingestion_time"), _ntz("log_timestamp"),
@@ -139,10 +158,12 @@ def q_json_alerts(spark, sf_dir):
 
 
 def q_error_anomalies(spark, sf_dir):
+    """Endpoint-hour error z-scores >= 3 over the previous 24."""
     return alerts.error_anomalies(parsed(spark, sf_dir))
 
 
 def q_log_search(spark, sf_dir):
+    """Search over the raw envelope feed."""
     hits = dashboards.search_feed(decoded(spark, sf_dir), **SEARCH)
     return hits.select("offset", _ntz("timestamp"), "ip", "request", "status")
 
