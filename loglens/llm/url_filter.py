@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.llm.joins import salted_join
+from loglens.llm.store import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -99,8 +100,9 @@ def _mean(level: str) -> Column:
 def host_reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
     """``outcomes`` (host, good: 1, 0 or null) -> one row per host: n, good,
     mean and lower bound of the posterior good rate."""
-    hosts = (outcomes.groupBy("host").agg(F.count("good").cast("double").alias("n"),
-                                          F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("good"))
+    # One row per host from here on; every level reads the written counts.
+    hosts = (stored(outcomes.groupBy("host").agg(F.count("good").cast("double").alias("n"),
+                                          F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("good")), "host-counts")
              .withColumn("domain", registered_domain(F.col("host")))
              .withColumn("suffix", suffix_of(F.col("host"))))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
