@@ -356,7 +356,7 @@ ORACLE = """
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
 sets AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
-    ELSE list_transform(range(1, len(words) - 1), i -> words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS s FROM w),
+    ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS s FROM w),
 x AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
 links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.t = b.t AND a.doc_id <> b.doc_id
   GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
