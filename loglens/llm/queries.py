@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("url_filter", "secret_scan", "toxicity", "packing", "warc_zip", "jaccard_join")
+MODULES = ("url_filter", "secret_scan", "toxicity", "packing", "warc_zip", "jaccard_join", "decontaminate", "katz", "suffix_dedup")
 
 
 def _gather(what: str) -> dict:
