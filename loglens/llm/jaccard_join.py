@@ -333,6 +333,13 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, sket
                     F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
 
 
+def one_per_group(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """``docs`` with one row of each component, the one with the smallest doc_id; rows without doc_id all stay."""
+    first = jaccard_groups(docs.select("doc_id", "text"), n, num, den).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
 def _packed_tokens(blocks: DataFrame) -> DataFrame:
     """The blocks' records with ``tokens`` as one binary value."""
 

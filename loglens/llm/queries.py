@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("url_filter", "secret_scan", "toxicity", "packing", "warc_zip", "jaccard_join", "decontaminate", "katz", "suffix_dedup")
+import corpus_pipeline
+
+MODULES = ("url_filter", "secret_scan", "toxicity", "packing", "warc_zip", "jaccard_join", "decontaminate", "katz", "suffix_dedup", "bm25")
 
 
 def _gather(what: str) -> dict:
@@ -15,8 +17,8 @@ def _gather(what: str) -> dict:
 
 
 def llm_queries() -> dict:
-    return _gather("QUERIES")
+    return _gather("QUERIES") | {"pipeline": corpus_pipeline.run}
 
 
 def llm_oracles() -> dict:
-    return _gather("ORACLES")
+    return _gather("ORACLES") | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

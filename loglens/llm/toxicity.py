@@ -236,6 +236,12 @@ def score(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFra
     return docs.mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """``docs`` without the documents that reach their language's threshold."""
+    mark = "_toxicity"
+    return score(docs, model, mark).where(F.col(mark) < model.threshold(F.col("lang"))).select(*docs.columns)
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
