@@ -173,7 +173,7 @@ def _word_answers(messages: DataFrame, parts: int) -> DataFrame:
 class Block:
     """A block with its words' numbers and totals: its tokens, their contexts, and its distinct pairs."""
 
-    def __init__(self, body: bytes, answers: list, n: int, parts: int):
+    def __init__(self, body: bytes, answers: list, n: int, parts: int, hot_share: int):
         self.train, self.lengths, index = unpack(body)
         self.train = self.train.astype(bool)
         unpacked = [unpack(a["answer"]) for a in sorted(answers, key=lambda a: a["part"])]
@@ -199,7 +199,7 @@ class Block:
         self.keys, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         counts = np.bincount(inverse[np.repeat(self.train, self.lengths.astype(np.int64) + 1)[self.known]], minlength=len(self.keys))
         self.key_w_count = self.w_count[self.known][first]
-        split = np.where(h_count[self.known][first] * HOT_SHARE > n, self.keys % np.uint64(HOT_SPLIT) + np.uint64(1), np.uint64(0)).astype(np.uint64)
+        split = np.where(h_count[self.known][first] * hot_share > n, self.keys % np.uint64(HOT_SPLIT) + np.uint64(1), np.uint64(0)).astype(np.uint64)
         spread = T.mix((self.keys >> np.uint64(32)) * np.uint64(HOT_SPLIT + 1) + split)
         self.part = (spread % np.uint64(parts)).astype(np.int64)
         self.order = np.argsort(self.part, kind="stable")
@@ -226,11 +226,11 @@ def _blocks_with(blocks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
     return blocks.join(answers.where(F.col("block") >= 0).groupBy("block").agg(F.expr(_ANSWERS.format(name))), "block")
 
 
-def _pair_messages(blocks: DataFrame, n: int, parts: int) -> DataFrame:
+def _pair_messages(blocks: DataFrame, n: int, parts: int, hot_share: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, body, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                b = Block(body, answers, n, parts)
+                b = Block(body, answers, n, parts, hot_share)
                 used = [p for p in range(parts) if b.at[p + 1] > b.at[p]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array([block] * len(used), pa.int64()),
@@ -334,7 +334,8 @@ def backoff(sums: list[np.ndarray], d: np.ndarray, base: int) -> tuple[np.ndarra
     return total, free / rest
 
 
-def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_bytes: int = BLOCK_BYTES,
+                hot_share: int = HOT_SHARE) -> DataFrame:
     """Train on the rows of ``docs`` (doc_id, text) where ``train`` holds and score all rows.
 
     Returns doc_id, train, n_tokens, n_known, train_tokens, base_score and score (log10)."""
@@ -347,9 +348,9 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
     n, v = size["n"] or 0, size["v"] or 0
     base = n + v + 1
     bodies = _blocks_with(blocks.select("block", "ids", "body"), words, "words_known")
-    pairs = stored(_pair_answers(_pair_messages(bodies, n, parts)), "katz-bigrams")
-    # At most HOT_SHARE contexts, the start symbol and one row of counts of counts.
-    got = _hot_contexts(pairs, [START, *_hot_words(words, n)]).toPandas()
+    pairs = stored(_pair_answers(_pair_messages(bodies, n, parts, hot_share)), "katz-bigrams")
+    # At most hot_share contexts, the start symbol and one row of counts of counts.
+    got = _hot_contexts(pairs, [START, *_hot_words(words, n, hot_share)]).toPandas()
     of_counts = got[got["h"] == -1][list(SUMS)].to_numpy().sum(axis=0).tolist()
     hot = got[got["h"] >= 0].sort_values("h")
     hot_h, hot_sums = hot["h"].to_numpy(), [hot[c].to_numpy() for c in SUMS]
@@ -361,7 +362,7 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
         for batch in batches:
             for i in range(batch.num_rows):
                 ids = batch.column(1)[i].values
-                b = Block(batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), n, parts)
+                b = Block(batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), n, parts, hot_share)
                 count = np.zeros(len(b.keys), dtype=np.int64)
                 names, columns = [], []
                 for a in batch.column(4)[i].as_py() or []:
@@ -400,8 +401,8 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
         run, f"doc_id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _hot_words(words: DataFrame, n: int) -> list[int]:
-    """Numbers of the words with over 1/HOT_SHARE of all training tokens: at most HOT_SHARE."""
+def _hot_words(words: DataFrame, n: int, hot_share: int) -> list[int]:
+    """Numbers of the words with over 1/hot_share of all training tokens: at most hot_share."""
     parts = words.where(F.col("block") >= 0).select("answer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,7 +410,7 @@ def _hot_words(words: DataFrame, n: int) -> list[int]:
         for batch in batches:
             for blob in batch.column(0).to_pylist():
                 number, total = unpack(blob)
-                found.update(number[total.astype(np.int64) * HOT_SHARE > n].tolist())
+                found.update(number[total.astype(np.int64) * hot_share > n].tolist())
         yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], names=["number"])
 
     return [r["number"] for r in parts.mapInArrow(run, "number long").distinct().collect()]

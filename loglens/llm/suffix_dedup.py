@@ -201,7 +201,7 @@ def _anchor_messages(blocks: DataFrame, parts: int) -> DataFrame:
     return blocks.select("block", "sizes", "body").mapInArrow(run, "part int, block long, keys binary, twice binary")
 
 
-def _anchor_answers(messages: DataFrame) -> DataFrame:
+def _anchor_answers(messages: DataFrame, hot_blocks: int) -> DataFrame:
     """Per (block, part) the level of each of the block's anchors: 0 unique, 1 repeated, 2 hot."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -209,7 +209,7 @@ def _anchor_answers(messages: DataFrame) -> DataFrame:
         _, index, blocks = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         twice = np.zeros(len(blocks), dtype=bool)
         twice[index[np.concatenate([unpack(t)[0] for t in pdf["twice"]])]] = True
-        level = np.where(blocks > HOT_BLOCKS, 2, (twice | (blocks > 1)).astype(np.int64)).astype(np.uint8)
+        level = np.where(blocks > hot_blocks, 2, (twice | (blocks > 1)).astype(np.int64)).astype(np.uint8)
         bounds = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
         return pd.DataFrame({"block": pdf["block"], "part": pdf["part"],
                              "answer": [pack(level[index[a:b]]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]})
@@ -400,14 +400,15 @@ def repeated_starts(s: Stretches, answers: list | None) -> np.ndarray:
     return np.sort(at[bits])
 
 
-def dedup_bytes(docs: DataFrame, parts: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def dedup_bytes(docs: DataFrame, parts: int | None = None, block_bytes: int = BLOCK_BYTES,
+                hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_bytes, n_removed, n_spans, kept_sha256 and ``spans``, the removed
     byte ranges (start, end exclusive)."""
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     blocks = stored(make_blocks(docs, block_bytes), "dedup-blocks")
-    levels = stored(_anchor_answers(_anchor_messages(blocks, parts)), "dedup-anchors")
+    levels = stored(_anchor_answers(_anchor_messages(blocks, parts), hot_blocks), "dedup-anchors")
     leveled = _with_answers(blocks, levels, "levels", "left")
     bits = stored(_stretch_answers(_stretch_messages(leveled, parts)), "dedup-windows")
 
