@@ -13,7 +13,8 @@ only they reach the driver. Scanning is one pass without a shuffle.
 Defined results: null and empty texts have no spans; offsets are code points,
 ends exclusive; repeated rows are scanned and returned one by one; a markov
 span never overlaps a pattern's span, patterns of different kinds may overlap
-each other. Without any sample of a class its model is uniform. Further
+each other. Transitions are smoothed by plain symbol
+frequencies; without any sample of a class its model is uniform. Further
 columns of the input are ignored by ``find_secrets`` and kept by ``redact``.
 Empty in, empty out.
 """
@@ -33,6 +34,7 @@ from loglens.llm import text as T
 KINDS = ("assign", "access", "hex", "markov")
 MIN_ASSIGNED, MIN_ACCESS, MIN_HEX, MIN_TOKEN = 6, 20, 24, 20
 MIN_RATIO, MIN_RATE = 20.0, 0.5
+PRIOR = 500.0            # weight of the plain symbol frequencies in each transition, so that few samples decide nothing
 MARK = "[SECRET]"
 
 # The patterns and the words an assignment starts with.
@@ -133,7 +135,9 @@ class MarkovModels:
         for counts in (random, ordinary):
             m = np.zeros(SIZE * SIZE)
             m[cells] = counts
-            m = m.reshape(SIZE, SIZE)[:, :START] + 0.5
+            m = m.reshape(SIZE, SIZE)[:, :START]
+            plain = m.sum(axis=0) + 0.5
+            m = m + PRIOR * plain / plain.sum()
             logs.append(np.log(m / m.sum(axis=1, keepdims=True)))
         self.ratio = np.hstack([logs[0] - logs[1], np.zeros((SIZE, 1))]).ravel()
 

@@ -16,7 +16,7 @@ answers; repeated rows score alike; labelled ids without a document and null
 labels are ignored; with one class or none in the sample every score is that
 class's share (0.5 without rows); languages with fewer than
 ``LEAST_CALIBRATION`` toxic calibration rows, and null languages, use the
-threshold of all languages together. Empty in, empty out.
+threshold of all languages together, or the default if that has too few as well. Empty in, empty out.
 """
 
 from __future__ import annotations
@@ -152,8 +152,8 @@ class TextCNN:
 
 
 def best_threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
-    """The score cut with the best F1 (the middle of the gap below it); the default without toxic rows."""
-    if not toxic.any():
+    """The score cut with the best F1 (the middle of the gap below it); the default with too few toxic rows."""
+    if toxic.sum() < LEAST_CALIBRATION:
         return DEFAULT_THRESHOLD
     order = np.argsort(-scores, kind="stable")
     s, y = scores[order], toxic[order]
@@ -204,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS, ep
     toxic = got["toxic"].to_numpy(dtype=np.float32)
     turn = np.zeros(len(got), dtype=bool)
     for label in (0, 1):
-        turn[np.flatnonzero(toxic == label)[::CALIBRATION_PARTS]] = True
+        turn[np.flatnonzero(toxic == label)[CALIBRATION_PARTS - 1::CALIBRATION_PARTS]] = True
     held = np.flatnonzero(turn)
     kept = np.flatnonzero(~turn)
     net = TextCNN().train([texts[i] for i in kept], toxic[kept], epochs)
@@ -227,7 +227,7 @@ def score(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [net.scores(*token_ids(buf, offsets)) for _, _, buf, offsets in T.slices(batch.column(place))]
-            scores = np.concatenate(parts) if parts else np.zeros(0)
+            scores = np.round(np.concatenate(parts), 6) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())],
                                              names=[*batch.schema.names, name])
 
