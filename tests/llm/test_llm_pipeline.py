@@ -19,7 +19,6 @@ def tables(spark, docs):
         toxic = i % 5 == 0
         if toxic:
             w[3] = w[-2] = "grimblesnout"
-        labels.append((i, 1, int(toxic)))
         if i % 7 == 1 and i > 20:
             text = rows[i - 7][1]
         elif i % 11 == 1:
@@ -29,6 +28,7 @@ def tables(spark, docs):
         else:
             text = " ".join(w)
         rows.append((i, text, rng.choice(["en", "de", None]), "s", len(text)))
+        labels.append((i, 1, int("grimblesnout" in text)))
     rows += [(300, None, "en", "s", 0), (301, "", "en", "s", 0), (5, *rows[5][1:])]
     return {"documents": docs(rows), "labels": spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
             "benchmark": spark.createDataFrame(list(enumerate(items)), "item_id long, text string")}
@@ -62,13 +62,11 @@ def test_each_stage_against_its_plain_version(spark, docs, table_dir, tokenizer)
 
     safe = stages["secret_scan"](spark, fresh, folder).cache()
     assert safe.columns == COLUMNS
+    redacted = rows_by_id(safe)
     for i, r in rows_by_id(fresh).items():
         want = r.text and r.text.replace('token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff', "[SECRET]")
-        assert rows_by_id(safe)[i].text == want
-        break_even = rows_by_id(safe)[i].n_chars
-        assert break_even == len(want or "")
-        if i > 120:
-            break
+        assert redacted[i].text == want
+        assert redacted[i].n_chars == len(want or "")
 
     packed = stages["best_fit_packing"](spark, safe, folder)
     by_id = sorted(rows_by_id(safe).items())
