@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -217,30 +218,24 @@ def _dealt(pairs: DataFrame, records: DataFrame) -> DataFrame:
     return met.repartition(width, "a", "b").sortWithinPartitions("a", "b", "node")
 
 
-def _set_blobs(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, digest and whole shingle set of every document."""
+def _packed_texts(docs: DataFrame) -> DataFrame:
+    """doc_id and compressed text: a third of the text, a quarter of the set's hashes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            rows, size = [], 0
-            at = 0
-            for s in _sets(batch.column(1), n):
-                rows.append(s.tobytes())
-                size += len(rows[-1])
-                if size > 8 << 20:
-                    yield _blob_batch(batch, at, rows)
-                    at, rows, size = at + len(rows), [], 0
-            if rows:
-                yield _blob_batch(batch, at, rows)
+            for a, b, buf, offsets in T.slices(batch.column(1)):
+                raw = buf.tobytes()
+                packed = [squeeze(raw[x:y]) for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, digest binary, shingles binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, packed binary")
 
 
-def _blob_batch(batch: pa.RecordBatch, at: int, rows: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0).slice(at, len(rows)), pa.array([hashlib.blake2b(r, digest_size=16).digest() for r in rows], pa.binary()), pa.array(rows, pa.binary())],
-        names=["doc_id", "digest", "shingles"])
+def _set_of(packed: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    return np.unique(T.shingle_hashes(T.word_hashes(raw, np.array([0, len(raw)]))[0], n))
 
 
 def _hopeful(dealt: DataFrame, num: int, den: int) -> DataFrame:
@@ -265,17 +260,22 @@ def _longs(rows: list, names: tuple[str, ...]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=list(names))
 
 
-def _verified(dealt: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(dealt: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(node, root, links) per block pair: a spanning forest of its links, and how many documents each node links to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int, int]] = []
         for a, b, records in _runs(batches):
-            # Repeated rows of one document bring the same set again.
-            records = list({r[1]: r for r in records}.values())
-            if len(records) < 2:
+            # Repeated rows of one document bring its text again, rows with the same id perhaps another text.
+            by_node = {}
+            for r in records:
+                if r[1] not in by_node:
+                    s = _set_of(r[7], n)
+                    if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == r[6]:
+                        by_node[r[1]] = (r, s)
+            if len(by_node) < 2:
                 continue
-            sets = [np.frombuffer(r[6], np.uint64) for r in records]
+            records, sets = (list(x) for x in zip(*by_node.values(), strict=True))
             links, root = [0] * len(records), list(range(len(records)))
 
             def find(x: int, root: list[int] = root) -> int:
@@ -316,13 +316,12 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, sket
     pairs = stored(block_pairs(blocks), "jaccard-pairs")
     hopeful = stored(_hopeful(_dealt(pairs, small), num, den), "jaccard-hopeful")
     wanted = hopeful.select("node").distinct().join(small, "node")
-    sets = _set_blobs(docs.join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), n)
-    full = wanted.join(sets.withColumnRenamed("doc_id", "node"), ["node", "digest"]).select(
-        "node", "block", "n_shingles", "matches", "tokens", "copies", "shingles")
+    full = wanted.join(_packed_texts(docs).withColumnRenamed("doc_id", "node"), "node").select(
+        "node", "block", "n_shingles", "matches", "tokens", "copies", "digest", "packed")
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = (hopeful.join(full, "node").select("a", "b", "block", "node", "n_shingles", "matches", "tokens", "copies", "shingles")
+    met = (hopeful.join(full, "node").select("a", "b", "block", "node", "n_shingles", "matches", "tokens", "copies", "digest", "packed")
            .repartition(width, "a", "b").sortWithinPartitions("a", "b", "node"))
-    found = stored(_verified(met, num, den), "jaccard-links")
+    found = stored(_verified(met, n, num, den), "jaccard-links")
     component = connected_components(found.select(F.col("node").alias("src"), F.col("root").alias("dst")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = (nodes.select("digest", "node", "copies").join(component, "node", "left").join(links, "node", "left")
