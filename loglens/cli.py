@@ -4,6 +4,8 @@
         --topic access_log [--lake PATH --metrics PATH --watermark '10 minutes']
     ... cli.py parse   --bootstrap host:9092 --topic access_log
     ... cli.py alerts  --bootstrap host:9092 --topic app_log [--index 'pyspark_logs_{date}']
+    ... cli.py report  --envelope-path DIR --panel overview [--out PATH]
+    ... cli.py compact --metrics PATH
     ... cli.py publish --source DIR (--bootstrap host:9092 --topic access_log | --lake PATH)
 
 Without a broker, ``--envelope-path DIR`` streams envelope Parquet files
@@ -19,22 +21,47 @@ from __future__ import annotations
 
 import argparse
 
-from loglens.operators import alerts
+from loglens.operators import alerts, dashboards, metrics, parse
 from loglens.session import build_session, shared_root
 from loglens.sources import kafka
 from loglens.streaming import jobs, runner, sinks
 
 
+# Dashboard tables by name, from parsed records.
+PANELS = {
+    "overview": lambda p: metrics.overview(p, exact_ips=True),
+    "status": dashboards.status_class_share,
+    "endpoints": dashboards.top_endpoints,
+    "agents": dashboards.user_agent_share,
+    "heatmap": dashboards.access_heatmap,
+    "clients": dashboards.client_profile,
+    "error-windows": lambda p: alerts.error_windows(metrics.overview(p, exact_ips=False)),
+    "anomalies": alerts.error_anomalies,
+}
+
+
+def report(spark, a) -> None:
+    """One dashboard table over a bounded read of the topic or a stored envelope."""
+    records = (kafka.envelope_batch(spark, a.envelope_path) if a.envelope_path
+               else kafka.kafka_batch(spark, a.bootstrap, a.topic, a.starting_offsets))
+    table = PANELS[a.panel](parse.parse_access(parse.decode(records), keep=("key", "timestamp", "offset")))
+    if a.out:
+        table.write.mode("overwrite").parquet(a.out)
+    else:
+        table.show(a.console_rows, truncate=False)
+
+
 def _args(argv=None):
     ap = argparse.ArgumentParser(prog="loglens")
-    ap.add_argument("command", choices=["metrics", "parse", "alerts", "publish"])
+    ap.add_argument("command", choices=["metrics", "parse", "alerts", "publish", "report", "compact"])
     ap.add_argument("--bootstrap", help="Kafka bootstrap servers")
     ap.add_argument("--envelope-path",
                     help="read envelope Parquet files from this folder instead of Kafka")
     ap.add_argument("--available-now", action="store_true",
                     help="process what is available, then stop (scheduled runs)")
     ap.add_argument("--topic", default="access_log")
-    ap.add_argument("--starting-offsets", default="earliest")
+    ap.add_argument("--starting-offsets",
+                    help="where a new job starts (default: latest for alerts, earliest for the others)")
     ap.add_argument("--max-offsets-per-trigger", type=int)
     ap.add_argument("--trigger", help="processing-time trigger, e.g. '30 seconds' "
                                       "(default: next micro-batch as soon as one ends)")
@@ -45,6 +72,13 @@ def _args(argv=None):
     ap.add_argument("--index", help="document resource, e.g. pyspark_logs_{date}")
     ap.add_argument("--index-format", default="parquet",
                     help="parquet or org.elasticsearch.spark.sql")
+    ap.add_argument("--index-option", action="append", default=[], metavar="KEY=VALUE",
+                    help="connector option of the index, e.g. es.nodes=host:9200 (repeatable)")
+    ap.add_argument("--console-rows", type=int, default=20,
+                    help="rows of each micro-batch that the console shows")
+    ap.add_argument("--panel", choices=sorted(PANELS), help="dashboard table to compute (report)")
+    ap.add_argument("--out", help="Parquet folder for the report (default: print it)")
+    ap.add_argument("--max-batch-id", type=int, help="newest batch to compact (default: the newest complete one)")
     ap.add_argument("--source", help="folder of text log files (publish)")
     ap.add_argument("--name", default="loglens")
     ap.add_argument("--files-per-batch", type=int,
@@ -54,7 +88,15 @@ def _args(argv=None):
     a = ap.parse_args(argv)
     if a.command == "publish" and not (a.source and (a.bootstrap or a.lake)):
         ap.error("publish needs --source and either --bootstrap (Kafka) or --lake (table)")
-    if a.command != "publish" and not (a.bootstrap or a.envelope_path):
+    if a.command == "report" and not a.panel:
+        ap.error("report needs --panel")
+    if a.command == "compact" and not a.metrics:
+        ap.error("compact needs --metrics, the metric upsert table")
+    if any("=" not in o for o in a.index_option):
+        ap.error("--index-option takes KEY=VALUE")
+    if a.starting_offsets is None:
+        a.starting_offsets = "latest" if a.command == "alerts" else "earliest"
+    if a.command not in ("publish", "compact") and not (a.bootstrap or a.envelope_path):
         ap.error(f"{a.command} needs --bootstrap (Kafka) or --envelope-path")
     return a
 
@@ -71,6 +113,12 @@ def main(argv=None) -> None:
         sinks.publish_lines(spark, a.source, a.lake or "", fmt="kafka" if a.bootstrap else "parquet",
                             topic=a.topic, bootstrap_servers=a.bootstrap)
         return
+    if a.command == "compact":
+        sinks.compact_upserts(spark, a.metrics, max_batch_id=a.max_batch_id)
+        return
+    if a.command == "report":
+        report(spark, a)
+        return
     if a.envelope_path:
         src = kafka.envelope_file_stream(spark, a.envelope_path)
     else:
@@ -80,16 +128,16 @@ def main(argv=None) -> None:
         qs = jobs.start_access_jobs(spark, src, a.name, a.lake, a.metrics, ckpt, trigger,
                                     a.watermark, a.files_per_batch, a.quarantine)
     elif a.command == "parse":
-        qs = [sinks.console(jobs.parsed_stream(src), "append", ckpt, trigger)]
+        qs = [sinks.console(jobs.parsed_stream(src), "append", ckpt, trigger, a.console_rows)]
     else:
-        app = alerts.severity_filter(alerts.parse_json_log(
-            src, keep=("topic", "partition", "offset")))
+        app = alerts.json_alerts(src, keep=("topic", "partition", "offset"))
         if a.index:
             qs = [sinks.document_sink(app, a.index, ckpt, fmt=a.index_format,
-                                      time_col="log_timestamp", trigger=trigger,
+                                      options=dict(o.split("=", 1) for o in a.index_option),
+                                      time_col=["log_timestamp", "kafka_ingestion_time"], trigger=trigger,
                                       id_cols=("topic", "partition", "offset"))]
         else:
-            qs = [sinks.console(app, "append", ckpt, trigger)]
+            qs = [sinks.console(app, "append", ckpt, trigger, a.console_rows)]
     if a.available_now:
         for q in qs:
             runner.finish(q)

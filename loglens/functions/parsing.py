@@ -155,3 +155,15 @@ def device_of(user_agent: Column) -> Column:
     for regex, label in P.DEVICE_RULES:
         out = out.when(matches(ua, regex), F.lit(label))
     return out.otherwise(F.lit(P.DEVICE_OTHER))
+
+
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows of ``df`` for which ``condition`` holds, through a generator.
+
+    Same rows as ``df.where(condition)``, but all columns come out of the
+    generator: the optimizer copies neither this nor a later condition below
+    the projection that computes them, so a costly parse there runs once per
+    row. For stored columns use ``where``, which reaches the scan.
+    """
+    row = F.struct(*[F.col(_ident(c)).alias(c) for c in df.columns])
+    return df.select(F.inline(F.when(condition, F.array(row))))

@@ -85,19 +85,30 @@ def client_profile(parsed: DataFrame) -> DataFrame:
     ).where(F.col("requests") > 0)
 
 
+def _time_range(df: DataFrame, start: str | None, end: str | None) -> Column:
+    """``[start, end)`` on ``timestamp``; on a table with ``date`` folders also on
+    those, where a record without a date (not from a dated folder) stays."""
+    cond = F.lit(True)
+    for bound, low in ((start, True), (end, False)):
+        if bound is not None:
+            at = F.lit(bound).cast("timestamp")
+            cond = cond & ((F.col("timestamp") >= at) if low else (F.col("timestamp") < at))
+            if "date" in df.columns:
+                day = F.to_date(at)
+                inside = F.col("date") >= day if low else F.col("date") <= day
+                cond = cond & (inside | F.col("date").isNull())
+    return cond
+
+
 def log_search(parsed: DataFrame, contains: str | None = None, status: str | None = None,
                start: str | None = None, end: str | None = None,
                ip: str | None = None) -> DataFrame:
     """Rows matching every given predicate; ``[start, end)`` on ingest time.
 
-    The predicates are plain column filters, so on a date-partitioned lake
-    the time range prunes partitions and the rest is pushed to the scan.
+    The predicates are plain column filters: on a lake with ``date`` folders
+    the time range prunes partitions, and the rest is pushed to the scan.
     """
-    cond = F.lit(True)
-    if start is not None:
-        cond = cond & (F.col("timestamp") >= F.lit(start).cast("timestamp"))
-    if end is not None:
-        cond = cond & (F.col("timestamp") < F.lit(end).cast("timestamp"))
+    cond = _time_range(parsed, start, end)
     if status is not None:
         cond = cond & (F.col("status") == status)
     if contains is not None:
@@ -117,18 +128,7 @@ def search_feed(decoded: DataFrame, keep: tuple[str, ...] = ("offset", "timestam
     runs once per candidate (``parse_access_matched``).
     """
     from loglens.operators import parse
-    raw = F.lit(True)
-    lake = "date" in decoded.columns
-    if params.get("start") is not None:
-        start = F.lit(params["start"]).cast("timestamp")
-        raw = raw & (F.col("timestamp") >= start)
-        if lake:  # partition pruning on the date folders
-            raw = raw & (F.col("date") >= F.to_date(start))
-    if params.get("end") is not None:
-        end = F.lit(params["end"]).cast("timestamp")
-        raw = raw & (F.col("timestamp") < end)
-        if lake:
-            raw = raw & (F.col("date") <= F.to_date(end))
+    raw = _time_range(decoded, params.get("start"), params.get("end"))
     for k in ("contains", "status", "ip"):
         if params.get(k) is not None:
             raw = raw & F.col("value").contains(params[k])

@@ -21,6 +21,13 @@ def _errors(prefix: str) -> Column:
     return F.sum(F.when(F.col("status").startswith(prefix), 1).otherwise(0)).cast("bigint")
 
 
+def counts(requests: Column | None = None) -> list[Column]:
+    """total_requests, 4xx, 5xx, total_bytes: the aggregates of every metric table."""
+    return [(F.count(F.lit(1)) if requests is None else requests).alias("total_requests"),
+            _errors("4").alias("error_4xx_count"), _errors("5").alias("error_5xx_count"),
+            F.sum(fx.to_long(F.col("bytes"))).alias("total_bytes")]
+
+
 def window_metrics(parsed: DataFrame, time_col: str = "timestamp", width: str = MINUTE,
                    watermark: str | None = None, approx_ips: bool = True) -> DataFrame:
     """Per tumbling window: total_requests, 4xx, 5xx, total_bytes[, active_ip_count].
@@ -30,12 +37,7 @@ def window_metrics(parsed: DataFrame, time_col: str = "timestamp", width: str =
     append mode. ``active_ip_count`` is the HLL++ estimate (streaming-safe).
     """
     src = parsed.withWatermark(time_col, watermark) if watermark else parsed
-    aggs = [
-        F.count(F.lit(1)).alias("total_requests"),
-        _errors("4").alias("error_4xx_count"),
-        _errors("5").alias("error_5xx_count"),
-        F.sum(fx.to_long(F.col("bytes"))).alias("total_bytes"),
-    ]
+    aggs = counts()
     if approx_ips:
         aggs.append(F.approx_count_distinct("ip").alias("active_ip_count"))
     return src.groupBy(F.window(F.col(time_col), width).alias("window")).agg(*aggs)
@@ -70,15 +72,8 @@ def overview(parsed: DataFrame, exact_ips: bool = True) -> DataFrame:
     """
     ip_agg = (F.count_distinct("ip") if exact_ips else F.approx_count_distinct("ip"))
     m = parsed.groupBy(F.window(F.col("timestamp"), MINUTE).alias("window")).agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        (_errors("4") + _errors("5")).alias("errors"),
-        F.sum(fx.to_long(F.col("bytes"))).alias("total_bytes"),
-        ip_agg.alias("active_ip_count"))
-    return m.select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-        *_overview_cols(F.col("total_requests"), F.col("errors"), F.col("total_bytes")),
-        F.col("active_ip_count").cast("bigint").alias("active_ip_count"))
+        *counts(), ip_agg.cast("bigint").alias("active_ip_count"))
+    return overview_from_metrics(m)
 
 
 def overview_from_metrics(metrics: DataFrame) -> DataFrame:
@@ -92,6 +87,21 @@ def overview_from_metrics(metrics: DataFrame) -> DataFrame:
         "active_ip_count")
 
 
+# Relative standard deviation of the HLL++ estimate (Spark's default).
+IP_ERROR = 0.05
+
+
+def active_ips_error(parsed: DataFrame, width: str = "1 hour", sigmas: float = 3.0) -> DataFrame:
+    """Per window the exact number of client IPs, and whether the HLL++ estimate
+    of the live metric is within ``sigmas`` of its stated error."""
+    m = parsed.groupBy(F.window(F.col("timestamp"), width).alias("window")).agg(
+        F.count_distinct("ip").alias("active_ip_count"),
+        F.approx_count_distinct("ip", IP_ERROR).alias("estimate"))
+    off = F.abs(F.col("estimate") - F.col("active_ip_count"))
+    return m.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "active_ip_count",
+                    (off <= F.col("active_ip_count") * (sigmas * IP_ERROR)).alias("within_error"))
+
+
 def active_ips(parsed: DataFrame, exact: bool = True) -> DataFrame:
     agg = F.count_distinct("ip") if exact else F.approx_count_distinct("ip")
     m = parsed.groupBy(F.window(F.col("timestamp"), MINUTE).alias("window")) \
@@ -113,38 +123,17 @@ def with_event_time(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("event_time", fx.access_time(F.col("datetime")))
 
 
-def tumble_start(ts: Column, width_seconds: int) -> Column:
-    """Start of the epoch-aligned tumbling window holding ``ts`` (as F.window)."""
-    w = width_seconds * 1_000_000
-    us = F.unix_micros(ts)
-    return F.timestamp_micros(us - F.pmod(us, F.lit(w)))
-
-
 def event_time_metrics(parsed: DataFrame, watermark: str | None = None,
                        width_seconds: int = 60) -> DataFrame:
     """Minute metrics on event time, parsed rows only.
 
-    Streaming input uses ``window`` + ``withWatermark`` so late rows within
-    the watermark update their window and state stays bounded. Batch input
-    groups on the computed window start and drops rows without an event
-    time after the aggregate (count of event times = 0), which keeps the
-    regex to one evaluation per line.
+    Rows without an event time fall out through a generator, before the
+    window: a row filter would be copied below the parse and run the line's
+    regex again. With ``watermark``, late rows within it update their window
+    and streaming state stays bounded.
     """
-    if parsed.isStreaming:
-        return flatten_window(window_metrics(
-            with_event_time(parsed).where(F.col("event_time").isNotNull()), "event_time",
-            width=f"{width_seconds} seconds", watermark=watermark, approx_ips=False))
-    et = fx.access_time(F.col("datetime"))
-    prep = parsed.select(tumble_start(et, width_seconds).alias("window_start"),
-                         "status", "bytes", et.alias("et"))
-    m = prep.groupBy("window_start").agg(
-        F.count("et").alias("total_requests"),
-        _errors("4").alias("error_4xx_count"),
-        _errors("5").alias("error_5xx_count"),
-        F.sum(fx.to_long(F.col("bytes"))).alias("total_bytes"),
-    ).where(F.col("total_requests") > 0)
-    return m.select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        (F.col("window_start") + F.expr(f"INTERVAL {width_seconds} SECONDS"))
-        .cast("timestamp_ntz").alias("window_end"),
-        "total_requests", "error_4xx_count", "error_5xx_count", "total_bytes")
+    timed = fx.keep_where(with_event_time(parsed).select("event_time", "status", "bytes"),
+                          F.col("event_time").isNotNull())
+    return flatten_window(window_metrics(timed, "event_time", width=f"{width_seconds} seconds",
+                                         watermark=watermark, approx_ips=False),
+                          ntz=not parsed.isStreaming)

@@ -26,17 +26,6 @@ def decode(envelope: DataFrame) -> DataFrame:
         "topic", "partition", "offset", "timestamp", *extra)
 
 
-def matched_only(decoded: DataFrame, pattern: str = P.EXTENDED_PATTERN) -> DataFrame:
-    """Lines the pattern matches, filtered on the raw value *before* parsing.
-
-    Filtering on a parsed field instead (``status != ''``) would make
-    Catalyst push the predicate below the parse projection and run the
-    regex twice per line. ``rlike`` here plus a later parse is still two
-    passes over a matching line; ``parse_access_matched`` does it in one.
-    """
-    return decoded.where(F.col("value").rlike(pattern))
-
-
 def parse_access(decoded: DataFrame, keep: tuple[str, ...] = ("key", "timestamp"),
                  single_pass: bool = True) -> DataFrame:
     """Extended access-log line -> seven string fields.
@@ -80,10 +69,11 @@ def enrich(parsed: DataFrame, keep: tuple[str, ...] = ("offset",),
            drop_unparsed: bool = True) -> DataFrame:
     """Parsed rows only -> event time, method/uri/protocol, endpoint, status class, bytes.
 
-    Pass ``drop_unparsed=False`` when the input is already restricted to
-    matching lines (see ``matched_only``) or read from a parsed lake.
+    Unparsed rows are dropped through a generator, so the line is not parsed
+    a second time for the filter. Pass ``drop_unparsed=False`` when the input
+    is already restricted to matching lines (``parse_access_matched``).
     """
-    src = parsed.where(F.col("status") != "") if drop_unparsed else parsed
+    src = fx.keep_where(parsed, F.col("status") != "") if drop_unparsed else parsed
     base = src.select(*keep, "ip", "datetime", "status", "bytes", "request")
     # method / uri / protocol in one regex pass over the request line
     split = fx.with_groups(base, "request", P.REQUEST_PATTERN, ("method", "uri", "protocol"),

@@ -20,6 +20,8 @@ def _uri(variant: str) -> str:
         w = R.WEIGHTED_RESOURCES
         return (f"CASE WHEN event_id % 13 <= 4 THEN {_q(w[0])} WHEN event_id % 13 <= 8 THEN {_q(w[1])} "
                 f"WHEN event_id % 13 <= 11 THEN {_q(w[2])} ELSE {_q(w[3])} END")
+    if variant == "wide":
+        return f"concat('/page/', CAST(event_id % {R.WIDE_ENDPOINTS} AS VARCHAR))"
     arms = " ".join(f"WHEN {i} THEN {_q(r)}" for i, r in enumerate(R.RESOURCES))
     return (f"CASE event_id % 8 {arms} "
             f"ELSE concat({_q(R.CART_PREFIX)}, CAST(1000 + event_id % 9001 AS VARCHAR)) END")
@@ -136,9 +138,12 @@ def _minute_metrics(variant: str, time_expr: str, where: str = "") -> str:
                FROM p {where} GROUP BY 1""")
 
 
+_LEVEL = ("CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 3 = 0 THEN 'CRITICAL' ELSE 'ERROR' END "
+          "WHEN event_type = 'purchase' THEN 'WARN' ELSE 'INFO' END")
+
+
 def _json_alerts() -> str:
-    level = ("CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 3 = 0 THEN 'CRITICAL' ELSE 'ERROR' END "
-             "WHEN event_type = 'purchase' THEN 'WARN' ELSE 'INFO' END")
+    level = _LEVEL
     levels = ", ".join(_q(x) for x in P.ALERT_LEVELS)
     return f"""SELECT event_id AS "offset", ts AS kafka_ingestion_time,
                  date_trunc('second', ts) AS log_timestamp, {level} AS log_level,
@@ -146,6 +151,18 @@ def _json_alerts() -> str:
                FROM events WHERE event_id % 89 <> 0 AND ({level}) IN ({levels})"""
 
 
+def alert_documents() -> str:
+    levels = ", ".join(_q(x) for x in P.ALERT_LEVELS)
+    return f"""SELECT * FROM (SELECT concat({_q(R.APP_TOPIC)}, '-', CAST(event_id % 3 AS VARCHAR), '-', CAST(event_id AS VARCHAR)) AS doc_id,
+          {_LEVEL} AS log_level, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM events WHERE event_id % 89 <> 0) a WHERE log_level IN ({levels})"""
+
+
+def rejected_lines() -> str:
+    return f"""SELECT * FROM (SELECT event_id AS "offset", line AS value,
+          CASE WHEN line IS NULL THEN 'null' WHEN regexp_matches(line, {_q(P.ANY_PATTERN)}) THEN 'parsed_other' ELSE 'unparsed' END AS line_class
+        FROM ({lines_cte()}) l WHERE line IS NULL OR NOT regexp_matches(line, {_q(P.EXTENDED_PATTERN)})) r"""
+
+
 def batch_oracles() -> dict[str, str]:
     pat_any = _q(P.ANY_PATTERN)
     pat_elf = _q(P.EXTENDED_PATTERN)
@@ -184,8 +201,13 @@ def batch_oracles() -> dict[str, str]:
           {_round2('requests * 100.0 / sum(requests) OVER ()')} AS share_percent
         FROM (SELECT {_STATUS_CLASS} AS status_class, count(*) AS requests
               FROM p WHERE status <> '' GROUP BY 1) c"""
-    s["top_endpoints"] = _with_parsed("weighted") + f"""SELECT {_ENDPOINT} AS endpoint, count(*) AS requests
-        FROM p WHERE status <> '' GROUP BY 1 ORDER BY requests DESC, endpoint ASC LIMIT 10"""
+    s["top_endpoints"], s["endpoint_share"] = (_with_parsed(v) + f"""SELECT {_ENDPOINT} AS endpoint, count(*) AS requests
+        FROM p WHERE status <> '' GROUP BY 1 ORDER BY requests DESC, endpoint ASC LIMIT 10""" for v in ("wide", "weighted"))
+    s["hour_active_ips_error"] = _with_parsed("dense") + """SELECT time_bucket(INTERVAL 1 hour, "timestamp") AS window_start,
+        count(DISTINCT ip) AS active_ip_count, true AS within_error FROM p GROUP BY 1"""
+    s["publish_lines_envelope"] = f"""SELECT {_q(R.ACCESS_TOPIC)} AS topic, line AS value, count(*) AS records, count(*) AS dated
+        FROM ({lines}) l GROUP BY line"""
+    s["text_file_lines"] = f"SELECT line AS value, count(*) AS lines, true AS named FROM ({lines}) l GROUP BY line"
     s["user_agent_share"] = _with_parsed() + f"""SELECT {_browser('user_agent')} AS browser,
           {_device('user_agent')} AS device, count(*) AS requests
         FROM p WHERE status <> '' GROUP BY 1, 2"""

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.operators import alerts, dashboards, metrics, parse
-from loglens.sources import feeds
+from loglens.session import configure, scratch_path
+from loglens.sources import feeds, files, kafka
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,8 +80,7 @@ def q_parse_quality(spark, sf_dir):
 
 def q_text_log_quality(spark, sf_dir):
     """Gzip text log files (generator naming) -> parse classes."""
-    from loglens.sources import files
-    lines = files.log_files(spark, feeds.text_feed_path(spark, sf_dir))
+    lines = files.log_files(spark, feeds.text_feed_path(spark, sf_dir), glob=files.TEXT_GLOB)
     return parse.parse_quality(lines)
 
 
@@ -124,14 +124,42 @@ def q_error_windows(spark, sf_dir):
     return alerts.error_windows(metrics.overview(parsed(spark, sf_dir), exact_ips=False))
 
 
+def q_endpoint_share(spark, sf_dir):
+    """D3 without a cut: all endpoints of the weighted feed."""
+    return dashboards.top_endpoints(parsed(spark, sf_dir, "weighted"), k=10)
+
+
+def q_hour_active_ips_error(spark, sf_dir):
+    """A6 against A7: hours with hundreds of clients (dense feed), exact count and
+    whether the HLL++ estimate is within three times its stated error."""
+    return metrics.active_ips_error(parsed(spark, sf_dir, "dense"))
+
+
+def q_publish_lines_envelope(spark, sf_dir):
+    """Text log files published as an envelope table, decoded again."""
+    from loglens.streaming import sinks
+    target = scratch_path(spark, "published")
+    sinks.publish_lines(spark, feeds.text_feed_path(spark, sf_dir), target, glob=files.TEXT_GLOB)
+    rows = parse.decode(kafka.envelope_batch(spark, target))
+    return rows.groupBy("topic", "value").agg(F.count_distinct("partition", "offset").alias("records"),
+                                              F.count("date").alias("dated"))
+
+
+def q_text_file_lines(spark, sf_dir):
+    """Plain text log files with their names; every line comes from one file."""
+    lines = files.log_files(spark, feeds.text_feed_path(spark, sf_dir, compression="none"), glob=files.TEXT_GLOB)
+    return lines.groupBy("value").agg(F.count(F.lit(1)).alias("lines"),
+                                      F.bool_and(F.col("file_name").rlike(r"^part-.*\.txt$")).alias("named"))
+
+
 def q_status_class_share(spark, sf_dir):
     """Requests and share per status class."""
     return dashboards.status_class_share(parsed(spark, sf_dir))
 
 
 def q_top_endpoints(spark, sf_dir):
-    """D3: ten most requested endpoints (weighted feed)."""
-    return dashboards.top_endpoints(parsed(spark, sf_dir, "weighted"), k=10)
+    """D3: ten most requested of 23 endpoints, with ties at the cut (wide feed)."""
+    return dashboards.top_endpoints(parsed(spark, sf_dir, "wide"), k=10)
 
 
 def q_user_agent_share(spark, sf_dir):
@@ -151,8 +179,8 @@ def q_client_profile(spark, sf_dir):
 
 def q_json_alerts(spark, sf_dir):
     """JSON app-log severity alerts."""
-    app = alerts.parse_json_log(feeds.feed(spark, sf_dir, "json"), keep=("offset",))
-    return alerts.severity_filter(app).select(
+    app = alerts.json_alerts(feeds.feed(spark, sf_dir, "json"), keep=("offset",))
+    return app.select(
         "offset", _ntz("kafka_ingestion_time"), _ntz("log_timestamp"),
         "log_level", "log_message", "user_id")
 
@@ -172,10 +200,7 @@ def q_lake_log_search(spark, sf_dir):
     """D10 on the parsed, date-partitioned lake: the date range prunes folders,
     the status / substring / time predicates are pushed into the Parquet scan."""
     lake = spark.read.parquet(feeds.parsed_lake_path(spark, sf_dir))
-    params = dict(SEARCH)
-    hits = dashboards.log_search(lake, **params).where(
-        (F.col("date") >= F.to_date(F.lit(params["start"])))
-        & (F.col("date") <= F.to_date(F.lit(params["end"]))))
+    hits = dashboards.log_search(lake, **SEARCH)
     return hits.select("offset", _ntz("timestamp"), "ip", "request", "status")
 
 
@@ -198,6 +223,10 @@ def batch_queries() -> dict[str, Query]:
         "error_windows": q_error_windows,
         "status_class_share": q_status_class_share,
         "top_endpoints": q_top_endpoints,
+        "endpoint_share": q_endpoint_share,
+        "hour_active_ips_error": q_hour_active_ips_error,
+        "publish_lines_envelope": q_publish_lines_envelope,
+        "text_file_lines": q_text_file_lines,
         "user_agent_share": q_user_agent_share,
         "access_heatmap": q_access_heatmap,
         "client_profile": q_client_profile,
@@ -210,6 +239,12 @@ def batch_queries() -> dict[str, Query]:
 
 def all_queries() -> dict[str, Query]:
     from loglens.streaming import queries as sq
-    out = batch_queries()
-    out.update(sq.stream_queries())
-    return out
+    return {name: _in_utc(q) for name, q in (batch_queries() | sq.stream_queries()).items()}
+
+
+def _in_utc(query: Query) -> Query:
+    """The query in a session that is set up for it, whatever the caller's zone was."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(configure(spark), sf_dir)
+    run.__doc__ = query.__doc__
+    return run

@@ -36,13 +36,13 @@ def scale_conf(input_bytes: int, cores: int, split_bytes: int = 256 * MB,
     * scan splits of ``split_bytes`` (Parquet row groups are read whole), so
       100 TB is ~400k scan tasks, about 50 waves on 8000 slots;
     * an initial shuffle width of one partition per ``shuffle_bytes_per_partition``
-      of input (at least two per slot, at most 50k). Metric shuffles carry
+      of input (at least two per slot). Metric shuffles carry
       only partial aggregates, far less than the input, and AQE coalesces
       them to ``advisoryPartitionSizeInBytes``; wide ones (distinct IP x
       endpoint) keep enough partitions to stay in memory;
     * AQE skew handling splits any oversized shuffle partition.
     """
-    width = max(2 * cores, min(50_000, -(-input_bytes // shuffle_bytes_per_partition)))
+    width = max(2 * cores, -(-input_bytes // shuffle_bytes_per_partition))
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(width),
@@ -96,6 +96,10 @@ def resolve_root(configured: str | None, context_dir: str | None, master: str) -
     session may create its own. Raises on a cluster without one: a
     machine-local folder there would not be visible to other executors."""
     root = configured or context_dir
+    local = (master or "").split("[")[0] == "local"
+    if root and not local and root.startswith(("/", "file:")) and not master.startswith("local-cluster"):
+        raise RuntimeError(
+            f"{root} is a folder of one machine; set spark.checkpoint.dir to one that all executors share")
     if root:
         return root
     if not (master or "").startswith("local"):

@@ -9,8 +9,10 @@ a stored ``value`` column exactly as it would in production.
 from __future__ import annotations
 
 import hashlib
+import inspect
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,22 +32,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-# Bump when the feed's content or layout changes, so stale copies are not reused.
-FEED_VERSION = 4
-
-
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Identity of the source table: location, size and modification time."""
+    """Identity of a feed: the recipe that derives it, and the place, sizes and
+    times of all files of the source table."""
     fs, p = _fs(spark, f"{sf_dir.rstrip('/')}/events.parquet")
-    st = fs.getFileStatus(p)
     where = sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
-    raw = f"v{FEED_VERSION}|{where}|{st.getLen()}|{st.getModificationTime()}"
-    return hashlib.sha1(raw.encode()).hexdigest()[:16]
+    mark = hashlib.sha1(f"{where}|{inspect.getsource(recipe)}|{inspect.getsource(kafka)}".encode())
+    it, files = fs.listFiles(p, True), []
+    while it.hasNext():
+        st = it.next()
+        files.append(f"{st.getPath().getName()}|{st.getLen()}|{st.getModificationTime()}")
+    mark.update("\n".join(sorted(files)).encode())
+    return mark.hexdigest()[:16]
+
 
+def _published(spark: SparkSession, base: str) -> str | None:
+    """The first complete copy below ``base``; every reader picks the same one."""
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return None
+    names = sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+    return next((f"{base}/{n}" for n in names if path_exists(spark, f"{base}/{n}/_SUCCESS")), None)
 
-def _tmp(path: str) -> str:
-    """A private sibling folder to write into before publishing ``path``."""
-    return f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+
+def _once(spark: SparkSession, base: str, write: Callable[[str], None]) -> str:
+    """Path of the table ``base``, written by ``write(path)`` unless it is there.
+
+    Each writer has a folder of its own, complete when Spark has put its
+    ``_SUCCESS`` file there. Nothing is moved, so writers that run at the same
+    time cannot disturb each other; readers use the first complete copy."""
+    found = _published(spark, base)
+    if found is None:
+        write(f"{base}/{uuid.uuid4().hex[:12]}")
+        found = _published(spark, base)
+    if found is None:
+        raise RuntimeError(f"could not write {base}")
+    return found
 
 
 # Target bytes of source data per write task.
@@ -66,71 +88,21 @@ def with_date(envelope: DataFrame) -> DataFrame:
 def feed_path(spark: SparkSession, sf_dir: str, kind: str = "access", variant: str = "plain") -> str:
     """Write the feed if absent; return its path. Safe to call repeatedly."""
     configure(spark)
-    path = f"{shared_root(spark)}/feeds/{kind}-{variant}-{_fingerprint(spark, sf_dir)}"
-    if path_exists(spark, f"{path}/_SUCCESS"):
-        return path
-    env = (recipe.access_envelope(spark, sf_dir, variant) if kind == "access"
-           else recipe.json_envelope(spark, sf_dir))
-    # Range-partition on the record time: tasks get balanced, contiguous
-    # slices (sampled bounds, so a hot day is split across tasks rather than
-    # landing on one), and each task writes one or two date folders instead
-    # of one small file per (task, date).
-    tmp = _tmp(path)
-    n = write_partitions(spark, f"{sf_dir.rstrip('/')}/events.parquet")
-    with_date(env).repartitionByRange(n, "timestamp", "offset") \
-        .sortWithinPartitions("timestamp", "offset") \
-        .write.mode("overwrite").option("compression", "zstd") \
-        .partitionBy("date").parquet(tmp)
-    _stamp_in_time_order(spark, tmp)
-    _publish(spark, tmp, path)
-    return path
-
-
-def _stamp_in_time_order(spark: SparkSession, path: str) -> None:
-    """Give the feed's files increasing modification times in record-time order.
-
-    A file stream source takes files oldest first, so replaying the feed
-    as a stream then delivers it roughly in time order, like a topic, and
-    watermarks advance as they would live. Files are ordered by (date
-    folder, part number); the range-partitioned write makes that time order.
-    """
-    fs, p = _fs(spark, path)
-    it = fs.listFiles(p, True)
-    files = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if name.endswith(".parquet"):
-            files.append((st.getPath().getParent().getName(), name, st.getPath()))
-    base = max(0, spark._jvm.System.currentTimeMillis() - 1000 * (len(files) + 1))
-    try:
-        for i, (_, _, fp) in enumerate(sorted(files, key=lambda f: (f[0], f[1]))):
-            fs.setTimes(fp, base + 1000 * i, -1)
-    except Exception:  # noqa: BLE001 - object stores may not support setTimes
-        pass  # replay then follows the store's own file order
-
-
-def _publish(spark: SparkSession, tmp: str, path: str) -> None:
-    """Move a finished temporary folder into place; a concurrent writer that
-    published first wins and this copy is dropped."""
-    fs, src = _fs(spark, tmp)
-    _, dst = _fs(spark, path)
-    if fs.exists(dst) or not fs.rename(src, dst):
-        if not path_exists(spark, f"{path}/_SUCCESS"):
-            raise RuntimeError(f"could not publish {path}")
-        fs.delete(src, True)
-
-
-def file_count(spark: SparkSession, path: str) -> int:
-    """Number of data files under ``path`` (driver-side listing, no job)."""
-    fs, p = _fs(spark, path)
-    it = fs.listFiles(p, True)
-    n = 0
-    while it.hasNext():
-        name = it.next().getPath().getName()
-        if not name.startswith(("_", ".")):
-            n += 1
-    return n
+
+    def write(path: str) -> None:
+        env = (recipe.access_envelope(spark, sf_dir, variant) if kind == "access"
+               else recipe.json_envelope(spark, sf_dir, variant))
+        # Range-partition on the record time: tasks get balanced, contiguous
+        # slices (sampled bounds, so a hot day is split across tasks rather than
+        # landing on one), and each task writes one or two date folders instead
+        # of one small file per (task, date).
+        n = write_partitions(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+        with_date(env).repartitionByRange(n, "timestamp", "offset") \
+            .sortWithinPartitions("timestamp", "offset") \
+            .write.mode("overwrite").option("compression", "zstd") \
+            .partitionBy("date").parquet(path)
+
+    return _once(spark, f"{shared_root(spark)}/feeds/{kind}-{variant}-{_fingerprint(spark, sf_dir)}", write)
 
 
 def feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant: str = "plain") -> DataFrame:
@@ -138,37 +110,29 @@ def feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant: str =
     return kafka.envelope_batch(spark, feed_path(spark, sf_dir, kind, variant))
 
 
-def text_feed_path(spark: SparkSession, sf_dir: str, variant: str = "plain") -> str:
-    """The access feed as gzip text log files named like the generator's output
-    (``access_log_<yyyymmdd-HHMMSS>_<n>.log.gz``); written once, then reused."""
-    path = f"{shared_root(spark)}/feeds/text-{variant}-{_fingerprint(spark, sf_dir)}"
-    if path_exists(spark, f"{path}/_SUCCESS"):
-        return path
-    tmp = _tmp(path)
-    lines = feed(spark, sf_dir, "access", variant)
-    lines.select(F.col("value").cast("string").alias("value")) \
-        .write.mode("overwrite").option("compression", "gzip").text(tmp)
-    fs, src = _fs(spark, tmp)
-    parts = sorted(st.getPath().getName() for st in fs.listStatus(src)
-                   if st.getPath().getName().startswith("part-"))
-    for i, name in enumerate(parts):
-        fs.rename(spark._jvm.org.apache.hadoop.fs.Path(f"{tmp}/{name}"),
-                  spark._jvm.org.apache.hadoop.fs.Path(f"{tmp}/access_log_20240101-000000_{i:05d}.log.gz"))
-    _publish(spark, tmp, path)
-    return path
+def text_feed_path(spark: SparkSession, sf_dir: str, variant: str = "plain",
+                   compression: str = "gzip") -> str:
+    """The access feed as text log files; written once, then reused."""
+    configure(spark)
+
+    def write(path: str) -> None:
+        lines = feed(spark, sf_dir, "access", variant)
+        lines.select(F.col("value").cast("string").alias("value")) \
+            .write.mode("overwrite").option("compression", compression).text(path)
+
+    return _once(spark, f"{shared_root(spark)}/feeds/text-{compression}-{variant}-{_fingerprint(spark, sf_dir)}", write)
 
 
 def parsed_lake_path(spark: SparkSession, sf_dir: str, variant: str = "plain") -> str:
     """The access feed parsed once and stored as a date-partitioned lake."""
     from loglens.operators import parse
     from loglens.streaming import sinks
-    path = f"{shared_root(spark)}/lakes/access-{variant}-{_fingerprint(spark, sf_dir)}"
-    if path_exists(spark, f"{path}/_SUCCESS"):
-        return path
-    tmp = _tmp(path)
-    src = feed_path(spark, sf_dir, "access", variant)
-    parsed = parse.parse_access(parse.decode(kafka.envelope_batch(spark, src)),
-                                keep=("offset", "timestamp"))
-    sinks.write_lake(parsed, tmp, write_partitions(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
-    _publish(spark, tmp, path)
-    return path
+    configure(spark)
+
+    def write(path: str) -> None:
+        src = feed_path(spark, sf_dir, "access", variant)
+        sinks.write_lake(parse.decode(kafka.envelope_batch(spark, src)), path,
+                         write_partitions(spark, f"{sf_dir.rstrip('/')}/events.parquet"),
+                         transform=lambda raw: parse.parse_access(raw, keep=("offset", "timestamp")))
+
+    return _once(spark, f"{shared_root(spark)}/lakes/access-{variant}-{_fingerprint(spark, sf_dir)}", write)

@@ -7,49 +7,21 @@ from pyspark.sql import functions as F
 
 # Generator file names: [prefix_]access_log_<yyyymmdd-HHMMSS>.log[.gz]
 ACCESS_LOG_GLOB = "*access_log_*.log*"
-# A gzip file above this many compressed bytes is worth spreading after read.
-GZIP_SPREAD_BYTES = 64 * 1024 * 1024
-# Assumed expansion of gzip-compressed log text, and target text per task.
-GZIP_EXPANSION = 8
-TEXT_BYTES_PER_TASK = 256 * 1024 * 1024
-
-
-def _gzip_bytes(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(largest .gz file, total .gz bytes) under ``path`` - driver-side listing."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    it = fs.listFiles(p, True)
-    largest = total = 0
-    while it.hasNext():
-        st = it.next()
-        if st.getPath().getName().endswith(".gz"):
-            largest = max(largest, st.getLen())
-            total += st.getLen()
-    return largest, total
+# Text files as Spark writes them, compressed or not.
+TEXT_GLOB = "part-*.txt*"
 
 
 def log_files(spark: SparkSession, path: str, glob: str = ACCESS_LOG_GLOB,
-              streaming: bool = False, min_partitions: int | str | None = "auto") -> DataFrame:
+              streaming: bool = False, min_partitions: int | None = None) -> DataFrame:
     """Lines of matching files as ``value`` plus the source ``file_name``.
 
     ``.gz`` files are decompressed transparently but cannot be split: each
-    is read by one task. With ``min_partitions="auto"`` (batch only) a gzip
-    file over ``GZIP_SPREAD_BYTES`` triggers a round-robin redistribution of
-    the lines (no key, so no skew) before any parsing, so only the
-    decompression of a huge file stays on one task; otherwise nothing is
-    shuffled. An integer forces that many partitions; None never shuffles.
+    is read by one task. Where files are large, pass ``min_partitions``: a
+    round-robin redistribution of the lines (no key, so no skew) before any
+    parsing, so only the decompression stays on one task per file.
     """
     reader = spark.readStream if streaming else spark.read
     df = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
         .format("text").load(path)
     df = df.select("value", F.col("_metadata.file_name").alias("file_name"))
-    if streaming or min_partitions is None:
-        return df
-    if min_partitions == "auto":
-        largest, total = _gzip_bytes(spark, path)
-        if largest <= GZIP_SPREAD_BYTES:
-            return df
-        min_partitions = max(spark.sparkContext.defaultParallelism,
-                             -(-total * GZIP_EXPANSION // TEXT_BYTES_PER_TASK))
-    return df.repartition(int(min_partitions))
+    return df if streaming or min_partitions is None else df.repartition(min_partitions)

@@ -29,7 +29,9 @@ UA_OPERA = "Opera/9.80 (X11) Presto/2.9 Version/11.00"
 GARBAGE_LINE = "garbage line"
 ACCESS_TOPIC = "access_log"
 APP_TOPIC = "app_log"
-VARIANTS = ("plain", "dense", "late", "weighted")
+VARIANTS = ("plain", "dense", "late", "weighted", "wide")
+# Distinct endpoints of the wide variant, more than any top-k list shows.
+WIDE_ENDPOINTS = 23
 
 ENVELOPE_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp")
 
@@ -49,6 +51,8 @@ def _uri(eid: Column, variant: str) -> Column:
                 .when(m <= 8, F.lit(WEIGHTED_RESOURCES[1]))
                 .when(m <= 11, F.lit(WEIGHTED_RESOURCES[2]))
                 .otherwise(F.lit(WEIGHTED_RESOURCES[3])))
+    if variant == "wide":
+        return F.concat(F.lit("/page/"), _s(eid % WIDE_ENDPOINTS))
     m = eid % 8
     out = F.when(m == 7, F.concat(F.lit(CART_PREFIX), _s(F.lit(1000) + eid % 9001)))
     for i, r in enumerate(RESOURCES):
@@ -106,14 +110,18 @@ def access_lines(events: DataFrame, variant: str = "plain") -> DataFrame:
     return events.select(eid.alias("offset"), ingest.alias("ingest_ts"), line.alias("line"))
 
 
-def json_lines(events: DataFrame) -> DataFrame:
-    """``events`` -> (offset, ingest_ts, line) with JSON application-log lines."""
+def json_lines(events: DataFrame, variant: str = "plain") -> DataFrame:
+    """``events`` -> (offset, ingest_ts, line) with JSON application-log lines; in
+    the ``undated`` variant every fifth one has no time stamp of its own."""
     eid = F.col("event_id")
+    stamp = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    if variant == "undated":
+        stamp = F.when(eid % 5 != 0, stamp)
     et = F.col("event_type")
     level = (F.when(et == "error", F.when(eid % 3 == 0, F.lit("CRITICAL")).otherwise(F.lit("ERROR")))
              .when(et == "purchase", F.lit("WARN")).otherwise(F.lit("INFO")))
     doc = F.to_json(F.struct(
-        F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        stamp.alias("timestamp"),
         level.alias("level"), et.alias("message"), F.col("user_id").alias("user_id")))
     line = F.when(eid % 89 == 0, F.lit("notjson")).otherwise(doc)
     return events.select(eid.alias("offset"), F.col("ts").alias("ingest_ts"), line.alias("line"))
@@ -139,5 +147,5 @@ def access_envelope(spark: SparkSession, sf_dir: str, variant: str = "plain") ->
     return to_envelope(access_lines(load_table(spark, sf_dir, "events"), variant), ACCESS_TOPIC)
 
 
-def json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_envelope(json_lines(load_table(spark, sf_dir, "events")), APP_TOPIC)
+def json_envelope(spark: SparkSession, sf_dir: str, variant: str = "plain") -> DataFrame:
+    return to_envelope(json_lines(load_table(spark, sf_dir, "events"), variant), APP_TOPIC)

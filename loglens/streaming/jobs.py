@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglens.functions import parsing as fx
+from loglens.functions import patterns as P
 from loglens.operators import metrics, parse
 from loglens.session import shared_root
 from loglens.streaming import sinks
@@ -70,10 +71,7 @@ def start_access_jobs(spark: SparkSession, envelope: DataFrame, name: str = "acc
 def batch_partials(parsed: DataFrame, width: str = metrics.MINUTE) -> DataFrame:
     """Additive per-window partial metrics of one micro-batch."""
     return parsed.groupBy(F.window(F.col("timestamp"), width).alias("window")).agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        F.count_if(F.col("status").startswith("4")).alias("error_4xx_count"),
-        F.count_if(F.col("status").startswith("5")).alias("error_5xx_count"),
-        F.sum(fx.to_long(F.col("bytes"))).alias("total_bytes"),
+        *metrics.counts(),
         # The sketch skips empty strings, but unparsed lines carry ip '' and
         # count as one client (as with approx_count_distinct); an injective
         # prefix keeps them. NULL stays NULL and is skipped by both.
@@ -86,26 +84,35 @@ def batch_partials(parsed: DataFrame, width: str = metrics.MINUTE) -> DataFrame:
 def start_shared_scan_job(spark: SparkSession, envelope: DataFrame, raw_path: str,
                           partials_path: str, checkpoint: str,
                           trigger: dict | None = None,
-                          files_per_batch: int | None = None) -> StreamingQuery:
-    """One read of the source feeding both the raw lake and the metrics.
+                          files_per_batch: int | None = None,
+                          quarantine_path: str | None = None) -> StreamingQuery:
+    """One read and one parse of the source feeding the raw lake, the metrics and,
+    with ``quarantine_path``, the dead-letter table of rejected lines (only those
+    are matched again, for their class).
 
     ``files_per_batch`` bounds the raw files a micro-batch writes (see
     ``sinks.raw_lake``); the partial metrics are tiny either way.
     """
-    parsed = parsed_stream(envelope)
+    parsed = fx.with_groups(parse.decode(envelope), "value", P.EXTENDED_PATTERN, P.EXTENDED_FIELDS,
+                            ["key", "timestamp", "offset"], keep_source=True)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Cached for the two writes below; lost blocks are recomputed from
         # the source offsets of this batch, which are fixed in the offset log.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            raw = batch.withColumns({"date": F.to_date("timestamp"), "batch_id": F.lit(batch_id)})
+            raw = batch.drop("value").withColumns(
+                {"date": F.to_date("timestamp"), "batch_id": F.lit(batch_id)})
             if files_per_batch:
                 raw = raw.repartition(files_per_batch)
             (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("date", "batch_id").parquet(raw_path))
             (batch_partials(batch).write.mode("overwrite")
              .parquet(f"{partials_path}/batch_id={batch_id}"))
+            if quarantine_path:
+                rejected = batch.where(F.col("value").isNull() | (F.col("status") == ""))
+                (parse.line_class(rejected.select("key", "timestamp", "offset", "value"))
+                 .write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}"))
         finally:
             batch.unpersist()
 
@@ -117,13 +124,20 @@ def start_shared_scan_job(spark: SparkSession, envelope: DataFrame, raw_path: st
 
 def merge_partials(spark: SparkSession, partials_path: str) -> DataFrame:
     """Final window metrics from all partials (sums + HLL union)."""
-    p = spark.read.parquet(partials_path)
-    return p.groupBy("window_start", "window_end").agg(
-        F.sum("total_requests").alias("total_requests"),
-        F.sum("error_4xx_count").alias("error_4xx_count"),
-        F.sum("error_5xx_count").alias("error_5xx_count"),
-        F.sum("total_bytes").alias("total_bytes"),
-        F.hll_sketch_estimate(F.hll_union_agg("ip_sketch")).alias("active_ip_count"))
+    return _added(sinks.read_batches(spark, partials_path)) \
+        .withColumn("active_ip_count", F.hll_sketch_estimate("ip_sketch")).drop("ip_sketch", "batch_id")
+
+
+def _added(partials: DataFrame) -> DataFrame:
+    sums = ("total_requests", "error_4xx_count", "error_5xx_count", "total_bytes")
+    return partials.groupBy("window_start", "window_end").agg(
+        *[F.sum(c).alias(c) for c in sums], F.hll_union_agg("ip_sketch").alias("ip_sketch"),
+        F.max("batch_id").alias("batch_id"))
+
+
+def compact_partials(spark: SparkSession, partials_path: str, max_batch_id: int | None = None) -> int | None:
+    """Add the partials of many batches up into one copy (see ``sinks.compact_batches``)."""
+    return sinks.compact_batches(spark, partials_path, _added, max_batch_id)
 
 
 def await_jobs(spark: SparkSession, queries: list[StreamingQuery],

@@ -8,8 +8,11 @@ sink read back as a batch DataFrame.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from loglens.operators import alerts, metrics, parse
 from loglens.plans import oracle as O
@@ -22,17 +25,35 @@ METRIC_COLUMNS = ("window_start", "window_end", "total_requests", "error_4xx_cou
 APPEND_WATERMARK = "10 minutes"
 
 
-def _stream_feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant: str = "plain",
-                 batches: int = 1) -> DataFrame:
-    """The feed as a file stream split into about ``batches`` micro-batches."""
-    path = feeds.feed_path(spark, sf_dir, kind, variant)
-    per = None if batches <= 1 else max(1, -(-feeds.file_count(spark, path) // batches))
-    return kafka.envelope_file_stream(spark, path, max_files_per_trigger=per)
+def _stream_feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant: str = "plain") -> DataFrame:
+    """The whole feed as a file stream."""
+    return kafka.envelope_file_stream(spark, feeds.feed_path(spark, sf_dir, kind, variant))
+
+
+def _in_slices(spark: SparkSession, sf_dir: str, label: str, variant: str,
+               start: Callable[[DataFrame, str], StreamingQuery], slices: int = 3) -> str:
+    """Replay a feed like a topic: its records are appended in time order, slice by
+    slice, and after each slice the query (``start(source, folder)``) resumes from
+    its checkpoint and takes what is new. Returns the query's folder."""
+    run = scratch_path(spark, label)
+    records = feeds.feed(spark, sf_dir, "access", variant)
+    seconds = F.unix_micros("timestamp").cast("double")
+    cuts = records.select(seconds.alias("s")).approxQuantile("s", [i / slices for i in range(1, slices)], 0.001)
+    bounds = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    total: dict = {}
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        records.where((seconds > low) & (seconds <= high)).drop("date") \
+            .write.mode("append").parquet(f"{run}/source")
+        runner.run_available(spark, label=label, start=lambda: start(
+            kafka.envelope_file_stream(spark, f"{run}/source", partitioned=False), run))
+        total = runner.added(total, runner.PROGRESS[label])
+    runner.PROGRESS[label] = total
+    return run
 
 
 def q_stream_parse_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parse-only stream (append): every record exactly once."""
-    src = parse.decode(_stream_feed(spark, sf_dir, batches=2))
+    src = parse.decode(_stream_feed(spark, sf_dir))
     out = parse.parse_access(src, keep=("offset", "timestamp"))
     run = scratch_path(spark, "stream_parse_append")
     runner.run_available(spark, label="stream_parse_append", start=lambda:
@@ -44,7 +65,7 @@ def q_stream_parse_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_minute_metrics_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest-time minute metrics in update mode, no watermark (as the
     original job), upserted per micro-batch; read back last write per window."""
-    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, batches=2)))
+    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir)))
     agg = metrics.flatten_window(metrics.window_metrics(src, "timestamp"), ntz=False)
     run = scratch_path(spark, "stream_minute_metrics_update")
     runner.run_available(spark, label="stream_minute_metrics_update", start=lambda:
@@ -60,7 +81,7 @@ def q_stream_minute_overview_update(spark: SparkSession, sf_dir: str) -> DataFra
     """Metric-overview documents (rate, error %, mean size, HLL active IPs) upserted
     per micro-batch keyed by window_start; the approximate IP count is left out
     of the checked projection."""
-    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, batches=2)))
+    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir)))
     docs = metrics.overview_from_metrics(
         metrics.flatten_window(metrics.window_metrics(src, "timestamp"), ntz=False))
     run = scratch_path(spark, "stream_minute_overview_update")
@@ -73,42 +94,69 @@ def q_stream_minute_overview_update(spark: SparkSession, sf_dir: str) -> DataFra
                          "request_per_minute", "error_rate_percent", "average_response_size")
 
 
-def q_stream_minute_metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Minute metrics in append mode with a watermark: each closed window once.
-
-    The feed arrives in time order over three micro-batches, so windows
-    close as the watermark passes them, batch by batch."""
-    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, batches=3)))
-    agg = metrics.flatten_window(
-        metrics.window_metrics(src, "timestamp", watermark=APPEND_WATERMARK), ntz=False)
-    run = scratch_path(spark, "stream_minute_metrics_append")
-    runner.run_available(spark, label="stream_minute_metrics_append", start=lambda:
-        sinks.parquet_append(agg, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+def _closed_windows(spark: SparkSession, run: str) -> DataFrame:
     return spark.read.parquet(f"{run}/out").select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), *METRIC_COLUMNS[2:])
 
 
+def q_stream_minute_metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute metrics in append mode with a watermark: each closed window once.
+
+    The feed arrives in three slices, so windows close as the watermark
+    passes them, run by run."""
+    def start(source: DataFrame, run: str) -> StreamingQuery:
+        agg = metrics.window_metrics(parse.parse_access(parse.decode(source)), "timestamp",
+                                     watermark=APPEND_WATERMARK)
+        return sinks.parquet_append(metrics.flatten_window(agg, ntz=False), f"{run}/out",
+                                    f"{run}/checkpoint", runner.AVAILABLE_NOW)
+    return _closed_windows(spark, _in_slices(spark, sf_dir, "stream_minute_metrics_append", "plain", start))
+
+
 def q_stream_event_time_minute_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event-time minute metrics over the late feed (lines up to 80 s late),
-    watermark 10 minutes, append, three micro-batches in ingest order."""
-    src = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir, variant="late", batches=3)))
-    agg = metrics.event_time_metrics(src, watermark=APPEND_WATERMARK)
-    run = scratch_path(spark, "stream_event_time_minute_metrics")
-    out = agg.select(F.col("window_start").cast("timestamp").alias("window_start"),
-                     F.col("window_end").cast("timestamp").alias("window_end"), *METRIC_COLUMNS[2:])
-    runner.run_available(spark, label="stream_event_time_minute_metrics", start=lambda:
-        sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
-    return spark.read.parquet(f"{run}/out").select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"), *METRIC_COLUMNS[2:])
+    watermark 10 minutes, append, three slices in ingest order."""
+    def start(source: DataFrame, run: str) -> StreamingQuery:
+        parsed = parse.parse_access_matched(parse.decode(source))
+        return sinks.parquet_append(metrics.event_time_metrics(parsed, watermark=APPEND_WATERMARK),
+                                    f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW)
+    return _closed_windows(spark, _in_slices(spark, sf_dir, "stream_event_time_minute_metrics", "late", start))
+
+
+def q_raw_lake_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: the raw lake written by the stream, read back with its date folders."""
+    run = scratch_path(spark, "raw_lake_records")
+    parsed = parse.parse_access(parse.decode(_stream_feed(spark, sf_dir)), keep=("timestamp", "offset"))
+    runner.run_available(spark, label="raw_lake_records", start=lambda: sinks.raw_lake(
+        parsed, f"{run}/lake", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+    return spark.read.parquet(f"{run}/lake").select("offset", "ip", "request", "status", "bytes", F.col("date").cast("string").alias("date"))
+
+
+def q_alert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/K4: alerts in the document sink (Parquet form), routed by date; a record
+    without a time stamp of its own goes to the day it came in."""
+    run = scratch_path(spark, "alert_documents")
+    found = alerts.json_alerts(_stream_feed(spark, sf_dir, "json", "undated"), keep=("topic", "partition", "offset"))
+    runner.run_available(spark, label="alert_documents", start=lambda: sinks.document_sink(
+        found, f"{run}/logs_{{date}}", f"{run}/checkpoint", time_col=["log_timestamp", "kafka_ingestion_time"],
+        id_cols=("topic", "partition", "offset"), trigger=runner.AVAILABLE_NOW))
+    return spark.read.parquet(f"{run}/logs").select("doc_id", "log_level", F.col("date").cast("string").alias("date"))
+
+
+def q_quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3: the lines that the shared-scan job rejects, with their class."""
+    from loglens.streaming import jobs
+    run = scratch_path(spark, "quarantined_lines")
+    runner.run_available(spark, label="quarantined_lines", start=lambda: jobs.start_shared_scan_job(
+        spark, _stream_feed(spark, sf_dir), f"{run}/raw", f"{run}/partials", f"{run}/checkpoint",
+        trigger=runner.AVAILABLE_NOW, quarantine_path=f"{run}/rejected"))
+    return sinks.read_batches(spark, f"{run}/rejected").select("offset", "value", "line_class")
 
 
 def q_stream_json_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON app-log severity alerts as a stream (processing_time dropped)."""
-    app = alerts.parse_json_log(_stream_feed(spark, sf_dir, kind="json", batches=2),
-                                keep=("offset",))
-    out = alerts.severity_filter(app).drop("processing_time")
+    out = alerts.json_alerts(_stream_feed(spark, sf_dir, kind="json"),
+                             keep=("offset",)).drop("processing_time")
     run = scratch_path(spark, "stream_json_alerts")
     runner.run_available(spark, label="stream_json_alerts", start=lambda:
         sinks.parquet_append(out, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
@@ -124,7 +172,7 @@ def q_stream_minute_metrics_shared_scan(spark: SparkSession, sf_dir: str) -> Dat
     run = scratch_path(spark, "stream_minute_metrics_shared_scan")
     runner.run_available(spark, label="stream_minute_metrics_shared_scan", start=lambda:
         jobs.start_shared_scan_job(
-        spark, _stream_feed(spark, sf_dir, batches=2), f"{run}/raw", f"{run}/partials",
+        spark, _stream_feed(spark, sf_dir), f"{run}/raw", f"{run}/partials",
         f"{run}/checkpoint", trigger=runner.AVAILABLE_NOW))
     m = jobs.merge_partials(spark, f"{run}/partials")
     return m.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
@@ -138,7 +186,7 @@ def q_stream_access_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loglens.streaming import jobs
     run = scratch_path(spark, "stream_access_jobs")
     runner.run_available(spark, label="stream_access_jobs", start=lambda: jobs.start_access_jobs(
-        spark, _stream_feed(spark, sf_dir, batches=2), raw_path=f"{run}/raw",
+        spark, _stream_feed(spark, sf_dir), raw_path=f"{run}/raw",
         metrics_path=f"{run}/metrics", checkpoint_root=f"{run}/checkpoints",
         trigger=runner.AVAILABLE_NOW))
     latest = sinks.read_upserts(spark, f"{run}/metrics", "window_start")
@@ -157,6 +205,9 @@ def stream_queries():
         "stream_minute_metrics_append": q_stream_minute_metrics_append,
         "stream_event_time_minute_metrics": q_stream_event_time_minute_metrics,
         "stream_json_alerts": q_stream_json_alerts,
+        "raw_lake_records": q_raw_lake_records,
+        "alert_documents": q_alert_documents,
+        "quarantined_lines": q_quarantined_lines,
     }
 
 
@@ -181,4 +232,8 @@ def stream_oracles():
         "stream_minute_metrics_append": _closed(b["minute_metrics"], "SELECT max(ts) FROM events"),
         "stream_event_time_minute_metrics": _closed(b["event_time_minute_metrics"], late_max),
         "stream_json_alerts": b["json_alerts"],
+        "raw_lake_records": O._with_parsed() + 'SELECT "offset", ip, request, status, bytes, '
+                            'CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS date FROM p',
+        "alert_documents": O.alert_documents(),
+        "quarantined_lines": O.rejected_lines(),
     }

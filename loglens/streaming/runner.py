@@ -26,10 +26,21 @@ def summarize(query: StreamingQuery) -> dict:
             "dropped_by_watermark": late, "state_rows": state}
 
 
-def finish(query: StreamingQuery, timeout_s: float = 1800.0) -> StreamingQuery:
-    """Wait for an availableNow query; re-raise its failure."""
-    done = query.awaitTermination(timeout_s)
-    if not done:
+def added(total: dict, run: dict) -> dict:
+    """Progress of several runs of one query."""
+    if not total:
+        return dict(run)
+    out = total | {k: total[k] + run[k] for k in ("rows", "batches", "trigger_ms", "dropped_by_watermark")}
+    out["rows_per_sec"] = round(out["rows"] * 1000.0 / out["trigger_ms"], 1) if out["trigger_ms"] else None
+    return out | {"state_rows": run["state_rows"]}
+
+
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for an availableNow query, as long as its backlog takes, and re-raise
+    its failure. ``timeout_s`` is for callers that want a limit."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
     exc = query.exception()
@@ -40,14 +51,15 @@ def finish(query: StreamingQuery, timeout_s: float = 1800.0) -> StreamingQuery:
 
 def run_available(spark: SparkSession,
                   start: Callable[[], StreamingQuery | list[StreamingQuery]],
-                  state_partitions: int | None = None, timeout_s: float = 1800.0,
+                  state_partitions: int | None = None, timeout_s: float | None = None,
                   label: str | None = None) -> StreamingQuery | list[StreamingQuery]:
     """Start a query (or several) with ``start()`` and block until each has
     consumed its input.
 
     A stateful query fixes its shuffle (= state store) width at its first
     batch and keeps it for the life of the checkpoint. ``state_partitions``
-    (default: the cluster's parallelism) applies to this query only: a
+    (default: the parallelism at this moment, which suits a checkpoint used
+    once; give it for one that is kept) applies to this query only: a
     streaming query runs on a copy of the session taken when it starts, so
     the caller's setting is restored as soon as ``start()`` returns.
     """

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from loglens.sources.kafka import LAKE_SCHEMA
+
 ES_FORMAT = "org.elasticsearch.spark.sql"
 # Parquet codec for stored logs: zstd compresses log text far better than the
 # snappy default, so scans of a large lake read fewer bytes.
@@ -43,7 +45,8 @@ def _writer(df: DataFrame, mode: str, checkpoint: str | None, trigger: dict | No
 
 def console(df: DataFrame, mode: str = "append", checkpoint: str | None = None,
             trigger: dict | None = None, num_rows: int = 20) -> StreamingQuery:
-    """Print each micro-batch untruncated (``update`` for aggregates)."""
+    """Print each micro-batch untruncated (``update`` for aggregates). A display:
+    of a larger batch only the first ``num_rows`` rows are shown."""
     return (_writer(df, mode, checkpoint, trigger, None).format("console")
             .option("truncate", "false").option("numRows", str(num_rows)).start())
 
@@ -75,23 +78,25 @@ def raw_lake(parsed: DataFrame, path: str, checkpoint: str, trigger: dict | None
             .partitionBy("date").option("path", path).start())
 
 
-def write_lake(parsed: DataFrame, path: str, partitions: int | None = None,
-               time_col: str = "timestamp", mode: str = "overwrite") -> None:
-    """Batch write of parsed records as a date-partitioned Parquet lake.
+def write_lake(records: DataFrame, path: str, partitions: int | None = None,
+               time_col: str = "timestamp", mode: str = "overwrite", tie: str = "offset",
+               transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Batch write of records as a date-partitioned Parquet lake.
 
-    Range-partitioned on the record time (sampled bounds): tasks are
-    balanced even when one day dominates, and each writes one or two date
-    folders. Rows are sorted by time inside each task, so row-group min/max
-    statistics let time-range searches skip row groups within a day; zstd
-    keeps log text small on disk.
+    Range-partitioned on the record time and ``tie`` (sampled bounds): tasks
+    are balanced even when one day, or one time stamp, dominates, and each
+    writes one or two date folders. ``transform`` (the parse) runs behind the
+    exchange, so the sampling pass reads raw records only. Rows are sorted by
+    time inside each task, so row-group min/max statistics let time-range
+    searches skip row groups within a day; zstd keeps log text small on disk.
     """
-    spark = parsed.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
-    (parsed.withColumn("date", F.to_date(F.col(time_col)))
-     .repartitionByRange(n, F.col(time_col))
-     .sortWithinPartitions(time_col)
-     .write.mode(mode).option("compression", LAKE_COMPRESSION)
-     .partitionBy("date").parquet(path))
+    n = partitions or records.sparkSession.sparkContext.defaultParallelism
+    dealt = records.repartitionByRange(n, time_col, tie)
+    (transform(dealt) if transform else dealt) \
+        .withColumn("date", F.to_date(F.col(time_col))) \
+        .sortWithinPartitions(time_col) \
+        .write.mode(mode).option("compression", LAKE_COMPRESSION) \
+        .partitionBy("date").parquet(path)
 
 
 def parquet_append(df: DataFrame, path: str, checkpoint: str,
@@ -121,7 +126,7 @@ def _batch_writer(fmt: str, target: str, options: dict[str, str], date_col: str
 
 def document_sink(records: DataFrame, resource: str, checkpoint: str,
                   fmt: str = "parquet", options: dict[str, str] | None = None,
-                  time_col: str | None = None, trigger: dict | None = None,
+                  time_col: str | list[str] | None = None, trigger: dict | None = None,
                   id_cols: tuple[str, ...] | None = None) -> StreamingQuery:
     """Append records to a document store, one micro-batch at a time.
 
@@ -144,7 +149,9 @@ def document_sink(records: DataFrame, resource: str, checkpoint: str,
         if fmt == ES_FORMAT:
             opts.setdefault("es.mapping.id", "doc_id")
     if routed:
-        src = F.col(time_col) if time_col else F.current_timestamp()
+        # The first of the time columns that has a value; a record never lacks a date.
+        times = [time_col] if isinstance(time_col, str) else list(time_col or [])
+        src = F.coalesce(*[F.col(c) for c in times], F.current_timestamp())
         df = df.withColumn("date", F.date_format(src, "yyyy.MM.dd" if fmt == ES_FORMAT
                                                   else "yyyy-MM-dd"))
     if fmt == ES_FORMAT:
@@ -179,51 +186,126 @@ def upsert_metrics(metrics: DataFrame, path: str, checkpoint: str, key: str = "w
             .foreachBatch(_batch_writer(fmt, path, opts, None, "append")).start())
 
 
+def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the complete ``prefix=N`` folders of a table."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}=")
+                  and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a table of ``batch_id=N`` folders, with ``batch_id``: the newest
+    compacted copy (``compacted=N``: batches up to N) and the batches after it.
+
+    A batch that is being written, or one that a compaction already holds, is
+    not read, so readers, writers and compactions may run at the same time."""
+    base = _numbered(spark, path, "compacted")
+    upto = base[-1] if base else -1
+    parts = [f"{path}/batch_id={n}" for n in _numbered(spark, path, "batch_id") if n > upto]
+    out = None
+    if base:
+        out = spark.read.parquet(f"{path}/compacted={upto}")
+    if parts:
+        new = spark.read.option("basePath", path).parquet(*parts).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+        out = new if out is None else out.unionByName(new)
+    if out is None:
+        raise FileNotFoundError(f"no complete batch in {path}")
+    return out
+
+
+def compact_batches(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame],
+                    max_batch_id: int | None = None) -> int | None:
+    """Merge the batches up to ``max_batch_id`` (default: the newest complete one)
+    into one ``compacted=N`` copy, then drop older copies. Batches that arrive
+    meanwhile stay as they are. Returns N, or None if there was nothing to do.
+    ``merge`` maps rows with ``batch_id`` to fewer rows with the same columns."""
+    done = _numbered(spark, path, "compacted")
+    known = [n for n in _numbered(spark, path, "batch_id") if not done or n > done[-1]]
+    upto = max((n for n in known if max_batch_id is None or n <= max_batch_id), default=None)
+    if upto is None:
+        return None
+    merge(read_batches(spark, path).where(F.col("batch_id") <= upto)) \
+        .write.mode("overwrite").parquet(f"{path}/compacted={upto}")
+    return upto
+
+
+def drop_compacted(spark: SparkSession, path: str) -> None:
+    """Delete batches and copies that the newest compacted copy holds. Run it when
+    no reader of before the last compaction is left."""
+    done = _numbered(spark, path, "compacted")
+    if not done:
+        return
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [f"batch_id={n}" for n in _numbered(spark, path, "batch_id") if n <= done[-1]]
+    for name in old + [f"compacted={n}" for n in done[:-1]]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+
+
+def _latest(keys: list[str]) -> Callable[[DataFrame], DataFrame]:
+    def merge(df: DataFrame) -> DataFrame:
+        vals = [c for c in df.columns if c not in keys and c != "batch_id"]
+        newest = F.max_by(F.struct(*vals), F.col("batch_id")).alias("_v")
+        return df.groupBy(*keys).agg(newest, F.max("batch_id").alias("batch_id")) \
+            .select(*keys, "_v.*", "batch_id")
+    return merge
+
+
 def read_upserts(spark: SparkSession, path: str, key: str | list[str] = "window_start") -> DataFrame:
     """Newest version of every key in an ``upsert_metrics`` Parquet table.
 
     ``max_by`` over ``batch_id`` is an ordinary aggregate: partial
     aggregation before the shuffle, one output row per key.
     """
-    df = spark.read.parquet(path)
     keys = [key] if isinstance(key, str) else list(key)
-    vals = [c for c in df.columns if c not in keys and c != "batch_id"]
-    latest = F.max_by(F.struct(*vals), F.col("batch_id")).alias("_v")
-    return df.groupBy(*keys).agg(latest).select(*keys, "_v.*")
+    return _latest(keys)(read_batches(spark, path)).drop("batch_id")
+
+
+def compact_upserts(spark: SparkSession, path: str, key: str | list[str] = "window_start",
+                    max_batch_id: int | None = None) -> int | None:
+    """Keep the newest version of every key in one copy (see ``compact_batches``)."""
+    return compact_batches(spark, path, _latest([key] if isinstance(key, str) else list(key)), max_batch_id)
 
 
-def compact_upserts(spark: SparkSession, path: str, out: str,
-                    key: str | list[str] = "window_start") -> None:
-    """Rewrite the resolved table into ``out`` (periodic compaction of the upsert
-    log). ``out`` must be a new location: the log is read while this runs."""
-    if out.rstrip("/") == path.rstrip("/"):
-        raise ValueError("compact into a new location, then swap it in")
-    read_upserts(spark, path, key).withColumn("batch_id", F.lit(0).cast("bigint")) \
-        .write.mode("overwrite").parquet(f"{out}/batch_id=0")
+# The characters that count as white space at the ends of a line.
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def publish_lines(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
                   topic: str | None = None, bootstrap_servers: str | None = None,
                   glob: str = "*") -> None:
-    """Text log files -> one record per non-blank, whitespace-trimmed line.
+    """Text log files -> one record per non-blank line, white space stripped at its ends.
 
     ``fmt="kafka"`` sends UTF-8 values (no key) to ``topic``. Otherwise an
-    envelope table is written to ``target``: ``offset`` is unique per line
-    (not dense), ``partition`` is the writing task, ``timestamp`` the
-    publish time.
+    envelope table with ``date`` folders is appended at ``target``:
+    ``partition`` is the writing task, ``timestamp`` the publish time, and
+    ``offset`` is unique over all runs (not dense): a run starts above the
+    largest offset stored. Publish to one table from one run at a time.
     """
     lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
-        .text(source).select(F.trim(F.col("value")).alias("line")) \
+        .text(source).select(F.btrim(F.col("value"), F.lit(WHITE_SPACE)).alias("line")) \
         .where(F.length("line") > 0)
     if fmt == "kafka":
         (lines.select(F.encode("line", "UTF-8").alias("value")).write.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())
         return
+    jvm = spark._jvm
+    there = jvm.org.apache.hadoop.fs.Path(target)
+    stored = there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+    first = 0
+    if stored:
+        last = spark.read.schema(LAKE_SCHEMA).parquet(target).agg(F.max("offset")).first()[0]
+        first = 0 if last is None else last + 1
     env = lines.select(
         F.lit(None).cast("binary").alias("key"),
         F.encode("line", "UTF-8").alias("value"),
         F.lit(topic or "access_log").alias("topic"),
         F.spark_partition_id().alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
+        (F.lit(first).cast("bigint") + F.monotonically_increasing_id()).alias("offset"),
         F.current_timestamp().alias("timestamp"))
-    env.write.mode("append").parquet(target)
+    env.withColumn("date", F.to_date("timestamp")).write.mode("append").partitionBy("date").parquet(target)

@@ -50,7 +50,7 @@ def test_scans_prune_columns(spark):
 
 def test_log_search_prunes_partitions_and_pushes_filters(spark):
     plan = _plan(E.queries()["log_search"](spark, SF001))
-    assert "PartitionFilters: [isnotnull(date" in plan
+    assert "PartitionFilters: [((date" in plan
     assert "GreaterThanOrEqual(timestamp" in plan
 
 
@@ -65,7 +65,7 @@ def _formatted(df) -> str:
 
 def test_lake_search_pushes_every_predicate(spark):
     plan = _formatted(E.queries()["lake_log_search"](spark, SF001))
-    assert "PartitionFilters: [isnotnull(date" in plan
+    assert "PartitionFilters: [((date" in plan
     for f in ("EqualTo(status,404)", "StringContains(request,wp-admin)",
               "LessThan(timestamp"):
         assert f in plan, f
@@ -84,3 +84,50 @@ def test_json_alerts_parse_each_record_once(spark):
     plan = _plan(E.queries()["json_alerts"](spark, SF001))
     assert plan.count("from_json(") == 1
     assert "Generate inline" in plan
+
+
+def test_lake_search_prunes_in_the_operator(spark):
+    plan = _plan(E.queries()["lake_log_search"](spark, SF001))
+    assert "PartitionFilters: [((date" in plan and "GreaterThanOrEqual(timestamp" in plan
+
+
+def test_severity_filter_reaches_a_stored_table(spark, scratch):
+    from loglens.operators import alerts
+    path = scratch("alerts")
+    spark.createDataFrame([("ERROR", 1)], "log_level string, n int").write.parquet(path)
+    assert "PushedFilters: [In(log_level" in _plan(alerts.severity_filter(spark.read.parquet(path)))
+
+
+def test_streaming_event_time_parses_a_line_once(spark, scratch):
+    from loglens.operators import metrics, parse
+    from loglens.sources import feeds, kafka
+    from loglens.streaming import runner, sinks
+    base = scratch("once")
+    # Without the closing batch that has no data, the last plan is the data's.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    source = kafka.envelope_file_stream(spark, feeds.feed_path(spark, SF001, variant="late"))
+    for parsed in (parse.parse_access_matched(parse.decode(source)), parse.parse_access(parse.decode(source))):
+        run = f"{base}/{len(parsed.columns)}-{id(parsed)}"
+        q = runner.finish(sinks.parquet_append(metrics.event_time_metrics(parsed, watermark="10 minutes"),
+                                               f"{run}/out", f"{run}/ck", runner.AVAILABLE_NOW))
+        plan = q._jsq.explainInternal(False)
+        assert plan.count("regexp_replace(") == 1
+    spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+
+
+def test_enrich_parses_a_line_once_by_default(spark):
+    from loglens.operators import parse
+    plan = _plan(parse.enrich(Q.parsed(spark, SF001)))
+    assert plan.count("regexp_replace(value") == 1
+
+
+def test_fixed_patterns():
+    """The oracle imports these, so they are pinned here."""
+    import re
+
+    from loglens.functions import patterns as P
+    assert P.ALERT_LEVELS == ("ERROR", "WARN", "CRITICAL")
+    line = '1.2.3.4 - - [01/Jan/2024:00:00:01 +0000] "GET /a HTTP/1.0" 200 12 "ref" "agent"'
+    assert re.match(P.EXTENDED_PATTERN, line).groups() == (
+        "1.2.3.4", "01/Jan/2024:00:00:01 +0000", "GET /a HTTP/1.0", "200", "12", "ref", "agent")
+    assert re.match(P.EXTENDED_PATTERN, "garbage line") is None

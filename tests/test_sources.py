@@ -30,7 +30,7 @@ def test_envelope_schema_and_feed_reuse(spark):
 def test_scale_conf_bounds():
     big = scale_conf(100 * 1024 ** 4, 8000)
     small = scale_conf(10 * 1024 ** 2, 8)
-    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
+    assert int(big["spark.sql.shuffle.partitions"]) == 102_400
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
@@ -57,15 +57,53 @@ def test_shared_root_rules():
     assert resolve_root(None, None, "local[8]") is None
     with pytest.raises(RuntimeError):
         resolve_root(None, None, "spark://master:7077")
+    for local in ("/tmp/ckpt", "file:///tmp/ckpt"):
+        with pytest.raises(RuntimeError):
+            resolve_root(local, None, "spark://master:7077")
+        assert resolve_root(local, None, "local[4]") == local
 
 
-def test_log_files_spreads_only_big_gzip(spark, monkeypatch):
+def test_fingerprint_follows_the_files_of_a_folder(spark, tmp_path):
+    table = f"{tmp_path}/events.parquet"
+    spark.range(5).write.parquet(table)
+    before = feeds._fingerprint(spark, str(tmp_path))
+    part = next(p for p in (tmp_path / "events.parquet").iterdir() if p.name.endswith(".parquet"))
+    part.write_bytes(part.read_bytes() + b"x")
+    assert feeds._fingerprint(spark, str(tmp_path)) != before
+
+
+def test_concurrent_writers_of_a_feed_agree(spark, scratch):
+    base, made = scratch("once"), []
+
+    def write(path):
+        if not made:  # another writer finishes while this one is at work
+            made.append(feeds._once(spark, base, lambda p: (made.append(p), spark.range(3).write.parquet(p))))
+        spark.range(3).write.parquet(path)
+
+    first = feeds._once(spark, base, write)
+    assert spark.read.parquet(first).count() == 3
+    assert feeds._once(spark, base, lambda p: 1 / 0) == first
+
+
+def test_queries_do_not_depend_on_the_session_zone(spark):
+    from loglens.plans import queries as Q
+    for path in (feeds.parsed_lake_path, feeds.text_feed_path):
+        path(spark, SF001)
+    want = sorted(Q.all_queries()["lake_log_search"](spark, SF001).collect())
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Ho_Chi_Minh")
+    try:
+        assert sorted(Q.all_queries()["lake_log_search"](spark, SF001).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_log_files_spread_only_on_request(spark):
     from loglens.sources import files
     path = feeds.text_feed_path(spark, SF001)
-    plain = files.log_files(spark, path)
+    plain = files.log_files(spark, path, glob=files.TEXT_GLOB)
     assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(files, "GZIP_SPREAD_BYTES", 0)
-    spread = files.log_files(spark, path)
+    spread = files.log_files(spark, path, glob=files.TEXT_GLOB, min_partitions=4)
     assert "RoundRobinPartitioning" in spread._jdf.queryExecution().executedPlan().toString()
     assert spread.count() == plain.count() == 1000
 
@@ -77,3 +115,17 @@ def test_cli_argument_checks():
     with pytest.raises(SystemExit):
         cli._args(["metrics"])
     assert cli._args(["metrics", "--envelope-path", "/x"]).envelope_path == "/x"
+    assert cli._args(["metrics", "--envelope-path", "/x"]).starting_offsets == "earliest"
+    a = cli._args(["alerts", "--bootstrap", "b", "--index-option", "es.nodes=h:9200", "--index-option", "es.net.ssl=true"])
+    assert a.starting_offsets == "latest" and a.index_option == ["es.nodes=h:9200", "es.net.ssl=true"]
+    for bad in (["report", "--envelope-path", "/x"], ["compact"], ["alerts", "--bootstrap", "b", "--index-option", "x"]):
+        with pytest.raises(SystemExit):
+            cli._args(bad)
+
+
+def test_cli_report(spark, scratch):
+    from loglens import cli
+    from loglens.plans import queries as Q
+    out = scratch("report")
+    cli.main(["report", "--envelope-path", feeds.feed_path(spark, SF001), "--panel", "status", "--out", out])
+    assert sorted(spark.read.parquet(out).collect()) == sorted(Q.q_status_class_share(spark, SF001).collect())

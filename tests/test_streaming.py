@@ -106,8 +106,8 @@ def test_raw_lake_and_document_sink(spark, scratch):
 
 def test_text_files_and_publish(spark, scratch):
     base = scratch("text")
-    lines = Q.decoded(spark, SF001).select(F.concat(F.lit("  "), "value", F.lit(" ")).alias("value"))
-    blanks = spark.range(5).select(F.lit("   ").alias("value"))
+    lines = Q.decoded(spark, SF001).select(F.concat(F.lit("\t \u00a0"), "value", F.lit(" \x0b\u3000")).alias("value"))
+    blanks = spark.range(5).select(F.lit(" \t\x0c\u2003").alias("value"))
     lines.unionByName(blanks).write.option("compression", "gzip").text(f"{base}/logs")
     txt = files.log_files(spark, f"{base}/logs", glob="part-*.gz", min_partitions=4)
     assert txt.count() == 1005
@@ -117,6 +117,14 @@ def test_text_files_and_publish(spark, scratch):
     got = parse.parse_quality(parse.decode(env))
     want = Q.q_parse_quality(spark, SF001)
     assert sorted(got.collect()) == sorted(want.collect())
+    # A second run goes on behind the first one's offsets, and both can be searched.
+    sinks.publish_lines(spark, f"{base}/logs", f"{base}/topic", glob="part-*")
+    env = kafka.envelope_batch(spark, f"{base}/topic")
+    assert env.select("topic", "partition", "offset").distinct().count() == env.count() == 2000
+    assert env.where("date is null").count() == 0
+    from loglens.operators import dashboards
+    some = dashboards.search_feed(parse.decode(env), contains="wp-admin", start="2020-01-01", end="2100-01-01")
+    assert some.count() == 2 * Q.parsed(spark, SF001).where(F.col("request").contains("wp-admin")).count() > 0
 
 
 def test_access_jobs_and_shared_scan(spark, scratch):
@@ -149,6 +157,33 @@ def test_console_sinks_run(spark, scratch, capsys):
     runner.finish(sinks.console(parsed, "append", f"{base}/c1", runner.AVAILABLE_NOW, num_rows=2))
     agg = metrics.window_metrics(parsed)
     runner.finish(sinks.console(agg, "update", f"{base}/c2", runner.AVAILABLE_NOW, num_rows=2))
+    for folder in ("c1", "c2"):
+        # The batch is committed, so its rows went to the sink.
+        assert os.path.exists(f"{base}/{folder}/commits/0".removeprefix("file:"))
+
+
+def test_finish_waits_as_long_as_it_takes_unless_told_otherwise(spark, scratch):
+    import time
+    base = scratch("slow")
+    source = kafka.envelope_file_stream(spark, feeds.feed_path(spark, SF001))
+    start = lambda n: source.writeStream.option("checkpointLocation", f"{base}/{n}").trigger(
+        availableNow=True).foreachBatch(lambda df, i: time.sleep(4)).start()
+    import pytest
+    with pytest.raises(TimeoutError):
+        runner.finish(start(1), timeout_s=0.5)
+    assert not runner.finish(start(2)).isActive
+
+
+def test_alerts_without_a_time_stamp_are_dated(spark, scratch):
+    base = scratch("undated")
+    docs = ['{"level":"ERROR","message":"m","user_id":1}', '{"timestamp":"2024-02-03T00:00:05Z","level":"ERROR"}']
+    spark.createDataFrame([(None, d.encode(), "t", 0, i, dt.datetime(2024, 1, 1, 12)) for i, d in enumerate(docs)],
+                          kafka.ENVELOPE_SCHEMA).write.parquet(f"{base}/in")
+    from loglens.operators import alerts
+    found = alerts.json_alerts(kafka.envelope_file_stream(spark, f"{base}/in", partitioned=False))
+    runner.finish(sinks.document_sink(found, f"{base}/logs_{{date}}", f"{base}/ck", trigger=runner.AVAILABLE_NOW,
+                                      time_col=["log_timestamp", "kafka_ingestion_time"]))
+    assert sorted(str(r.date) for r in spark.read.parquet(f"{base}/logs").collect()) == ["2024-01-01", "2024-02-03"]
 
 
 def test_quarantine_split(spark):
@@ -164,7 +199,7 @@ def test_cli_publish(spark, scratch):
     base = scratch("cli")
     Q.decoded(spark, SF001).select("value").write.text(f"{base}/logs")
     cli.main(["publish", "--source", f"{base}/logs", "--lake", f"{base}/topic"])
-    assert kafka.envelope_batch(spark, f"{base}/topic", partitioned=False).count() == 1000
+    assert kafka.envelope_batch(spark, f"{base}/topic").where("date is not null").count() == 1000
 
 
 EVENT_LINE = '10.0.0.{ip} - - [01/Jan/2024:{hms} +0000] "GET /list HTTP/1.0" 200 100 "-" "UA"'
@@ -200,12 +235,33 @@ def test_compacted_upserts_read_the_same(spark, scratch):
                                  ntz=False)
     runner.finish(sinks.upsert_metrics(agg, f"{base}/log", f"{base}/ck", trigger=runner.AVAILABLE_NOW))
     before = sinks.read_upserts(spark, f"{base}/log")
-    sinks.compact_upserts(spark, f"{base}/log", f"{base}/compact")
-    after = sinks.read_upserts(spark, f"{base}/compact")
-    assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
-    import pytest
-    with pytest.raises(ValueError):
-        sinks.compact_upserts(spark, f"{base}/log", f"{base}/log")
+    want = sorted(before.collect())
+    last = sinks.compact_upserts(spark, f"{base}/log", max_batch_id=0)
+    assert last == 0 and sorted(sinks.read_upserts(spark, f"{base}/log").collect()) == want
+    assert sinks.compact_upserts(spark, f"{base}/log") > 0
+    assert sorted(sinks.read_upserts(spark, f"{base}/log").collect()) == want
+    sinks.drop_compacted(spark, f"{base}/log")
+    assert sorted(sinks.read_upserts(spark, f"{base}/log").collect()) == want
+    assert sinks.compact_upserts(spark, f"{base}/log") is None
+
+
+def test_batches_written_during_a_compaction_are_kept(spark, scratch):
+    path = f"{scratch('during')}/log"
+
+    def write(n):
+        spark.createDataFrame([(k, n) for k in range(n + 1)], "k int, v int").write.parquet(f"{path}/batch_id={n}")
+
+    for n in range(6):
+        write(n)
+
+    def merge(df):
+        write(6)  # arrives while the compaction runs
+        return sinks._latest(["k"])(df)
+
+    assert sinks.compact_batches(spark, path, merge) == 5
+    assert {r.k: r.v for r in sinks.read_upserts(spark, path, "k").collect()} == {k: 6 for k in range(7)}
+    sinks.drop_compacted(spark, path)
+    assert sinks.read_batches(spark, path).select("batch_id").distinct().count() == 2
 
 
 def test_shared_scan_hll_close_to_exact(spark, scratch):
