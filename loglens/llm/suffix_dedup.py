@@ -53,8 +53,9 @@ from loglens.llm.store import stored
 
 LENGTH = 200
 GRAM = 72
-BLOCK_BYTES = 8 << 20
-SORT_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+SORT_BYTES = 1 << 20
+PARTS_PER_TASK = 4       # a task sorts its parts one after the other
 HOT_BLOCKS = 1000
 HOT_STARTS = 8
 # A difference cover; every distance modulo 31 is a difference of two of its members.
@@ -325,11 +326,24 @@ def repeated_windows(buf: np.ndarray, starts: np.ndarray, windows: np.ndarray, l
     return out
 
 
+def content_hashes(buf: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of stretches that lie one behind the other, a few MB at a time."""
+    out = [np.zeros(0, dtype=np.uint64)]
+    a = 0
+    while a < len(starts):
+        z = max(a + 1, int(np.searchsorted(starts, starts[a] + T.SLICE_BYTES, "right")) - 1)
+        base, end = int(starts[a]), int(starts[z - 1] + size[z - 1])
+        own = starts[a:z] - base
+        out.append(T.span_hash(T.prefix_hash(buf[base:end]), own, own + size[a:z]))
+        a = z
+    return np.concatenate(out)
+
+
 def settle(buf: np.ndarray, windows: np.ndarray, left: np.ndarray, bucket: np.ndarray, sort_bytes: int = SORT_BYTES) -> np.ndarray:
     """Bits of all windows of a part's stretches, in their order."""
     size = (windows + LENGTH - 1).astype(np.int64)
     starts = np.cumsum(size) - size
-    content = T.span_hash(T.prefix_hash(buf), starts, starts + size)
+    content = content_hashes(buf, starts, size)
     _, first, of_content, times = np.unique(content, return_index=True, return_inverse=True, return_counts=True)
     bits: list[np.ndarray | None] = [np.ones(int(windows[f]), dtype=bool) if t > 1 else None for f, t in zip(first, times, strict=True)]
     # Distinct contents by bucket; only buckets with several need sorting.
@@ -405,7 +419,7 @@ def dedup_bytes(docs: DataFrame, parts: int | None = None, block_bytes: int = BL
     """Per row of ``docs`` (doc_id, text): n_bytes, n_removed, n_spans, kept_sha256 and ``spans``, the removed
     byte ranges (start, end exclusive)."""
     spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or PARTS_PER_TASK * int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     blocks = stored(make_blocks(docs, block_bytes), "dedup-blocks")
     levels = stored(_anchor_answers(_anchor_messages(blocks, parts), hot_blocks), "dedup-anchors")
