@@ -33,7 +33,6 @@ empty out.
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +46,7 @@ from pyspark.sql import functions as F
 from loglens.llm import text as T
 from loglens.llm.store import stored
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 MOST_DISCOUNTED = 5
 HOT_SHARE = 10_000
 HOT_SPLIT = 64
@@ -59,24 +58,30 @@ MODEL = -1               # "block" of the rows that hold the model's own tables
 # --- packed arrays --------------------------------------------------------
 
 def _narrow(a: np.ndarray) -> np.ndarray:
-    if a.dtype == np.bool_ or not len(a):
+    if a.dtype == np.bool_:
         return a
-    return a.astype(np.min_scalar_type(int(a.max())))
+    return a.astype(np.min_scalar_type(int(a.max())) if len(a) else np.uint8)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Non-negative integer arrays, each in the narrowest type, compressed."""
-    out = io.BytesIO()
+    """Non-negative integer arrays, each in the narrowest type and by byte planes, compressed."""
+    out = [np.array([len(arrays)], dtype=np.int64).tobytes()]
     for a in arrays:
-        np.save(out, _narrow(np.asarray(a)), allow_pickle=False)
-    return zstandard.compress(out.getvalue(), 3)
+        a = np.ascontiguousarray(_narrow(np.asarray(a)))
+        kind = a.dtype if a.dtype == np.bool_ else np.dtype(f"u{a.dtype.itemsize}")
+        planes = a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T
+        out += [np.array([len(a), kind.itemsize, kind == np.bool_], dtype=np.int64).tobytes(), planes.tobytes()]
+    return zstandard.compress(b"".join(out), 3)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
-    raw = io.BytesIO(zstandard.decompress(blob))
-    out = []
-    while raw.tell() < len(raw.getbuffer()):
-        out.append(np.load(raw, allow_pickle=False))
+    raw = zstandard.decompress(blob)
+    at, out = 8, []
+    for _ in range(int(np.frombuffer(raw, np.int64, 1)[0])):
+        n, width, flag = np.frombuffer(raw, np.int64, 3, at).tolist()
+        planes = np.frombuffer(raw, np.uint8, n * width, at + 24).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(np.bool_ if flag else np.dtype(f"u{width}")))
+        at += 24 + n * width
     return out
 
 
@@ -248,6 +253,12 @@ def _context_sums(keys: np.ndarray, counts: np.ndarray, w_counts: np.ndarray) ->
     return names, [np.add.reduceat(c.astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64) for c in columns]
 
 
+def _table(pairs: np.ndarray, counts: np.ndarray) -> bytes:
+    """A part of the bigram table: first words (as differences), their numbers of pairs, second words, counts."""
+    h, runs = np.unique(pairs >> np.uint64(32), return_counts=True)
+    return pack(np.diff(h, prepend=np.uint64(0)), runs, pairs & np.uint64(0xFFFFFFFF), counts)
+
+
 def _pair_answers(messages: DataFrame) -> DataFrame:
     """Per (block, part): counts of the block's pairs and the sums of their contexts; per part the bigram table."""
 
@@ -267,7 +278,7 @@ def _pair_answers(messages: DataFrame) -> DataFrame:
         seen = total > 0
         names, sums = _context_sums(pairs[seen], total[seen], np.concatenate(w_counts)[first][seen])
         of_counts = np.bincount(np.minimum(total[seen], MOST_DISCOUNTED + 2), minlength=MOST_DISCOUNTED + 3)
-        out, at = [(MODEL, part, pack(of_counts, names, *sums), pack(pairs[seen], total[seen]))], 0
+        out, at = [(MODEL, part, pack(of_counts, names, *sums), _table(pairs[seen], total[seen]))], 0
         for block, k, h in zip(pdf["block"], keys, asked, strict=True):
             own = index[at:at + len(k)]
             at += len(k)
