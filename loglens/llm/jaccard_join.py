@@ -50,7 +50,7 @@ SLICE_BITS = 16
 STEPS = 8                # quantisation: steps per doubling of a frequency
 MOST_MATCHES = 8
 VERIFY_COST = 16.0       # of one verification, in postings
-BLOCK = 64
+BLOCK = 256
 
 
 def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
