@@ -37,7 +37,7 @@ from loglens.llm.store import stored
 
 K1, B = 1.2, 0.75
 BLOCK = 16
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 24 << 20
 QUERY_GROUP = 256
 COUNT_BYTES = 8 << 20
 DIGITS = 6
@@ -123,17 +123,27 @@ class Shard:
 
     def __init__(self, ids: np.ndarray, texts: pa.Array, mean_length: float, block: int = BLOCK):
         self.block = block
-        words, doc = [], []
-        for a, b, buf, offsets in T.slices(texts):
+        n = len(ids)
+        words, lengths = [], [np.zeros(0, np.int64)]
+        for _, _, buf, offsets in T.slices(texts):
             w, first = T.word_hashes(buf, offsets)
             words.append(w)
-            doc.append(np.repeat(np.arange(a, b, dtype=np.int64), np.diff(first)))
-        n = len(ids)
-        self.terms, term = np.unique(np.concatenate(words) if words else np.zeros(0, np.uint64), return_inverse=True)
-        doc = np.concatenate(doc) if doc else np.zeros(0, np.int64)
-        length = np.bincount(doc, minlength=n)
-        pairs, tf = np.unique(term.astype(np.int64) * max(n, 1) + doc, return_counts=True)
+            lengths.append(np.diff(first))
+        length = np.concatenate(lengths)
+        words = np.concatenate(words) if words else np.zeros(0, np.uint64)
+        self.terms, term = np.unique(words, return_inverse=True)
+        del words
+        # One sorted key per word occurrence, in place: the largest array of the build.
+        key = term.astype(np.int64, copy=False)
+        key *= max(n, 1)
+        key += np.repeat(np.arange(n), length)
+        key.sort()
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        tf = np.diff(np.append(first, len(key)))
+        pairs = key[first]
+        del key, term, first
         p_term, p_doc = pairs // max(n, 1), pairs % max(n, 1)
+        del pairs
         # Like documents side by side: by their most frequent word, then length.
         main = np.zeros(n, dtype=np.int64)
         by_tf = np.lexsort((p_term, tf))
