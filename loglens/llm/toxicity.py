@@ -43,6 +43,7 @@ BATCH = 16
 RATE = 0.05
 STEMS = (4, 5)
 SEED = 7
+LEAST_TEXTS = 3          # training texts a feature must occur in
 
 
 def token_ids(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,6 +108,12 @@ class TextCNN:
             self.constant = float(toxic.mean()) if len(toxic) else 0.5
             return self
         rng = np.random.default_rng(seed)
+        # What a single text has can't be told from chance: such features stay at zero.
+        spread = np.zeros(BUCKETS, dtype=np.int64)
+        for t in texts:
+            spread[np.unique(t)] += 1
+        known = spread >= LEAST_TEXTS
+        self.e[~known] = 0
         share = toxic.mean()
         weight = np.where(toxic == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
         seen = {"e": np.full_like(self.e, 1e-6), "c": np.full_like(self.c, 1e-6), "v": np.full_like(self.v, 1e-6), "b": 1e-6}
@@ -141,6 +148,7 @@ class TextCNN:
                     where, inverse = np.unique(np.concatenate([a for a, _ in de]), return_inverse=True)
                     total = np.zeros((len(where), DIMENSIONS), dtype=np.float32)
                     np.add.at(total, inverse, np.concatenate([d for _, d in de]))
+                    where, total = where[known[where]], total[known[where]]
                     seen["e"][where] += total * total
                     self.e[where] -= RATE * total / np.sqrt(seen["e"][where])
                 for name, grad in (("c", dc), ("v", dv)):
