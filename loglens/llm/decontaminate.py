@@ -11,9 +11,10 @@ fewer than 8 * (BLOCK_RADIUS + 1) bits. Pairs within ``RADIUS`` are verified
 by weighted Jaccard similarity of their shingle bags (weights: how rare a
 shingle is among the items) of ``THRESHOLD`` or more.
 
-Native: DataFrame functions only. Documents are read once, and windows leave
-the scan as rows of a few hundred bytes; no key groups documents, so no hot
-passage gathers anywhere. The items' tables are broadcast only up to
+Native: DataFrame functions only. A first read of the documents yields the
+places of such windows, written as a table; a second one cuts the windows out
+of the documents that have any. No key groups documents, so no hot passage
+gathers anywhere. The places and the items' tables are broadcast only up to
 ``BROADCAST_ROWS`` counted rows and are joined by shuffle beyond.
 
 Defined results: null or empty texts and items of fewer than five words match
@@ -29,6 +30,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loglens.llm.store import stored
+
 SHINGLE = 5
 THRESHOLD = 0.8
 RADIUS = 22
@@ -36,15 +39,19 @@ BLOCK_RADIUS = 2
 BROADCAST_ROWS = 1_000_000
 
 _WORDS = "filter(split(lower(coalesce(text, '')), '[^\\\\p{L}\\\\p{N}]+'), w -> w <> '')"
-_SHINGLES = (f"CASE WHEN size(words) < {SHINGLE} THEN array() "
-             f"ELSE transform(sequence(1, size(words) - {SHINGLE - 1}), i -> xxhash64(slice(words, i, {SHINGLE}))) END")
+# Elements are named one by one: slice() copies the whole array at every call.
+_SHINGLES = (f"CASE WHEN size(words) < {SHINGLE} THEN array() ELSE transform(sequence(0, size(words) - {SHINGLE}), "
+             f"i -> xxhash64({', '.join(f'words[i + {k}]' for k in range(SHINGLE))})) END")
 _MASKS = sorted({(1 << a | 1 << b) * (a != b) for a in range(8) for b in range(8)} | {1 << a for a in range(8)} | {0})
 
 
-def shingled(df: DataFrame, key: str) -> DataFrame:
-    """``key`` and ``hs``, the hashes of a text's shingles in order."""
-    return (df.select(key, F.expr(_WORDS).alias("words"))
-            .select(key, F.expr(_SHINGLES).cast("array<bigint>").alias("hs")).where("size(hs) > 0"))
+def shingled(df: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` and ``hs``, the hashes of a text's shingles in order.
+
+    Each step is a generator of one row: the optimizer copies no filter on a
+    later column, and so no second evaluation of the step, below a generator."""
+    split = df.select(*keep, F.explode(F.array(F.expr(_WORDS))).alias("words"))
+    return split.select(*keep, F.explode(F.array(F.expr(_SHINGLES).cast("array<bigint>"))).alias("hs"))
 
 
 def simhash(shingles: str) -> Column:
@@ -63,7 +70,7 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """Per item with shingles: item_id, hs, n (shingles), fingerprint."""
-    return (shingled(benchmark.select("item_id", "text").distinct(), "item_id")
+    return (shingled(benchmark.select("item_id", "text").distinct(), "item_id").where("size(hs) > 0")
             .select("item_id", "hs", F.size("hs").alias("n"), simhash("hs").alias("fp")))
 
 
@@ -77,10 +84,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     rarest = math.log(1 + total)
 
     seeds = places.select("h", "n", "at").distinct()
-    hits = (shingled(docs, "doc_id").select("doc_id", "hs", F.posexplode("hs").alias("pos", "h"))
-            .join(_small(seeds, rows), "h")
-            .withColumn("start", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.size("hs") - F.col("n"))))
-            .select("doc_id", "start", "n", F.expr("slice(hs, start + 1, n)").alias("win")).distinct())
+    # First the places alone (rows of a few numbers), then the windows of the documents that have any.
+    spots = stored(shingled(docs, "doc_id").select("doc_id", F.size("hs").alias("size"), F.posexplode_outer("hs").alias("pos", "h"))
+                   .join(_small(seeds, rows), "h")
+                   .select("doc_id", "n", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n"))).alias("start"))
+                   .distinct(), "leak-spots")
+    marked = spots.groupBy(F.col("doc_id").alias("id")).agg(F.collect_set(F.struct("start", "n")).alias("spots"))
+    held = docs.select("doc_id", "text").join(_small(marked, spots.count()), F.col("doc_id").eqNullSafe(F.col("id")))
+    hits = (shingled(held, "doc_id", "spots").select("doc_id", "hs", F.explode("spots").alias("spot"))
+            .select("doc_id", "spot.start", "spot.n", F.expr("slice(hs, spot.start + 1, spot.n)").alias("win"))
+            .where("size(win) > 0").distinct())
     weighed = (hits.select("doc_id", "start", "n", "win", F.explode("win").alias("h"))
                .join(_small(weights, rows), "h", "left")
                .groupBy("doc_id", "start", "n", "win").agg(F.sum(F.coalesce("w", F.lit(rarest))).alias("mass")))
