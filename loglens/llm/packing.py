@@ -46,15 +46,53 @@ SLICE = 1 << 20
 UNUSUAL = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|<\|endoftext\|>")
 
 
+# The byte-level tokenizer's pre-tokenisation pattern, and the characters that stand for bytes in
+# its vocabulary: printable ones for themselves, the others, in order, for 256 and up.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_OF = {chr(b): b for b in _PRINTABLE}
+_BYTE_OF.update((chr(256 + i), b) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE))
+
+
 class Encoder:
-    """Token ids of whole slices of texts, with a bounded cache of chunks."""
+    """Token ids of whole slices of texts, with a bounded cache of chunks.
+
+    New chunks are encoded many at a time from one string; the tokenizer's
+    pattern cuts it between them, and the ids' byte lengths tell where."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        ranks = {bytes(map(_BYTE_OF.__getitem__, token)): rank for token, rank in vocabulary.items()}
+        self.merger = tiktoken.Encoding("chunks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.width = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+        for token, rank in ranks.items():
+            self.width[rank] = len(token)
         self._forget()
 
+    def _chunks(self, chunks: list[bytes]) -> list[np.ndarray]:
+        """Ids of chunks: of words after one space, of words (each put behind a line end), of white space."""
+        out: list[np.ndarray] = [None] * len(chunks)  # type: ignore[list-item]
+        spaced, plain = [], []
+        for i, c in enumerate(chunks):
+            if T.SPACE[c[-1]]:
+                out[i] = np.array(self.merger.encode_ordinary(c.decode()), dtype=np.uint32)
+            else:
+                (spaced if c[0] == 32 else plain).append(i)
+        for rows, lead in ((spaced, b""), (plain, b"\n")):
+            if not rows:
+                continue
+            ids = np.array(self.merger.encode_ordinary(b"".join([lead + chunks[i] for i in rows]).decode()), dtype=np.uint32)
+            ends = np.cumsum([len(lead) + len(chunks[i]) for i in rows])
+            stops = np.searchsorted(np.cumsum(self.width[ids]), ends) + 1
+            starts = np.concatenate([[0], stops[:-1]]) + len(lead)
+            for i, a, b in zip(rows, starts.tolist(), stops.tolist(), strict=True):
+                out[i] = ids[a:b]
+        return out
+
     def _forget(self) -> None:
         self.rows: dict[int, int] = {}
         self.offsets = np.zeros(1, dtype=np.int64)
@@ -105,11 +143,11 @@ class Encoder:
         found = list(map(self.rows.get, keys.tolist()))
         new = [i for i, f in enumerate(found) if f is None]
         if new:
-            chunks = [raw[a:b].decode() for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+            got = self._chunks([raw[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)])
             for i, row in zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True):
-                found[i] = self.rows[int(keys[i])] = row
-            self.ids = np.concatenate([self.ids, *[np.array(g, dtype=np.uint32) for g in got]])
+                found[i] = row
+            self.rows.update(zip(keys[new].tolist(), range(len(self.rows), len(self.rows) + len(new)), strict=True))
+            self.ids = np.concatenate([self.ids, *got])
             self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum([len(g) for g in got])])
         return np.array(found, dtype=np.int64)[inverse]
 
