@@ -4,16 +4,21 @@ Each word is the sum of three hashed embeddings (the word, its first four and
 its first five bytes, so that inflected forms share their stem's). Filters of
 several widths slide over the words of a whole text; each filter's maximum
 over the text feeds a logistic output. Thresholds are calibrated per language
-on labelled rows kept out of the training.
+on all labelled rows kept out of the training.
 
 Training takes a bounded sample: at most ``TRAIN_PER_CLASS`` labelled rows of
 each class, the ones with the smallest hash of their id (the bound and the
-order are parameters of ``fit``). Scoring is one pass over all texts, without
-a shuffle, in slices of a few MB; the model has a fixed size.
+order are parameters of ``fit``), less every ``CALIBRATION_PARTS``-th of them.
+Thresholds are not sampled: every other labelled row is scored and counted by
+language, class and score to ``CALIBRATION_DIGITS`` digits. A class's counts
+weigh as much as all its labelled rows of the language, trained ones included,
+so that the F1 is the one at the labels' own class shares, whatever part of a
+class the training took. Scoring is one pass over all texts, without a
+shuffle, in slices of a few MB; the model has a fixed size.
 
 Defined results: a null or empty text scores as a text in which no filter
-answers; repeated rows score alike; labelled ids without a document and null
-labels are ignored; with one class or none in the sample every score is that
+answers; repeated rows score alike and calibrate once each; labelled ids
+without a document and null labels are ignored; with one class or none in the sample every score is that
 class's share (0.5 without rows); languages with fewer than
 ``LEAST_CALIBRATION`` toxic calibration rows, and null languages, use the
 threshold of all languages together, or the default if that has too few as well. Empty in, empty out.
@@ -24,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +37,8 @@ from pyspark.sql import functions as F
 from loglens.llm import text as T
 
 TRAIN_PER_CLASS = 1500
-CALIBRATION_PARTS = 5          # one part in so many calibrates thresholds
+CALIBRATION_PARTS = 5          # one part in so many of the sample is not trained on
+CALIBRATION_DIGITS = 4
 LEAST_CALIBRATION = 10
 DEFAULT_THRESHOLD = 0.7
 BUCKETS = 1 << 16
@@ -159,20 +166,36 @@ class TextCNN:
         return self
 
 
-def best_threshold(scores: np.ndarray, toxic: np.ndarray) -> float:
-    """The score cut with the best F1 (the middle of the gap below it); the default with too few toxic rows."""
-    if toxic.sum() < LEAST_CALIBRATION:
-        return DEFAULT_THRESHOLD
+def best_threshold(scores: np.ndarray, toxic: np.ndarray, weights: np.ndarray | None = None) -> float:
+    """The score cut with the best F1 (the middle of the gap below it); the default without positive weight."""
+    if weights is None:
+        if toxic.sum() < LEAST_CALIBRATION:
+            return DEFAULT_THRESHOLD
+        weights = np.ones(len(scores))
     order = np.argsort(-scores, kind="stable")
-    s, y = scores[order], toxic[order]
-    hits = np.cumsum(y)
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    s, w = scores[order], weights[order]
+    hits = np.cumsum(w * toxic[order])
+    f1 = 2 * hits / (np.cumsum(w) + hits[-1])
     f1[:-1][s[:-1] == s[1:]] = -1
     i = int(np.argmax(f1))
     below = s[i + 1] if i + 1 < len(s) else 0.0
     return float((s[i] + below) / 2)
 
 
+def threshold_of_counts(counts: pd.DataFrame) -> float | None:
+    """The best threshold of rows (toxic, score, n), where rows without a score were trained on: they
+    only add to their class's share. None with too few toxic rows to calibrate on."""
+    left = counts[counts["score"].notna()]
+    toxic, n = left["toxic"].to_numpy() == 1, left["n"].to_numpy(dtype=np.float64)
+    if n[toxic].sum() < LEAST_CALIBRATION:
+        return None
+    for label in (True, False):
+        if n[toxic == label].sum():
+            n[toxic == label] *= counts["n"][(counts["toxic"] == 1) == label].sum() / n[toxic == label].sum()
+    # Cuts lie between two rounded scores, so rounding again only removes what the division added.
+    return round(best_threshold(left["score"].to_numpy(dtype=np.float64), toxic, n), CALIBRATION_DIGITS + 2)
+
+
 class ToxicityModel:
     def __init__(self, net: TextCNN, thresholds: dict[str | None, float]):
         self.net, self.thresholds = net, thresholds
@@ -187,7 +210,7 @@ class ToxicityModel:
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS, epochs: int = EPOCHS) -> ToxicityModel:
     """Train on ``docs`` (doc_id, text, lang) with ``labels`` (doc_id, toxic), of which at most
-    ``per_class`` rows of each class, by the smallest hash of the id, are used."""
+    ``per_class`` rows of each class, by the smallest hash of the id, are trained on; all others calibrate."""
     known = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").dropDuplicates(["doc_id"])
     picked = None
     for label in (0, 1):
@@ -213,17 +236,26 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS, ep
     turn = np.zeros(len(got), dtype=bool)
     for label in (0, 1):
         turn[np.flatnonzero(toxic == label)[CALIBRATION_PARTS - 1::CALIBRATION_PARTS]] = True
-    held = np.flatnonzero(turn)
     kept = np.flatnonzero(~turn)
     net = TextCNN().train([texts[i] for i in kept], toxic[kept], epochs)
-    score = np.array([net.scores(texts[i], np.array([0, len(texts[i])]))[0] for i in held])
-    truth, lang = toxic[held] == 1, got["lang"].to_numpy()[held]
-    thresholds: dict[str | None, float] = {None: best_threshold(score, truth)}
-    for name in sorted({x for x in lang if x is not None}):
-        own = lang == name
-        if truth[own].sum() >= LEAST_CALIBRATION:
-            thresholds[name] = best_threshold(score[own], truth[own])
-    return ToxicityModel(net, thresholds)
+    trained = docs.sparkSession.createDataFrame([(x, True) for x in got["doc_id"].iloc[kept].tolist()], f"doc_id {kind}, trained boolean")
+    return ToxicityModel(net, calibrate(docs, known, trained, net))
+
+
+def calibrate(docs: DataFrame, known: DataFrame, trained: DataFrame, net: TextCNN) -> dict[str | None, float]:
+    """Thresholds per language (None: all together) from all rows of ``known`` (doc_id, toxic) with a document."""
+    # Scored before the join: it then moves no text. At most 2 * (10 ** CALIBRATION_DIGITS + 2) counts a language.
+    scored = score(docs.select("doc_id", "text", "lang"), ToxicityModel(net, {})).select("doc_id", "lang", "score")
+    rows = scored.join(known, "doc_id").join(F.broadcast(trained), "doc_id", "left")
+    cell = F.when(F.col("trained").isNull(), F.round("score", CALIBRATION_DIGITS))
+    counts = rows.groupBy("lang", "toxic", cell.alias("score")).agg(F.count("*").alias("n")).toPandas()
+    every = threshold_of_counts(counts)
+    thresholds: dict[str | None, float] = {None: DEFAULT_THRESHOLD if every is None else every}
+    for name, own in counts[counts["lang"].notna()].groupby("lang", sort=True):
+        cut = threshold_of_counts(own)
+        if cut is not None:
+            thresholds[name] = cut
+    return thresholds
 
 
 def score(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFrame:

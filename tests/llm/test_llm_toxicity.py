@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm_texts import words
 
@@ -91,3 +92,46 @@ def test_empty_table_and_clashing_columns(spark, docs, labels):
     assert X.score(df, model).columns == ["doc_id", "text", "lang", "score"]
     assert X.accepted(df, model).columns == df.columns
     assert X.score(docs([]), model).collect() == []
+
+
+def test_thresholds_cover_all_labelled_rows_at_their_class_shares(spark, docs, labels):
+    # 30 rows a class are sampled; the others decide the thresholds just as well, a tenth of them toxic.
+    rng, rows, marks = random.Random(5), [], []
+    for i in range(900):
+        toxic = i % 10 == 0
+        w = words(rng, rng.randint(5, 30))
+        if rng.random() < (0.7 if toxic else 0.08):
+            w.insert(rng.randrange(len(w)), INSULTS[0])
+        rows.append((i, " ".join(w), "en" if i % 3 else "de", "s", 0))
+        marks.append((i, 1, int(toxic)))
+    df = docs(rows)
+    model = X.fit(df, labels(marks), per_class=30, epochs=4)
+    order = {r.doc_id: (r.h, r.doc_id) for r in labels(marks).selectExpr("doc_id", "xxhash64(doc_id) h").collect()}
+    trained = set()
+    for label in (0, 1):
+        own = sorted(sorted((i for i, _, t in marks if t == label), key=order.get)[:30])
+        trained |= {x for k, x in enumerate(own) if k % X.CALIBRATION_PARTS != X.CALIBRATION_PARTS - 1}
+    score = {r.doc_id: r.score for r in X.score(df, model).collect()}
+
+    def f1(cut, name):
+        total, rest, hit = ({0: 0, 1: 0} for _ in range(3))
+        for (i, _, lang, *_), (_, _, t) in zip(rows, marks, strict=True):
+            if name in (None, lang):
+                total[t] += 1
+                rest[t] += i not in trained
+                hit[t] += i not in trained and score[i] >= cut
+        flagged = {t: hit[t] * total[t] / rest[t] for t in (0, 1)}
+        return 2 * flagged[1] / (flagged[0] + flagged[1] + total[1])
+
+    assert set(model.thresholds) == {None, "en", "de"}
+    for name, cut in model.thresholds.items():
+        best = max(f1(x, name) for x in {round(s, 4) - 5e-5 for s in score.values()})
+        assert f1(cut, name) == pytest.approx(best, abs=1e-9)
+
+
+def test_trained_rows_count_for_the_class_shares_only():
+    # Clean rows: 90 trained on, 10 left of which five score as high as the toxic ones.
+    counts = lambda trained: pd.DataFrame([(0, None, trained), (0, 0.1, 5), (0, 0.6, 5), (1, 0.6, 10), (1, 0.9, 10)],
+                                          columns=["toxic", "score", "n"])
+    assert X.threshold_of_counts(counts(0)) == pytest.approx(0.35)
+    assert X.threshold_of_counts(counts(90)) == pytest.approx(0.75)
