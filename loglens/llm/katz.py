@@ -1,15 +1,16 @@
-"""Katz backoff language model: bigrams over add-one unigrams.
+"""Katz backoff language model of any order over add-one unigrams.
 
-    P(w | h) = d[c] * c / C(h)           for a pair seen c > 0 times in training
-    P(w | h) = alpha(h) * P(w)           otherwise
+    P(w | h) = d[c] * c / C(h)           for an n-gram h w seen c > 0 times in training
+    P(w | h) = alpha(h) * P(w | h')      otherwise; h' is h without its first word
     P(w)     = (c(w) + 1) / (N + V + 1)
 
-d are Good-Turing discounts for counts up to ``MOST_DISCOUNTED``; alpha(h) is
-the mass freed in h over the unigram mass of the words not seen after h, from
-exact integer sums, so every context's probabilities sum to 1 over the V known
-words and one unknown class. A context without any discounted count frees
-1 / (C + 1). A text is its lower-cased words and one end token; the first word
-follows a start symbol.
+d are each order's Good-Turing discounts for counts up to ``MOST_DISCOUNTED``;
+alpha(h) is the mass freed in h over the mass that h' leaves to the words not
+seen after h, from exact integer sums, so every context's probabilities sum to
+1 over the V known words and one unknown class. A context without any
+discounted count frees 1 / (C + 1). A text is its lower-cased words and one
+end token; the first word follows a start symbol, and no context reaches
+beyond it.
 
 How it is spread. Documents are packed into blocks (a few MB of text as
 indices into the block's own sorted word list), written once. A block sends
@@ -23,6 +24,13 @@ with over 1/``HOT_SHARE`` of all tokens (at most ``HOT_SHARE`` of them, so
 their table is of bounded size) are split into ``HOT_SPLIT`` parts by the
 second word, and their partial sums are added up afterwards.
 
+Each further order is one more such exchange, of (context number, word) keys:
+a part numbers the n-grams it holds, and a block reads the contexts of the
+next order off the answers. An n-gram that only one block has is not numbered:
+all that follows it stands in that block, which counts it by itself and sends
+only its counts of counts. Bigram tables are stored as the model's; the
+higher orders leave their answers only.
+
 Defined results: null and empty texts are one end token; rows are scored one
 by one, repeated or not; a row without doc_id counts as training. A word
 unseen in training has the unknown class's probability after every context;
@@ -46,12 +54,14 @@ from pyspark.sql import functions as F
 from loglens.llm import text as T
 from loglens.llm.store import stored
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 MOST_DISCOUNTED = 5
 HOT_SHARE = 10_000
 HOT_SPLIT = 64
 UNKNOWN, START, FIRST_WORD = 0, 1, 2
 END_HASH = np.uint64(0x5851F42D4C957F2D)
+LOCAL = np.uint64(1 << 63)      # numbers from here on are a block's own
+ORDER = 3                # of the registered query
 MODEL = -1               # "block" of the rows that hold the model's own tables
 
 
@@ -173,10 +183,80 @@ def _word_answers(messages: DataFrame, parts: int) -> DataFrame:
     return messages.groupBy("part").applyInPandas(run, "block long, part int, tokens long, types long, answer binary")
 
 
-# --- bigrams --------------------------------------------------------------
+# --- n-grams --------------------------------------------------------------
+
+class Level:
+    """The distinct n-grams of a block at one order, as (context number, word) keys.
+
+    Per token of the block: ``ctx`` is its context's number (``UNKNOWN``: none to look up), ``ctx_count`` that
+    context's training count, ``low`` the count of the token's n-gram one order below."""
+
+    def __init__(self, order: int, ctx: np.ndarray, ctx_count: np.ndarray, low: np.ndarray, w: np.ndarray, train: np.ndarray,
+                 n: int, parts: int, hot_share: int):
+        self.order_n, self.parts = order, parts
+        # An unknown last word is asked for too, as its context's sums are needed.
+        self.known = ctx != UNKNOWN
+        names, index = np.unique(ctx[self.known], return_inverse=True)
+        keys, first, self.inverse = np.unique((index.astype(np.uint64) << np.uint64(32)) | w[self.known].astype(np.uint64),
+                                              return_index=True, return_inverse=True)
+        self.h, self.w = names[keys >> np.uint64(32)], keys & np.uint64(0xFFFFFFFF)
+        self.counts = np.bincount(self.inverse[train[self.known]], minlength=len(keys))
+        self.low = low[self.known][first]
+        split = np.where(ctx_count[self.known][first] * hot_share > n, self.w % np.uint64(HOT_SPLIT) + np.uint64(1), np.uint64(0)).astype(np.uint64)
+        part = (T.mix(self.h * np.uint64(HOT_SPLIT + 1) + split) % np.uint64(parts)).astype(np.int64)
+        part[self.h >= LOCAL] = parts
+        self.order = np.argsort(part, kind="stable")
+        self.at = np.searchsorted(part[self.order], np.arange(parts + 2))
+
+    def own(self, part: int) -> np.ndarray:
+        return self.order[self.at[part]:self.at[part + 1]]
+
+    def message(self, part: int) -> bytes:
+        own = self.own(part)
+        h, runs = np.unique(self.h[own], return_counts=True)
+        w, first, index = np.unique(self.w[own], return_index=True, return_inverse=True)
+        zero = np.uint64(0)
+        # Below a bigram is its word; of longer ones only the seen n-grams' counts are needed.
+        low = self.low[own][first] if self.order_n == 2 else np.where(self.counts[own] > 0, self.low[own], 0)
+        return pack(np.diff(h, prepend=zero), runs, np.diff(w, prepend=zero), low, index, self.counts[own])
+
+    def local_counts(self) -> np.ndarray:
+        """Counts of counts of the n-grams that are not exchanged."""
+        return _of_counts(self.counts[self.own(self.parts)])
+
+    def read(self, answers: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Per key its training count and number (if the parts sent numbers); the contexts and their sums."""
+        count, number = np.zeros(len(self.h), dtype=np.int64), np.zeros(len(self.h), dtype=np.uint64)
+        names, columns = [], []
+        for a in answers:
+            own = self.own(a["part"])
+            total, rank, *sums = unpack(a["answer"])
+            count[own] = total
+            if len(rank):
+                r = np.cumsum(rank, dtype=np.uint64)
+                number[own] = np.where(rank > 0, np.uint64(FIRST_WORD + a["part"]) + np.uint64(self.parts) * (r - np.uint64(1)), UNKNOWN)
+            names.append(np.unique(self.h[own]))
+            columns.append(sums)
+        own = self.own(self.parts)
+        if len(own):
+            count[own] = self.counts[own]
+            h, index = np.unique(self.h[own], return_inverse=True)
+            seen = count[own] > 0
+            found, sums = _context_sums(index[seen], count[own][seen], self.low[own][seen], self.order_n)
+            rows = np.zeros((len(sums), len(h)), dtype=np.int64)
+            rows[:, found] = sums
+            names.append(h)
+            columns.append(list(rows))
+        alone = (count > 0) & (number == UNKNOWN)
+        number[alone] = LOCAL | np.flatnonzero(alone).astype(np.uint64)
+        width = _width(self.order_n)
+        none = np.zeros(0, np.int64)
+        return (count, number, np.concatenate([np.zeros(0, np.uint64), *names]),
+                [np.concatenate([none, *[c[j].astype(np.int64) for c in columns]]) for j in range(width)])
+
 
 class Block:
-    """A block with its words' numbers and totals: its tokens, their contexts, and its distinct pairs."""
+    """A block with its words' numbers and totals: its tokens, and from order 2 on its n-grams."""
 
     def __init__(self, body: bytes, answers: list, n: int, parts: int, hot_share: int):
         self.train, self.lengths, index = unpack(body)
@@ -184,7 +264,6 @@ class Block:
         unpacked = [unpack(a["answer"]) for a in sorted(answers, key=lambda a: a["part"])]
         number = np.concatenate([u[0].astype(np.int64) for u in unpacked])
         total = np.concatenate([u[1].astype(np.int64) for u in unpacked])
-        docs = len(self.lengths)
         self.bounds = np.concatenate([[0], np.cumsum(self.lengths.astype(np.int64) + 1)])
         ends = self.bounds[1:] - 1
         place = np.ones(self.bounds[-1], dtype=bool)
@@ -193,34 +272,23 @@ class Block:
         self.w_count = np.empty_like(self.w)
         for into, source in ((self.w, number), (self.w_count, total)):
             into[place], into[ends] = source[index[:-1]], source[index[-1]]
-        self.h = np.empty_like(self.w)
-        h_count = np.empty_like(self.w)
-        self.h[1:], h_count[1:] = self.w[:-1], self.w_count[:-1]
-        self.h[self.bounds[:-1]] = START
-        h_count[self.bounds[:-1]] = self.w_count[ends[0]] if docs else 0
-        # An unknown second word is asked for too, as its context's sums are needed.
-        self.known = self.h != UNKNOWN
-        key = (self.h[self.known].astype(np.uint64) << np.uint64(32)) | self.w[self.known].astype(np.uint64)
-        self.keys, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        counts = np.bincount(inverse[np.repeat(self.train, self.lengths.astype(np.int64) + 1)[self.known]], minlength=len(self.keys))
-        self.key_w_count = self.w_count[self.known][first]
-        split = np.where(h_count[self.known][first] * hot_share > n, self.keys % np.uint64(HOT_SPLIT) + np.uint64(1), np.uint64(0)).astype(np.uint64)
-        spread = T.mix((self.keys >> np.uint64(32)) * np.uint64(HOT_SPLIT + 1) + split)
-        self.part = (spread % np.uint64(parts)).astype(np.int64)
-        self.order = np.argsort(self.part, kind="stable")
-        self.at = np.searchsorted(self.part[self.order], np.arange(parts + 1))
-        self.inverse, self.counts = inverse, counts
+        self.train_token = np.repeat(self.train, self.lengths.astype(np.int64) + 1)
+        self.spread = (n, parts, hot_share)
+        ctx, ctx_count = self.before(self.w.astype(np.uint64), START), self.before(self.w_count, self.w_count[ends[0]] if len(ends) else 0)
+        self.level = Level(2, ctx, ctx_count, self.w_count, self.w, self.train_token, *self.spread)
 
-    def message(self, part: int) -> bytes:
-        own = self.order[self.at[part]:self.at[part + 1]]
-        h, runs = np.unique(self.keys[own] >> np.uint64(32), return_counts=True)
-        w, first, index = np.unique(self.keys[own] & np.uint64(0xFFFFFFFF), return_index=True, return_inverse=True)
-        zero = np.uint64(0)
-        return pack(np.diff(h, prepend=zero), runs, np.diff(w, prepend=zero), self.key_w_count[own][first], index, self.counts[own])
+    def before(self, values: np.ndarray, first: int) -> np.ndarray:
+        """Each token's predecessor's value, ``first`` for a text's first token."""
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[self.bounds[:-1]] = first
+        return out
 
-    def contexts(self, part: int) -> np.ndarray:
-        own = self.order[self.at[part]:self.at[part + 1]]
-        return np.unique(self.keys[own] >> np.uint64(32))
+    def climb(self, count: np.ndarray, number: np.ndarray) -> None:
+        """Go on to the next order, with what ``read`` returned of this one."""
+        grams, low = np.zeros(len(self.w), np.uint64), np.zeros(len(self.w), np.int64)
+        grams[self.level.known], low[self.level.known] = number[self.level.inverse], count[self.level.inverse]
+        self.level = Level(self.level.order_n + 1, self.before(grams, UNKNOWN), self.before(low, 0), low, self.w, self.train_token, *self.spread)
 
 
 _ANSWERS = "collect_list(struct(part, answer)) AS {}"
@@ -231,57 +299,94 @@ def _blocks_with(blocks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
     return blocks.join(answers.where(F.col("block") >= 0).groupBy("block").agg(F.expr(_ANSWERS.format(name))), "block")
 
 
-def _pair_messages(blocks: DataFrame, n: int, parts: int, hot_share: int) -> DataFrame:
+def _known(order: int) -> list[str]:
+    """Columns of the answers a block needs for its n-grams of this order."""
+    return ["words_known", *[f"known_{k}" for k in range(2, order)]]
+
+
+def _messages(met: DataFrame, order: int, n: int, parts: int, hot_share: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, body, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                b = Block(body, answers, n, parts, hot_share)
-                used = [p for p in range(parts) if b.at[p + 1] > b.at[p]]
+            for block, body, words, *answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                b = Block(body, words, n, parts, hot_share)
+                for known in answers:
+                    b.climb(*b.level.read(known or [])[:2])
+                level = b.level
+                used = [p for p in range(parts) if level.at[p + 1] > level.at[p]]
+                rows = [(p, level.message(p), None) for p in used]
+                if level.at[parts + 1] > level.at[parts]:
+                    rows.append((block % parts, None, pack(level.local_counts())))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(used, pa.int32()), pa.array([block] * len(used), pa.int64()),
-                     pa.array([b.message(p) for p in used], pa.binary())], names=["part", "block", "message"])
+                    [pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()),
+                     pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
+                    names=["part", "block", "message", "local"])
+
+    return met.select("block", "body", *_known(order)).mapInArrow(run, "part int, block long, message binary, local binary")
+
+
+def _of_counts(total: np.ndarray) -> np.ndarray:
+    return np.bincount(np.minimum(total, MOST_DISCOUNTED + 2), minlength=MOST_DISCOUNTED + 3)
+
 
-    return blocks.select("block", "body", "words_known").mapInArrow(run, "part int, block long, message binary")
+def _width(order: int) -> int:
+    """Number of a context's sums: its counts, and what the order below says of its words."""
+    return MOST_DISCOUNTED + 2 if order == 2 else 2 * (MOST_DISCOUNTED + 1)
 
 
-def _context_sums(keys: np.ndarray, counts: np.ndarray, w_counts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Contexts of sorted seen pairs with: pairs of count 1..k, total of larger counts, and sum of c(w) + 1."""
-    h = keys >> np.uint64(32)
+def _by_count(counts: np.ndarray) -> list[np.ndarray]:
+    return [*[counts == r for r in range(1, MOST_DISCOUNTED + 1)], np.where(counts > MOST_DISCOUNTED, counts, 0)]
+
+
+def _context_sums(h: np.ndarray, counts: np.ndarray, low: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Contexts (sorted) of seen n-grams with: n-grams of count 1..k and total of larger counts; then of the
+    bigrams' words the sum of c(w) + 1, of longer n-grams the same numbers of their counts one order below."""
     names, starts = np.unique(h, return_index=True)
-    columns = [counts == r for r in range(1, MOST_DISCOUNTED + 1)]
-    columns += [np.where(counts > MOST_DISCOUNTED, counts, 0), w_counts + 1]
+    columns = _by_count(counts) + ([low + 1] if order == 2 else _by_count(low))
     return names, [np.add.reduceat(c.astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64) for c in columns]
 
 
-def _table(pairs: np.ndarray, counts: np.ndarray) -> bytes:
+def _table(h: np.ndarray, w: np.ndarray, counts: np.ndarray) -> bytes:
     """A part of the bigram table: first words (as differences), their numbers of pairs, second words, counts."""
-    h, runs = np.unique(pairs >> np.uint64(32), return_counts=True)
-    return pack(np.diff(h, prepend=np.uint64(0)), runs, pairs & np.uint64(0xFFFFFFFF), counts)
+    h, runs = np.unique(h, return_counts=True)
+    return pack(np.diff(h, prepend=np.uint64(0)), runs, w, counts)
 
 
-def _pair_answers(messages: DataFrame) -> DataFrame:
-    """Per (block, part): counts of the block's pairs and the sums of their contexts; per part the bigram table."""
+def _answers(messages: DataFrame, order: int, last: bool, n: int, parts: int, hot_share: int) -> DataFrame:
+    """Per (block, part): counts of the block's n-grams, unless ``last`` their numbers, and the sums of their
+    contexts; per part counts of counts, numbers of hot n-grams, sums, and the bigram table."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["part"].iloc[0])
-        keys, w_counts, counts, asked = [], [], [], []
+        of_counts = np.zeros(MOST_DISCOUNTED + 3, dtype=np.int64)
+        for blob in pdf["local"].dropna():
+            of_counts += unpack(blob)[0]
+        pdf = pdf[pdf["message"].notna()]
+        hs, ws, lows, counts, asked = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
         for blob in pdf["message"]:
-            h, runs, w, w_count, index, n = unpack(blob)
+            h, runs, w, low, index, c = unpack(blob)
             h, w = np.cumsum(h, dtype=np.uint64), np.cumsum(w, dtype=np.uint64)
-            keys.append((np.repeat(h, runs) << np.uint64(32)) | w[index])
-            w_counts.append(w_count[index].astype(np.int64))
-            counts.append(n.astype(np.int64))
-            asked.append(h)
-        pairs, first, index = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        total = np.zeros(len(pairs), dtype=np.int64)
+            hs.append(np.repeat(h, runs))
+            ws.append(w[index])
+            lows.append((low[index] if order == 2 else low).astype(np.int64))
+            counts.append(c.astype(np.int64))
+            asked.append((h, len(index)))
+        names, index = np.unique(np.concatenate(hs), return_inverse=True)
+        grams, index = np.unique((index.astype(np.uint64) << np.uint64(32)) | np.concatenate(ws), return_inverse=True)
+        total, low = np.zeros(len(grams), dtype=np.int64), np.zeros(len(grams), dtype=np.int64)
         np.add.at(total, index, np.concatenate(counts))
+        np.maximum.at(low, index, np.concatenate(lows))
         seen = total > 0
-        names, sums = _context_sums(pairs[seen], total[seen], np.concatenate(w_counts)[first][seen])
-        of_counts = np.bincount(np.minimum(total[seen], MOST_DISCOUNTED + 2), minlength=MOST_DISCOUNTED + 3)
-        out, at = [(MODEL, part, pack(of_counts, names, *sums), _table(pairs[seen], total[seen]))], 0
-        for block, k, h in zip(pdf["block"], keys, asked, strict=True):
-            own = index[at:at + len(k)]
-            at += len(k)
+        h, w = names[grams[seen] >> np.uint64(32)], grams[seen] & np.uint64(0xFFFFFFFF)
+        names, sums = _context_sums(h, total[seen], low[seen], order)
+        of_counts += _of_counts(total[seen])
+        # A block sends a key once: what one block has is not numbered.
+        shared = seen & (np.bincount(index, minlength=len(grams)) > 1) & (not last)
+        rank = np.where(shared, np.cumsum(shared), 0)
+        hot = FIRST_WORD + part + parts * (rank[shared & (total * hot_share > n)] - 1)
+        out, at = [(MODEL, part, pack(of_counts, hot, names, *sums), _table(h, w, total[seen]) if order == 2 else None)], 0
+        for block, (h, size) in zip(pdf["block"], asked, strict=True):
+            own = index[at:at + size]
+            at += size
             spot = np.searchsorted(names, h)
             hit = spot < len(names)
             hit[hit] = names[spot[hit]] == h[hit]
@@ -290,30 +395,44 @@ def _pair_answers(messages: DataFrame) -> DataFrame:
                 v = np.zeros(len(h), dtype=np.int64)
                 v[hit] = s[spot[hit]]
                 rows.append(v)
-            out.append((block, part, pack(total[own], *rows), None))
+            r = rank[own]
+            step = np.zeros(0 if last else len(own), dtype=np.int64)
+            if not last:
+                step[r > 0] = np.diff(r[r > 0], prepend=0)
+            out.append((block, part, pack(total[own], step, *rows), None))
         return pd.DataFrame(out, columns=["block", "part", "answer", "model"])
 
     return messages.groupBy("part").applyInPandas(run, "block long, part int, answer binary, model binary")
 
 
-SUMS = tuple(f"c{i}" for i in range(MOST_DISCOUNTED + 2))
-
-
-def _hot_contexts(answers: DataFrame, hot: list[int]) -> DataFrame:
-    """(h, c0..): the sums of the given contexts, and with h = -1 the numbers of pairs seen 1, 2, .. times."""
-    wanted, names = np.array(sorted(hot), dtype=np.int64), ["h", *SUMS]
+def _hot_contexts(answers: DataFrame, hot: list[int], order: int) -> DataFrame:
+    """(h, c0..): the sums of the given contexts, and with h = -1 the numbers of n-grams seen 1, 2, .. times."""
+    wanted, sums_of = np.array(sorted(hot), dtype=np.int64), [f"c{i}" for i in range(_width(order))]
+    names = ["h", *sums_of]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob in batch.column(0).to_pylist():
-                of_counts, h, *sums = unpack(blob)
-                use = np.isin(h, wanted)
+                of_counts, _, h, *sums = unpack(blob)
+                use = np.isin(h.astype(np.int64), wanted)
                 columns = np.vstack([h[use].astype(np.int64), *[s[use].astype(np.int64) for s in sums]])
-                columns = np.hstack([np.concatenate([[-1], of_counts[1:]])[:, None].astype(np.int64), columns])
+                first = np.zeros(len(names), dtype=np.int64)
+                first[0], first[1:len(of_counts)] = -1, of_counts[1:]
+                columns = np.hstack([first[:, None], columns])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     parts = answers.where(F.col("block") == MODEL).select("answer").mapInArrow(run, ", ".join(f"{c} long" for c in names))
-    return parts.groupBy("h").agg(*[F.sum(c).alias(c) for c in SUMS])
+    return parts.groupBy("h").agg(*[F.sum(c).alias(c) for c in sums_of])
+
+
+def _hot_grams(answers: DataFrame) -> list[int]:
+    """Numbers of the n-grams with over 1/hot_share of all training tokens: at most hot_share."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(unpack(blob)[1].astype(np.int64))], names=["number"])
+
+    return [r["number"] for r in answers.where(F.col("block") == MODEL).select("answer").mapInArrow(run, "number long").collect()]
 
 
 def discounts(of_counts: list[int]) -> np.ndarray:
@@ -329,27 +448,41 @@ def discounts(of_counts: list[int]) -> np.ndarray:
     return d
 
 
-def backoff(sums: list[np.ndarray], d: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per context its denominator and its alpha (1 for a context never seen)."""
-    sums = [np.asarray(s).astype(np.int64) for s in sums]
-    r = np.arange(1, MOST_DISCOUNTED + 1)[:, None]
+def _release(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of finished steps when the driver's JVM collects their plans."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
+def kept_mass(sums: list[np.ndarray], d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Total and discounted total of counts given as numbers of 1..k and a total of larger ones."""
     small = np.array(sums[:MOST_DISCOUNTED], dtype=np.float64)
-    big = sums[MOST_DISCOUNTED].astype(np.float64)
-    total, kept = (r * small).sum(axis=0) + big, (d[1:-1, None] * r * small).sum(axis=0) + big
+    r, big = np.arange(1, MOST_DISCOUNTED + 1)[:, None], sums[MOST_DISCOUNTED].astype(np.float64)
+    return (r * small).sum(axis=0) + big, (d[1:-1, None] * r * small).sum(axis=0) + big
+
+
+def backoff(sums: list[np.ndarray], d: np.ndarray, below: np.ndarray | int, d_below: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Per context its denominator and its alpha (1 for a context never seen). ``below`` is the denominator one
+    order below, whose discounts are ``d_below`` (none for unigrams)."""
+    sums = [np.asarray(s).astype(np.int64) for s in sums]
+    total, kept = kept_mass(sums, d)
     # Nothing discounted: one more count frees the mass.
-    plain = small.sum(axis=0) == 0
+    plain = sum(sums[:MOST_DISCOUNTED]) == 0
     total = total + plain
     seen = kept > 0
     free = np.where(seen, (total - kept) / np.where(seen, total, 1), 1)
-    rest = (base - np.where(seen, sums[-1], 0)) / base
+    taken = sums[-1] if d_below is None else kept_mass(sums[MOST_DISCOUNTED + 1:], d_below)[1]
+    rest = (below - np.where(seen, taken, 0)) / below
     return total, free / rest
 
 
 def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_bytes: int = BLOCK_BYTES,
-                hot_share: int = HOT_SHARE) -> DataFrame:
-    """Train on the rows of ``docs`` (doc_id, text) where ``train`` holds and score all rows.
+                hot_share: int = HOT_SHARE, order: int = 2) -> DataFrame:
+    """Train n-grams up to ``order`` (2 or more) on the rows of ``docs`` (doc_id, text) where ``train`` holds
+    and score all rows.
 
     Returns doc_id, train, n_tokens, n_known, train_tokens, base_score and score (log10)."""
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", "text", F.coalesce(train, F.lit(True)).alias("train"))
@@ -358,48 +491,53 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
     size = words.where(F.col("block") == MODEL).agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     n, v = size["n"] or 0, size["v"] or 0
     base = n + v + 1
-    bodies = _blocks_with(blocks.select("block", "ids", "body"), words, "words_known")
-    pairs = stored(_pair_answers(_pair_messages(bodies, n, parts, hot_share)), "katz-bigrams")
-    # At most hot_share contexts, the start symbol and one row of counts of counts.
-    got = _hot_contexts(pairs, [START, *_hot_words(words, n, hot_share)]).toPandas()
-    of_counts = got[got["h"] == -1][list(SUMS)].to_numpy().sum(axis=0).tolist()
-    hot = got[got["h"] >= 0].sort_values("h")
-    hot_h, hot_sums = hot["h"].to_numpy(), [hot[c].to_numpy() for c in SUMS]
-    d = discounts(of_counts)
+    _release(spark)
+    met = _blocks_with(blocks.select("block", "ids", "body"), words, "words_known")
+    hot = [START, *_hot_words(words, n, hot_share)]
+    levels: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
+    for k in range(2, order + 1):
+        grams = stored(_answers(_messages(met, k, n, parts, hot_share), k, k == order, n, parts, hot_share), f"katz-{k}-grams")
+        # At most hot_share contexts, the start symbol and one row of counts of counts.
+        got = _hot_contexts(grams, hot, k).toPandas()
+        sums_of = [c for c in got.columns if c != "h"]
+        of_counts = got[got["h"] == -1][sums_of].to_numpy().sum(axis=0).tolist()[:MOST_DISCOUNTED + 2]
+        own = got[got["h"] >= 0].sort_values("h")
+        levels.append((discounts(of_counts), own["h"].to_numpy().astype(np.uint64), [own[c].to_numpy() for c in sums_of]))
+        hot = _hot_grams(grams) if k < order else []
+        _release(spark)
+        met = met.join(grams.where(F.col("block") >= 0).groupBy("block").agg(F.expr(_ANSWERS.format(f"known_{k}"))), "block", "left")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_total, hot_alpha = backoff(hot_sums, d, base) if len(hot_h) else (np.zeros(0), np.zeros(0))
         for batch in batches:
             for i in range(batch.num_rows):
                 ids = batch.column(1)[i].values
                 b = Block(batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), n, parts, hot_share)
-                count = np.zeros(len(b.keys), dtype=np.int64)
-                names, columns = [], []
-                for a in batch.column(4)[i].as_py() or []:
-                    c, *s = unpack(a["answer"])
-                    count[b.order[b.at[a["part"]]:b.at[a["part"] + 1]]] = c
-                    names.append(b.contexts(a["part"]).astype(np.int64))
-                    columns.append(s)
                 log_p = np.log10((b.w_count + 1) / base)
                 base_score = np.add.reduceat(log_p, b.bounds[:-1])
-                if names:
-                    h = np.concatenate(names)
-                    total, alpha = backoff([np.concatenate([c[j] for c in columns]) for j in range(len(SUMS))], d, base)
-                    order = np.argsort(h, kind="stable")
-                    h, total, alpha = h[order], total[order], alpha[order]
-                    spot = np.searchsorted(hot_h, h)
-                    is_hot = spot < len(hot_h)
-                    is_hot[is_hot] = hot_h[spot[is_hot]] == h[is_hot]
-                    total[is_hot], alpha[is_hot] = hot_total[spot[is_hot]], hot_alpha[spot[is_hot]]
-                    c = np.zeros(len(b.w), dtype=np.int64)
-                    c[b.known] = count[b.inverse]
-                    at = np.minimum(np.searchsorted(h, b.h), len(h) - 1)
-                    in_model = h[at] == b.h
-                    seen = c > 0
-                    backed = ~seen & in_model
-                    log_p[backed] += np.log10(alpha[at[backed]])
-                    log_p[seen] = np.log10(d[np.minimum(c[seen], MOST_DISCOUNTED + 1)] * c[seen] / total[at[seen]])
+                below, d_below = np.full(len(b.w), base, dtype=np.float64), None
+                for j, (d, hot_h, hot_sums) in enumerate(levels):
+                    level = b.level
+                    count, number, h, sums = level.read(batch.column(4 + j)[i].as_py() or [])
+                    if len(h):
+                        # The parts of a hot context have a share of its sums each; the whole ones replace them.
+                        h, first = np.unique(h, return_index=True)
+                        sums = [s[first] for s in sums]
+                        spot = np.searchsorted(hot_h, h)
+                        is_hot = spot < len(hot_h)
+                        is_hot[is_hot] = hot_h[spot[is_hot]] == h[is_hot]
+                        for s, whole in zip(sums, hot_sums, strict=True):
+                            s[is_hot] = whole[spot[is_hot]]
+                        at = np.searchsorted(h, level.h)[level.inverse]
+                        own_below = np.ones(len(h))
+                        own_below[at] = below[level.known]
+                        total, alpha = backoff(sums, d, own_below, d_below)
+                        c, p = count[level.inverse], log_p[level.known]
+                        p = np.where(c > 0, np.log10(d[np.minimum(c, MOST_DISCOUNTED + 1)] * np.maximum(c, 1) / total[at]), p + np.log10(alpha[at]))
+                        log_p[level.known], below[level.known] = p, total[at]
+                    if j + 1 < len(levels):
+                        b.climb(count, number)
+                    d_below = d
                 score = np.add.reduceat(log_p, b.bounds[:-1])
                 known = np.add.reduceat((b.w_count > 0).astype(np.int64), b.bounds[:-1])
                 yield pa.RecordBatch.from_arrays(
@@ -407,8 +545,7 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
                      pa.array(np.full(len(ids), n, dtype=np.int64)), pa.array(base_score), pa.array(score)],
                     names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    met = bodies.join(pairs.where(F.col("block") >= 0).groupBy("block").agg(F.expr(_ANSWERS.format("pairs_known"))), "block", "left")
-    return met.select("block", "ids", "body", "words_known", "pairs_known").mapInArrow(
+    return met.select("block", "ids", "body", *_known(order + 1)).mapInArrow(
         run, f"doc_id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
@@ -431,7 +568,7 @@ def op9_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Katz log10 probability of every document, learned from six sevenths of them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
-    return katz_scores(docs, ~held_out).select(
+    return katz_scores(docs, ~held_out, order=ORDER).select(
         "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

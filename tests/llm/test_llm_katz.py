@@ -93,3 +93,56 @@ def test_discounts_lie_between_zero_and_one():
     for counts in ([100, 40, 20, 11, 7, 5], [0] * 6, [5, 0, 0, 0, 0, 9], [1, 1, 1, 1, 1, 1]):
         d = K.discounts(counts)
         assert all(0 < x < 1 for x in d[1:-1]) and d[-1] == 1
+
+
+class HigherModel:
+    """Katz of any order, read off its recursive definition: a context is a tuple of preceding tokens."""
+
+    def __init__(self, texts, order):
+        self.order, self.uni = order, Model(texts)
+        self.after, self.d = {}, {}
+        for k in range(2, order + 1):
+            grams = collections.Counter(g for t in texts for g in self.grams(t, k))
+            self.d[k] = K.discounts([sum(v == r for v in grams.values()) for r in range(1, K.MOST_DISCOUNTED + 2)])
+            for (*h, w), c in grams.items():
+                self.after.setdefault(tuple(h), {})[w] = c
+
+    def grams(self, text, k):
+        w = [BEGIN, *tokens(text)]
+        return [tuple(w[i - k + 1:i + 1]) for i in range(k - 1, len(w))]
+
+    def p(self, h, w):
+        if not h:
+            return self.uni.unigram(w)
+        if h not in self.after:
+            return self.p(h[1:], w)
+        seen, d = self.after[h], self.d[len(h) + 1]
+        total = sum(seen.values()) + all(c > K.MOST_DISCOUNTED for c in seen.values())
+        keep = {x: (d[c] if c <= K.MOST_DISCOUNTED else 1) * c / total for x, c in seen.items()}
+        if w in seen:
+            return keep[w]
+        return (1 - sum(keep.values())) / (1 - sum(self.p(h[1:], x) for x in seen)) * self.p(h[1:], w)
+
+    def score(self, text):
+        w = [BEGIN, *tokens(text)]
+        return sum(math.log10(self.p(tuple(w[max(0, i - self.order + 1):i]), w[i])) for i in range(1, len(w)))
+
+
+@pytest.mark.parametrize("order,hot_share", [(3, 10_000), (3, 20), (4, 20)])
+def test_higher_orders_equal_brute_force(docs, order, hot_share):
+    # Blocks of a few texts and parts share some n-grams and have others alone; repeats give counts over 5.
+    texts = [(t or "") + " the the of the and so the the of it" if i % 3 else t for i, t in enumerate(corpus(6, 45)) if len(t or "") < 3000]
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    rows = K.katz_scores(docs(texts), ~held_out, parts=4, block_bytes=5_000, hot_share=hot_share, order=order).collect()
+    model = HigherModel([t for i, t in enumerate(texts) if in_training(i)], order)
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    for r in rows:
+        assert r.score == pytest.approx(model.score(texts[r.doc_id]), abs=1e-7)
+
+
+def test_registered_query_uses_contexts_of_two_words(spark, docs, table_dir):
+    texts = ["a b c", "x b d", "a b c", "x b d", *["e f"] * 6]
+    folder = table_dir(documents=docs(texts))
+    train = [t for i, t in enumerate(texts) if in_training(i)]
+    for r in K.QUERIES["op9_katz_scores"](spark, folder).collect():
+        assert r.score == pytest.approx(HigherModel(train, 3).score(texts[r.doc_id]), abs=1e-7)
