@@ -1,4 +1,4 @@
-"""Exact BM25 top-k search: block-max WAND over an inverted index per shard.
+"""Exact BM25 top-k search: block maxima over an inverted index per shard, blocks by falling bound.
 
 Global statistics (documents, mean length, document frequencies) are counted
 over all documents first, so every shard scores alike. Documents are dealt by
