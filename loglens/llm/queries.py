@@ -6,7 +6,8 @@ import importlib
 
 import corpus_pipeline
 
-MODULES = ("url_filter", "secret_scan", "toxicity", "packing", "warc_zip", "jaccard_join", "decontaminate", "katz", "suffix_dedup", "bm25")
+MODULES = ("url_filter", "secret_scan", "toxicity", "packing", "warc_zip", "jaccard_join", "decontaminate", "katz", "suffix_dedup", "bm25",
+           "mixing", "repeats", "spelling")
 
 
 def _gather(what: str) -> dict:
