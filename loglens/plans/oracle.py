@@ -230,11 +230,13 @@ def batch_oracles() -> dict[str, str]:
           FROM eh WHERE hour_start IS NOT NULL
           WINDOW w AS (PARTITION BY endpoint ORDER BY hour_start ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))
         SELECT * FROM z WHERE z_score >= 3.0"""
-    from loglens.plans.queries import SEARCH
+    from loglens.plans.queries import INDEXED_SEARCH, SEARCH
     s["log_search"] = _with_parsed() + f"""SELECT "offset", "timestamp", ip, request, status FROM p
         WHERE contains(request, {_q(SEARCH['contains'])}) AND status = {_q(SEARCH['status'])}
           AND "timestamp" >= TIMESTAMP {_q(SEARCH['start'])} AND "timestamp" < TIMESTAMP {_q(SEARCH['end'])}"""
     s["lake_log_search"] = s["log_search"]
+    s["indexed_log_search"] = _with_parsed() + f"""SELECT "offset", "timestamp", ip, request, status FROM p
+        WHERE contains(request, {_q(INDEXED_SEARCH['contains'])}) AND ip = {_q(INDEXED_SEARCH['ip'])}"""
     return s
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglens.operators import alerts, dashboards, metrics, parse
+from loglens.operators import alerts, dashboards, metrics, parse, search_index
 from loglens.session import configure, scratch_path
 from loglens.sources import feeds, files, kafka
 
@@ -27,6 +27,10 @@ SEARCH = {"contains": "wp-admin", "status": "404",
           "start": "2024-01-05 00:00:00", "end": "2024-01-20 00:00:00"}
 
 
+# Parameters of the registered indexed_log_search query.
+INDEXED_SEARCH = {"contains": "cart.jsp", "ip": "10.0.0.7"}
+
+
 def _ntz(name: str) -> Column:
     return F.col(name).cast("timestamp_ntz").alias(name)
 
@@ -204,6 +208,15 @@ def q_lake_log_search(spark, sf_dir):
     return hits.select("offset", _ntz("timestamp"), "ip", "request", "status")
 
 
+def q_indexed_log_search(spark, sf_dir):
+    """D10 by the n-gram index: only files whose filter has all grams of the needle and the client's IP are read."""
+    lake = feeds.parsed_lake_path(spark, sf_dir)
+    index = feeds.search_index_path(spark, lake)
+    search_index.index_lake(spark, lake, index)
+    hits = search_index.indexed_search(spark, lake, index, **INDEXED_SEARCH)
+    return hits.select("offset", _ntz("timestamp"), "ip", "request", "status")
+
+
 def batch_queries() -> dict[str, Query]:
     return {
         "envelope_decode": q_envelope_decode,
@@ -234,6 +247,7 @@ def batch_queries() -> dict[str, Query]:
         "error_anomalies": q_error_anomalies,
         "log_search": q_log_search,
         "lake_log_search": q_lake_log_search,
+        "indexed_log_search": q_indexed_log_search,
     }
 
 

@@ -136,3 +136,8 @@ def parsed_lake_path(spark: SparkSession, sf_dir: str, variant: str = "plain") -
                          transform=lambda raw: parse.parse_access(raw, keep=("offset", "timestamp")))
 
     return _once(spark, f"{shared_root(spark)}/lakes/access-{variant}-{_fingerprint(spark, sf_dir)}", write)
+
+
+def search_index_path(spark: SparkSession, lake: str) -> str:
+    """Where the n-gram index of a stored lake is kept."""
+    return f"{shared_root(spark)}/indexes/{'-'.join(lake.rstrip('/').split('/')[-2:])}"

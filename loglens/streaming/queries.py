@@ -18,7 +18,7 @@ from loglens.operators import alerts, metrics, parse
 from loglens.plans import oracle as O
 from loglens.session import scratch_path
 from loglens.sources import feeds, kafka
-from loglens.streaming import runner, sinks
+from loglens.streaming import live, runner, sinks
 
 METRIC_COLUMNS = ("window_start", "window_end", "total_requests", "error_4xx_count",
                   "error_5xx_count", "total_bytes")
@@ -195,8 +195,37 @@ def q_stream_access_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
                          *METRIC_COLUMNS[2:])
 
 
+def _live(spark: SparkSession, sf_dir: str, label: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """An append-mode live table over the feed in three slices, read back."""
+    def start(source: DataFrame, run: str) -> StreamingQuery:
+        return sinks.parquet_append(build(parse.parse_access(parse.decode(source), keep=("timestamp",))), f"{run}/out",
+                                    f"{run}/checkpoint", runner.AVAILABLE_NOW)
+    return spark.read.parquet(f"{_in_slices(spark, sf_dir, label, 'plain', start)}/out")
+
+
+def q_stream_error_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D9 live: closed endpoint-hours against the rolling baseline of their endpoint."""
+    rows = _live(spark, sf_dir, "stream_error_anomalies", lambda p: live.live_anomalies(p, APPEND_WATERMARK))
+    return rows.withColumn("hour_start", F.col("hour_start").cast("timestamp_ntz"))
+
+
+def q_stream_error_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 live: closed minutes with an error rate of 50 % or more."""
+    rows = _live(spark, sf_dir, "stream_error_windows", lambda p: live.live_error_windows(p, APPEND_WATERMARK))
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def q_stream_active_ips_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 live: exact distinct client IPs of closed minutes, by two chained stateful operators."""
+    rows = _live(spark, sf_dir, "stream_active_ips_exact", lambda p: live.live_active_ips(p, APPEND_WATERMARK))
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 def stream_queries():
     return {
+        "stream_error_anomalies": q_stream_error_anomalies,
+        "stream_error_windows": q_stream_error_windows,
+        "stream_active_ips_exact": q_stream_active_ips_exact,
         "stream_access_jobs": q_stream_access_jobs,
         "stream_minute_metrics_shared_scan": q_stream_minute_metrics_shared_scan,
         "stream_parse_append": q_stream_parse_append,
@@ -211,9 +240,9 @@ def stream_queries():
     }
 
 
-def _closed(sql: str, ingest_max: str) -> str:
+def _closed(sql: str, ingest_max: str, window_end: str = "window_end") -> str:
     """Only windows a 10-minute watermark has closed after the whole feed."""
-    return (f"SELECT * FROM ({sql}) w WHERE window_end <= "
+    return (f"SELECT * FROM ({sql}) w WHERE {window_end} <= "
             f"({ingest_max}) - INTERVAL 10 minute")
 
 
@@ -221,7 +250,14 @@ def stream_oracles():
     b = O.batch_oracles()
     late_max = ("SELECT max(ts - to_seconds(20 * (event_id % 5))) FROM events "
                 "WHERE event_id % 101 <> 0 AND event_id % 97 <> 0 AND event_id % 103 <> 0")
+    minute_end = "window_start + INTERVAL 1 minute"
+    all_max = "SELECT max(ts) FROM events"
+    event_max = ("SELECT max(date_trunc('second', ts)) FROM events "
+                 "WHERE event_id % 101 <> 0 AND event_id % 97 <> 0")
     return {
+        "stream_error_anomalies": _closed(b["error_anomalies"], event_max, "hour_start + INTERVAL 1 hour"),
+        "stream_error_windows": _closed(b["error_windows"], all_max, minute_end),
+        "stream_active_ips_exact": _closed(b["minute_active_ips_exact"], all_max, minute_end),
         "stream_parse_append": b["access_log_parse"],
         "stream_minute_metrics_update": b["minute_metrics"],
         "stream_minute_metrics_shared_scan": b["minute_metrics"],
