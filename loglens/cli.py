@@ -5,7 +5,10 @@
     ... cli.py parse   --bootstrap host:9092 --topic access_log
     ... cli.py alerts  --bootstrap host:9092 --topic app_log [--index 'pyspark_logs_{date}']
     ... cli.py report  --envelope-path DIR --panel overview [--out PATH]
-    ... cli.py compact --metrics PATH
+    ... cli.py compact [--metrics PATH] [--partials PATH] [--lake PATH] [--quarantine PATH] [--vacuum]
+    ... cli.py index   --lake PATH --search-index PATH
+    ... cli.py search  --lake PATH [--search-index PATH] [--contains TEXT] [--ip IP] [--status S] [--start T] [--end T]
+    ... cli.py live    --bootstrap host:9092 --topic access_log --panel anomalies --out PATH --watermark '10 minutes'
     ... cli.py publish --source DIR (--bootstrap host:9092 --topic access_log | --lake PATH)
 
 Without a broker, ``--envelope-path DIR`` streams envelope Parquet files
@@ -21,10 +24,10 @@ from __future__ import annotations
 
 import argparse
 
-from loglens.operators import alerts, dashboards, metrics, parse
+from loglens.operators import alerts, dashboards, metrics, parse, search_index
 from loglens.session import build_session, shared_root
 from loglens.sources import kafka
-from loglens.streaming import jobs, runner, sinks
+from loglens.streaming import jobs, live, runner, sinks
 
 
 # Dashboard tables by name, from parsed records.
@@ -40,6 +43,43 @@ PANELS = {
 }
 
 
+# Live tables by name, from a parsed stream and a watermark (append mode).
+LIVE = {
+    "anomalies": live.live_anomalies,
+    "error-windows": live.live_error_windows,
+    "active-ips": live.live_active_ips,
+}
+
+
+def compact(spark, a) -> None:
+    """Fold the batches of managed tables into their levels; beside a running job or on their own."""
+    if a.metrics:
+        sinks.compact_upserts(spark, a.metrics, max_batch_id=a.max_batch_id)
+    if a.partials:
+        jobs.compact_partials(spark, a.partials, a.max_batch_id)
+    if a.lake:
+        sinks.compact_lake(spark, a.lake, a.max_batch_id)
+    if a.quarantine:
+        jobs.compact_quarantine(spark, a.quarantine, a.max_batch_id)
+    if a.vacuum:
+        for path in (a.metrics, a.partials, a.lake, a.quarantine):
+            if path:
+                sinks.drop_compacted(spark, path)
+
+
+def search(spark, a) -> None:
+    """Records of a lake that match the given predicates, through the n-gram index if there is one."""
+    by = dict(contains=a.contains, status=a.status, start=a.start, end=a.end, ip=a.ip)
+    if a.search_index:
+        hits = search_index.indexed_search(spark, a.lake, a.search_index, **by)
+    else:
+        hits = dashboards.log_search(sinks.read_lake(spark, a.lake), **by)
+    if a.out:
+        hits.write.mode("overwrite").parquet(a.out)
+    else:
+        hits.show(a.console_rows, truncate=False)
+
+
 def report(spark, a) -> None:
     """One dashboard table over a bounded read of the topic or a stored envelope."""
     records = (kafka.envelope_batch(spark, a.envelope_path) if a.envelope_path
@@ -53,7 +93,7 @@ def report(spark, a) -> None:
 
 def _args(argv=None):
     ap = argparse.ArgumentParser(prog="loglens")
-    ap.add_argument("command", choices=["metrics", "parse", "alerts", "publish", "report", "compact"])
+    ap.add_argument("command", choices=["metrics", "parse", "alerts", "publish", "report", "compact", "index", "search", "live"])
     ap.add_argument("--bootstrap", help="Kafka bootstrap servers")
     ap.add_argument("--envelope-path",
                     help="read envelope Parquet files from this folder instead of Kafka")
@@ -76,7 +116,12 @@ def _args(argv=None):
                     help="connector option of the index, e.g. es.nodes=host:9200 (repeatable)")
     ap.add_argument("--console-rows", type=int, default=20,
                     help="rows of each micro-batch that the console shows")
-    ap.add_argument("--panel", choices=sorted(PANELS), help="dashboard table to compute (report)")
+    ap.add_argument("--panel", choices=sorted(PANELS | LIVE), help="dashboard table to compute (report, live)")
+    ap.add_argument("--partials", help="partial-metric table of a shared-scan job (compact)")
+    ap.add_argument("--vacuum", action="store_true", help="delete what a compaction has replaced")
+    ap.add_argument("--search-index", help="n-gram index of the lake (index, search)")
+    for name in ("contains", "status", "ip", "start", "end"):
+        ap.add_argument(f"--{name}", help="search predicate")
     ap.add_argument("--out", help="Parquet folder for the report (default: print it)")
     ap.add_argument("--max-batch-id", type=int, help="newest batch to compact (default: the newest complete one)")
     ap.add_argument("--source", help="folder of text log files (publish)")
@@ -90,13 +135,19 @@ def _args(argv=None):
         ap.error("publish needs --source and either --bootstrap (Kafka) or --lake (table)")
     if a.command == "report" and not a.panel:
         ap.error("report needs --panel")
-    if a.command == "compact" and not a.metrics:
-        ap.error("compact needs --metrics, the metric upsert table")
+    if a.command == "compact" and not (a.metrics or a.partials or a.lake or a.quarantine):
+        ap.error("compact needs a table: --metrics, --partials, --lake or --quarantine")
+    if a.command in ("index", "search") and not a.lake or a.command == "index" and not a.search_index:
+        ap.error(f"{a.command} needs --lake" + (" and --search-index" if a.command == "index" else ""))
+    if a.command == "live" and not (a.panel in LIVE and a.out and a.watermark):
+        ap.error(f"live needs --out, --watermark and a --panel of {', '.join(sorted(LIVE))}")
+    if a.command == "report" and a.panel not in PANELS:
+        ap.error(f"report has the panels {', '.join(sorted(PANELS))}")
     if any("=" not in o for o in a.index_option):
         ap.error("--index-option takes KEY=VALUE")
     if a.starting_offsets is None:
         a.starting_offsets = "latest" if a.command == "alerts" else "earliest"
-    if a.command not in ("publish", "compact") and not (a.bootstrap or a.envelope_path):
+    if a.command not in ("publish", "compact", "index", "search") and not (a.bootstrap or a.envelope_path):
         ap.error(f"{a.command} needs --bootstrap (Kafka) or --envelope-path")
     return a
 
@@ -114,7 +165,13 @@ def main(argv=None) -> None:
                             topic=a.topic, bootstrap_servers=a.bootstrap)
         return
     if a.command == "compact":
-        sinks.compact_upserts(spark, a.metrics, max_batch_id=a.max_batch_id)
+        compact(spark, a)
+        return
+    if a.command == "index":
+        print(search_index.index_lake(spark, a.lake, a.search_index), "files indexed")
+        return
+    if a.command == "search":
+        search(spark, a)
         return
     if a.command == "report":
         report(spark, a)
@@ -127,6 +184,9 @@ def main(argv=None) -> None:
     if a.command == "metrics":
         qs = jobs.start_access_jobs(spark, src, a.name, a.lake, a.metrics, ckpt, trigger,
                                     a.watermark, a.files_per_batch, a.quarantine)
+    elif a.command == "live":
+        parsed = parse.parse_access(parse.decode(src), keep=("timestamp",))
+        qs = [sinks.parquet_append(LIVE[a.panel](parsed, a.watermark), a.out, f"{ckpt}-{a.panel}", trigger)]
     elif a.command == "parse":
         qs = [sinks.console(jobs.parsed_stream(src), "append", ckpt, trigger, a.console_rows)]
     else:
@@ -139,8 +199,7 @@ def main(argv=None) -> None:
         else:
             qs = [sinks.console(app, "append", ckpt, trigger, a.console_rows)]
     if a.available_now:
-        for q in qs:
-            runner.finish(q)
+        runner.finish_all(spark, qs)
     else:
         jobs.await_jobs(spark, qs)
 

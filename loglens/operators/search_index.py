@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from loglens.operators.dashboards import log_search
 from loglens.sources.feeds import path_exists
+from loglens.streaming import tables
 
 GRAM = 3
 HASHES = 4
@@ -49,9 +50,22 @@ def _file_columns() -> list[Column]:
 
 
 def lake_files(spark: SparkSession, lake: str) -> DataFrame:
-    """(path, size, modified) of the data files of a lake; names only, no content is read."""
+    """(path, size, modified) of the data files of a lake, of a managed one those that its manifest names; no content is read."""
+    parts = tables.part_paths(spark, lake) if tables.is_managed(spark, lake) else lake
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-            .load(lake).select(*_file_columns()))
+            .load(parts).select(*_file_columns()))
+
+
+def _records(spark: SparkSession, lake: str, names: list[str] | None = None, add: tuple[Column, ...] = ()) -> DataFrame:
+    """The records of a lake with the columns ``add`` of the scan, or only those of the files ``names``."""
+    if tables.is_managed(spark, lake):
+        return tables.read(spark, lake, names, add).drop("batch_id")
+    whole = spark.read.parquet(lake)
+    if names is None:
+        return whole.select("*", *add)
+    names = [unquote(n) for n in names]
+    rows = spark.read.schema(whole.schema).option("basePath", lake).parquet(*names) if names else whole.where(F.lit(False))
+    return rows.select("*", *add)
 
 
 def _entry(kind: str, value: Column) -> Column:
@@ -101,15 +115,14 @@ def index_lake(spark: SparkSession, lake: str, index: str, texts: tuple[str, ...
     """Index the files of ``lake`` that the table ``index`` does not have; the number of files added.
 
     The side table is only appended to. Two runs at a time may both add a file, which costs space and nothing else."""
-    records = spark.read.parquet(lake).select("*", *_file_columns())
+    names = None
     if path_exists(spark, index):
         new = lake_files(spark, lake).join(_index(spark, index).select(*FILE), FILE, "left_anti")
-        names = [unquote(r.path) for r in new.select("path").collect()]
+        names = [r.path for r in new.select("path").collect()]
         if not names:
             return 0
-        records = spark.read.option("basePath", lake).parquet(*names).select("*", *_file_columns())
     part = f"{index}/part={uuid.uuid4().hex[:12]}"
-    file_filters(records, texts, keys).write.parquet(part)
+    file_filters(_records(spark, lake, names, tuple(_file_columns())), texts, keys).write.parquet(part)
     return spark.read.parquet(part).count()
 
 
@@ -152,7 +165,5 @@ def candidate_files(spark: SparkSession, lake: str, index: str, contains: str |
 def indexed_search(spark: SparkSession, lake: str, index: str, contains: str | None = None, status: str | None = None,
                    start: str | None = None, end: str | None = None, ip: str | None = None) -> DataFrame:
     """``log_search`` over the files that the index does not rule out. The result equals that of the whole lake."""
-    names = [unquote(r.path) for r in candidate_files(spark, lake, index, contains, start, end, ip).collect()]
-    whole = spark.read.parquet(lake)
-    rows = spark.read.schema(whole.schema).option("basePath", lake).parquet(*names) if names else whole.where(F.lit(False))
-    return log_search(rows, contains, status, start, end, ip)
+    names = [r.path for r in candidate_files(spark, lake, index, contains, start, end, ip).collect()]
+    return log_search(_records(spark, lake, names), contains, status, start, end, ip)

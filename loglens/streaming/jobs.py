@@ -25,7 +25,7 @@ from loglens.functions import parsing as fx
 from loglens.functions import patterns as P
 from loglens.operators import metrics, parse
 from loglens.session import shared_root
-from loglens.streaming import sinks
+from loglens.streaming import sinks, tables
 
 
 def parsed_stream(envelope: DataFrame) -> DataFrame:
@@ -85,11 +85,16 @@ def start_shared_scan_job(spark: SparkSession, envelope: DataFrame, raw_path: st
                           partials_path: str, checkpoint: str,
                           trigger: dict | None = None,
                           files_per_batch: int | None = None,
-                          quarantine_path: str | None = None) -> StreamingQuery:
+                          quarantine_path: str | None = None,
+                          compact_every: int | None = None) -> StreamingQuery:
     """One read and one parse of the source feeding the raw lake, the metrics and,
     with ``quarantine_path``, the dead-letter table of rejected lines (only those
     are matched again, for their class).
 
+    All three are managed tables (``streaming.tables``): a batch counts once its
+    manifest entry is there, and a replay changes nothing. ``compact_every``
+    merges their small files after that many batches, so the number of files
+    stays bounded; without it run ``compact_job`` (CLI ``compact``) beside the job.
     ``files_per_batch`` bounds the raw files a micro-batch writes (see
     ``sinks.raw_lake``); the partial metrics are tiny either way.
     """
@@ -101,20 +106,19 @@ def start_shared_scan_job(spark: SparkSession, envelope: DataFrame, raw_path: st
         # the source offsets of this batch, which are fixed in the offset log.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            raw = batch.drop("value").withColumns(
-                {"date": F.to_date("timestamp"), "batch_id": F.lit(batch_id)})
+            raw = batch.drop("value").withColumn("date", F.to_date("timestamp"))
             if files_per_batch:
                 raw = raw.repartition(files_per_batch)
-            (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("date", "batch_id").parquet(raw_path))
-            (batch_partials(batch).write.mode("overwrite")
-             .parquet(f"{partials_path}/batch_id={batch_id}"))
+            tables.write_batch(raw, raw_path, batch_id, "date", {"compression": sinks.LAKE_COMPRESSION})
+            tables.write_batch(batch_partials(batch), partials_path, batch_id)
             if quarantine_path:
                 rejected = batch.where(F.col("value").isNull() | (F.col("status") == ""))
-                (parse.line_class(rejected.select("key", "timestamp", "offset", "value"))
-                 .write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}"))
+                tables.write_batch(parse.line_class(rejected.select("key", "timestamp", "offset", "value")),
+                                   quarantine_path, batch_id)
         finally:
             batch.unpersist()
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_job(batch.sparkSession, raw_path, partials_path, quarantine_path)
 
     w = parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if trigger:
@@ -140,6 +144,25 @@ def compact_partials(spark: SparkSession, partials_path: str, max_batch_id: int
     return sinks.compact_batches(spark, partials_path, _added, max_batch_id)
 
 
+def compact_job(spark: SparkSession, raw_path: str | None = None, partials_path: str | None = None,
+                quarantine_path: str | None = None, vacuum: bool = False) -> dict[str, int | None]:
+    """Merge the small files of the tables of a shared-scan job, which may go on meanwhile. The newest batch folded, by table.
+    ``vacuum`` also deletes what is no longer in use (see ``tables.vacuum``)."""
+    done: dict[str, int | None] = {}
+    for name, path, run in (("raw", raw_path, sinks.compact_lake), ("partials", partials_path, compact_partials),
+                            ("quarantine", quarantine_path, compact_quarantine)):
+        if path and tables.is_managed(spark, path):
+            done[name] = run(spark, path)
+            if vacuum:
+                tables.vacuum(spark, path)
+    return done
+
+
+def compact_quarantine(spark: SparkSession, path: str, max_batch_id: int | None = None) -> int | None:
+    """Merge the files of the dead-letter table; every line stays."""
+    return tables.compact(spark, path, F.to_date("timestamp"), None, ("line_class", "timestamp"), max_batch_id=max_batch_id)
+
+
 def await_jobs(spark: SparkSession, queries: list[StreamingQuery],
                timeout_s: float | None = None) -> None:
     """Block until one of ``queries`` ends (or ``timeout_s`` passes).

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -49,6 +51,33 @@ def finish(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQu
     return query
 
 
+def finish_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> list[StreamingQuery]:
+    """Wait until all of several availableNow queries have ended. As soon as one fails, in whatever order they were
+    given, the others are stopped and its failure is raised. ``timeout_s`` is for callers that want a limit."""
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    while True:
+        spark.streams.resetTerminated()
+        broken = [q for q in queries if q.exception() is not None]
+        late = end is not None and time.monotonic() >= end and any(q.isActive for q in queries)
+        if broken or late:
+            for q in queries:
+                if q.isActive:
+                    q.stop()
+            if broken:
+                raise RuntimeError(f"streaming query failed: {broken[0].exception()}")
+            raise TimeoutError(f"streaming queries did not finish in {timeout_s}s")
+        if not any(q.isActive for q in queries):
+            return queries
+        try:
+            # Returns at once if a query has ended since the reset above.
+            if end is None:
+                spark.streams.awaitAnyTermination()
+            else:
+                spark.streams.awaitAnyTermination(max(0.1, end - time.monotonic()))
+        except StreamingQueryException:
+            continue  # reported above, with its siblings stopped
+
+
 def run_available(spark: SparkSession,
                   start: Callable[[], StreamingQuery | list[StreamingQuery]],
                   state_partitions: int | None = None, timeout_s: float | None = None,
@@ -71,7 +100,7 @@ def run_available(spark: SparkSession,
     finally:
         spark.conf.set(_SHUFFLE, before)
     many = isinstance(started, list)
-    qs = [finish(q, timeout_s) for q in (started if many else [started])]
+    qs = finish_all(spark, started if many else [started], timeout_s)
     if label:
         parts = [summarize(q) for q in qs]
         PROGRESS[label] = parts[0] if len(parts) == 1 else {"queries": parts}

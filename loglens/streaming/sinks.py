@@ -11,7 +11,8 @@ offsets instead of replaying the topic and double counting.
                      Parquet fallback). Idempotent per micro-batch.
 * ``upsert_metrics`` update-mode window metrics written as an append-only log
                      of changed rows, tagged with the batch id; readers take
-                     the last version per window (``read_upserts``).
+                     the last version per window (``read_upserts``). A managed
+                     table (``streaming.tables``): manifest, levelled compaction.
 * ``publish_lines``  text lines -> Kafka topic (or an envelope table).
 """
 
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loglens.sources.kafka import LAKE_SCHEMA
+from loglens.streaming import tables
 
 ES_FORMAT = "org.elasticsearch.spark.sql"
 # Parquet codec for stored logs: zstd compresses log text far better than the
@@ -78,6 +80,19 @@ def raw_lake(parsed: DataFrame, path: str, checkpoint: str, trigger: dict | None
             .partitionBy("date").option("path", path).start())
 
 
+def read_lake(spark: SparkSession, path: str) -> DataFrame:
+    """The records of a raw lake, also of one that ``start_shared_scan_job`` writes and compacts."""
+    return tables.read(spark, path).drop("batch_id") if tables.is_managed(spark, path) else spark.read.parquet(path)
+
+
+def compact_lake(spark: SparkSession, path: str, max_batch_id: int | None = None, target_bytes: int = tables.TARGET_BYTES) -> int | None:
+    """Merge the small files of a managed raw lake, per date by levels, clustered by endpoint and time
+    within a date, so that searches and endpoint reports prune row groups."""
+    rows = tables.read(spark, path)
+    cluster = [c for c in ("request", "timestamp") if c in rows.columns]
+    return tables.compact(spark, path, F.col("date"), None, tuple(cluster), target_bytes=target_bytes, max_batch_id=max_batch_id)
+
+
 def write_lake(records: DataFrame, path: str, partitions: int | None = None,
                time_col: str = "timestamp", mode: str = "overwrite", tie: str = "offset",
                transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
@@ -167,16 +182,23 @@ def document_sink(records: DataFrame, resource: str, checkpoint: str,
 
 def upsert_metrics(metrics: DataFrame, path: str, checkpoint: str, key: str = "window_start",
                    fmt: str = "parquet", options: dict[str, str] | None = None,
-                   trigger: dict | None = None) -> StreamingQuery:
+                   trigger: dict | None = None, compact_every: int | None = None) -> StreamingQuery:
     """Update-mode metrics -> last-write-wins table keyed by ``key``.
 
     Each micro-batch carries only the windows it changed. For Parquet the
-    batch is written to its own ``batch_id=N`` folder (overwritten on
-    replay, so idempotent) and ``read_upserts`` resolves the newest version
-    per key at read time - no per-batch rewrite of the whole table. For a
+    batch becomes a part of a managed table (``tables.write_batch``, idempotent)
+    and ``read_upserts`` resolves the newest version per key at read time - no
+    per-batch rewrite of the whole table. ``compact_every`` folds the batches into the
+    levels after that many of them, between two batches. For a
     document store the key becomes the document id (``es.mapping.id``), so
     the store itself keeps the last write.
     """
+    if fmt == "parquet":
+        def write(batch: DataFrame, batch_id: int) -> None:
+            tables.write_batch(batch, path, batch_id)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                compact_upserts(batch.sparkSession, path, key)
+        return _writer(metrics, "update", checkpoint, trigger, None).foreachBatch(write).start()
     opts = dict(options or {})
     if fmt == ES_FORMAT:
         opts.setdefault("es.mapping.id", key)
@@ -201,7 +223,10 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     compacted copy (``compacted=N``: batches up to N) and the batches after it.
 
     A batch that is being written, or one that a compaction already holds, is
-    not read, so readers, writers and compactions may run at the same time."""
+    not read, so readers, writers and compactions may run at the same time.
+    A managed table is read by its manifest, without listing folders."""
+    if tables.is_managed(spark, path):
+        return tables.read(spark, path)
     base = _numbered(spark, path, "compacted")
     upto = base[-1] if base else -1
     parts = [f"{path}/batch_id={n}" for n in _numbered(spark, path, "batch_id") if n > upto]
@@ -217,11 +242,14 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_batches(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame],
-                    max_batch_id: int | None = None) -> int | None:
+                    max_batch_id: int | None = None, day: str = "window_start") -> int | None:
     """Merge the batches up to ``max_batch_id`` (default: the newest complete one)
     into one ``compacted=N`` copy, then drop older copies. Batches that arrive
     meanwhile stay as they are. Returns N, or None if there was nothing to do.
-    ``merge`` maps rows with ``batch_id`` to fewer rows with the same columns."""
+    ``merge`` maps rows with ``batch_id`` to fewer rows with the same columns.
+    A managed table is compacted by levels and ``day`` instead."""
+    if tables.is_managed(spark, path):
+        return tables.compact(spark, path, F.to_date(day), merge, max_batch_id=max_batch_id)
     done = _numbered(spark, path, "compacted")
     known = [n for n in _numbered(spark, path, "batch_id") if not done or n > done[-1]]
     upto = max((n for n in known if max_batch_id is None or n <= max_batch_id), default=None)
@@ -235,6 +263,9 @@ def compact_batches(spark: SparkSession, path: str, merge: Callable[[DataFrame],
 def drop_compacted(spark: SparkSession, path: str) -> None:
     """Delete batches and copies that the newest compacted copy holds. Run it when
     no reader of before the last compaction is left."""
+    if tables.is_managed(spark, path):
+        tables.vacuum(spark, path)
+        return
     done = _numbered(spark, path, "compacted")
     if not done:
         return
@@ -267,8 +298,9 @@ def read_upserts(spark: SparkSession, path: str, key: str | list[str] = "window_
 
 def compact_upserts(spark: SparkSession, path: str, key: str | list[str] = "window_start",
                     max_batch_id: int | None = None) -> int | None:
-    """Keep the newest version of every key in one copy (see ``compact_batches``)."""
-    return compact_batches(spark, path, _latest([key] if isinstance(key, str) else list(key)), max_batch_id)
+    """Keep the newest version of every key (see ``compact_batches``); days are those of the first key column."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return compact_batches(spark, path, _latest(keys), max_batch_id, keys[0])
 
 
 # The characters that count as white space at the ends of a line.
