@@ -32,6 +32,9 @@ def lines_cte(variant: str = "plain") -> str:
     if variant == "dense":
         ingest = "TIMESTAMP '2024-01-01 00:00:00' + to_milliseconds(event_id * 1500)"
         event = ingest
+    elif variant == "tardy":
+        ingest = "TIMESTAMP '2024-01-01 00:00:00' + to_milliseconds(event_id * 1500)"
+        event = f"{ingest} - to_minutes(CASE WHEN event_id % 7 = 0 THEN 15 ELSE 0 END)"
     elif variant == "late":
         ingest = "ts"
         event = "ts - to_seconds(20 * (event_id % 5))"

@@ -29,7 +29,7 @@ UA_OPERA = "Opera/9.80 (X11) Presto/2.9 Version/11.00"
 GARBAGE_LINE = "garbage line"
 ACCESS_TOPIC = "access_log"
 APP_TOPIC = "app_log"
-VARIANTS = ("plain", "dense", "late", "weighted", "wide")
+VARIANTS = ("plain", "dense", "late", "weighted", "wide", "tardy")
 # Distinct endpoints of the wide variant, more than any top-k list shows.
 WIDE_ENDPOINTS = 23
 
@@ -88,6 +88,11 @@ def access_lines(events: DataFrame, variant: str = "plain") -> DataFrame:
         ingest = F.timestamp_add("MILLISECOND", eid * 1500,
                                 F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
         event = ingest
+    elif variant == "tardy":
+        # The dense feed, where every seventh line is a quarter of an hour late.
+        ingest = F.timestamp_add("MILLISECOND", eid * 1500,
+                                F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+        event = F.timestamp_add("MINUTE", F.when(eid % 7 == 0, F.lit(-15)).otherwise(F.lit(0)), ingest)
     elif variant == "late":
         ingest = ts
         event = F.timestamp_add("SECOND", F.lit(-20) * (eid % 5), ts)

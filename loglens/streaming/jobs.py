@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loglens.functions import parsing as fx
 from loglens.functions import patterns as P
-from loglens.operators import metrics, parse
+from loglens.operators import metrics, parse, top_lists
 from loglens.session import shared_root
 from loglens.streaming import sinks, tables
 
@@ -86,7 +86,8 @@ def start_shared_scan_job(spark: SparkSession, envelope: DataFrame, raw_path: st
                           trigger: dict | None = None,
                           files_per_batch: int | None = None,
                           quarantine_path: str | None = None,
-                          compact_every: int | None = None) -> StreamingQuery:
+                          compact_every: int | None = None,
+                          endpoints_path: str | None = None) -> StreamingQuery:
     """One read and one parse of the source feeding the raw lake, the metrics and,
     with ``quarantine_path``, the dead-letter table of rejected lines (only those
     are matched again, for their class).
@@ -96,7 +97,8 @@ def start_shared_scan_job(spark: SparkSession, envelope: DataFrame, raw_path: st
     merges their small files after that many batches, so the number of files
     stays bounded; without it run ``compact_job`` (CLI ``compact``) beside the job.
     ``files_per_batch`` bounds the raw files a micro-batch writes (see
-    ``sinks.raw_lake``); the partial metrics are tiny either way.
+    ``sinks.raw_lake``); the partial metrics are tiny either way. ``endpoints_path``
+    adds the endpoint sketches of live top lists (``operators.top_lists``).
     """
     parsed = fx.with_groups(parse.decode(envelope), "value", P.EXTENDED_PATTERN, P.EXTENDED_FIELDS,
                             ["key", "timestamp", "offset"], keep_source=True)
@@ -115,10 +117,12 @@ def start_shared_scan_job(spark: SparkSession, envelope: DataFrame, raw_path: st
                 rejected = batch.where(F.col("value").isNull() | (F.col("status") == ""))
                 tables.write_batch(parse.line_class(rejected.select("key", "timestamp", "offset", "value")),
                                    quarantine_path, batch_id)
+            if endpoints_path:
+                tables.write_batch(top_lists.endpoint_sketches(batch), endpoints_path, batch_id)
         finally:
             batch.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
-            compact_job(batch.sparkSession, raw_path, partials_path, quarantine_path)
+            compact_job(batch.sparkSession, raw_path, partials_path, quarantine_path, endpoints_path)
 
     w = parsed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if trigger:
@@ -145,12 +149,12 @@ def compact_partials(spark: SparkSession, partials_path: str, max_batch_id: int
 
 
 def compact_job(spark: SparkSession, raw_path: str | None = None, partials_path: str | None = None,
-                quarantine_path: str | None = None, vacuum: bool = False) -> dict[str, int | None]:
+                quarantine_path: str | None = None, endpoints_path: str | None = None, vacuum: bool = False) -> dict[str, int | None]:
     """Merge the small files of the tables of a shared-scan job, which may go on meanwhile. The newest batch folded, by table.
     ``vacuum`` also deletes what is no longer in use (see ``tables.vacuum``)."""
     done: dict[str, int | None] = {}
     for name, path, run in (("raw", raw_path, sinks.compact_lake), ("partials", partials_path, compact_partials),
-                            ("quarantine", quarantine_path, compact_quarantine)):
+                            ("quarantine", quarantine_path, compact_quarantine), ("endpoints", endpoints_path, compact_sketches)):
         if path and tables.is_managed(spark, path):
             done[name] = run(spark, path)
             if vacuum:
@@ -163,6 +167,11 @@ def compact_quarantine(spark: SparkSession, path: str, max_batch_id: int | None
     return tables.compact(spark, path, F.to_date("timestamp"), None, ("line_class", "timestamp"), max_batch_id=max_batch_id)
 
 
+def compact_sketches(spark: SparkSession, path: str, max_batch_id: int | None = None) -> int | None:
+    """Add the endpoint sketches of many batches up."""
+    return tables.compact(spark, path, F.col("day"), top_lists.add_sketches, max_batch_id=max_batch_id)
+
+
 def await_jobs(spark: SparkSession, queries: list[StreamingQuery],
                timeout_s: float | None = None) -> None:
     """Block until one of ``queries`` ends (or ``timeout_s`` passes).
@@ -191,3 +200,75 @@ def await_jobs(spark: SparkSession, queries: list[StreamingQuery],
                 q.stop()
         q = failed[0]
         raise RuntimeError(f"query {q.name or q.id} failed: {q.exception()}")
+
+
+def start_event_time_job(spark: SparkSession, envelope: DataFrame, partials_path: str, late_path: str, checkpoint: str,
+                         delay: str, trigger: dict | None = None, compact_every: int | None = None) -> StreamingQuery:
+    """Event-time minute metrics whose late rows are kept.
+
+    A stateful append query drops rows whose window the watermark has closed, and only counts them. Here each
+    micro-batch is parsed once and split by the watermark that the batches before it have set (largest event
+    time seen, less ``delay``): rows of open windows go as additive partials to ``partials_path``, rows of closed ones,
+    whole, to the side output ``late_path``. ``closed_windows`` then shows what an append query would
+    have emitted, and with ``late_path`` the corrected windows. The watermark is a note of the batch in the
+    manifest, so a replayed batch is split as before."""
+    parsed = metrics.with_event_time(parse.parse_access(parse.decode(envelope), keep=("timestamp", "offset", "partition")))
+    timed = fx.keep_where(parsed, F.col("event_time").isNotNull())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        seen = tables.note(session, partials_path, batch_id - 1)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            newest = batch.agg(F.max(F.unix_micros("event_time"))).first()[0]
+            end = F.unix_micros(F.window("event_time", metrics.MINUTE)["end"])
+            late = F.lit(False) if seen is None else end <= F.lit(seen - _micros(delay))
+            tables.write_batch(batch.where(late).withColumn("batch_watermark", F.lit(seen).cast("long")), late_path, batch_id)
+            known = [v for v in (seen, newest) if v is not None]
+            tables.write_batch(event_partials(batch.where(~late)), partials_path, batch_id, note=max(known) if known else None)
+        finally:
+            batch.unpersist()
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_event_time(session, partials_path, late_path)
+
+    w = timed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.foreachBatch(write).start()
+
+
+def _micros(interval: str) -> int:
+    amount, unit = interval.split()
+    return int(float(amount) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")] * 1_000_000)
+
+
+def event_partials(rows: DataFrame) -> DataFrame:
+    """Additive metrics per event-time minute."""
+    return metrics.flatten_window(metrics.window_metrics(rows, "event_time", approx_ips=False), ntz=False)
+
+
+_SUMS = ("total_requests", "error_4xx_count", "error_5xx_count", "total_bytes")
+
+
+def _summed(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("window_start", "window_end").agg(*[F.sum(c).alias(c) for c in _SUMS], F.max("batch_id").alias("batch_id"))
+
+
+def compact_event_time(spark: SparkSession, partials_path: str, late_path: str | None = None) -> None:
+    """Add up the partials of many batches; merge the files of the side output, whose rows all stay."""
+    tables.compact(spark, partials_path, F.to_date("window_start"), _summed)
+    if late_path:
+        tables.compact(spark, late_path, F.to_date("event_time"), None, ("event_time",))
+
+
+def closed_windows(spark: SparkSession, partials_path: str, delay: str, late_path: str | None = None) -> DataFrame:
+    """The windows that the watermark has closed, and with ``late_path`` corrected by the rows that came after that.
+
+    A window that only late rows fall into appears with the correction."""
+    rows = tables.read(spark, partials_path).drop("batch_id")
+    if late_path:
+        rows = rows.unionByName(event_partials(tables.read(spark, late_path)).select(*rows.columns))
+    newest = tables.note(spark, partials_path)
+    end = F.unix_micros("window_end")
+    closed = F.lit(False) if newest is None else end <= F.lit(newest - _micros(delay))
+    return _summed(rows.withColumn("batch_id", F.lit(0))).drop("batch_id").where(closed)

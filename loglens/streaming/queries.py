@@ -221,8 +221,38 @@ def q_stream_active_ips_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def q_stream_top_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3 live: candidates from the merged endpoint sketches of all batches, recounted on the raw lake."""
+    from loglens.operators import top_lists
+    from loglens.streaming import jobs
+
+    def start(source: DataFrame, run: str) -> StreamingQuery:
+        return jobs.start_shared_scan_job(spark, source, f"{run}/raw", f"{run}/partials", f"{run}/checkpoint",
+                                          trigger=runner.AVAILABLE_NOW, endpoints_path=f"{run}/endpoints")
+    run = _in_slices(spark, sf_dir, "stream_top_endpoints", "wide", start)
+    return top_lists.live_top_endpoints(sinks.read_lake(spark, f"{run}/raw"), sinks.read_batches(spark, f"{run}/endpoints"))
+
+
+TARDY_DELAY = "2 minutes"
+
+
+def q_stream_late_rows_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed event-time minutes, corrected by the rows that came behind the watermark."""
+    from loglens.streaming import jobs
+
+    def start(source: DataFrame, run: str) -> StreamingQuery:
+        return jobs.start_event_time_job(spark, source, f"{run}/partials", f"{run}/late", f"{run}/checkpoint", TARDY_DELAY,
+                                         trigger=runner.AVAILABLE_NOW)
+    run = _in_slices(spark, sf_dir, "stream_late_rows_corrected", "tardy", start)
+    rows = jobs.closed_windows(spark, f"{run}/partials", TARDY_DELAY, f"{run}/late")
+    return rows.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), *METRIC_COLUMNS[2:])
+
+
 def stream_queries():
     return {
+        "stream_top_endpoints": q_stream_top_endpoints,
+        "stream_late_rows_corrected": q_stream_late_rows_corrected,
         "stream_error_anomalies": q_stream_error_anomalies,
         "stream_error_windows": q_stream_error_windows,
         "stream_active_ips_exact": q_stream_active_ips_exact,
@@ -254,7 +284,11 @@ def stream_oracles():
     all_max = "SELECT max(ts) FROM events"
     event_max = ("SELECT max(date_trunc('second', ts)) FROM events "
                  "WHERE event_id % 101 <> 0 AND event_id % 97 <> 0")
+    tardy = O._minute_metrics("tardy", O.event_time_sql("datetime"), f"WHERE status <> '' AND {O.event_time_sql('datetime')} IS NOT NULL")
+    tardy_max = f"SELECT max({O.event_time_sql('datetime')}) FROM ({O.parsed_cte('tardy')}) x WHERE status <> ''"
     return {
+        "stream_top_endpoints": b["top_endpoints"],
+        "stream_late_rows_corrected": f"SELECT * FROM ({tardy}) w WHERE window_end <= ({tardy_max}) - INTERVAL 2 minute",
         "stream_error_anomalies": _closed(b["error_anomalies"], event_max, "hour_start + INTERVAL 1 hour"),
         "stream_error_windows": _closed(b["error_windows"], all_max, minute_end),
         "stream_active_ips_exact": _closed(b["minute_active_ips_exact"], all_max, minute_end),

@@ -146,9 +146,22 @@ def _part(store: _Store, name: str, level: int, first: int, last: int, day: str
     return {"name": name, "level": level, "first": first, "last": last, "day": day, "bytes": size, "files": files}
 
 
-def write_batch(batch: DataFrame, path: str, batch_id: int, partition: str | None = None, options: dict[str, str] | None = None) -> None:
+# Notes of so many batches stay in the manifest.
+NOTES = 100
+
+
+def note(spark: SparkSession, path: str, batch_id: int | None = None) -> int | None:
+    """The note that the newest batch (up to ``batch_id``) left, if any."""
+    notes = {int(k): v for k, v in manifest(spark, path).get("notes", {}).items() if batch_id is None or int(k) <= batch_id}
+    return notes[max(notes)] if notes else None
+
+
+def write_batch(batch: DataFrame, path: str, batch_id: int, partition: str | None = None, options: dict[str, str] | None = None,
+                note: int | None = None) -> None:
     """One micro-batch as a level-0 part ``batch_id=N`` (with ``partition`` folders inside); safe to repeat.
 
+    ``note`` is a number that a later batch wants to know, such as the largest time stamp so far.
+
     A part in the manifest is never written again: a replay of a batch whose commit succeeded finds
     it there, or in a compaction, and writes nothing. It runs all the same, as a stateful query's
     state comes forward by running its batches."""
@@ -161,7 +174,15 @@ def write_batch(batch: DataFrame, path: str, batch_id: int, partition: str | Non
     (w.partitionBy(partition) if partition else w).parquet(f"{path}/{name}")
     part = _part(_Store(spark, path), name, 0, batch_id, batch_id, None)
 
-    commit(spark, path, lambda now: now | {"parts": [*now["parts"], part]})
+
+    def add(now: dict) -> dict:
+        new = now | {"parts": [*now["parts"], part]}
+        if note is not None:
+            notes = now.get("notes", {}) | {str(batch_id): note}
+            new["notes"] = {k: notes[k] for k in sorted(notes, key=int)[-NOTES:]}
+        return new
+
+    commit(spark, path, add)
 
 
 def _read_parts(spark: SparkSession, path: str, names: list[str], add: tuple[Column, ...] = ()) -> DataFrame | None:
