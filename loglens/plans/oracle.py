@@ -211,6 +211,7 @@ def batch_oracles() -> dict[str, str]:
     s["publish_lines_envelope"] = f"""SELECT {_q(R.ACCESS_TOPIC)} AS topic, line AS value, count(*) AS records, count(*) AS dated
         FROM ({lines}) l GROUP BY line"""
     s["text_file_lines"] = f"SELECT line AS value, count(*) AS lines, true AS named FROM ({lines}) l GROUP BY line"
+    s["gzip_member_lines"] = f"SELECT line AS value, count(*) AS lines FROM ({lines}) l GROUP BY line"
     s["user_agent_share"] = _with_parsed() + f"""SELECT {_browser('user_agent')} AS browser,
           {_device('user_agent')} AS device, count(*) AS requests
         FROM p WHERE status <> '' GROUP BY 1, 2"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loglens.operators import alerts, dashboards, metrics, parse, search_index
 from loglens.session import configure, scratch_path
-from loglens.sources import feeds, files, kafka
+from loglens.sources import feeds, files, gzip_members, kafka
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,6 +156,12 @@ def q_text_file_lines(spark, sf_dir):
                                       F.bool_and(F.col("file_name").rlike(r"^part-.*\.txt$")).alias("named"))
 
 
+def q_gzip_member_lines(spark, sf_dir):
+    """Gzip text log files read by byte ranges, at the starts of their members."""
+    lines = gzip_members.gzip_log_lines(spark, feeds.text_feed_path(spark, sf_dir), "part-*.gz", split_bytes=1 << 16)
+    return lines.groupBy("value").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def q_status_class_share(spark, sf_dir):
     """Requests and share per status class."""
     return dashboards.status_class_share(parsed(spark, sf_dir))
@@ -240,6 +246,7 @@ def batch_queries() -> dict[str, Query]:
         "hour_active_ips_error": q_hour_active_ips_error,
         "publish_lines_envelope": q_publish_lines_envelope,
         "text_file_lines": q_text_file_lines,
+        "gzip_member_lines": q_gzip_member_lines,
         "user_agent_share": q_user_agent_share,
         "access_heatmap": q_access_heatmap,
         "client_profile": q_client_profile,

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from loglens.operators import alerts, metrics, parse
 from loglens.plans import oracle as O
 from loglens.session import scratch_path
-from loglens.sources import feeds, kafka
+from loglens.sources import feeds, files, kafka, tail
 from loglens.streaming import live, runner, sinks
 
 METRIC_COLUMNS = ("window_start", "window_end", "total_requests", "error_4xx_count",
@@ -249,8 +249,20 @@ def q_stream_late_rows_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("window_end").cast("timestamp_ntz").alias("window_end"), *METRIC_COLUMNS[2:])
 
 
+def q_stream_tailed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain text log files read as growing files, in byte ranges."""
+    run = scratch_path(spark, "stream_tailed_lines")
+    lines = tail.growing_log_files(spark, feeds.text_feed_path(spark, sf_dir, compression="none"), files.TEXT_GLOB, split_bytes=1 << 18)
+    runner.run_available(spark, label="stream_tailed_lines", start=lambda: sinks.parquet_append(
+        lines, f"{run}/out", f"{run}/checkpoint", runner.AVAILABLE_NOW))
+    rows = spark.read.parquet(f"{run}/out")
+    return rows.groupBy("value").agg(F.count(F.lit(1)).alias("lines"),
+                                     F.bool_and(F.col("file_name").rlike(r"^part-.*\.txt$")).alias("named"))
+
+
 def stream_queries():
     return {
+        "stream_tailed_lines": q_stream_tailed_lines,
         "stream_top_endpoints": q_stream_top_endpoints,
         "stream_late_rows_corrected": q_stream_late_rows_corrected,
         "stream_error_anomalies": q_stream_error_anomalies,
@@ -287,6 +299,7 @@ def stream_oracles():
     tardy = O._minute_metrics("tardy", O.event_time_sql("datetime"), f"WHERE status <> '' AND {O.event_time_sql('datetime')} IS NOT NULL")
     tardy_max = f"SELECT max({O.event_time_sql('datetime')}) FROM ({O.parsed_cte('tardy')}) x WHERE status <> ''"
     return {
+        "stream_tailed_lines": b["text_file_lines"],
         "stream_top_endpoints": b["top_endpoints"],
         "stream_late_rows_corrected": f"SELECT * FROM ({tardy}) w WHERE window_end <= ({tardy_max}) - INTERVAL 2 minute",
         "stream_error_anomalies": _closed(b["error_anomalies"], event_max, "hour_start + INTERVAL 1 hour"),

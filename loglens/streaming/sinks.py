@@ -18,6 +18,8 @@ offsets instead of replaying the topic and double counting.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -308,6 +310,30 @@ WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\
                "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
+OFFSETS = "_offsets"
+
+
+def claim_offsets(spark: SparkSession, target: str, size: int) -> int:
+    """The first of ``size`` offsets of a table that belong to this run alone.
+
+    Run n creates the marker ``_offsets/<n>.json`` with its block, right behind that of run n - 1; creating fails if
+    another run was faster, which then is the one to follow. A run that dies leaves its offsets unused. Only the
+    last marker is read; the stored offsets of a table that has no markers yet are looked at once."""
+    store = tables._Store(spark, target)
+    store.fs.mkdirs(store.at(f"{target}/{OFFSETS}"))
+    while True:
+        runs = sorted(n for n in store.names(f"{target}/{OFFSETS}") if n.endswith(".json") and not n.startswith("."))
+        if runs:
+            last = json.loads(store.read(f"{target}/{OFFSETS}/{runs[-1]}"))
+            n, first = int(runs[-1][:-5]) + 1, last["first"] + last["size"]
+        else:
+            stored = any(not name.startswith(("_", ".")) for name in store.names(target))
+            top = spark.read.schema(LAKE_SCHEMA).parquet(target).agg(F.max("offset")).first()[0] if stored else None
+            n, first = 0, 0 if top is None else top + 1
+        if store.create(f"{target}/{OFFSETS}/{n:012d}.json", json.dumps({"first": first, "size": size})):
+            return first
+
+
 def publish_lines(spark: SparkSession, source: str, target: str, fmt: str = "parquet",
                   topic: str | None = None, bootstrap_servers: str | None = None,
                   glob: str = "*") -> None:
@@ -316,8 +342,8 @@ def publish_lines(spark: SparkSession, source: str, target: str, fmt: str = "par
     ``fmt="kafka"`` sends UTF-8 values (no key) to ``topic``. Otherwise an
     envelope table with ``date`` folders is appended at ``target``:
     ``partition`` is the writing task, ``timestamp`` the publish time, and
-    ``offset`` is unique over all runs (not dense): a run starts above the
-    largest offset stored. Publish to one table from one run at a time.
+    ``offset`` is unique over all runs (not dense): a run first claims a block of
+    offsets (``claim_offsets``), so any number of runs may publish to one table at once.
     """
     lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
         .text(source).select(F.btrim(F.col("value"), F.lit(WHITE_SPACE)).alias("line")) \
@@ -326,13 +352,8 @@ def publish_lines(spark: SparkSession, source: str, target: str, fmt: str = "par
         (lines.select(F.encode("line", "UTF-8").alias("value")).write.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())
         return
-    jvm = spark._jvm
-    there = jvm.org.apache.hadoop.fs.Path(target)
-    stored = there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
-    first = 0
-    if stored:
-        last = spark.read.schema(LAKE_SCHEMA).parquet(target).agg(F.max("offset")).first()[0]
-        first = 0 if last is None else last + 1
+    # Task p numbers its lines from p * 2^33 on (Spark's monotonically increasing ids).
+    first = claim_offsets(spark, target, lines.rdd.getNumPartitions() << 33)
     env = lines.select(
         F.lit(None).cast("binary").alias("key"),
         F.encode("line", "UTF-8").alias("value"),
@@ -340,4 +361,15 @@ def publish_lines(spark: SparkSession, source: str, target: str, fmt: str = "par
         F.spark_partition_id().alias("partition"),
         (F.lit(first).cast("bigint") + F.monotonically_increasing_id()).alias("offset"),
         F.current_timestamp().alias("timestamp"))
-    env.withColumn("date", F.to_date("timestamp")).write.mode("append").partitionBy("date").parquet(target)
+    # Two Spark writers in one folder would delete each other's temporary files: each run
+    # writes to a hidden folder of its own, and its files, whose names are unique, then move.
+    staging = f"{target}/_staging-{uuid.uuid4().hex[:12]}"
+    env.withColumn("date", F.to_date("timestamp")).write.partitionBy("date").parquet(staging)
+    store = tables._Store(spark, target)
+    for day in store.names(staging):
+        if day.startswith("date="):
+            store.fs.mkdirs(store.at(f"{target}/{day}"))
+            for name in store.names(f"{staging}/{day}"):
+                if name.endswith(".parquet") and not store.fs.rename(store.at(f"{staging}/{day}/{name}"), store.at(f"{target}/{day}/{name}")):
+                    raise OSError(f"could not move {staging}/{day}/{name}")
+    store.delete(staging)
