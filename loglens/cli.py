@@ -48,6 +48,7 @@ LIVE = {
     "anomalies": live.live_anomalies,
     "error-windows": live.live_error_windows,
     "active-ips": live.live_active_ips,
+    "clients": live.live_client_profile,
 }
 
 
@@ -116,7 +117,7 @@ def _args(argv=None):
                     help="connector option of the index, e.g. es.nodes=host:9200 (repeatable)")
     ap.add_argument("--console-rows", type=int, default=20,
                     help="rows of each micro-batch that the console shows")
-    ap.add_argument("--panel", choices=sorted(PANELS | LIVE), help="dashboard table to compute (report, live)")
+    ap.add_argument("--panel", choices=sorted({**PANELS, **LIVE}), help="dashboard table to compute (report, live)")
     ap.add_argument("--partials", help="partial-metric table of a shared-scan job (compact)")
     ap.add_argument("--vacuum", action="store_true", help="delete what a compaction has replaced")
     ap.add_argument("--search-index", help="n-gram index of the lake (index, search)")

@@ -8,9 +8,12 @@
 * ``live_error_windows`` (D8): closed minutes with a high error rate.
 * ``live_active_ips`` (A7): the exact number of client IPs of each closed window
   by two chained stateful operators: one row per (window, IP), then a count.
+* ``live_client_profile`` (D7): running totals per client IP, with its distinct endpoints
+  in keyed state, dropped when the client was idle for ``ttl``.
 
-The baseline, which Spark's aggregates can't keep, runs in a ``transformWithState``
-processor. It sees aggregated rows only, one per endpoint and hour.
+What Spark's aggregates can't keep (the baseline, a profile with a lifetime) is in
+``transformWithState`` processors. They see aggregated rows only, one per endpoint or
+(IP, endpoint) and closed hour, so a hot client is combined map-side first.
 """
 
 from __future__ import annotations
@@ -113,3 +116,72 @@ def live_active_ips(parsed: DataFrame, watermark: str, width: str = metrics.MINU
     return (per_ip.groupBy(F.window(F.window_time("window"), width).alias("window"))
             .agg(F.count("ip").alias("active_ip_count"))
             .select(F.col("window.start").alias("window_start"), "active_ip_count"))
+
+
+PROFILE = "ip string, requests long, endpoints long, first_seen timestamp, last_seen timestamp, errors long, hour timestamp"
+
+
+class Profile(StatefulProcessor):
+    """Totals of a client, and the endpoints it has asked for, as long as it is not idle for ``ttl_ms``."""
+
+    def __init__(self, ttl_ms: int | None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.totals = handle.getValueState("totals", "requests long, errors long, endpoints long, first long, last long")
+        self.known = handle.getMapState("known", "endpoint string", "hour long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows))
+        hour = int(new["hour_us"].max())
+        old = self.totals.get() if self.totals.exists() else None
+        requests, errors, endpoints = (0, 0, 0) if old is None else old[:3]
+        for endpoint in new["endpoint"].dropna().unique():
+            if not self.known.containsKey((endpoint,)):
+                self.known.updateValue((endpoint,), (hour,))
+                endpoints += 1
+        requests, errors = requests + int(new["requests"].sum()), errors + int(new["errors"].sum())
+        first, last = int(new["first_us"].min()), int(new["last_us"].max())
+        if old is not None:
+            first, last = min(first, old[3]), max(last, old[4])
+        self.totals.update((requests, errors, endpoints, first, last))
+        if self.ttl_ms is not None:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer(hour // 1000 + 1 + self.ttl_ms)
+        at = lambda us: pd.Timestamp(us, unit="us", tz="UTC")
+        yield pd.DataFrame([(key[0], requests, endpoints, at(first), at(last), errors, at(hour))],
+                           columns=["ip", "requests", "endpoints", "first_seen", "last_seen", "errors", "hour"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.totals.clear()
+        self.known.clear()
+        yield pd.DataFrame(columns=["ip", "requests", "endpoints", "first_seen", "last_seen", "errors", "hour"])
+
+    def close(self) -> None:
+        pass
+
+
+def live_client_profile(parsed: DataFrame, watermark: str, ttl: str | None = None) -> DataFrame:
+    """``dashboards.client_profile`` over a stream, append mode: a client's profile again whenever an hour with its requests closes.
+
+    ``latest_profiles`` picks the newest row per client. ``ttl`` (e.g. '30 days'; default: never) drops the
+    state of clients that were idle so long, by an event-time timer; one that comes back starts anew."""
+    status = fx.status_class_of(F.col("status"))
+    prep = parsed.select("ip", F.col("status").alias("s"), fx.access_time(F.col("datetime")).alias("event_time"),
+                         fx.endpoint_of(F.col("request")).alias("endpoint"), fx.is_error_class(status).alias("err"))
+    timed = fx.keep_where(prep, (F.col("s") != "") & F.col("event_time").isNotNull()).withWatermark("event_time", watermark)
+    hours = (timed.groupBy(F.window("event_time", "1 hour").alias("window"), "ip", "endpoint")
+             .agg(F.count(F.lit(1)).alias("requests"), F.count_if("err").alias("errors"),
+                  F.min(F.unix_micros("event_time")).alias("first_us"), F.max(F.unix_micros("event_time")).alias("last_us"))
+             .select("ip", "endpoint", "requests", "errors", "first_us", "last_us", F.window_time("window").alias("hour"),
+                     F.unix_micros(F.window_time("window")).alias("hour_us")))
+    return hours.groupBy("ip").transformWithStateInPandas(Profile(_ms(ttl)), PROFILE, "append", "EventTime")
+
+
+def latest_profiles(profiles: DataFrame) -> DataFrame:
+    """The newest profile of every client among all rows that ``live_client_profile`` has emitted."""
+    rest = [c for c in profiles.columns if c != "ip"]
+    return (profiles.groupBy("ip").agg(F.max_by(F.struct(*rest), F.col("hour")).alias("p"))
+            .select("ip", *[f"p.{c}" for c in rest if c != "hour"]))

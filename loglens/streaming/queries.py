@@ -221,6 +221,12 @@ def q_stream_active_ips_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def q_stream_client_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D7 live: client profiles over closed hours, from keyed state."""
+    rows = live.latest_profiles(_live(spark, sf_dir, "stream_client_profile", lambda p: live.live_client_profile(p, APPEND_WATERMARK)))
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_seen", "last_seen")})
+
+
 def q_stream_top_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 live: candidates from the merged endpoint sketches of all batches, recounted on the raw lake."""
     from loglens.operators import top_lists
@@ -263,6 +269,7 @@ def q_stream_tailed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_queries():
     return {
         "stream_tailed_lines": q_stream_tailed_lines,
+        "stream_client_profile": q_stream_client_profile,
         "stream_top_endpoints": q_stream_top_endpoints,
         "stream_late_rows_corrected": q_stream_late_rows_corrected,
         "stream_error_anomalies": q_stream_error_anomalies,
@@ -300,6 +307,8 @@ def stream_oracles():
     tardy_max = f"SELECT max({O.event_time_sql('datetime')}) FROM ({O.parsed_cte('tardy')}) x WHERE status <> ''"
     return {
         "stream_tailed_lines": b["text_file_lines"],
+        "stream_client_profile": b["client_profile"].replace("FROM e GROUP BY ip", f"""FROM e
+            WHERE date_trunc('hour', event_time) + INTERVAL 1 hour <= ({event_max}) - INTERVAL 10 minute GROUP BY ip"""),
         "stream_top_endpoints": b["top_endpoints"],
         "stream_late_rows_corrected": f"SELECT * FROM ({tardy}) w WHERE window_end <= ({tardy_max}) - INTERVAL 2 minute",
         "stream_error_anomalies": _closed(b["error_anomalies"], event_max, "hour_start + INTERVAL 1 hour"),

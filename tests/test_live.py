@@ -114,3 +114,22 @@ def test_live_error_windows_equal_batch(spark, scratch, watermark):
     got = {(r.window_start, r.total_requests, r.error_rate_percent) for r in out.collect()}
     want = {(r.window_start, r.total_requests, r.error_rate_percent) for r in batch.where(F.col("window_start") < "2024-01-01 03:00:00").collect()}
     assert got == want and len(want) == 2
+
+
+def test_profiles_over_restarts_and_forgotten_clients(spark, scratch):
+    base = scratch("profiles")
+    at = lambda h, m: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h, minutes=m)
+    steps = [[(at(0, 5), "/a", "200", 1), (at(0, 6), "/a", "404", 1), (at(0, 7), "/b", "200", 1), (at(1, 0), "/a", "200", 2)],
+             [(at(5, 0), "/b", "500", 1), (at(5, 1), "/c", "200", 1), (at(5, 2), "/a", "200", 3)],
+             [(at(200, 0), "/x", "200", 4)],                 # all others are idle for longer than the lifetime
+             [(at(210, 0), "/z", "200", 1), (at(211, 0), "/z", "200", 1)], [(at(230, 0), "/x", "200", 4)]]
+    seen = []
+    for i, hits in enumerate(steps):
+        _drop(spark, f"{base}/in", f"f{i}", hits)
+        state, out = _run(spark, base, lambda p: live.live_client_profile(p, "10 minutes", ttl="3 days"))
+        seen.append({r.ip[-1]: (r.requests, r.endpoints, r.first_seen, r.last_seen, r.errors) for r in live.latest_profiles(out).collect()})
+    assert seen[1] == {"1": (3, 2, at(0, 5), at(0, 7), 1), "2": (1, 1, at(1, 0), at(1, 0), 0)}
+    assert seen[2]["1"] == (5, 3, at(0, 5), at(5, 1), 2) and seen[2]["3"] == (1, 1, at(5, 2), at(5, 2), 0)
+    assert seen[4]["1"] == (2, 1, at(210, 0), at(211, 0), 0)
+    # Two clients are left, with a total, a timer and an endpoint each.
+    assert state["state_rows"][1] <= 2 * 5
