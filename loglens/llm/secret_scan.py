@@ -3,9 +3,11 @@
 Patterns find assignments, access keys and long hex runs. Two first-order
 character models, one of random strings and one of ordinary identifiers, are
 trained from labelled samples (by default the patterns' values and all other
-tokens of the corpus); every other token of at least ``MIN_TOKEN`` characters
-and two character classes is a secret (kind ``markov``) when its
-log-likelihood ratio reaches ``MIN_RATIO``, ``MIN_RATE`` per character.
+tokens of the corpus). What the patterns leave of a text is scored in runs of at
+least ``MIN_TOKEN`` token characters, of whatever classes: a run is a secret (kind ``markov``) when its
+log-likelihood ratio reaches ``MIN_RATIO``, ``MIN_RATE`` per character. Of a run
+that doesn't, the parts of at least ``MIN_TOKEN`` characters that do are, the
+best-scoring one first, so a key in a path or behind a long name is not diluted.
 
 The models are count matrices of a fixed size, summed over all documents;
 only they reach the driver. Scanning is one pass without a shuffle.
@@ -49,8 +51,6 @@ START = len(ALPHABET)
 SIZE = START + 1
 HEX = np.zeros(256, dtype=bool)
 HEX[np.frombuffer(b"0123456789abcdef", np.uint8)] = True
-_CLASS = np.zeros(256, dtype=np.uint8)
-_CLASS[97:123], _CLASS[65:91], _CLASS[48:58] = 1, 2, 4
 
 
 def _runs(inside: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,29 +148,50 @@ class MarkovModels:
         return cls(got["cell"].to_numpy(), got["random"].to_numpy(), got["ordinary"].to_numpy())
 
     def secrets(self, buf: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """Byte spans of all runs, or parts of runs, that look random."""
         found = []
         for a, b in zip(*(x.tolist() for x in _runs(SYMBOL[buf] < START, offsets, MIN_TOKEN)), strict=True):
-            classes = int(np.bitwise_or.reduce(_CLASS[buf[a:b]]))
-            if classes.bit_count() < 2:
-                continue
             s = SYMBOL[buf[a:b]].astype(np.int64)
-            score = float(self.ratio[np.concatenate([[START], s[:-1]]) * SIZE + s].sum())
-            if score >= MIN_RATIO and score >= MIN_RATE * (b - a):
+            gain = self.ratio[np.concatenate([[START], s[:-1]]) * SIZE + s]
+            whole = float(gain.sum())
+            if whole >= MIN_RATIO and whole >= MIN_RATE * (b - a):
                 found.append((a, b))
+            else:
+                found += [(a + x, a + y) for x, y in random_parts(gain)]
         return found
 
 
+def random_parts(gain: np.ndarray) -> list[tuple[int, int]]:
+    """Disjoint parts of a run whose gains reach ``MIN_RATIO``, and ``MIN_RATE`` on average: the part that exceeds the rate
+    most, then the same on both sides of it."""
+    found, todo = [], [(0, len(gain))]
+    while todo:
+        lo, hi = todo.pop()
+        surplus = np.concatenate([[0.0], np.cumsum(gain[lo:hi] - MIN_RATE)])
+        # A part of the second length has the ratio if it has the rate.
+        for least in (MIN_TOKEN, int(MIN_RATIO / MIN_RATE)):
+            if hi - lo < least:
+                break
+            over = surplus[least:] - np.minimum.accumulate(surplus[:len(surplus) - least])
+            last = int(np.argmax(over))
+            if over[last] < 0:
+                break
+            x, y = lo + int(np.argmin(surplus[:last + 1])), lo + last + least
+            if gain[x:y].sum() >= MIN_RATIO:
+                found.append((x, y))
+                todo += [(lo, x), (y, hi)]
+                break
+    return found
+
+
 def all_spans(buf: np.ndarray, offsets: np.ndarray, models: MarkovModels) -> list[tuple[int, int, int]]:
     """(start, kind, end) byte spans of a slice, sorted by start, then kind."""
     spans, _ = pattern_spans(buf, offsets)
     if spans:
-        taken = np.zeros(len(buf), dtype=bool)
+        buf = buf.copy()
         for a, _, b in spans:
-            taken[a:b] = True
-        spans += [(a, 3, b) for a, b in models.secrets(buf, offsets) if not taken[a:b].any()]
-    else:
-        spans = [(a, 3, b) for a, b in models.secrets(buf, offsets)]
-    return sorted(spans)
+            buf[a:b] = 32
+    return sorted(spans + [(a, 3, b) for a, b in models.secrets(buf, offsets)])
 
 
 _SPANS = "array<struct<kind:string,start:int,end:int>>"

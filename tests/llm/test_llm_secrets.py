@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 from llm_texts import rows_of
 
 from loglens.llm import secret_scan as S
@@ -53,9 +54,11 @@ def test_redaction_replaces_every_span(docs):
     df = docs(some)
     models = S.MarkovModels.train(S.sample_counts(df))
     rows = {r.doc_id: r for r in S.redact(df, models).collect()}
+    spans = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans] for r in S.find_secrets(df, models).collect()}
     for i, t in enumerate(some):
         want, at = "", 0
-        for a, _, b in base_spans(t):
+        assert [(a, S.KINDS.index(k), b) for a, k, b in spans[i] if k != "markov"] == base_spans(t)
+        for a, _, b in spans[i]:
             if a >= at:
                 want += (t or "")[at:a] + S.MARK
             at = max(at, b)
@@ -80,3 +83,65 @@ def test_counts_cover_every_token(docs):
     assert counts[cell(b"a", b"b")] == (1, 2)
     assert counts[cell(None, b"b")] == (0, 1)
     assert counts[cell(b"e", b"f")] == (1, 0)
+
+
+def brute_parts(gain):
+    """The first part by trying all: the one that exceeds the rate most, of MIN_TOKEN characters or, if that misses the ratio, of MIN_RATIO / MIN_RATE."""
+    n = len(gain)
+    for least in (S.MIN_TOKEN, int(S.MIN_RATIO / S.MIN_RATE)):
+        all_parts = [(sum(gain[x:y]) - S.MIN_RATE * (y - x), x, y) for x in range(n) for y in range(x + least, n + 1)]
+        if not all_parts or max(all_parts)[0] < 0:
+            return None
+        over = max(all_parts)[0]
+        x, y = next((x, y) for o, x, y in sorted(all_parts, key=lambda p: p[2]) if o > over - 1e-9)
+        if sum(gain[x:y]) >= S.MIN_RATIO:
+            return x, y
+    return None
+
+
+def test_random_parts_equal_brute_force():
+    rng = np.random.default_rng(4)
+    some = 0
+    for _ in range(300):
+        gain = rng.normal(-0.6, 1.2, rng.integers(1, 90))
+        if rng.random() < 0.7 and len(gain) > 25:
+            at = rng.integers(0, len(gain) - 20)
+            gain[at:at + rng.integers(18, 45)] += 1.9
+        got, want = S.random_parts(gain), brute_parts(gain.tolist())
+        some += want is not None
+        assert (got[0] if got else None) == want
+        for x, y in got:
+            assert y - x >= S.MIN_TOKEN and gain[x:y].sum() >= S.MIN_RATIO and gain[x:y].mean() >= S.MIN_RATE
+        assert all(a[1] <= b[0] for a, b in zip(sorted(got), sorted(got)[1:]))
+    assert 50 < some < 250
+
+
+def test_keys_of_one_class_in_paths_behind_names_and_beside_patterns(docs):
+    rng = random.Random(5)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    plain = [" ".join(["the ordinary identifier_names_are_common_here and/or another_variable_name", f"password={secret(rng, 24)}",
+                       f"secret={secret(rng, 32, low)}", f"token={secret(rng, 32, up)}"]) for _ in range(4000)]
+    a, b, c, d, e = secret(rng, 32, low), secret(rng, 32, up), secret(rng, 24), secret(rng, 22), secret(rng, 30, up + digits)
+    found = [f"x {a} y", f"x {b} y", f"see another_variable_name/ordinary/{c}/identifier_names/common now", f"long_setting_name_for_service={d}",
+             f"{'0123456789abcdef' * 2}{e.replace('A', 'Z')}", f"{a}\u00e9{b}"]
+    clean = ["the ordinary identifier_names_are_common_here", "another_variable_name/ordinary/identifier_names_are_common"]
+    df = docs([*plain, *found, *clean])
+    models = S.MarkovModels.train(S.sample_counts(df))
+    rows = {r.doc_id: r.spans for r in S.find_secrets(df, models).collect()}
+    spans = [[(found[i][s.start:s.end], s.kind) for s in rows[len(plain) + i]] for i in range(len(found))]
+    share = lambda key, got: max((len(t) for t, k in got if k == "markov" and (t in key or key in t)), default=0) / len(key)
+    for key, got in zip((a, b, c, d, e.replace("A", "Z"), a), spans, strict=True):
+        assert share(key, got) >= 0.8, (key, got)
+    assert share(b, spans[5]) >= 0.8
+    assert all(not rows[len(plain) + len(found) + i] for i in range(len(clean)))
+    assert spans[4][0][1] == "hex"
+
+
+def test_a_very_long_text(docs):
+    rng = random.Random(6)
+    plain = [f"the ordinary identifier_names_are_common_here password={secret(rng, 24)}" for _ in range(200)]
+    key = secret(rng, 40)
+    long = "identifier_names_are_common " * 150_000 + key + " end" + "/ordinary_identifier" * 50_000
+    df = docs([*plain, long])
+    (row,) = S.find_secrets(df, S.MarkovModels.train(S.sample_counts(df))).where(f"doc_id = {len(plain)}").collect()
+    assert [long[s.start:s.end] for s in row.spans] == [key]
