@@ -75,7 +75,11 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
-    """Pairs (doc_id, item_id) with a window of similarity ``threshold`` or more: similarity of the best window."""
+    """Pairs (doc_id, item_id) with a window of similarity ``threshold`` or more: similarity of the best window.
+
+    ``RADIUS`` covers thresholds from ``THRESHOLD`` on; a lower one needs a ``radius`` given with it."""
+    if threshold < THRESHOLD and radius <= RADIUS:
+        raise ValueError(f"a threshold below {THRESHOLD} needs a radius above {RADIUS}")
     items = benchmark_items(benchmark)
     places = items.select("item_id", "n", F.posexplode("hs").alias("at", "h"))
     sizes = places.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("item_id").alias("items")).first()
@@ -117,9 +121,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    leaked = find_leaks(docs.select("doc_id", "text"), benchmark).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the documents that hold a benchmark item.
+
+    Rows are named by a digest of doc_id and text, so rows without doc_id go as well if they hold
+    one, and of two texts under one doc_id only that which does."""
+    digest = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))).cast("binary"))
+    named = docs.withColumn("_row", digest)
+    leaked = find_leaks(named.select(F.col("_row").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_row")).distinct()
+    return named.join(leaked, "_row", "left_anti").select(*docs.columns)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

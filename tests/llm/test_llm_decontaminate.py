@@ -64,7 +64,16 @@ def test_empty_tables_null_and_repeated_ids(spark, docs, case):
     df = spark.createDataFrame([(None, items[0], 1), (4, items[0], 2), (4, items[0], 2)], "doc_id long, text string, start int")
     got = sorted((str(r.doc_id), r.item_id) for r in D.find_leaks(df, benchmark).collect())
     assert got == [("4", 0), ("None", 0)]
-    assert [r.doc_id for r in D.clean_documents(df, benchmark).collect()] == [None]
+    assert D.clean_documents(df, benchmark).collect() == []
+    mixed = spark.createDataFrame([(None, items[0]), (None, "another text"), (None, None), (4, items[0]), (4, "another text")], "doc_id long, text string")
+    left = sorted((str(r.doc_id), str(r.text)) for r in D.clean_documents(mixed, benchmark).collect())
+    assert left == [("4", "another text"), ("None", "None"), ("None", "another text")]
+
+
+def test_thresholds_that_the_radius_does_not_cover_are_refused(case):
+    docs, benchmark, _ = case
+    with pytest.raises(ValueError, match="radius"):
+        D.find_leaks(docs, benchmark, threshold=0.6)
 
 
 def test_plan_is_native(case):
