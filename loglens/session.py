@@ -91,18 +91,29 @@ def configure(spark: SparkSession) -> SparkSession:
 _ROOT_KEY = "spark.loglens.sharedRoot"
 
 
-def resolve_root(configured: str | None, context_dir: str | None, master: str) -> str | None:
+# Set to true where a folder of the local file system is a mount that all executors share.
+SHARED_MOUNT_KEY = "spark.loglens.sharedMount"
+
+
+def resolve_root(configured: str | None, context_dir: str | None, master: str,
+                 default_fs: str = "file:///", shared_mount: bool = False) -> str | None:
     """The shared root from the session's settings, or None if a local-mode
     session may create its own. Raises on a cluster without one: a
-    machine-local folder there would not be visible to other executors."""
+    machine-local folder there would not be visible to other executors.
+
+    A path without a scheme belongs to the default file system, so ``/ckpt`` is fine where that is
+    HDFS or an object store; a folder of the local file system needs ``shared_mount``."""
     root = configured or context_dir
-    local = (master or "").split("[")[0] == "local"
-    if root and not local and root.startswith(("/", "file:")) and not master.startswith("local-cluster"):
-        raise RuntimeError(
-            f"{root} is a folder of one machine; set spark.checkpoint.dir to one that all executors share")
+    master = master or ""
     if root:
+        own = master.split("[")[0] == "local" or master.startswith("local-cluster") or shared_mount
+        of_machine = root.startswith("file:") or ("://" not in root and default_fs.startswith("file:"))
+        if of_machine and not own:
+            raise RuntimeError(
+                f"{root} is a folder of one machine; set spark.checkpoint.dir to one that all executors share, "
+                f"or {SHARED_MOUNT_KEY}=true if it is a shared mount")
         return root
-    if not (master or "").startswith("local"):
+    if not master.startswith("local"):
         raise RuntimeError(
             "set spark.checkpoint.dir to a cluster-shared folder "
             "(HDFS/S3/ABFS) before running loglens streaming or lineage-cutting jobs")
@@ -117,7 +128,9 @@ def shared_root(spark: SparkSession) -> str:
     registered as the context's checkpoint dir so later calls agree.
     """
     root = resolve_root(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_ROOT_KEY, None),
-                        spark.sparkContext.getCheckpointDir(), spark.sparkContext.master)
+                        spark.sparkContext.getCheckpointDir(), spark.sparkContext.master,
+                        spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///"),
+                        spark.conf.get(SHARED_MOUNT_KEY, "false").lower() == "true")
     if root is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loglens-"))
         root = spark.sparkContext.getCheckpointDir()

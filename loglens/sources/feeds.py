@@ -110,6 +110,30 @@ def feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant: str =
     return kafka.envelope_batch(spark, feed_path(spark, sf_dir, kind, variant))
 
 
+SLICES = 3
+SLICE_FILES = 4
+
+
+def slices_path(spark: SparkSession, sf_dir: str, variant: str = "plain") -> str:
+    """The access feed as a topic's backlog: ``SLICES`` slices in time order, written one after the other in
+    ``SLICE_FILES`` files each. A file stream takes files by their age, so with that many files per
+    trigger each slice is one micro-batch."""
+    configure(spark)
+
+    def write(path: str) -> None:
+        records = feed(spark, sf_dir, "access", variant)
+        seconds = F.unix_micros("timestamp").cast("double")
+        cuts = records.select(seconds.alias("s")).approxQuantile("s", [i / SLICES for i in range(1, SLICES)], 0.001)
+        bounds = [float("-inf"), *sorted(set(cuts)), float("inf")]
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            records.where((seconds > low) & (seconds <= high)).drop("date").repartition(SLICE_FILES) \
+                .write.mode("append").parquet(f"{path}/topic")
+        fs, done = _fs(spark, f"{path}/_SUCCESS")
+        fs.create(done).close()
+
+    return _once(spark, f"{shared_root(spark)}/feeds/slices-{variant}-{_fingerprint(spark, sf_dir)}", write) + "/topic"
+
+
 def text_feed_path(spark: SparkSession, sf_dir: str, variant: str = "plain",
                    compression: str = "gzip") -> str:
     """The access feed as text log files; written once, then reused."""

@@ -31,23 +31,12 @@ def _stream_feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant
 
 
 def _in_slices(spark: SparkSession, sf_dir: str, label: str, variant: str,
-               start: Callable[[DataFrame, str], StreamingQuery], slices: int = 3) -> str:
-    """Replay a feed like a topic: its records are appended in time order, slice by
-    slice, and after each slice the query (``start(source, folder)``) resumes from
-    its checkpoint and takes what is new. Returns the query's folder."""
+               start: Callable[[DataFrame, str], StreamingQuery]) -> str:
+    """Replay a feed like a topic: in time order, a slice per micro-batch (``start(source,
+    folder)`` starts the query). Returns the query's folder."""
     run = scratch_path(spark, label)
-    records = feeds.feed(spark, sf_dir, "access", variant)
-    seconds = F.unix_micros("timestamp").cast("double")
-    cuts = records.select(seconds.alias("s")).approxQuantile("s", [i / slices for i in range(1, slices)], 0.001)
-    bounds = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    total: dict = {}
-    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-        records.where((seconds > low) & (seconds <= high)).drop("date") \
-            .write.mode("append").parquet(f"{run}/source")
-        runner.run_available(spark, label=label, start=lambda: start(
-            kafka.envelope_file_stream(spark, f"{run}/source", partitioned=False), run))
-        total = runner.added(total, runner.PROGRESS[label])
-    runner.PROGRESS[label] = total
+    source = kafka.envelope_file_stream(spark, feeds.slices_path(spark, sf_dir, variant), feeds.SLICE_FILES, partitioned=False)
+    runner.run_available(spark, label=label, start=lambda: start(source, run))
     return run
 
 

@@ -61,6 +61,11 @@ def test_shared_root_rules():
         with pytest.raises(RuntimeError):
             resolve_root(local, None, "spark://master:7077")
         assert resolve_root(local, None, "local[4]") == local
+    # A path without a scheme is one of the default file system.
+    assert resolve_root("/ckpt", None, "yarn", default_fs="hdfs://nn:8020") == "/ckpt"
+    assert resolve_root("/mnt/ckpt", None, "yarn", shared_mount=True) == "/mnt/ckpt"
+    with pytest.raises(RuntimeError):
+        resolve_root("file:/mnt/ckpt", None, "yarn", default_fs="hdfs://nn:8020")
 
 
 def test_fingerprint_follows_the_files_of_a_folder(spark, tmp_path):
