@@ -16,15 +16,15 @@ How it is spread:
   broadcast: 2**SKETCH_BITS bytes at every corpus size.
 * Equal sets are one node from the start, so copies cost nothing.
 * Nodes that share a prefix shingle with another are put into small blocks of
-  like nodes (same most frequent shared shingle, similar size, at most about
-  ``BLOCK`` nodes). Only pairs of blocks with a common prefix shingle and
+  like nodes (same most frequent shared shingle, similar size, about
+  ``BLOCK_SHINGLES`` shingles and at most ``MOST_BLOCK`` nodes). Only pairs of blocks with a common prefix shingle and
   compatible sizes meet; a group of many near copies becomes many block pairs,
-  dealt to all tasks. A block pair returns link counts and a spanning forest
+  dealt to all tasks, which compare tiles of ``TILE`` nodes. A block pair returns link counts and a spanning forest
   per node, never its pairs.
 
 Defined results: null and empty texts have the empty set, linked with nothing;
 a text of fewer words is one shingle; rows with one doc_id are one node of the
-graph; a row without doc_id has no node of its own (its component is that of
+graph, whatever their texts, and each of their texts keeps its links; a row without doc_id has no node of its own (its component is that of
 its copies, or null). Other columns are ignored. Empty in, empty out.
 """
 
@@ -43,14 +43,19 @@ from pyspark.sql import functions as F
 from loglens.llm import text as T
 from loglens.llm.components import connected_components
 from loglens.llm.joins import salted_join
-from loglens.llm.store import stored
+from loglens.llm.store import dropped, stored
 
 SKETCH_BITS = 22
 SLICE_BITS = 16
 STEPS = 8                # quantisation: steps per doubling of a frequency
 MOST_MATCHES = 8
 VERIFY_COST = 16.0       # of one verification, in postings
-BLOCK = 256
+TILE = 256               # nodes compared at a time within a pair of blocks
+MOST_BLOCK = 256         # nodes of a block
+BLOCK_SHINGLES = 1 << 20  # shingles of a block's sets, about
+FLUSH = 1 << 19          # shingles that a task of the sketch holds
+HOT_KEYS = 100_000       # sets with many copies that are broadcast, at most
+HOT_COPIES = 1000
 
 
 def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -72,8 +77,9 @@ def frequency_sketch(docs: DataFrame, n: int, bits: int = SKETCH_BITS) -> np.nda
             for s in _sets(batch.column(0), n):
                 held.append((s >> shift).astype(np.uint32))
                 size += len(s)
-                if size > 1 << bits:
-                    counts += np.bincount(np.concatenate(held), minlength=1 << bits).astype(np.uint32)
+                if size > FLUSH:
+                    where, times = np.unique(np.concatenate(held), return_counts=True)
+                    counts[where] += times.astype(np.uint32)
                     held, size = [], 0
             if size:
                 where, times = np.unique(np.concatenate(held), return_counts=True)
@@ -162,7 +168,8 @@ def make_blocks(nodes: DataFrame, num: int, den: int) -> DataFrame:
     homes = (postings.join(often, "token").groupBy("node")
              .agg(F.max(F.struct("f", "token")).alias("home"), F.array_sort(F.collect_list("token")).alias("tokens")))
     grade = F.floor(F.log(F.col("n_shingles")) / float(np.log(den / num))).cast("int")
-    chunk = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("home.f") / BLOCK).cast("long")))
+    room = F.least(F.lit(MOST_BLOCK), F.greatest(F.lit(TILE // 4), F.floor(BLOCK_SHINGLES / F.pow(F.lit(den / num), F.col("grade")))))
+    chunk = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("home.f") / room).cast("long")))
     return (homes.join(nodes.select("node", "n_shingles", "copies", "matches", "digest"), "node")
             .withColumn("grade", grade)
             .select("node", "n_shingles", "copies", "matches", "digest", "tokens", "grade",
@@ -192,22 +199,32 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list]]:
         yield *key, held
 
 
-def candidates(records: list, a: int, b: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of the records of two blocks (or one) that share enough prefix shingles and have compatible sizes.
+def _tile_candidates(left: list, right: list, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of records of two tiles that share enough prefix shingles and have compatible sizes."""
+    tokens = [np.frombuffer(r[4], np.int64) for r in (*left, *right)]
+    distinct, local = np.unique(np.concatenate(tokens), return_inverse=True)
+    has = np.zeros((len(tokens), len(distinct)), dtype=np.float32)
+    has[np.repeat(np.arange(len(tokens)), [len(t) for t in tokens]), local] = 1
+    shared = has[:len(left)] @ has[len(left):].T
+    size, least = (np.array([r[c] for r in (*left, *right)]) for c in (2, 3))
+    (na, nb), (ka, kb) = ((v[:len(left), None], v[None, len(left):]) for v in (size, least))
+    ok = shared >= np.minimum(ka, kb)
+    return np.nonzero(ok & (den * np.minimum(na, nb) >= num * np.maximum(na, nb)))
+
+
+def candidates(records: list, a: int, b: int, num: int, den: int) -> Iterator[tuple[int, int]]:
+    """Index pairs of the records of two blocks (or one) that may be linked, tile by tile.
 
     A record begins with block, node, n_shingles, matches, tokens."""
-    block = np.array([r[0] for r in records])
-    size = np.array([r[2] for r in records])
-    least = np.array([r[3] for r in records])
-    tokens = [np.frombuffer(r[4], np.int64) for r in records]
-    _, local = np.unique(np.concatenate(tokens), return_inverse=True)
-    has = np.zeros((len(records), local.max() + 1), dtype=np.float32)
-    has[np.repeat(np.arange(len(records)), [len(t) for t in tokens]), local] = 1
-    shared = has @ has.T
-    ok = shared >= np.minimum(least[:, None], least[None, :])
-    ok &= den * np.minimum(size[:, None], size[None, :]) >= num * np.maximum(size[:, None], size[None, :])
-    ok &= np.triu(np.ones_like(ok), 1) if a == b else (block[:, None] == a) & (block[None, :] == b)
-    return np.nonzero(ok)
+    at = {x: [i for i, r in enumerate(records) if r[0] == x] for x in {a, b}}
+    left, right = ([at[x][i:i + TILE] for i in range(0, len(at[x]), TILE)] for x in (a, b))
+    right = left if a == b else right
+    for m, one in enumerate(left):
+        for other in (right[m:] if a == b else right):
+            i, j = _tile_candidates([records[x] for x in one], [records[x] for x in other], num, den)
+            for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                if one is not other or x < y:
+                    yield one[x], other[y]
 
 
 def _dealt(pairs: DataFrame, records: DataFrame) -> DataFrame:
@@ -245,8 +262,8 @@ def _hopeful(dealt: DataFrame, num: int, den: int) -> DataFrame:
         out: list[tuple[int, int, int]] = []
         for a, b, records in _runs(batches):
             if len(records) > 1:
-                i, j = candidates(records, a, b, num, den)
-                out += [(a, b, records[x][1]) for x in np.union1d(i, j)]
+                hopeful = {x for pair in candidates(records, a, b, num, den) for x in pair}
+                out += [(a, b, node) for node in sorted({records[x][1] for x in hopeful})]
             if len(out) > 10_000:
                 yield _longs(out, ("a", "b", "node"))
                 out = []
@@ -261,21 +278,21 @@ def _longs(rows: list, names: tuple[str, ...]) -> pa.RecordBatch:
 
 
 def _verified(dealt: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(node, root, links) per block pair: a spanning forest of its links, and how many documents each node links to."""
+    """(node, digest, root, links) per block pair: a spanning forest of its links, and how many documents each set links to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple] = []
         for a, b, records in _runs(batches):
-            # Repeated rows of one document bring its text again, rows with the same id perhaps another text.
-            by_node = {}
+            # A row of the node comes with every text of its doc_id; repeated rows bring one text again.
+            by_set = {}
             for r in records:
-                if r[1] not in by_node:
+                if (r[1], r[6]) not in by_set:
                     s = _set_of(r[7], n)
                     if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == r[6]:
-                        by_node[r[1]] = (r, s)
-            if len(by_node) < 2:
+                        by_set[r[1], r[6]] = (r, s)
+            if len(by_set) < 2:
                 continue
-            records, sets = (list(x) for x in zip(*by_node.values(), strict=True))
+            records, sets = (list(x) for x in zip(*by_set.values(), strict=True))
             links, root = [0] * len(records), list(range(len(records)))
 
             def find(x: int, root: list[int] = root) -> int:
@@ -284,20 +301,26 @@ def _verified(dealt: DataFrame, n: int, num: int, den: int) -> DataFrame:
                     x = root[x]
                 return x
 
-            for i, j in zip(*(x.tolist() for x in candidates(records, a, b, num, den)), strict=True):
+            for i, j in candidates(records, a, b, num, den):
                 both = len(sets[i]) + len(sets[j])
                 common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if den * common >= num * (both - common):
                     links[i] += records[j][5]
                     links[j] += records[i][5]
                     root[find(i)] = find(j)
-            out += [(r[1], records[find(i)][1], links[i]) for i, r in enumerate(records) if links[i]]
+            out += [(r[1], r[6], records[find(i)][1], links[i]) for i, r in enumerate(records) if links[i]]
             if len(out) > 10_000:
-                yield _longs(out, ("node", "root", "links"))
+                yield _links(out)
                 out = []
-        yield _longs(out, ("node", "root", "links"))
+        yield _links(out)
+
+    return dealt.mapInArrow(run, "node long, digest binary, root long, links long")
+
 
-    return dealt.mapInArrow(run, "node long, root long, links long")
+def _links(rows: list) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)],
+                                      names=["node", "digest", "root", "links"])
 
 
 def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, sketch_bits: int = SKETCH_BITS) -> DataFrame:
@@ -319,24 +342,56 @@ def jaccard_groups(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, sket
     full = wanted.join(_packed_texts(docs).withColumnRenamed("doc_id", "node"), "node").select(
         "node", "block", "n_shingles", "matches", "tokens", "copies", "digest", "packed")
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = (hopeful.join(full, "node").select("a", "b", "block", "node", "n_shingles", "matches", "tokens", "copies", "digest", "packed")
+    met = (hopeful.join(full, "node").where("block = a or block = b")
+           .select("a", "b", "block", "node", "n_shingles", "matches", "tokens", "copies", "digest", "packed")
            .repartition(width, "a", "b").sortWithinPartitions("a", "b", "node"))
     found = stored(_verified(met, n, num, den), "jaccard-links")
-    component = connected_components(found.select(F.col("node").alias("src"), F.col("root").alias("dst")))
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = (nodes.select("digest", "node", "copies").join(component, "node", "left").join(links, "node", "left")
+    for done in (blocks, pairs, hopeful):
+        dropped(done)
+    # A doc_id with several texts holds their nodes together.
+    h = F.xxhash64("digest")
+    several = (signed.where("doc_id is not null and digest is not null").groupBy("doc_id")
+               .agg(F.min(h).alias("least"), F.max(h).alias("most")).where("least <> most").select("doc_id"))
+    held = (several.join(signed.select("doc_id", "digest").distinct(), "doc_id").join(nodes.select("digest", "node"), "digest")
+            .select(F.col("doc_id").alias("src"), F.col("node").alias("dst")))
+    component = connected_components(found.select(F.col("node").alias("src"), F.col("root").alias("dst")).unionByName(held))
+    links = found.groupBy("digest").agg(F.sum("links").alias("links"))
+    classes = (nodes.select("digest", "node", "copies").join(component, "node", "left").join(links, "digest", "left")
                .select("digest", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"),
                        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    return (salted_join(signed.select("doc_id", "n_shingles", "digest"), classes, "digest", ["doc_id"])
+    # At most HOT_KEYS sets can have that many copies.
+    many = max(HOT_COPIES, -(-signed.count() // HOT_KEYS))
+    hot = nodes.where(F.col("copies") >= many).select("digest")
+    return (salted_join(signed.select("doc_id", "n_shingles", "digest"), classes, "digest", ["doc_id"], hot=hot)
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
                     F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
 
 
 def one_per_group(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """``docs`` with one row of each component, the one with the smallest doc_id; rows without doc_id all stay."""
-    first = jaccard_groups(docs.select("doc_id", "text"), n, num, den).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """``docs`` with one row of each component: the one with the smallest doc_id, a null one last.
+
+    Every text counts for itself: rows without doc_id, or whose doc_id other rows have as well, are told apart by a hash
+    of doc_id and text, so copies among them go too and an unlike text under a used doc_id stays. Of rows
+    alike in doc_id and text one stays (any: they may differ in other columns), of rows without words all."""
+    seen = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 or doc_id is null").select(F.col("doc_id").alias("_id"))
+    seen = stored(seen, "jaccard-repeated")
+    rows = seen.count()
+    if rows == 0:
+        groups = jaccard_groups(docs.select("doc_id", "text"), n, num, den)
+        return docs.join(groups.where("doc_id = component_id").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    seen = seen.withColumn("_again", F.lit(True))
+    # Below 0, where such a key does not meet a doc_id of its own.
+    other = F.lit(-1) - F.shiftrightunsigned(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), 1)
+    keyed = (docs.join(F.broadcast(seen) if rows <= HOT_KEYS else seen, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+             .withColumn("_key", F.when(F.col("_again"), other).otherwise(F.col("doc_id").cast("long"))).drop("_id"))
+    members = stored(jaccard_groups(keyed.select(F.col("_key").alias("doc_id"), "text"), n, num, den)
+                     .select(F.col("doc_id").alias("_key"), "component_id", "n_shingles").distinct(), "jaccard-members")
+    best = (members.join(keyed.select("_key", "doc_id").distinct(), "_key")
+            .groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key")).alias("b")))
+    first = best.select("b._key").join(members.select("_key", "n_shingles"), "_key")
+    kept = keyed.join(first, "_key")
+    once = kept.where("_again and n_shingles > 0").dropDuplicates(["_key"])
+    return kept.where("_again is null or n_shingles = 0").unionByName(once).select(*docs.columns)
 
 
 def _packed_tokens(blocks: DataFrame) -> DataFrame:

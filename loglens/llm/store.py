@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from loglens.session import scratch_path
 
+# Arrow batches of whole texts, in which Spark and its Python workers pass documents on.
+BATCH_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+                  "spark.sql.execution.arrow.maxBytesPerBatch": (str(64 << 20) + "b", str(4 << 20) + "b")}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold a few MB of texts where the session has Spark's defaults (10,000 rows, 64 MB): a task holds several
+    of them at once, in the JVM and in its worker. A setting of the user's own stays."""
+    for key, (default, ours) in BATCH_SETTINGS.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, ours)
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back: later steps neither recompute it nor lose it with an executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete a ``stored`` table that no later step reads."""
+    spark = table.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -58,7 +58,9 @@ def test_result_does_not_depend_on_the_sketch(docs):
 
 
 def test_large_group_of_near_copies_is_split_into_blocks(docs, monkeypatch):
-    monkeypatch.setattr(J, "BLOCK", 4)
+    monkeypatch.setattr(J, "MOST_BLOCK", 7)
+    monkeypatch.setattr(J, "TILE", 3)
+    monkeypatch.setattr(J, "HOT_COPIES", 2)
     rng = random.Random(9)
     base = words(rng, 120)
     texts = []
@@ -67,6 +69,7 @@ def test_large_group_of_near_copies_is_split_into_blocks(docs, monkeypatch):
         for _ in range(rng.randint(0, 4)):
             near[rng.randrange(120)] = rng.choice(["ba", "co"])
         texts.append(" ".join(near))
+    texts += texts[:9] * 2
     assert result(J.jaccard_groups(docs(texts), 3, 9, 10)) == sorted(brute(list(enumerate(texts)), 3, 9, 10))
 
 
@@ -77,6 +80,71 @@ def test_repeated_ids_null_ids_and_clashing_columns(spark):
     assert got == sorted([("7", 4, 7), ("7", 4, 7), ("7", 1, 7), ("None", 4, 7), ("None", 1, None), ("9", 1, 7), ("3", 0, 3)])
 
 
+def several_texts_under_one_id(seed):
+    """Rows whose ids are used again for other texts and missing here and there, with near copies of all texts."""
+    rng = random.Random(seed)
+    rows = []
+    for g in range(8):
+        base = words(rng, 60)
+        for _ in range(rng.randint(1, 4)):
+            near = list(base)
+            near[rng.randrange(60)] = "ba"
+            rows.append((rng.choice([None, *range(100, 112), 20 + 10 * g + len(rows)]), " ".join(near)))
+    return rows
+
+
+@pytest.mark.parametrize("n,num,den", [(3, 9, 10), (5, 4, 5)])
+def test_two_texts_under_one_id_keep_their_links(spark, n, num, den):
+    rng = random.Random(4)
+    x, y = words(rng, 80), words(rng, 80)
+    near = lambda w: " ".join([*w[:40], "ba", *w[41:]])
+    rows = [(5, " ".join(x)), (5, " ".join(y)), (1, near(x)), (2, near(y)), (9, "far away from all of them")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = result(J.jaccard_groups(df, n, num, den))
+    assert got == sorted(brute(rows, n, num, den))
+    assert {r[2] for r in got if r[0] in (1, 2, 5)} == {1} and all(r[3] == 1 for r in got if r[0] != 9)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_used_ids_equal_brute_force(spark, seed):
+    rows = [r for r in several_texts_under_one_id(seed) if r[0] is not None]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute(rows, 3, 9, 10)
+    # Rows with one id are one node: its texts lie in one component.
+    root = {i: i for i, _ in rows}
+    find = lambda x: x if root[x] == x else find(root[x])
+    sets = [(i, shingles(t, 3)) for i, t in rows]
+    for a, x in sets:
+        for b, y in sets:
+            if 10 * len(x & y) >= 9 * len(x | y):
+                p, q = sorted((find(a), find(b)))
+                root[q] = p
+    want = sorted((i, n, find(i), k) for i, n, _, k in want)
+    assert result(J.jaccard_groups(df, 3, 9, 10)) == want
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_one_per_group_loses_no_text_that_has_no_copy(spark, seed):
+    rows = [*several_texts_under_one_id(seed), (None, ""), (None, ""), (100, None), (3, "one lone text"), (3, "another lone text"), (3, "one lone text")]
+    df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, node string").repartition(4)
+    kept = [(r.doc_id, r.text) for r in J.one_per_group(df).collect()]
+    full = [(i, t, shingles(t, 5)) for i, t in rows]
+    similar = lambda x, y: 5 * len(x & y) >= 4 * len(x | y)
+    # Of each component of texts one row stays, that with the smallest id.
+    left = [f for f in full if f[2]]
+    while left:
+        group, grown = [left.pop()], True
+        while grown:
+            more = [f for f in left if any(similar(f[2], g[2]) for g in group)]
+            left = [f for f in left if f not in more]
+            group, grown = group + more, bool(more)
+        stay = [k for k in kept if any(k == g[:2] for g in group)]
+        assert len(stay) == 1
+        ids = [g[0] for g in group if g[0] is not None]
+        assert stay[0][0] == (min(ids) if ids else None)
+    assert sum(not shingles(t, 5) for _, t in kept) == 3
+
+
 def test_empty_table(docs):
     assert J.jaccard_groups(docs([]), 3, 9, 10).collect() == []
 
