@@ -11,8 +11,9 @@ the columns of ``documents``:
 4. secrets: found secrets are replaced in the text;
 5. packing: every piece of every document with its place in a sequence.
 
-Rows without a doc_id cannot be named by another row: stages 2 and 3 keep
-them, the others treat them like any other. Empty in, empty out.
+Rows without a doc_id take part in all stages, and so does each of several
+texts under one doc_id: stages 2 and 3 tell such rows apart by their text.
+Rows alike in doc_id and text are one document to stage 2. Empty in, empty out.
 """
 
 from __future__ import annotations
@@ -22,27 +23,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loglens.llm import decontaminate, jaccard_join, packing, secret_scan, toxicity
-from loglens.llm.store import stored
+from loglens.llm.store import small_batches, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.accepted(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard_join.one_per_group(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secret_scan.redact(docs, secret_scan.MarkovModels.train(secret_scan.sample_counts(docs)))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack_documents(docs)
 
 

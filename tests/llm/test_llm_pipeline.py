@@ -91,3 +91,26 @@ def test_empty_documents(spark, docs, table_dir):
     made = tables(spark, docs)
     folder = table_dir(**(made | {"documents": docs([])}))
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_rows_without_id_and_used_ids_take_part_in_all_stages(spark, table_dir):
+    rng = random.Random(9)
+    item, lone, twin = (" ".join(words(rng, 40)) for _ in range(3))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, digest string, score double"
+    rows = [(None, lone), (None, lone), (None, f"{item} {lone}"), (4, twin), (4, f"{twin[:100]} {item}"), (4, lone + " and more words of its own " + twin),
+            (9, twin), (None, None), (7, "")]
+    folder = table_dir(documents=spark.createDataFrame([(i, t, "en", "s", len(t or ""), "d", 0.5) for i, t in rows], schema),
+                       labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"),
+                       benchmark=spark.createDataFrame([(1, item)], "item_id long, text string"))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["decontamination"](spark, stages["jaccard_join"](spark, stages["toxicity"](spark, docs, folder), folder), folder)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), str(r.text)) for r in kept.collect())
+    assert got == sorted([("None", lone), ("4", twin), ("4", rows[5][1]), ("None", "None"), ("7", "")])
+
+
+def test_empty_labels_and_benchmark(spark, docs, table_dir):
+    folder = table_dir(documents=docs(["one text of some words", "another text"]), labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"),
+                       benchmark=spark.createDataFrame([], "item_id long, text string"))
+    assert sorted(r.doc_id for r in corpus_pipeline.run(spark, folder).collect()) == [0, 1]
