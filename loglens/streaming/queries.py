@@ -31,12 +31,12 @@ def _stream_feed(spark: SparkSession, sf_dir: str, kind: str = "access", variant
 
 
 def _in_slices(spark: SparkSession, sf_dir: str, label: str, variant: str,
-               start: Callable[[DataFrame, str], StreamingQuery]) -> str:
+               start: Callable[[DataFrame, str], StreamingQuery], settings: dict[str, str] | None = None) -> str:
     """Replay a feed like a topic: in time order, a slice per micro-batch (``start(source,
-    folder)`` starts the query). Returns the query's folder."""
+    folder)`` starts the query, with ``settings``). Returns the query's folder."""
     run = scratch_path(spark, label)
     source = kafka.envelope_file_stream(spark, feeds.slices_path(spark, sf_dir, variant), feeds.SLICE_FILES, partitioned=False)
-    runner.run_available(spark, label=label, start=lambda: start(source, run))
+    runner.run_available(spark, label=label, start=lambda: start(source, run), settings=settings)
     return run
 
 
@@ -184,17 +184,19 @@ def q_stream_access_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
                          *METRIC_COLUMNS[2:])
 
 
-def _live(spark: SparkSession, sf_dir: str, label: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _live(spark: SparkSession, sf_dir: str, label: str, build: Callable[[DataFrame], DataFrame],
+          settings: dict[str, str] | None = None) -> DataFrame:
     """An append-mode live table over the feed in three slices, read back."""
     def start(source: DataFrame, run: str) -> StreamingQuery:
         return sinks.parquet_append(build(parse.parse_access(parse.decode(source), keep=("timestamp",))), f"{run}/out",
                                     f"{run}/checkpoint", runner.AVAILABLE_NOW)
-    return spark.read.parquet(f"{_in_slices(spark, sf_dir, label, 'plain', start)}/out")
+    return spark.read.parquet(f"{_in_slices(spark, sf_dir, label, 'plain', start, settings)}/out")
 
 
 def q_stream_error_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D9 live: closed endpoint-hours against the rolling baseline of their endpoint."""
-    rows = _live(spark, sf_dir, "stream_error_anomalies", lambda p: live.live_anomalies(p, APPEND_WATERMARK))
+    rows = _live(spark, sf_dir, "stream_error_anomalies", lambda p: live.live_anomalies(p, APPEND_WATERMARK),
+                 runner.KEYED_STATE)
     return rows.withColumn("hour_start", F.col("hour_start").cast("timestamp_ntz"))
 
 
@@ -212,7 +214,8 @@ def q_stream_active_ips_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_client_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D7 live: client profiles over closed hours, from keyed state."""
-    rows = live.latest_profiles(_live(spark, sf_dir, "stream_client_profile", lambda p: live.live_client_profile(p, APPEND_WATERMARK)))
+    rows = live.latest_profiles(_live(spark, sf_dir, "stream_client_profile", lambda p: live.live_client_profile(p, APPEND_WATERMARK),
+                                      runner.KEYED_STATE))
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_seen", "last_seen")})
 
 

@@ -11,6 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 AVAILABLE_NOW = {"availableNow": True}
 _SHUFFLE = "spark.sql.shuffle.partitions"
+# What queries with ``transformWithState`` need: only this provider keeps several states of a key.
+KEYED_STATE = {"spark.sql.streaming.stateStore.providerClass":
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 # Progress summary of the last blocking run per label (rows, batches, time).
 PROGRESS: dict[str, dict] = {}
@@ -81,7 +84,7 @@ def finish_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: fl
 def run_available(spark: SparkSession,
                   start: Callable[[], StreamingQuery | list[StreamingQuery]],
                   state_partitions: int | None = None, timeout_s: float | None = None,
-                  label: str | None = None) -> StreamingQuery | list[StreamingQuery]:
+                  label: str | None = None, settings: dict[str, str] | None = None) -> StreamingQuery | list[StreamingQuery]:
     """Start a query (or several) with ``start()`` and block until each has
     consumed its input.
 
@@ -90,15 +93,22 @@ def run_available(spark: SparkSession,
     (default: the parallelism at this moment, which suits a checkpoint used
     once; give it for one that is kept) applies to this query only: a
     streaming query runs on a copy of the session taken when it starts, so
-    the caller's setting is restored as soon as ``start()`` returns.
+    the caller's setting is restored as soon as ``start()`` returns. So are
+    further ``settings`` that the query needs, e.g. ``KEYED_STATE``.
     """
     width = state_partitions or spark.sparkContext.defaultParallelism
-    before = spark.conf.get(_SHUFFLE)
-    spark.conf.set(_SHUFFLE, str(width))
+    own = {_SHUFFLE: str(width)} | (settings or {})
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
         started = start()
     finally:
-        spark.conf.set(_SHUFFLE, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     many = isinstance(started, list)
     qs = finish_all(spark, started if many else [started], timeout_s)
     if label:

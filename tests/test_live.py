@@ -133,3 +133,29 @@ def test_profiles_over_restarts_and_forgotten_clients(spark, scratch):
     assert seen[4]["1"] == (2, 1, at(210, 0), at(211, 0), 0)
     # Two clients are left, with a total, a timer and an endpoint each.
     assert state["state_rows"][1] <= 2 * 5
+
+
+def _events(spark, path, users=3, hours=40):
+    """An ``events`` table of own rows: a burst of errors in one hour of every endpoint."""
+    rows, first = [], dt.datetime(2024, 1, 1)
+    for h in range(hours):
+        for i in range(16 if h != 30 else 160):
+            kind = "error" if h == 30 or i == h % 5 else "view"
+            rows.append((len(rows), first + dt.timedelta(hours=h, seconds=i), len(rows) % users, kind, 0.0, "{}"))
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(f"{path}/events.parquet")
+
+
+@pytest.mark.parametrize("key", ["stream_error_anomalies", "stream_client_profile"])
+def test_keyed_state_in_a_session_with_sparks_default_store(spark, scratch, key):
+    base, name = scratch("default-store"), "spark.sql.streaming.stateStore.providerClass"
+    _events(spark, base)
+    ours = spark.conf.get(name)
+    spark.conf.unset(name)
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(name, default)
+    try:
+        assert E.queries()[key](spark, base).count() > 0
+        assert spark.conf.get(name) == default
+    finally:
+        spark.conf.set(name, ours)
