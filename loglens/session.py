@@ -91,7 +91,7 @@ def configure(spark: SparkSession) -> SparkSession:
 _ROOT_KEY = "spark.loglens.sharedRoot"
 
 
-# Set to true where a folder of the local file system is a mount that all executors share.
+# Whether a folder of the local file system is a mount that all executors share; unset, it is tried out.
 SHARED_MOUNT_KEY = "spark.loglens.sharedMount"
 
 
@@ -120,6 +120,23 @@ def resolve_root(configured: str | None, context_dir: str | None, master: str,
     return None
 
 
+def seen_by_all(spark: SparkSession, root: str) -> bool:
+    """Whether what tasks write below ``root`` is there for the driver and for other tasks: tried
+    with a row from every task slot."""
+    slots = max(2, spark.sparkContext.defaultParallelism)
+    path = f"{root.rstrip('/')}/loglens-probe-{uuid.uuid4().hex[:12]}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        # As many partitions as slots, so that each executor writes and reads some.
+        spark.range(0, slots, 1, slots).write.parquet(path)
+        return spark.read.schema("id long").parquet(path).count() == slots
+    except Exception:  # noqa: BLE001 - whatever fails here, the folder is of no use
+        return False
+    finally:
+        fs.delete(p, True)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints, feeds and written tables.
 
@@ -127,10 +144,18 @@ def shared_root(spark: SparkSession) -> str:
     Only a local-mode session without one gets a fresh temporary folder,
     registered as the context's checkpoint dir so later calls agree.
     """
-    root = resolve_root(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_ROOT_KEY, None),
-                        spark.sparkContext.getCheckpointDir(), spark.sparkContext.master,
-                        spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///"),
-                        spark.conf.get(SHARED_MOUNT_KEY, "false").lower() == "true")
+    known = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_ROOT_KEY, None),
+             spark.sparkContext.getCheckpointDir(), spark.sparkContext.master,
+             spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///"))
+    mount = spark.conf.get(SHARED_MOUNT_KEY, None)
+    try:
+        root = resolve_root(*known, shared_mount=mount is not None and mount.lower() == "true")
+    except RuntimeError:
+        folder = known[0] or known[1]
+        if not folder or mount is not None or not seen_by_all(spark, folder):
+            raise
+        spark.conf.set(SHARED_MOUNT_KEY, "true")
+        root = resolve_root(*known, shared_mount=True)
     if root is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loglens-"))
         root = spark.sparkContext.getCheckpointDir()

@@ -32,17 +32,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _source_files(spark: SparkSession, source: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time) of the files that Spark reads for ``source``, which may be whatever its
+    reader takes: a file, a folder, a pattern over several."""
+    # Any schema will do, and with one no file is opened.
+    paths = set(spark.read.schema("event_id long").parquet(source).inputFiles())
+    out = []
+    for folder in sorted({path.rsplit("/", 1)[0] for path in paths}):
+        p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        for st in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p):
+            name = st.getPath().toUri().toString()
+            if name in paths:
+                out.append((name, st.getLen(), st.getModificationTime()))
+    return sorted(out)
+
+
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Identity of a feed: the recipe that derives it, and the place, sizes and
     times of all files of the source table."""
-    fs, p = _fs(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     where = sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
     mark = hashlib.sha1(f"{where}|{inspect.getsource(recipe)}|{inspect.getsource(kafka)}".encode())
-    it, files = fs.listFiles(p, True), []
-    while it.hasNext():
-        st = it.next()
-        files.append(f"{st.getPath().getName()}|{st.getLen()}|{st.getModificationTime()}")
-    mark.update("\n".join(sorted(files)).encode())
+    files = _source_files(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    mark.update("\n".join(f"{name}|{size}|{time}" for name, size, time in files).encode())
     return mark.hexdigest()[:16]
 
 
@@ -58,12 +69,17 @@ def _published(spark: SparkSession, base: str) -> str | None:
 def _once(spark: SparkSession, base: str, write: Callable[[str], None]) -> str:
     """Path of the table ``base``, written by ``write(path)`` unless it is there.
 
-    Each writer has a folder of its own, complete when Spark has put its
-    ``_SUCCESS`` file there. Nothing is moved, so writers that run at the same
+    Each writer has a folder of its own, complete when its ``_SUCCESS`` file is
+    there: Spark's, or one put there after the write where the session's committer
+    leaves none. Nothing is moved, so writers that run at the same
     time cannot disturb each other; readers use the first complete copy."""
     found = _published(spark, base)
     if found is None:
-        write(f"{base}/{uuid.uuid4().hex[:12]}")
+        path = f"{base}/{uuid.uuid4().hex[:12]}"
+        write(path)
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            fs, done = _fs(spark, f"{path}/_SUCCESS")
+            fs.create(done).close()
         found = _published(spark, base)
     if found is None:
         raise RuntimeError(f"could not write {base}")
@@ -76,8 +92,7 @@ WRITE_BYTES_PER_TASK = 256 * 1024 * 1024
 
 def write_partitions(spark: SparkSession, source: str) -> int:
     """Write parallelism: the cluster's parallelism, more for a big input."""
-    fs, p = _fs(spark, source)
-    size = fs.getContentSummary(p).getLength()
+    size = sum(length for _, length, _ in _source_files(spark, source))
     return max(spark.sparkContext.defaultParallelism, -(-size // WRITE_BYTES_PER_TASK))
 
 
@@ -128,8 +143,6 @@ def slices_path(spark: SparkSession, sf_dir: str, variant: str = "plain") -> str
         for low, high in zip(bounds[:-1], bounds[1:], strict=True):
             records.where((seconds > low) & (seconds <= high)).drop("date").repartition(SLICE_FILES) \
                 .write.mode("append").parquet(f"{path}/topic")
-        fs, done = _fs(spark, f"{path}/_SUCCESS")
-        fs.create(done).close()
 
     return _once(spark, f"{shared_root(spark)}/feeds/slices-{variant}-{_fingerprint(spark, sf_dir)}", write) + "/topic"
 

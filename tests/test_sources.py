@@ -134,3 +134,44 @@ def test_cli_report(spark, scratch):
     out = scratch("report")
     cli.main(["report", "--envelope-path", feeds.feed_path(spark, SF001), "--panel", "status", "--out", out])
     assert sorted(spark.read.parquet(out).collect()) == sorted(Q.q_status_class_share(spark, SF001).collect())
+
+
+def test_feed_of_a_pattern_over_folders(spark, scratch):
+    """Tables in several folders, named by a pattern, as only Spark's readers resolve it."""
+    base = scratch("pattern")
+    for i in range(2):
+        spark.read.parquet(f"{SF001}/events.parquet").where(f"event_id % 2 = {i}").write.parquet(f"{base}/{i}/events.parquet")
+    found = feeds.feed(spark, f"{base}/[01]")
+    assert found.select("offset").distinct().count() == 1000
+    before = feeds._fingerprint(spark, f"{base}/[01]")
+    spark.range(1).selectExpr("id event_id").write.mode("append").parquet(f"{base}/1/events.parquet")
+    assert feeds._fingerprint(spark, f"{base}/[01]") != before
+
+
+def test_tables_are_published_without_the_committers_mark(spark, scratch):
+    conf, name = spark._jsc.hadoopConfiguration(), "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf.set(name, "false")
+    try:
+        path = feeds._once(spark, scratch("unmarked"), lambda p: spark.range(3).write.parquet(p))
+    finally:
+        conf.unset(name)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_shared_mount_is_tried_out(spark, scratch, monkeypatch):
+    from loglens import session
+    root = shared_root(spark)
+    assert session.seen_by_all(spark, root)
+    assert not session.seen_by_all(spark, "file:///proc/none")
+    key, seen = session.SHARED_MOUNT_KEY, []
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://m:7077")
+    monkeypatch.setattr(session, "seen_by_all", lambda s, folder: seen.append(folder) or len(seen) > 1)
+    try:
+        with pytest.raises(RuntimeError):
+            shared_root(spark)
+        assert shared_root(spark) == root and shared_root(spark) == root and len(seen) == 2
+        spark.conf.set(key, "false")
+        with pytest.raises(RuntimeError):
+            shared_root(spark)
+    finally:
+        spark.conf.unset(key)
