@@ -7,7 +7,10 @@ index in memory: postings with their term-frequency parts, and for each term
 and block of ``BLOCK`` documents the largest of them. Queries visit every
 shard in packed groups. A block's bound is the sum of the query's weighted
 block maxima; blocks are taken by falling bound, and those whose bound is
-below the k-th best score so far are skipped, which cannot lose a result. The
+below the k-th best score so far are skipped, which cannot lose a result. Where a
+query's postings are too thinly spread over blocks for that (those of a long text:
+fewer than ``RUN_POSTINGS`` to a block, so bounds cost more than scores and few blocks
+stay below), all its postings are scored, list by list. The
 shards' top lists are merged by a grouped top-k.
 
 Within a shard documents are ordered by their most frequent word and length,
@@ -37,6 +40,8 @@ from loglens.llm.store import stored
 
 K1, B = 1.2, 0.75
 BLOCK = 16
+# Half a block: with fewer postings to a block, bounds cost more than they save (measured on texts as queries).
+RUN_POSTINGS = 8
 SHARD_BYTES = 24 << 20
 QUERY_GROUP = 256
 COUNT_BYTES = 8 << 20
@@ -163,6 +168,7 @@ class Shard:
         self.run_block = self.doc[self.run] // block
         self.run_max = np.maximum.reduceat(part, self.run) if len(place) else part
         self.term_run = np.searchsorted(p_term[self.run], np.arange(len(self.terms) + 1))
+        self.term_at = np.searchsorted(p_term, np.arange(len(self.terms) + 1))
         self.blocks = -(-n // block)
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,6 +179,8 @@ class Shard:
         at, w = at[there], weights[there]
         lo, hi = self.term_run[at], self.term_run[at + 1]
         count = hi - lo
+        if (self.term_at[at + 1] - self.term_at[at]).sum() < RUN_POSTINGS * count.sum():
+            return self._score_all(at, w, k)
         runs = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - lo, count)
         run_w = np.repeat(w, count)
         block = self.run_block[runs]
@@ -198,6 +206,18 @@ class Shard:
             done, step = done + len(take), 4 * step
         return ids, scores
 
+    def _score_all(self, at: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        total = np.zeros(len(self.ids))
+        for lo, hi, weight in zip(self.term_at[at].tolist(), self.term_at[at + 1].tolist(), w.tolist(), strict=True):
+            total[self.doc[lo:hi]] += weight * self.part[lo:hi]  # a document is once in a list
+        hit = np.flatnonzero(total)
+        if len(hit) > k:
+            # Those that may round to the k-th best score or above.
+            hit = hit[total[hit] >= np.partition(total[hit], len(hit) - k)[len(hit) - k] - 10.0 ** -DIGITS]
+        ids, scores = self.ids[hit], np.round(total[hit], DIGITS)
+        best = np.lexsort((ids, -scores))[:k]
+        return ids[best], scores[best]
+
     def _evaluate(self, take: np.ndarray, runs: np.ndarray, run_w: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         slot = np.full(self.blocks, -1, dtype=np.int64)
         slot[take] = np.arange(len(take))

@@ -8,6 +8,7 @@ import pyarrow as pa
 from llm_texts import corpus, rows_of, words
 
 from loglens.llm import bm25 as M
+from loglens.llm import text as T
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOW = {i: i + 32 for i in range(65, 91)}
@@ -72,3 +73,28 @@ def test_repeated_and_null_ids_clashing_columns_and_empty_tables(spark, docs):
     assert [g[0] for g in got] == [9] * 3 and sorted(g[2] for g in got) == [1, 1, 2] and [g[1] for g in got] == [1, 2, 3]
     assert M.bm25_search(docs([]), asked, 5).collect() == []
     assert M.bm25_search(docs(rows_of(["a"])), spark.createDataFrame([], asked.schema), 5).collect() == []
+
+
+def test_long_queries_are_scored_list_by_list():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 3000, 80)) for _ in range(600)] + ["w1 w2 only", "", None]
+    ids = rng.permutation(len(texts))
+    shard = M.Shard(ids, pa.array(texts), 80.0)
+    looked = []
+    inner = shard._evaluate
+    shard._evaluate = lambda take, *a: (looked.append(len(take)), inner(take, *a))[1]
+    for text in texts[:30]:
+        _, _, buf, offsets = next(iter(T.slices(pa.array([text]))))
+        terms, times = np.unique(T.word_hashes(buf, offsets)[0], return_counts=True)
+        weights = times * (1 + (terms % np.uint64(97)).astype(float) / 10)
+        got = shard.top(terms, weights, 10)
+        totals = np.zeros(len(ids))
+        for term, weight in zip(terms, weights, strict=True):
+            i = int(np.searchsorted(shard.terms, term))
+            for run in range(shard.term_run[i], shard.term_run[i + 1]):
+                for p in range(shard.run[run], shard.run_end[run]):
+                    totals[shard.doc[p]] += weight * shard.part[p]
+        best = sorted((-round(x, M.DIGITS), d) for x, d in zip(totals.tolist(), shard.ids.tolist(), strict=True) if x)[:10]
+        assert got[0].tolist() == [d for _, d in best]
+        assert np.allclose(got[1], [-x for x, _ in best])
+    assert not looked
