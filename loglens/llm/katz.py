@@ -16,8 +16,8 @@ How it is spread. Documents are packed into blocks (a few MB of text as
 indices into the block's own sorted word list), written once. A block sends
 each of its distinct words once, with its training count, to the part its
 hash falls in; the part answers with the word's number and total. It then
-does the same with its distinct word pairs; the parts hold the model's
-tables, partitioned, and are stored with the answers. As a block sends a key
+does the same with its distinct word pairs; the parts sum up the model's
+counts, partitioned, and their answers are stored. As a block sends a key
 only once, a word on every line costs a part one entry per block. Pairs go to
 the part of their first word, so that a part can sum up the context; words
 with over 1/``HOT_SHARE`` of all tokens (at most ``HOT_SHARE`` of them, so
@@ -28,8 +28,8 @@ Each further order is one more such exchange, of (context number, word) keys:
 a part numbers the n-grams it holds, and a block reads the contexts of the
 next order off the answers. An n-gram that only one block has is not numbered:
 all that follows it stands in that block, which counts it by itself and sends
-only its counts of counts. Bigram tables are stored as the model's; the
-higher orders leave their answers only.
+only its counts of counts. What a block needs of the model is in its answers:
+word lists and the parts' own sums are deleted as soon as they are used.
 
 Defined results: null and empty texts are one end token; rows are scored one
 by one, repeated or not; a row without doc_id counts as training. A word
@@ -52,7 +52,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.llm import text as T
-from loglens.llm.store import stored
+from loglens.llm.store import dropped, shuffles_deleted, stored
 
 BLOCK_BYTES = 4 << 20
 MOST_DISCOUNTED = 5
@@ -294,9 +294,26 @@ class Block:
 _ANSWERS = "collect_list(struct(part, answer)) AS {}"
 
 
+def _halves(blocks: DataFrame) -> DataFrame:
+    """Each block as two rows: its word list, that only the unigrams need, and what all orders read."""
+    rows = blocks.withColumn("half", F.explode(F.array(F.lit("words"), F.lit("body"))))
+    of = {"ids": "body", "body": "body", "words": "words", "counts": "words"}
+    return rows.select("block", *[F.when(F.col("half") == half, F.col(c)).alias(c) for c, half in of.items()], "half")
+
+
+def _by_use(answers: DataFrame) -> DataFrame:
+    """The answers with ``of_model``: whether a row holds a part's own tables, for no block."""
+    return answers.withColumn("of_model", F.col("block") == MODEL)
+
+
+def _collected(answers: DataFrame, name: str) -> DataFrame:
+    """(block, ``name``): each block's answers, one per part, so a block's list is as bounded as the block."""
+    return answers.where(~F.col("of_model")).groupBy("block").agg(F.expr(_ANSWERS.format(name)))
+
+
 def _blocks_with(blocks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
-    """Each block with its answers: one per part, so a block's list is as bounded as the block."""
-    return blocks.join(answers.where(F.col("block") >= 0).groupBy("block").agg(F.expr(_ANSWERS.format(name))), "block")
+    """Each block with its answers."""
+    return blocks.join(_collected(answers, name), "block")
 
 
 def _known(order: int) -> list[str]:
@@ -345,15 +362,9 @@ def _context_sums(h: np.ndarray, counts: np.ndarray, low: np.ndarray, order: int
     return names, [np.add.reduceat(c.astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64) for c in columns]
 
 
-def _table(h: np.ndarray, w: np.ndarray, counts: np.ndarray) -> bytes:
-    """A part of the bigram table: first words (as differences), their numbers of pairs, second words, counts."""
-    h, runs = np.unique(h, return_counts=True)
-    return pack(np.diff(h, prepend=np.uint64(0)), runs, w, counts)
-
-
 def _answers(messages: DataFrame, order: int, last: bool, n: int, parts: int, hot_share: int) -> DataFrame:
     """Per (block, part): counts of the block's n-grams, unless ``last`` their numbers, and the sums of their
-    contexts; per part counts of counts, numbers of hot n-grams, sums, and the bigram table."""
+    contexts; per part counts of counts, numbers of hot n-grams and sums."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["part"].iloc[0])
@@ -376,14 +387,14 @@ def _answers(messages: DataFrame, order: int, last: bool, n: int, parts: int, ho
         np.add.at(total, index, np.concatenate(counts))
         np.maximum.at(low, index, np.concatenate(lows))
         seen = total > 0
-        h, w = names[grams[seen] >> np.uint64(32)], grams[seen] & np.uint64(0xFFFFFFFF)
+        h = names[grams[seen] >> np.uint64(32)]
         names, sums = _context_sums(h, total[seen], low[seen], order)
         of_counts += _of_counts(total[seen])
         # A block sends a key once: what one block has is not numbered.
         shared = seen & (np.bincount(index, minlength=len(grams)) > 1) & (not last)
         rank = np.where(shared, np.cumsum(shared), 0)
         hot = FIRST_WORD + part + parts * (rank[shared & (total * hot_share > n)] - 1)
-        out, at = [(MODEL, part, pack(of_counts, hot, names, *sums), _table(h, w, total[seen]) if order == 2 else None)], 0
+        out, at = [(MODEL, part, pack(of_counts, hot, names, *sums))], 0
         for block, (h, size) in zip(pdf["block"], asked, strict=True):
             own = index[at:at + size]
             at += size
@@ -399,10 +410,10 @@ def _answers(messages: DataFrame, order: int, last: bool, n: int, parts: int, ho
             step = np.zeros(0 if last else len(own), dtype=np.int64)
             if not last:
                 step[r > 0] = np.diff(r[r > 0], prepend=0)
-            out.append((block, part, pack(total[own], step, *rows), None))
-        return pd.DataFrame(out, columns=["block", "part", "answer", "model"])
+            out.append((block, part, pack(total[own], step, *rows)))
+        return pd.DataFrame(out, columns=["block", "part", "answer"])
 
-    return messages.groupBy("part").applyInPandas(run, "block long, part int, answer binary, model binary")
+    return messages.groupBy("part").applyInPandas(run, "block long, part int, answer binary")
 
 
 def _hot_contexts(answers: DataFrame, hot: list[int], order: int) -> DataFrame:
@@ -421,7 +432,7 @@ def _hot_contexts(answers: DataFrame, hot: list[int], order: int) -> DataFrame:
                 columns = np.hstack([first[:, None], columns])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-    parts = answers.where(F.col("block") == MODEL).select("answer").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    parts = answers.where("of_model").select("answer").mapInArrow(run, ", ".join(f"{c} long" for c in names))
     return parts.groupBy("h").agg(*[F.sum(c).alias(c) for c in sums_of])
 
 
@@ -432,7 +443,7 @@ def _hot_grams(answers: DataFrame) -> list[int]:
             for blob in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(unpack(blob)[1].astype(np.int64))], names=["number"])
 
-    return [r["number"] for r in answers.where(F.col("block") == MODEL).select("answer").mapInArrow(run, "number long").collect()]
+    return [r["number"] for r in answers.where("of_model").select("answer").mapInArrow(run, "number long").collect()]
 
 
 def discounts(of_counts: list[int]) -> np.ndarray:
@@ -449,7 +460,7 @@ def discounts(of_counts: list[int]) -> np.ndarray:
 
 
 def _release(spark: SparkSession) -> None:
-    """Spark deletes the shuffle files of finished steps when the driver's JVM collects their plans."""
+    """Spark lets go of what finished steps broadcast when the driver's JVM collects their plans."""
     spark.sparkContext._jvm.java.lang.System.gc()
 
 
@@ -486,26 +497,31 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", "text", F.coalesce(train, F.lit(True)).alias("train"))
-    blocks = stored(make_blocks(rows, block_bytes), "katz-blocks")
-    words = stored(_word_answers(_word_messages(blocks, parts), parts), "katz-unigrams")
-    size = words.where(F.col("block") == MODEL).agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
-    n, v = size["n"] or 0, size["v"] or 0
-    base = n + v + 1
-    _release(spark)
-    met = _blocks_with(blocks.select("block", "ids", "body"), words, "words_known")
-    hot = [START, *_hot_words(words, n, hot_share)]
-    levels: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
-    for k in range(2, order + 1):
-        grams = stored(_answers(_messages(met, k, n, parts, hot_share), k, k == order, n, parts, hot_share), f"katz-{k}-grams")
-        # At most hot_share contexts, the start symbol and one row of counts of counts.
-        got = _hot_contexts(grams, hot, k).toPandas()
-        sums_of = [c for c in got.columns if c != "h"]
-        of_counts = got[got["h"] == -1][sums_of].to_numpy().sum(axis=0).tolist()[:MOST_DISCOUNTED + 2]
-        own = got[got["h"] >= 0].sort_values("h")
-        levels.append((discounts(of_counts), own["h"].to_numpy().astype(np.uint64), [own[c].to_numpy() for c in sums_of]))
-        hot = _hot_grams(grams) if k < order else []
+    with shuffles_deleted(spark):
+        blocks = stored(_halves(make_blocks(rows, block_bytes)), "katz-blocks", "half")
+        words = stored(_by_use(_word_answers(_word_messages(blocks.where("half = 'words'"), parts), parts)), "katz-unigrams", "of_model")
+        dropped(blocks, "half=words")
+        size = words.where("of_model").agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
+        n, v = size["n"] or 0, size["v"] or 0
+        base = n + v + 1
+        dropped(words, "of_model=true")
         _release(spark)
-        met = met.join(grams.where(F.col("block") >= 0).groupBy("block").agg(F.expr(_ANSWERS.format(f"known_{k}"))), "block", "left")
+        met = _blocks_with(blocks.where("half = 'body'").select("block", "ids", "body"), words, "words_known")
+        hot = [START, *_hot_words(words, n, hot_share)]
+        levels: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
+        for k in range(2, order + 1):
+            grams = stored(_by_use(_answers(_messages(met, k, n, parts, hot_share), k, k == order, n, parts, hot_share)), f"katz-{k}-grams", "of_model")
+            # At most hot_share contexts, the start symbol and one row of counts of counts.
+            got = _hot_contexts(grams, hot, k).toPandas()
+            sums_of = [c for c in got.columns if c != "h"]
+            of_counts = got[got["h"] == -1][sums_of].to_numpy().sum(axis=0).tolist()[:MOST_DISCOUNTED + 2]
+            own = got[got["h"] >= 0].sort_values("h")
+            levels.append((discounts(of_counts), own["h"].to_numpy().astype(np.uint64), [own[c].to_numpy() for c in sums_of]))
+            hot = _hot_grams(grams) if k < order else []
+            # The blocks have their answers; of the parts' tables only the hot contexts' sums are used, and those are here.
+            dropped(grams, "of_model=true")
+            _release(spark)
+            met = met.join(_collected(grams, f"known_{k}"), "block", "left")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -551,7 +567,7 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
 
 def _hot_words(words: DataFrame, n: int, hot_share: int) -> list[int]:
     """Numbers of the words with over 1/hot_share of all training tokens: at most hot_share."""
-    parts = words.where(F.col("block") >= 0).select("answer")
+    parts = words.where("not of_model").select("answer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: set[int] = set()

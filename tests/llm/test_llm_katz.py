@@ -1,5 +1,6 @@
 import collections
 import math
+import pathlib
 import re
 import zlib
 
@@ -8,6 +9,8 @@ from llm_texts import corpus
 from pyspark.sql import functions as F
 
 from loglens.llm import katz as K
+from loglens.llm.store import SHUFFLE_CLEANUP
+from loglens.session import shared_root
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOW = {i: i + 32 for i in range(65, 91)}
@@ -146,3 +149,20 @@ def test_registered_query_uses_contexts_of_two_words(spark, docs, table_dir):
     train = [t for i, t in enumerate(texts) if in_training(i)]
     for r in K.QUERIES["op9_katz_scores"](spark, folder).collect():
         assert r.score == pytest.approx(HigherModel(train, 3).score(texts[r.doc_id]), abs=1e-7)
+
+
+def test_stored_tables_that_no_later_step_reads_are_deleted(spark, docs):
+    root = pathlib.Path(shared_root(spark).removeprefix("file:"))
+    before, setting = set(root.glob("katz-*")), spark.conf.get(SHUFFLE_CLEANUP, None)
+    texts = ["a b c d", "a b c e", "x b d", "a b c d", None]
+    scored = K.katz_scores(docs(texts), F.lit(True), parts=3, block_bytes=10, order=3)
+    left = [f for table in set(root.glob("katz-*")) - before for f in table.rglob("*.parquet")]
+    # What the scores are read from is there; the word lists and the parts' own tables are not.
+    assert {f.relative_to(root).parts[0].rsplit("-", 1)[0] for f in left} == {"katz-blocks", "katz-unigrams", "katz-2-grams", "katz-3-grams"}
+    assert {f.parent.name for f in left} == {"half=body", "of_model=false"}
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    model = HigherModel(texts, 3)
+    rows = scored.collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    for r in rows:
+        assert r.score == pytest.approx(model.score(texts[r.doc_id]), abs=1e-7)
