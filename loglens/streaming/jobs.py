@@ -223,7 +223,8 @@ def start_event_time_job(spark: SparkSession, envelope: DataFrame, partials_path
             newest = batch.agg(F.max(F.unix_micros("event_time"))).first()[0]
             end = F.unix_micros(F.window("event_time", metrics.MINUTE)["end"])
             late = F.lit(False) if seen is None else end <= F.lit(seen - _micros(delay))
-            tables.write_batch(batch.where(late).withColumn("batch_watermark", F.lit(seen).cast("long")), late_path, batch_id)
+            # A window in a filter would stay as a column, in all batches but the first.
+            tables.write_batch(batch.where(late).select(*batch.columns).withColumn("batch_watermark", F.lit(seen).cast("long")), late_path, batch_id)
             known = [v for v in (seen, newest) if v is not None]
             tables.write_batch(event_partials(batch.where(~late)), partials_path, batch_id, note=max(known) if known else None)
         finally:
