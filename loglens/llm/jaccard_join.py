@@ -19,7 +19,7 @@ How it is spread:
   like nodes (same most frequent shared shingle, similar size, about
   ``BLOCK_SHINGLES`` shingles and at most ``MOST_BLOCK`` nodes). Only pairs of blocks with a common prefix shingle and
   compatible sizes meet; a group of many near copies becomes many block pairs,
-  dealt to all tasks, which compare tiles of ``TILE`` nodes. A block pair returns link counts and a spanning forest
+  dealt to all tasks, which compare tiles of ``TILE`` nodes, ``TILE_CELLS`` cells of them at a time. A block pair returns link counts and a spanning forest
   per node, never its pairs.
 
 Defined results: null and empty texts have the empty set, linked with nothing;
@@ -53,6 +53,7 @@ VERIFY_COST = 16.0       # of one verification, in postings
 TILE = 256               # nodes compared at a time within a pair of blocks
 MOST_BLOCK = 256         # nodes of a block
 BLOCK_SHINGLES = 1 << 20  # shingles of a block's sets, about
+TILE_CELLS = 1 << 20     # cells of a tile's table of nodes and shingles, at a time
 FLUSH = 1 << 19          # shingles that a task of the sketch holds
 HOT_KEYS = 100_000       # sets with many copies that are broadcast, at most
 HOT_COPIES = 1000
@@ -203,9 +204,22 @@ def _tile_candidates(left: list, right: list, num: int, den: int) -> tuple[np.nd
     """Index pairs of records of two tiles that share enough prefix shingles and have compatible sizes."""
     tokens = [np.frombuffer(r[4], np.int64) for r in (*left, *right)]
     distinct, local = np.unique(np.concatenate(tokens), return_inverse=True)
-    has = np.zeros((len(tokens), len(distinct)), dtype=np.float32)
-    has[np.repeat(np.arange(len(tokens)), [len(t) for t in tokens]), local] = 1
-    shared = has[:len(left)] @ has[len(left):].T
+    node = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+    # Only shingles of both sides count; the table of nodes by shingles is made a range of them at a time.
+    of_left = node < len(left)
+    both = np.zeros(len(distinct), dtype=bool)
+    both[local[of_left]] = True
+    both &= np.bincount(local[~of_left], minlength=len(distinct)) > 0
+    used = np.flatnonzero(both[local])
+    used = used[np.argsort(local[used])]
+    node, local = node[used], (np.cumsum(both) - 1)[local[used]]
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)
+    width = max(1, TILE_CELLS // len(tokens))
+    for a in range(0, int(both.sum()), width):
+        lo, hi = np.searchsorted(local, [a, a + width])
+        has = np.zeros((len(tokens), width), dtype=np.float32)
+        has[node[lo:hi], local[lo:hi] - a] = 1
+        shared += has[:len(left)] @ has[len(left):].T
     size, least = (np.array([r[c] for r in (*left, *right)]) for c in (2, 3))
     (na, nb), (ka, kb) = ((v[:len(left), None], v[None, len(left):]) for v in (size, least))
     ok = shared >= np.minimum(ka, kb)

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -73,6 +74,19 @@ def test_large_group_of_near_copies_is_split_into_blocks(docs, monkeypatch):
     assert result(J.jaccard_groups(docs(texts), 3, 9, 10)) == sorted(brute(list(enumerate(texts)), 3, 9, 10))
 
 
+def test_tiles_of_many_shingles_are_compared_in_little_memory():
+    rng = np.random.default_rng(3)
+    common = rng.integers(1, 1 << 60, 3000)
+    records = [(i % 2, i, 900, 450, np.sort(np.concatenate([common[i // 2 % 5 * 600:][:600], rng.integers(1, 1 << 60, 300)])).tobytes())
+               for i in range(2 * J.TILE)]
+    tracemalloc.start()
+    i, j = J._tile_candidates(records[::2], records[1::2], 4, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == [(a, b) for a in range(J.TILE) for b in range(J.TILE) if a % 5 == b % 5]
+    assert peak < 120 << 20
+
+
 def test_repeated_ids_null_ids_and_clashing_columns(spark):
     rows = [(7, "a b c d e f"), (7, "a b c d e f"), (7, "x y z"), (None, "a b c d e f"), (None, "lone text here"), (9, "x y z"), (3, None)]
     df = spark.createDataFrame([(i, t, 1, "q") for i, t in rows], "doc_id long, text string, node int, digest string")
