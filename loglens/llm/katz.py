@@ -31,6 +31,12 @@ all that follows it stands in that block, which counts it by itself and sends
 only its counts of counts. What a block needs of the model is in its answers:
 word lists and the parts' own sums are deleted as soon as they are used.
 
+Blocks and their answers are the bulk of the disk, and a join by block holds
+them once more in shuffle files. With over ``STAGED_TOKENS`` training tokens
+orders from 3 on and the scores are therefore made of one of ``SLOTS`` shares
+of the blocks after the other, and the parts answer in ``SHARES`` shares, each
+of which deletes the messages it has read. The steps and rows are the same.
+
 Defined results: null and empty texts are one end token; rows are scored one
 by one, repeated or not; a row without doc_id counts as training. A word
 unseen in training has the unknown class's probability after every context;
@@ -42,6 +48,7 @@ empty out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -52,7 +59,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loglens.llm import text as T
-from loglens.llm.store import dropped, shuffles_deleted, stored
+from loglens.llm.store import dropped, shuffles_deleted, small_batches, stored
 
 BLOCK_BYTES = 4 << 20
 MOST_DISCOUNTED = 5
@@ -63,6 +70,9 @@ END_HASH = np.uint64(0x5851F42D4C957F2D)
 LOCAL = np.uint64(1 << 63)      # numbers from here on are a block's own
 ORDER = 3                # of the registered query
 MODEL = -1               # "block" of the rows that hold the model's own tables
+STAGED_TOKENS = 1 << 26
+SLOTS = 3                # shares of the blocks
+SHARES = 2               # shares of the parts
 
 
 # --- packed arrays --------------------------------------------------------
@@ -95,6 +105,17 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def _distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, a place of each (any) and each element's value's index: ``np.unique`` without a stable sort."""
+    order = np.argsort(a)
+    ordered = a[order]
+    new = np.ones(len(a), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    index = np.empty(len(a), dtype=np.int64)
+    index[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], index
+
+
 # --- blocks ---------------------------------------------------------------
 
 def make_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -197,15 +218,15 @@ class Level:
         # An unknown last word is asked for too, as its context's sums are needed.
         self.known = ctx != UNKNOWN
         names, index = np.unique(ctx[self.known], return_inverse=True)
-        keys, first, self.inverse = np.unique((index.astype(np.uint64) << np.uint64(32)) | w[self.known].astype(np.uint64),
-                                              return_index=True, return_inverse=True)
+        # Of a key's tokens any will do: all have the same counts of its context and of the order below.
+        keys, first, self.inverse = _distinct((index.astype(np.uint64) << np.uint64(32)) | w[self.known].astype(np.uint64))
         self.h, self.w = names[keys >> np.uint64(32)], keys & np.uint64(0xFFFFFFFF)
         self.counts = np.bincount(self.inverse[train[self.known]], minlength=len(keys))
         self.low = low[self.known][first]
         split = np.where(ctx_count[self.known][first] * hot_share > n, self.w % np.uint64(HOT_SPLIT) + np.uint64(1), np.uint64(0)).astype(np.uint64)
         part = (T.mix(self.h * np.uint64(HOT_SPLIT + 1) + split) % np.uint64(parts)).astype(np.int64)
         part[self.h >= LOCAL] = parts
-        self.order = np.argsort(part, kind="stable")
+        self.order = np.argsort(part.astype(np.min_scalar_type(parts)), kind="stable")
         self.at = np.searchsorted(part[self.order], np.arange(parts + 2))
 
     def own(self, part: int) -> np.ndarray:
@@ -214,7 +235,7 @@ class Level:
     def message(self, part: int) -> bytes:
         own = self.own(part)
         h, runs = np.unique(self.h[own], return_counts=True)
-        w, first, index = np.unique(self.w[own], return_index=True, return_inverse=True)
+        w, first, index = _distinct(self.w[own])
         zero = np.uint64(0)
         # Below a bigram is its word; of longer ones only the seen n-grams' counts are needed.
         low = self.low[own][first] if self.order_n == 2 else np.where(self.counts[own] > 0, self.low[own], 0)
@@ -224,22 +245,30 @@ class Level:
         """Counts of counts of the n-grams that are not exchanged."""
         return _of_counts(self.counts[self.own(self.parts)])
 
-    def read(self, answers: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-        """Per key its training count and number (if the parts sent numbers); the contexts and their sums."""
+    def read(self, answers: list) -> tuple[np.ndarray, np.ndarray]:
+        """Per key its training count and number (if the parts sent numbers)."""
         count, number = np.zeros(len(self.h), dtype=np.int64), np.zeros(len(self.h), dtype=np.uint64)
-        names, columns = [], []
         for a in answers:
             own = self.own(a["part"])
-            total, rank, *sums = unpack(a["answer"])
+            total, rank = unpack(a["answer"])
             count[own] = total
             if len(rank):
                 r = np.cumsum(rank, dtype=np.uint64)
                 number[own] = np.where(rank > 0, np.uint64(FIRST_WORD + a["part"]) + np.uint64(self.parts) * (r - np.uint64(1)), UNKNOWN)
-            names.append(np.unique(self.h[own]))
-            columns.append(sums)
+        own = self.own(self.parts)
+        count[own] = self.counts[own]
+        alone = (count > 0) & (number == UNKNOWN)
+        number[alone] = LOCAL | np.flatnonzero(alone).astype(np.uint64)
+        return count, number
+
+    def contexts(self, answers: list, count: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The contexts and their sums; ``count`` as ``read`` returns it."""
+        names, columns = [], []
+        for a in answers:
+            names.append(np.unique(self.h[self.own(a["part"])]))
+            columns.append(unpack(a["sums"]))
         own = self.own(self.parts)
         if len(own):
-            count[own] = self.counts[own]
             h, index = np.unique(self.h[own], return_inverse=True)
             seen = count[own] > 0
             found, sums = _context_sums(index[seen], count[own][seen], self.low[own][seen], self.order_n)
@@ -247,11 +276,9 @@ class Level:
             rows[:, found] = sums
             names.append(h)
             columns.append(list(rows))
-        alone = (count > 0) & (number == UNKNOWN)
-        number[alone] = LOCAL | np.flatnonzero(alone).astype(np.uint64)
         width = _width(self.order_n)
         none = np.zeros(0, np.int64)
-        return (count, number, np.concatenate([np.zeros(0, np.uint64), *names]),
+        return (np.concatenate([np.zeros(0, np.uint64), *names]),
                 [np.concatenate([none, *[c[j].astype(np.int64) for c in columns]]) for j in range(width)])
 
 
@@ -291,7 +318,7 @@ class Block:
         self.level = Level(self.level.order_n + 1, self.before(grams, UNKNOWN), self.before(low, 0), low, self.w, self.train_token, *self.spread)
 
 
-_ANSWERS = "collect_list(struct(part, answer)) AS {}"
+_ANSWERS = "collect_list(struct({})) AS {}"
 
 
 def _halves(blocks: DataFrame) -> DataFrame:
@@ -306,9 +333,9 @@ def _by_use(answers: DataFrame) -> DataFrame:
     return answers.withColumn("of_model", F.col("block") == MODEL)
 
 
-def _collected(answers: DataFrame, name: str) -> DataFrame:
+def _collected(answers: DataFrame, name: str, columns: str = "part, answer") -> DataFrame:
     """(block, ``name``): each block's answers, one per part, so a block's list is as bounded as the block."""
-    return answers.where(~F.col("of_model")).groupBy("block").agg(F.expr(_ANSWERS.format(name)))
+    return answers.where(~F.col("of_model")).groupBy("block").agg(F.expr(_ANSWERS.format(columns, name)))
 
 
 def _blocks_with(blocks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
@@ -316,31 +343,55 @@ def _blocks_with(blocks: DataFrame, answers: DataFrame, name: str) -> DataFrame:
     return blocks.join(_collected(answers, name), "block")
 
 
+def _of_slot(rows: DataFrame, slot: int | None) -> DataFrame:
+    """The rows of one of ``SLOTS`` shares of the blocks, or of all."""
+    return rows if slot is None else rows.where(F.pmod(F.xxhash64("block"), F.lit(SLOTS)) == slot)
+
+
+def _met(blocks: DataFrame, words: DataFrame, grams: list[DataFrame], slot: int | None, sums: bool = False) -> DataFrame:
+    """Each block (of a share) with its answers of all orders so far. Only the scores need the contexts' ``sums``."""
+    met = _blocks_with(_of_slot(blocks, slot), _of_slot(words, slot), "words_known")
+    for k, answers in enumerate(grams, 2):
+        met = met.join(_collected(_of_slot(answers, slot), f"known_{k}", "part, answer" + ", sums" * sums), "block", "left")
+    return met
+
+
 def _known(order: int) -> list[str]:
     """Columns of the answers a block needs for its n-grams of this order."""
     return ["words_known", *[f"known_{k}" for k in range(2, order)]]
 
 
 def _messages(met: DataFrame, order: int, n: int, parts: int, hot_share: int) -> DataFrame:
+    # A call for each block: what it made is let go of before the next one begins.
+    def sent(block: int, body: bytes, words: list, *answers: list) -> pa.RecordBatch:
+        b = Block(body, words, n, parts, hot_share)
+        for known in answers:
+            b.climb(*b.level.read(known or []))
+        level = b.level
+        used = [p for p in range(parts) if level.at[p + 1] > level.at[p]]
+        rows = [(p, level.message(p), None) for p in used]
+        if level.at[parts + 1] > level.at[parts]:
+            rows.append((block % parts, None, pack(level.local_counts())))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()),
+             pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
+            names=["part", "block", "message", "local"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, body, words, *answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                b = Block(body, words, n, parts, hot_share)
-                for known in answers:
-                    b.climb(*b.level.read(known or [])[:2])
-                level = b.level
-                used = [p for p in range(parts) if level.at[p + 1] > level.at[p]]
-                rows = [(p, level.message(p), None) for p in used]
-                if level.at[parts + 1] > level.at[parts]:
-                    rows.append((block % parts, None, pack(level.local_counts())))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()),
-                     pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
-                    names=["part", "block", "message", "local"])
+            for i in range(batch.num_rows):
+                yield sent(*(c[i].as_py() for c in batch.columns))
 
     return met.select("block", "body", *_known(order)).mapInArrow(run, "part int, block long, message binary, local binary")
 
 
+def _staged_messages(blocks: DataFrame, words: DataFrame, grams: list[DataFrame], order: int, n: int, parts: int,
+                     hot_share: int) -> list[DataFrame]:
+    """The messages stored by ``share`` of the parts, a table per share of the blocks."""
+    return [stored(_messages(_met(blocks, words, grams, slot), order, n, parts, hot_share).withColumn("share", F.pmod("part", F.lit(SHARES))),
+                   f"katz-{order}-messages", "share") for slot in range(SLOTS)]
+
+
 def _of_counts(total: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(total, MOST_DISCOUNTED + 2), minlength=MOST_DISCOUNTED + 3)
 
@@ -394,7 +445,7 @@ def _answers(messages: DataFrame, order: int, last: bool, n: int, parts: int, ho
         shared = seen & (np.bincount(index, minlength=len(grams)) > 1) & (not last)
         rank = np.where(shared, np.cumsum(shared), 0)
         hot = FIRST_WORD + part + parts * (rank[shared & (total * hot_share > n)] - 1)
-        out, at = [(MODEL, part, pack(of_counts, hot, names, *sums))], 0
+        out, at = [(MODEL, part, pack(of_counts, hot, names, *sums), None)], 0
         for block, (h, size) in zip(pdf["block"], asked, strict=True):
             own = index[at:at + size]
             at += size
@@ -410,10 +461,22 @@ def _answers(messages: DataFrame, order: int, last: bool, n: int, parts: int, ho
             step = np.zeros(0 if last else len(own), dtype=np.int64)
             if not last:
                 step[r > 0] = np.diff(r[r > 0], prepend=0)
-            out.append((block, part, pack(total[own], step, *rows)))
-        return pd.DataFrame(out, columns=["block", "part", "answer"])
+            out.append((block, part, pack(total[own], step), pack(*rows)))
+        return pd.DataFrame(out, columns=["block", "part", "answer", "sums"])
 
-    return messages.groupBy("part").applyInPandas(run, "block long, part int, answer binary")
+    return messages.groupBy("part").applyInPandas(run, "block long, part int, answer binary, sums binary")
+
+
+def _staged_answers(messages: list[DataFrame], order: int, last: bool, n: int, parts: int, hot_share: int) -> DataFrame:
+    """All parts' answers to stored messages, one share of the parts after the other; its messages go with it."""
+    out = []
+    for share in range(SHARES):
+        sent = reduce(DataFrame.unionByName, [m.where(F.col("share") == share).drop("share") for m in messages])
+        out.append(stored(_by_use(_answers(sent, order, last, n, parts, hot_share)), f"katz-{order}-grams", "of_model"))
+        for m in messages:
+            dropped(m, f"share={share}")
+        _release(sent.sparkSession)
+    return reduce(DataFrame.unionByName, out)
 
 
 def _hot_contexts(answers: DataFrame, hot: list[int], order: int) -> DataFrame:
@@ -487,7 +550,7 @@ def backoff(sums: list[np.ndarray], d: np.ndarray, below: np.ndarray | int, d_be
 
 
 def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_bytes: int = BLOCK_BYTES,
-                hot_share: int = HOT_SHARE, order: int = 2) -> DataFrame:
+                hot_share: int = HOT_SHARE, order: int = 2, staged_tokens: int = STAGED_TOKENS) -> DataFrame:
     """Train n-grams up to ``order`` (2 or more) on the rows of ``docs`` (doc_id, text) where ``train`` holds
     and score all rows.
 
@@ -495,6 +558,7 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
     if order < 2:
         raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
+    small_batches(spark)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", "text", F.coalesce(train, F.lit(True)).alias("train"))
     with shuffles_deleted(spark):
@@ -506,11 +570,16 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
         base = n + v + 1
         dropped(words, "of_model=true")
         _release(spark)
-        met = _blocks_with(blocks.where("half = 'body'").select("block", "ids", "body"), words, "words_known")
+        staged = n > staged_tokens
+        bodies, answered = blocks.where("half = 'body'").select("block", "ids", "body"), []
         hot = [START, *_hot_words(words, n, hot_share)]
         levels: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
         for k in range(2, order + 1):
-            grams = stored(_by_use(_answers(_messages(met, k, n, parts, hot_share), k, k == order, n, parts, hot_share)), f"katz-{k}-grams", "of_model")
+            if staged and k > 2:
+                grams = _staged_answers(_staged_messages(bodies, words, answered, k, n, parts, hot_share), k, k == order, n, parts, hot_share)
+            else:
+                sent = _messages(_met(bodies, words, answered, None), k, n, parts, hot_share)
+                grams = stored(_by_use(_answers(sent, k, k == order, n, parts, hot_share)), f"katz-{k}-grams", "of_model")
             # At most hot_share contexts, the start symbol and one row of counts of counts.
             got = _hot_contexts(grams, hot, k).toPandas()
             sums_of = [c for c in got.columns if c != "h"]
@@ -521,48 +590,63 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
             # The blocks have their answers; of the parts' tables only the hot contexts' sums are used, and those are here.
             dropped(grams, "of_model=true")
             _release(spark)
-            met = met.join(_collected(grams, f"known_{k}"), "block", "left")
+            answered.append(grams)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    # As in _messages, a call for each block.
+    def scored(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
+        ids = batch.column(1)[i].values
+        b = Block(batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), n, parts, hot_share)
+        log_p = np.log10((b.w_count + 1) / base)
+        base_score = np.add.reduceat(log_p, b.bounds[:-1])
+        below, d_below = np.full(len(b.w), base, dtype=np.float64), None
+        for j, (d, hot_h, hot_sums) in enumerate(levels):
+            level = b.level
+            answers = batch.column(4 + j)[i].as_py() or []
+            count, number = level.read(answers)
+            h, sums = level.contexts(answers, count)
+            if len(h):
+                # The parts of a hot context have a share of its sums each; the whole ones replace them.
+                h, first, _ = _distinct(h)
+                sums = [s[first] for s in sums]
+                spot = np.searchsorted(hot_h, h)
+                is_hot = spot < len(hot_h)
+                is_hot[is_hot] = hot_h[spot[is_hot]] == h[is_hot]
+                for s, whole in zip(sums, hot_sums, strict=True):
+                    s[is_hot] = whole[spot[is_hot]]
+                at = np.searchsorted(h, level.h)[level.inverse]
+                own_below = np.ones(len(h))
+                own_below[at] = below[level.known]
+                total, alpha = backoff(sums, d, own_below, d_below)
+                c, p = count[level.inverse], log_p[level.known]
+                p = np.where(c > 0, np.log10(d[np.minimum(c, MOST_DISCOUNTED + 1)] * np.maximum(c, 1) / total[at]), p + np.log10(alpha[at]))
+                log_p[level.known], below[level.known] = p, total[at]
+            if j + 1 < len(levels):
+                b.climb(count, number)
+            d_below = d
+        score = np.add.reduceat(log_p, b.bounds[:-1])
+        known = np.add.reduceat((b.w_count > 0).astype(np.int64), b.bounds[:-1])
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(b.train), pa.array(np.diff(b.bounds)), pa.array(known),
+             pa.array(np.full(len(ids), n, dtype=np.int64)), pa.array(base_score), pa.array(score)],
+            names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids = batch.column(1)[i].values
-                b = Block(batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), n, parts, hot_share)
-                log_p = np.log10((b.w_count + 1) / base)
-                base_score = np.add.reduceat(log_p, b.bounds[:-1])
-                below, d_below = np.full(len(b.w), base, dtype=np.float64), None
-                for j, (d, hot_h, hot_sums) in enumerate(levels):
-                    level = b.level
-                    count, number, h, sums = level.read(batch.column(4 + j)[i].as_py() or [])
-                    if len(h):
-                        # The parts of a hot context have a share of its sums each; the whole ones replace them.
-                        h, first = np.unique(h, return_index=True)
-                        sums = [s[first] for s in sums]
-                        spot = np.searchsorted(hot_h, h)
-                        is_hot = spot < len(hot_h)
-                        is_hot[is_hot] = hot_h[spot[is_hot]] == h[is_hot]
-                        for s, whole in zip(sums, hot_sums, strict=True):
-                            s[is_hot] = whole[spot[is_hot]]
-                        at = np.searchsorted(h, level.h)[level.inverse]
-                        own_below = np.ones(len(h))
-                        own_below[at] = below[level.known]
-                        total, alpha = backoff(sums, d, own_below, d_below)
-                        c, p = count[level.inverse], log_p[level.known]
-                        p = np.where(c > 0, np.log10(d[np.minimum(c, MOST_DISCOUNTED + 1)] * np.maximum(c, 1) / total[at]), p + np.log10(alpha[at]))
-                        log_p[level.known], below[level.known] = p, total[at]
-                    if j + 1 < len(levels):
-                        b.climb(count, number)
-                    d_below = d
-                score = np.add.reduceat(log_p, b.bounds[:-1])
-                known = np.add.reduceat((b.w_count > 0).astype(np.int64), b.bounds[:-1])
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(b.train), pa.array(np.diff(b.bounds)), pa.array(known),
-                     pa.array(np.full(len(ids), n, dtype=np.int64)), pa.array(base_score), pa.array(score)],
-                    names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                yield scored(batch, i)
+
+    def scores(slot: int | None) -> DataFrame:
+        return _met(bodies, words, answered, slot, sums=True).select("block", "ids", "body", *_known(order + 1)).mapInArrow(
+            run, f"doc_id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
-    return met.select("block", "ids", "body", *_known(order + 1)).mapInArrow(
-        run, f"doc_id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    if not staged:
+        return scores(None)
+    with shuffles_deleted(spark):
+        done = [stored(scores(slot), "katz-scores") for slot in range(SLOTS)]
+    for spent in (blocks, words, *answered):
+        dropped(spent)
+    return reduce(DataFrame.unionByName, done)
 
 
 def _hot_words(words: DataFrame, n: int, hot_share: int) -> list[int]:

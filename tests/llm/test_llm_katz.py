@@ -4,6 +4,7 @@ import pathlib
 import re
 import zlib
 
+import numpy as np
 import pytest
 from llm_texts import corpus
 from pyspark.sql import functions as F
@@ -166,3 +167,25 @@ def test_stored_tables_that_no_later_step_reads_are_deleted(spark, docs):
     assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
     for r in rows:
         assert r.score == pytest.approx(model.score(texts[r.doc_id]), abs=1e-7)
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_shares_of_blocks_give_the_same_scores_and_leave_only_them(spark, docs, order):
+    root = pathlib.Path(shared_root(spark).removeprefix("file:"))
+    texts = [(t or "") + " the the of the" if i % 3 else t for i, t in enumerate(corpus(6, 30)) if len(t or "") < 3000]
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    scored = lambda **x: K.katz_scores(docs(texts), ~held_out, parts=4, block_bytes=5_000, hot_share=20, order=order, **x)
+    whole = sorted(scored().collect())
+    before = set(root.glob("katz-*"))
+    staged = scored(staged_tokens=0)
+    left = [f for table in set(root.glob("katz-*")) - before for f in table.rglob("*.parquet")]
+    assert {f.parent.name.rsplit("-", 1)[0] for f in left} == {"katz-scores"}
+    assert sorted(staged.collect()) == whole and len(whole) == len(texts)
+
+
+def test_distinct_equals_unique():
+    for a in ([], [5], [3, 1, 3, 2, 1, 3]):
+        a = np.array(a, dtype=np.uint64)
+        values, place, index = K._distinct(a)
+        assert values.tolist() == sorted(set(a.tolist()))
+        assert a[place].tolist() == values.tolist() and values[index].tolist() == a.tolist()
