@@ -37,6 +37,11 @@ orders from 3 on and the scores are therefore made of one of ``SLOTS`` shares
 of the blocks after the other, and the parts answer in ``SHARES`` shares, each
 of which deletes the messages it has read. The steps and rows are the same.
 
+A task holds the arrays of one block or part, and they are its worker's largest
+use of memory: contexts' sums keep the narrow types they are sent in, ``CONTEXTS``
+of them at a time are made wide, what an order needs of its own is gone before the
+next, and a worker hands freed memory back when its task or part is done.
+
 Defined results: null and empty texts are one end token; rows are scored one
 by one, repeated or not; a row without doc_id counts as training. A word
 unseen in training has the unknown class's probability after every context;
@@ -47,7 +52,9 @@ empty out.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 from functools import reduce
 
 import numpy as np
@@ -73,6 +80,7 @@ MODEL = -1               # "block" of the rows that hold the model's own tables
 STAGED_TOKENS = 1 << 26
 SLOTS = 3                # shares of the blocks
 SHARES = 2               # shares of the parts
+CONTEXTS = 1 << 15       # contexts whose sums are wide at a time
 
 
 # --- packed arrays --------------------------------------------------------
@@ -116,6 +124,13 @@ def _distinct(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[new], order[new], index
 
 
+def _handed_back() -> None:
+    """Give the system what was freed: workers stay, and would hold one step's arrays beside the next one's."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)  # of glibc
+
+
 # --- blocks ---------------------------------------------------------------
 
 def make_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -153,6 +168,7 @@ def make_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                     yield flush()
         if held:
             yield flush()
+        _handed_back()
 
     return docs.select("doc_id", "text", "train").mapInArrow(
         run, f"block long, ids array<{kind}>, words binary, counts binary, body binary")
@@ -201,7 +217,12 @@ def _word_answers(messages: DataFrame, parts: int) -> DataFrame:
             out.append((block, part, 0, 0, pack(number[own], total[own])))
         return pd.DataFrame(out, columns=["block", "part", "tokens", "types", "answer"])
 
-    return messages.groupBy("part").applyInPandas(run, "block long, part int, tokens long, types long, answer binary")
+    def let_go(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = run(pdf)
+        _handed_back()
+        return out
+
+    return messages.groupBy("part").applyInPandas(let_go, "block long, part int, tokens long, types long, answer binary")
 
 
 # --- n-grams --------------------------------------------------------------
@@ -262,8 +283,8 @@ class Level:
         return count, number
 
     def contexts(self, answers: list, count: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The contexts and their sums; ``count`` as ``read`` returns it."""
-        names, columns = [], []
+        """The contexts and their sums, in narrow types; ``count`` as ``read`` returns it."""
+        names, columns = [np.zeros(0, np.uint64)], [[np.zeros(0, np.uint8)] * _width(self.order_n)]
         for a in answers:
             names.append(np.unique(self.h[self.own(a["part"])]))
             columns.append(unpack(a["sums"]))
@@ -272,14 +293,15 @@ class Level:
             h, index = np.unique(self.h[own], return_inverse=True)
             seen = count[own] > 0
             found, sums = _context_sums(index[seen], count[own][seen], self.low[own][seen], self.order_n)
-            rows = np.zeros((len(sums), len(h)), dtype=np.int64)
-            rows[:, found] = sums
             names.append(h)
-            columns.append(list(rows))
-        width = _width(self.order_n)
-        none = np.zeros(0, np.int64)
-        return (np.concatenate([np.zeros(0, np.uint64), *names]),
-                [np.concatenate([none, *[c[j].astype(np.int64) for c in columns]]) for j in range(width)])
+            columns.append([_spread(_narrow(c), found, len(h)) for c in sums])
+        return np.concatenate(names), [np.concatenate(c) for c in zip(*columns, strict=True)]
+
+
+def _spread(values: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n, dtype=values.dtype)
+    out[places] = values
+    return out
 
 
 class Block:
@@ -313,9 +335,13 @@ class Block:
 
     def climb(self, count: np.ndarray, number: np.ndarray) -> None:
         """Go on to the next order, with what ``read`` returned of this one."""
+        order, known, inverse = self.level.order_n + 1, self.level.known, self.level.inverse
+        self.level = None
         grams, low = np.zeros(len(self.w), np.uint64), np.zeros(len(self.w), np.int64)
-        grams[self.level.known], low[self.level.known] = number[self.level.inverse], count[self.level.inverse]
-        self.level = Level(self.level.order_n + 1, self.before(grams, UNKNOWN), self.before(low, 0), low, self.w, self.train_token, *self.spread)
+        grams[known], low[known] = number[inverse], count[inverse]
+        del known, inverse
+        grams = self.before(grams, UNKNOWN)
+        self.level = Level(order, grams, self.before(low, 0), low, self.w, self.train_token, *self.spread)
 
 
 _ANSWERS = "collect_list(struct({})) AS {}"
@@ -381,6 +407,7 @@ def _messages(met: DataFrame, order: int, n: int, parts: int, hot_share: int) ->
         for batch in batches:
             for i in range(batch.num_rows):
                 yield sent(*(c[i].as_py() for c in batch.columns))
+        _handed_back()
 
     return met.select("block", "body", *_known(order)).mapInArrow(run, "part int, block long, message binary, local binary")
 
@@ -418,55 +445,82 @@ def _answers(messages: DataFrame, order: int, last: bool, n: int, parts: int, ho
     contexts; per part counts of counts, numbers of hot n-grams and sums."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        part = int(pdf["part"].iloc[0])
-        of_counts = np.zeros(MOST_DISCOUNTED + 3, dtype=np.int64)
-        for blob in pdf["local"].dropna():
-            of_counts += unpack(blob)[0]
-        pdf = pdf[pdf["message"].notna()]
-        hs, ws, lows, counts, asked = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
-        for blob in pdf["message"]:
-            h, runs, w, low, index, c = unpack(blob)
-            h, w = np.cumsum(h, dtype=np.uint64), np.cumsum(w, dtype=np.uint64)
-            hs.append(np.repeat(h, runs))
-            ws.append(w[index])
-            lows.append((low[index] if order == 2 else low).astype(np.int64))
-            counts.append(c.astype(np.int64))
-            asked.append((h, len(index)))
-        names, index = np.unique(np.concatenate(hs), return_inverse=True)
-        grams, index = np.unique((index.astype(np.uint64) << np.uint64(32)) | np.concatenate(ws), return_inverse=True)
-        total, low = np.zeros(len(grams), dtype=np.int64), np.zeros(len(grams), dtype=np.int64)
-        np.add.at(total, index, np.concatenate(counts))
-        np.maximum.at(low, index, np.concatenate(lows))
-        seen = total > 0
-        h = names[grams[seen] >> np.uint64(32)]
-        names, sums = _context_sums(h, total[seen], low[seen], order)
-        of_counts += _of_counts(total[seen])
-        # A block sends a key once: what one block has is not numbered.
-        shared = seen & (np.bincount(index, minlength=len(grams)) > 1) & (not last)
-        rank = np.where(shared, np.cumsum(shared), 0)
-        hot = FIRST_WORD + part + parts * (rank[shared & (total * hot_share > n)] - 1)
-        out, at = [(MODEL, part, pack(of_counts, hot, names, *sums), None)], 0
-        for block, (h, size) in zip(pdf["block"], asked, strict=True):
-            own = index[at:at + size]
-            at += size
-            spot = np.searchsorted(names, h)
-            hit = spot < len(names)
-            hit[hit] = names[spot[hit]] == h[hit]
-            rows = []
-            for s in sums:
-                v = np.zeros(len(h), dtype=np.int64)
-                v[hit] = s[spot[hit]]
-                rows.append(v)
-            r = rank[own]
-            step = np.zeros(0 if last else len(own), dtype=np.int64)
-            if not last:
-                step[r > 0] = np.diff(r[r > 0], prepend=0)
-            out.append((block, part, pack(total[own], step), pack(*rows)))
-        return pd.DataFrame(out, columns=["block", "part", "answer", "sums"])
+        out = _part_answers(pdf, order, last, n, parts, hot_share)
+        _handed_back()
+        return out
 
     return messages.groupBy("part").applyInPandas(run, "block long, part int, answer binary, sums binary")
 
 
+def _part_answers(pdf: pd.DataFrame, order: int, last: bool, n: int, parts: int, hot_share: int) -> pd.DataFrame:
+    """A part's answers to its messages."""
+    part = int(pdf["part"].iloc[0])
+    of_counts = np.zeros(MOST_DISCOUNTED + 3, dtype=np.int64)
+    for blob in pdf["local"].dropna():
+        of_counts += unpack(blob)[0]
+    pdf = pdf[pdf["message"].notna()]
+    # Each list goes as soon as it is one array; counts stay in the narrow types they were sent in.
+    hs, ws, lows, counts, asked = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.uint8)], []
+    for blob in pdf["message"]:
+        h, runs, w, low, index, c = unpack(blob)
+        h, w = np.cumsum(h, dtype=np.uint64), np.cumsum(w, dtype=np.uint64)
+        hs.append(np.repeat(h, runs))
+        ws.append(_narrow(w)[index])
+        lows.append(low[index] if order == 2 else low)
+        counts.append(c)
+        asked.append((h, len(index)))
+    names, index = _indexed(hs)
+    keys = index.astype(np.uint64)
+    keys <<= np.uint64(32)
+    del index
+    keys |= _joined(ws)
+    grams, index = _indexed([keys])
+    del keys
+    total, low = np.zeros(len(grams), dtype=np.int64), np.zeros(len(grams), dtype=np.int64)
+    np.add.at(total, index, _joined(counts).astype(np.int64))
+    np.maximum.at(low, index, _joined(lows).astype(np.int64))
+    seen = total > 0
+    h = names[grams[seen] >> np.uint64(32)]
+    del names, grams
+    names, sums = _context_sums(h, total[seen], low[seen], order)
+    del h, low
+    of_counts += _of_counts(total[seen])
+    # A block sends a key once: what one block has is not numbered.
+    shared = seen & (np.bincount(index, minlength=len(total)) > 1) & (not last)
+    rank = np.where(shared, np.cumsum(shared), 0)
+    hot = FIRST_WORD + part + parts * (rank[shared & (total * hot_share > n)] - 1)
+    out, at = [(MODEL, part, pack(of_counts, hot, names, *sums), None)], 0
+    for block, (h, size) in zip(pdf["block"], asked, strict=True):
+        own = index[at:at + size]
+        at += size
+        spot = np.searchsorted(names, h)
+        hit = spot < len(names)
+        hit[hit] = names[spot[hit]] == h[hit]
+        rows = []
+        for s in sums:
+            v = np.zeros(len(h), dtype=np.int64)
+            v[hit] = s[spot[hit]]
+            rows.append(v)
+        r = rank[own]
+        step = np.zeros(0 if last else len(own), dtype=np.int64)
+        if not last:
+            step[r > 0] = np.diff(r[r > 0], prepend=0)
+        out.append((block, part, pack(total[own], step), pack(*rows)))
+    return pd.DataFrame(out, columns=["block", "part", "answer", "sums"])
+
+
+def _joined(arrays: list[np.ndarray]) -> np.ndarray:
+    """The arrays as one; the list is emptied."""
+    out = np.concatenate(arrays)
+    arrays.clear()
+    return out
+
+
+def _indexed(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of the arrays, which are let go of, and each element's value's index."""
+    return np.unique(_joined(arrays) if len(arrays) > 1 else arrays.pop(), return_inverse=True)
+
+
 def _staged_answers(messages: list[DataFrame], order: int, last: bool, n: int, parts: int, hot_share: int) -> DataFrame:
     """All parts' answers to stored messages, one share of the parts after the other; its messages go with it."""
     out = []
@@ -549,6 +603,35 @@ def backoff(sums: list[np.ndarray], d: np.ndarray, below: np.ndarray | int, d_be
     return total, free / rest
 
 
+def _backed_off(level: Level, answers: list, count: np.ndarray, log_p: np.ndarray, below: np.ndarray, d: np.ndarray,
+                d_below: np.ndarray | None, hot_h: np.ndarray, hot_sums: list[np.ndarray]) -> None:
+    """Take ``log_p``, the tokens' log10 probabilities, and ``below``, their contexts' denominators, up to this order."""
+    h, sums = level.contexts(answers, count)
+    if not len(h):
+        return
+    # The parts of a hot context have a share of its sums each; the whole ones replace them.
+    h, first, _ = _distinct(h)
+    sums = [s[first] for s in sums]
+    del first, _
+    spot = np.searchsorted(hot_h, h)
+    is_hot = spot < len(hot_h)
+    is_hot[is_hot] = hot_h[spot[is_hot]] == h[is_hot]
+    at = np.searchsorted(h, level.h)[level.inverse]
+    own_below = np.ones(len(h))
+    own_below[at] = below[level.known]
+    total, alpha = np.empty(len(h)), np.empty(len(h))
+    for start in range(0, len(h), CONTEXTS):
+        some = slice(start, start + CONTEXTS)
+        wide = [s[some].astype(np.int64) for s in sums]
+        for s, whole in zip(wide, hot_sums, strict=True):
+            s[is_hot[some]] = whole[spot[some][is_hot[some]]]
+        total[some], alpha[some] = backoff(wide, d, own_below[some], d_below)
+    del h, sums, spot, is_hot, own_below
+    c, p = count[level.inverse], log_p[level.known]
+    log_p[level.known] = np.where(c > 0, np.log10(d[np.minimum(c, MOST_DISCOUNTED + 1)] * np.maximum(c, 1) / total[at]), p + np.log10(alpha[at]))
+    below[level.known] = total[at]
+
+
 def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_bytes: int = BLOCK_BYTES,
                 hot_share: int = HOT_SHARE, order: int = 2, staged_tokens: int = STAGED_TOKENS) -> DataFrame:
     """Train n-grams up to ``order`` (2 or more) on the rows of ``docs`` (doc_id, text) where ``train`` holds
@@ -600,29 +683,12 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
         log_p = np.log10((b.w_count + 1) / base)
         base_score = np.add.reduceat(log_p, b.bounds[:-1])
         below, d_below = np.full(len(b.w), base, dtype=np.float64), None
-        for j, (d, hot_h, hot_sums) in enumerate(levels):
-            level = b.level
+        for j, (d, *hot) in enumerate(levels):
             answers = batch.column(4 + j)[i].as_py() or []
-            count, number = level.read(answers)
-            h, sums = level.contexts(answers, count)
-            if len(h):
-                # The parts of a hot context have a share of its sums each; the whole ones replace them.
-                h, first, _ = _distinct(h)
-                sums = [s[first] for s in sums]
-                spot = np.searchsorted(hot_h, h)
-                is_hot = spot < len(hot_h)
-                is_hot[is_hot] = hot_h[spot[is_hot]] == h[is_hot]
-                for s, whole in zip(sums, hot_sums, strict=True):
-                    s[is_hot] = whole[spot[is_hot]]
-                at = np.searchsorted(h, level.h)[level.inverse]
-                own_below = np.ones(len(h))
-                own_below[at] = below[level.known]
-                total, alpha = backoff(sums, d, own_below, d_below)
-                c, p = count[level.inverse], log_p[level.known]
-                p = np.where(c > 0, np.log10(d[np.minimum(c, MOST_DISCOUNTED + 1)] * np.maximum(c, 1) / total[at]), p + np.log10(alpha[at]))
-                log_p[level.known], below[level.known] = p, total[at]
+            got = b.level.read(answers)
+            _backed_off(b.level, answers, got[0], log_p, below, d, d_below, *hot)
             if j + 1 < len(levels):
-                b.climb(count, number)
+                b.climb(*got)
             d_below = d
         score = np.add.reduceat(log_p, b.bounds[:-1])
         known = np.add.reduceat((b.w_count > 0).astype(np.int64), b.bounds[:-1])
@@ -635,6 +701,7 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
         for batch in batches:
             for i in range(batch.num_rows):
                 yield scored(batch, i)
+        _handed_back()
 
     def scores(slot: int | None) -> DataFrame:
         return _met(bodies, words, answered, slot, sums=True).select("block", "ids", "body", *_known(order + 1)).mapInArrow(

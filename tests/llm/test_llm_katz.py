@@ -2,9 +2,11 @@ import collections
 import math
 import pathlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm_texts import corpus
 from pyspark.sql import functions as F
@@ -189,3 +191,63 @@ def test_distinct_equals_unique():
         values, place, index = K._distinct(a)
         assert values.tolist() == sorted(set(a.tolist()))
         assert a[place].tolist() == values.tolist() and values[index].tolist() == a.tolist()
+
+
+class Groups:
+    """Stands for messages: gives back the function that a part's rows are handed to."""
+
+    def groupBy(self, _):  # noqa: N802
+        return self
+
+    def applyInPandas(self, run, _):  # noqa: N802
+        return run
+
+
+def test_contexts_and_part_answers_stay_narrow():
+    # One block and one part; 20,000 distinct words in 100 texts, most contexts seen once.
+    rng = np.random.default_rng(3)
+    lengths = np.full(100, 600)
+    index = rng.integers(0, 20_000, lengths.sum() + 1)
+    total = np.bincount(index, minlength=20_000)
+    words = [{"part": 0, "answer": K.pack(np.arange(20_000) + K.FIRST_WORD, total)}]
+    b = K.Block(K.pack(np.ones(100, dtype=bool), lengths, index), words, n=60_100, parts=1, hot_share=10_000)
+    asked = pd.DataFrame({"part": [0], "block": [7], "message": [b.level.message(0)], "local": [None]})
+    answered = K._answers(Groups(), 2, False, 60_100, 1, 10_000)
+    tracemalloc.start()
+    try:
+        got = answered(asked)
+        assert tracemalloc.get_traced_memory()[1] < 130 * len(b.level.h)
+        answers = got[got["block"] == 7].to_dict("records")
+        count, _ = b.level.read(answers)
+        h, sums = b.level.contexts(answers, count)
+        assert len(h) > 15_000 and sum(s.nbytes for s in sums) <= 10 * len(h)
+    finally:
+        tracemalloc.stop()
+    assert count.tolist() == b.level.counts.tolist()
+    pairs = collections.Counter(zip(b.before(b.w.astype(np.uint64), K.START).tolist(), b.w.tolist(), strict=True))
+    freed = collections.defaultdict(lambda: [0] * (K.MOST_DISCOUNTED + 2))
+    for (x, w), c in pairs.items():
+        freed[x][min(c, K.MOST_DISCOUNTED + 1) - 1] += 1 if c <= K.MOST_DISCOUNTED else c
+        freed[x][-1] += int(total[w - K.FIRST_WORD]) + 1
+    assert {x: [int(s[i]) for s in sums] for i, x in enumerate(h.tolist())} == freed
+
+
+def test_scores_are_the_same_whatever_number_of_contexts_is_wide_at_a_time(monkeypatch):
+    texts = [(t or "") + " the the of the" for t in corpus(6, 12) if len(t or "") < 3000]
+    log_p, of = [], lambda n: (np.zeros(n), np.full(n, 9.0))
+    w = [(t * 40).split() for t in texts]
+    words, index = np.unique(np.concatenate(w), return_inverse=True)
+    index = np.append(index, 0)
+    lengths, total = np.array([len(x) for x in w]), np.bincount(index) + 5
+    answer = [{"part": 0, "answer": K.pack(np.arange(len(words)) + K.FIRST_WORD, total)}]
+    for contexts in (7, 1 << 15):
+        monkeypatch.setattr(K, "CONTEXTS", contexts)
+        b = K.Block(K.pack(np.ones(len(w), dtype=bool), lengths, index), answer, n=1000, parts=1, hot_share=50)
+        got = K._answers(Groups(), 2, True, 1000, 1, 50)(pd.DataFrame({"part": [0], "block": [7], "message": [b.level.message(0)], "local": [None]}))
+        answers = got[got["block"] == 7].to_dict("records")
+        p, below = of(len(b.w))
+        hot = np.array([K.START], dtype=np.uint64)
+        K._backed_off(b.level, answers, b.level.read(answers)[0], p, below, np.linspace(0.2, 1, K.MOST_DISCOUNTED + 2), None,
+                      hot, [np.array([300])] * (K.MOST_DISCOUNTED + 2))
+        log_p.append((p.tolist(), below.tolist()))
+    assert log_p[0] == log_p[1] and len(set(log_p[0][1])) > 20
