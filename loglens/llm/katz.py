@@ -131,6 +131,12 @@ def _handed_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)  # of glibc
 
 
+def _runs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of a sorted array, and how often each comes."""
+    starts = np.flatnonzero(np.concatenate([np.ones(min(len(a), 1), dtype=bool), a[1:] != a[:-1]]))
+    return a[starts], np.diff(starts, append=len(a))
+
+
 # --- blocks ---------------------------------------------------------------
 
 def make_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -180,6 +186,21 @@ def _part_bounds(words: np.ndarray, parts: int) -> np.ndarray:
     return np.searchsorted(words, np.array([min(i * step, (1 << 64) - 1) for i in range(parts)], dtype=np.uint64)).tolist() + [len(words)]
 
 
+# --- numbers --------------------------------------------------------------
+
+def _steps(rank: np.ndarray) -> np.ndarray:
+    """Ranks, rising but for the 0 of what has none, as differences: the narrower, the more keys a block has of the part's."""
+    step = np.zeros(len(rank), dtype=np.int64)
+    step[rank > 0] = np.diff(rank[rank > 0], prepend=0)
+    return step
+
+
+def _numbers(step: np.ndarray, part: int, parts: int) -> np.ndarray:
+    """The numbers that a part gives to the ranks behind ``step``."""
+    r = np.cumsum(step, dtype=np.uint64)
+    return np.where(step > 0, np.uint64(FIRST_WORD + part) + np.uint64(parts) * (r - np.uint64(1)), np.uint64(UNKNOWN))
+
+
 # --- unigrams -------------------------------------------------------------
 
 def _word_messages(blocks: DataFrame, parts: int) -> DataFrame:
@@ -207,14 +228,14 @@ def _word_answers(messages: DataFrame, parts: int) -> DataFrame:
         total = np.zeros(len(words), dtype=np.int64)
         np.add.at(total, index, np.concatenate([unpack(c)[0] for c in pdf["counts"]]).astype(np.int64))
         known = total > 0
-        number = np.where(known, FIRST_WORD + part + parts * (np.cumsum(known) - 1), UNKNOWN)
-        if len(number) and number.max() >= 1 << 32:
+        rank = np.where(known, np.cumsum(known), 0)
+        if FIRST_WORD + part + parts * (int(known.sum()) - 1) >= 1 << 32:
             raise ValueError("more than 2**32 - 2 distinct words")
         out, at = [(MODEL, part, int(total.sum()), int(known.sum()), pack(words[known], total[known]))], 0
         for block, k in zip(pdf["block"], keys, strict=True):
             own = index[at:at + len(k)]
             at += len(k)
-            out.append((block, part, 0, 0, pack(number[own], total[own])))
+            out.append((block, part, 0, 0, pack(_steps(rank[own]), total[own])))
         return pd.DataFrame(out, columns=["block", "part", "tokens", "types", "answer"])
 
     def let_go(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -230,21 +251,29 @@ def _word_answers(messages: DataFrame, parts: int) -> DataFrame:
 class Level:
     """The distinct n-grams of a block at one order, as (context number, word) keys.
 
-    Per token of the block: ``ctx`` is its context's number (``UNKNOWN``: none to look up), ``ctx_count`` that
-    context's training count, ``low`` the count of the token's n-gram one order below."""
+    Per token of the block: ``ctx`` is the place of its context in ``numbers`` (whose ``UNKNOWN`` ones are not looked up;
+    the others differ), ``ctx_count`` that context's training count, ``low`` the count of the token's n-gram one order below."""
 
-    def __init__(self, order: int, ctx: np.ndarray, ctx_count: np.ndarray, low: np.ndarray, w: np.ndarray, train: np.ndarray,
+    def __init__(self, order: int, ctx: np.ndarray, numbers: np.ndarray, ctx_count: np.ndarray, low: np.ndarray, w: np.ndarray, train: np.ndarray,
                  n: int, parts: int, hot_share: int):
         self.order_n, self.parts = order, parts
         # An unknown last word is asked for too, as its context's sums are needed.
-        self.known = ctx != UNKNOWN
-        names, index = np.unique(ctx[self.known], return_inverse=True)
+        by_number = np.argsort(numbers)
+        names = numbers[by_number]
+        index = np.empty(len(numbers), dtype=np.uint64)
+        index[by_number] = np.arange(len(numbers), dtype=np.uint64)
+        self.known = numbers[ctx] != UNKNOWN
+        everywhere = bool(self.known.all())
+        of = (lambda a: a) if everywhere else (lambda a: a[self.known])
+        keys = index[of(ctx)]
+        keys <<= np.uint64(32)
+        keys |= of(w).astype(np.uint64)
         # Of a key's tokens any will do: all have the same counts of its context and of the order below.
-        keys, first, self.inverse = _distinct((index.astype(np.uint64) << np.uint64(32)) | w[self.known].astype(np.uint64))
+        keys, self.first, self.inverse = _distinct(keys)
         self.h, self.w = names[keys >> np.uint64(32)], keys & np.uint64(0xFFFFFFFF)
-        self.counts = np.bincount(self.inverse[train[self.known]], minlength=len(keys))
-        self.low = low[self.known][first]
-        split = np.where(ctx_count[self.known][first] * hot_share > n, self.w % np.uint64(HOT_SPLIT) + np.uint64(1), np.uint64(0)).astype(np.uint64)
+        self.counts = np.bincount(self.inverse[of(train)], minlength=len(keys))
+        self.low = of(low)[self.first]
+        split = np.where(of(ctx_count)[self.first] * hot_share > n, self.w % np.uint64(HOT_SPLIT) + np.uint64(1), np.uint64(0)).astype(np.uint64)
         part = (T.mix(self.h * np.uint64(HOT_SPLIT + 1) + split) % np.uint64(parts)).astype(np.int64)
         part[self.h >= LOCAL] = parts
         self.order = np.argsort(part.astype(np.min_scalar_type(parts)), kind="stable")
@@ -255,7 +284,7 @@ class Level:
 
     def message(self, part: int) -> bytes:
         own = self.own(part)
-        h, runs = np.unique(self.h[own], return_counts=True)
+        h, runs = _runs(self.h[own])
         w, first, index = _distinct(self.w[own])
         zero = np.uint64(0)
         # Below a bigram is its word; of longer ones only the seen n-grams' counts are needed.
@@ -274,8 +303,7 @@ class Level:
             total, rank = unpack(a["answer"])
             count[own] = total
             if len(rank):
-                r = np.cumsum(rank, dtype=np.uint64)
-                number[own] = np.where(rank > 0, np.uint64(FIRST_WORD + a["part"]) + np.uint64(self.parts) * (r - np.uint64(1)), UNKNOWN)
+                number[own] = _numbers(rank, a["part"], self.parts)
         own = self.own(self.parts)
         count[own] = self.counts[own]
         alone = (count > 0) & (number == UNKNOWN)
@@ -286,7 +314,7 @@ class Level:
         """The contexts and their sums, in narrow types; ``count`` as ``read`` returns it."""
         names, columns = [np.zeros(0, np.uint64)], [[np.zeros(0, np.uint8)] * _width(self.order_n)]
         for a in answers:
-            names.append(np.unique(self.h[self.own(a["part"])]))
+            names.append(_runs(self.h[self.own(a["part"])])[0])
             columns.append(unpack(a["sums"]))
         own = self.own(self.parts)
         if len(own):
@@ -310,8 +338,9 @@ class Block:
     def __init__(self, body: bytes, answers: list, n: int, parts: int, hot_share: int):
         self.train, self.lengths, index = unpack(body)
         self.train = self.train.astype(bool)
-        unpacked = [unpack(a["answer"]) for a in sorted(answers, key=lambda a: a["part"])]
-        number = np.concatenate([u[0].astype(np.int64) for u in unpacked])
+        answers = sorted(answers, key=lambda a: a["part"])
+        unpacked = [unpack(a["answer"]) for a in answers]
+        number = np.concatenate([_numbers(u[0], a["part"], parts).astype(np.int64) for a, u in zip(answers, unpacked, strict=True)])
         total = np.concatenate([u[1].astype(np.int64) for u in unpacked])
         self.bounds = np.concatenate([[0], np.cumsum(self.lengths.astype(np.int64) + 1)])
         ends = self.bounds[1:] - 1
@@ -323,8 +352,14 @@ class Block:
             into[place], into[ends] = source[index[:-1]], source[index[-1]]
         self.train_token = np.repeat(self.train, self.lengths.astype(np.int64) + 1)
         self.spread = (n, parts, hot_share)
-        ctx, ctx_count = self.before(self.w.astype(np.uint64), START), self.before(self.w_count, self.w_count[ends[0]] if len(ends) else 0)
-        self.level = Level(2, ctx, ctx_count, self.w_count, self.w, self.train_token, *self.spread)
+        # Places of the contexts: the block's words, all unknown ones as one, and the start symbol.
+        numbers = np.concatenate([number[number != UNKNOWN], [UNKNOWN, START]]).astype(np.uint64)
+        known = number != UNKNOWN
+        places = np.where(known, np.cumsum(known) - 1, len(numbers) - 2)
+        words = np.empty_like(self.w)
+        words[place], words[ends] = places[index[:-1]], places[index[-1]]
+        ctx_count = self.before(self.w_count, self.w_count[ends[0]] if len(ends) else 0)
+        self.level = Level(2, self.before(words, len(numbers) - 1), numbers, ctx_count, self.w_count, self.w, self.train_token, *self.spread)
 
     def before(self, values: np.ndarray, first: int) -> np.ndarray:
         """Each token's predecessor's value, ``first`` for a text's first token."""
@@ -337,11 +372,13 @@ class Block:
         """Go on to the next order, with what ``read`` returned of this one."""
         order, known, inverse = self.level.order_n + 1, self.level.known, self.level.inverse
         self.level = None
-        grams, low = np.zeros(len(self.w), np.uint64), np.zeros(len(self.w), np.int64)
-        grams[known], low[known] = number[inverse], count[inverse]
+        # Of n-grams without a number, and for tokens without one, the last place is there.
+        places, low = np.full(len(self.w), len(number), dtype=np.int64), np.zeros(len(self.w), np.int64)
+        places[known], low[known] = inverse, count[inverse]
         del known, inverse
-        grams = self.before(grams, UNKNOWN)
-        self.level = Level(order, grams, self.before(low, 0), low, self.w, self.train_token, *self.spread)
+        numbers = np.append(number, np.uint64(UNKNOWN))
+        places = self.before(places, len(number))
+        self.level = Level(order, places, numbers, self.before(low, 0), low, self.w, self.train_token, *self.spread)
 
 
 _ANSWERS = "collect_list(struct({})) AS {}"
@@ -460,21 +497,20 @@ def _part_answers(pdf: pd.DataFrame, order: int, last: bool, n: int, parts: int,
         of_counts += unpack(blob)[0]
     pdf = pdf[pdf["message"].notna()]
     # Each list goes as soon as it is one array; counts stay in the narrow types they were sent in.
-    hs, ws, lows, counts, asked = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.uint8)], []
+    hs, (times, ws, lows, counts), asked = [np.zeros(0, np.uint64)], ([np.zeros(0, np.uint8)] for _ in range(4)), []
     for blob in pdf["message"]:
         h, runs, w, low, index, c = unpack(blob)
         h, w = np.cumsum(h, dtype=np.uint64), np.cumsum(w, dtype=np.uint64)
-        hs.append(np.repeat(h, runs))
+        hs.append(h)
+        times.append(runs)
         ws.append(_narrow(w)[index])
         lows.append(low[index] if order == 2 else low)
         counts.append(c)
         asked.append((h, len(index)))
-    names, index = _indexed(hs)
-    keys = index.astype(np.uint64)
-    keys <<= np.uint64(32)
-    del index
-    keys |= _joined(ws)
-    grams, index = _indexed([keys])
+    names, index = np.unique(_joined(hs), return_inverse=True)
+    keys = np.repeat(index.astype(np.uint64) << np.uint64(32), _joined(times))
+    keys |= _joined(ws).astype(np.uint64)
+    grams, index = np.unique(keys, return_inverse=True)
     del keys
     total, low = np.zeros(len(grams), dtype=np.int64), np.zeros(len(grams), dtype=np.int64)
     np.add.at(total, index, _joined(counts).astype(np.int64))
@@ -501,11 +537,7 @@ def _part_answers(pdf: pd.DataFrame, order: int, last: bool, n: int, parts: int,
             v = np.zeros(len(h), dtype=np.int64)
             v[hit] = s[spot[hit]]
             rows.append(v)
-        r = rank[own]
-        step = np.zeros(0 if last else len(own), dtype=np.int64)
-        if not last:
-            step[r > 0] = np.diff(r[r > 0], prepend=0)
-        out.append((block, part, pack(total[own], step), pack(*rows)))
+        out.append((block, part, pack(total[own], _steps(rank[own]) if not last else np.zeros(0, np.uint8)), pack(*rows)))
     return pd.DataFrame(out, columns=["block", "part", "answer", "sums"])
 
 
@@ -516,11 +548,6 @@ def _joined(arrays: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _indexed(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values of the arrays, which are let go of, and each element's value's index."""
-    return np.unique(_joined(arrays) if len(arrays) > 1 else arrays.pop(), return_inverse=True)
-
-
 def _staged_answers(messages: list[DataFrame], order: int, last: bool, n: int, parts: int, hot_share: int) -> DataFrame:
     """All parts' answers to stored messages, one share of the parts after the other; its messages go with it."""
     out = []
@@ -616,9 +643,9 @@ def _backed_off(level: Level, answers: list, count: np.ndarray, log_p: np.ndarra
     spot = np.searchsorted(hot_h, h)
     is_hot = spot < len(hot_h)
     is_hot[is_hot] = hot_h[spot[is_hot]] == h[is_hot]
-    at = np.searchsorted(h, level.h)[level.inverse]
+    at = np.searchsorted(h, level.h)
     own_below = np.ones(len(h))
-    own_below[at] = below[level.known]
+    own_below[at] = below[level.known][level.first]
     total, alpha = np.empty(len(h)), np.empty(len(h))
     for start in range(0, len(h), CONTEXTS):
         some = slice(start, start + CONTEXTS)
@@ -627,9 +654,10 @@ def _backed_off(level: Level, answers: list, count: np.ndarray, log_p: np.ndarra
             s[is_hot[some]] = whole[spot[some][is_hot[some]]]
         total[some], alpha[some] = backoff(wide, d, own_below[some], d_below)
     del h, sums, spot, is_hot, own_below
-    c, p = count[level.inverse], log_p[level.known]
-    log_p[level.known] = np.where(c > 0, np.log10(d[np.minimum(c, MOST_DISCOUNTED + 1)] * np.maximum(c, 1) / total[at]), p + np.log10(alpha[at]))
-    below[level.known] = total[at]
+    total, seen = total[at], count > 0
+    p = np.where(seen, np.log10(d[np.minimum(count, MOST_DISCOUNTED + 1)] * np.maximum(count, 1) / total), np.log10(alpha[at]))
+    log_p[level.known] = p[level.inverse] + np.where(seen[level.inverse], 0, log_p[level.known])
+    below[level.known] = total[level.inverse]
 
 
 def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_bytes: int = BLOCK_BYTES,
@@ -655,7 +683,7 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
         _release(spark)
         staged = n > staged_tokens
         bodies, answered = blocks.where("half = 'body'").select("block", "ids", "body"), []
-        hot = [START, *_hot_words(words, n, hot_share)]
+        hot = [START, *_hot_words(words, n, parts, hot_share)]
         levels: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
         for k in range(2, order + 1):
             if staged and k > 2:
@@ -716,19 +744,19 @@ def katz_scores(docs: DataFrame, train: Column, parts: int | None = None, block_
     return reduce(DataFrame.unionByName, done)
 
 
-def _hot_words(words: DataFrame, n: int, hot_share: int) -> list[int]:
+def _hot_words(words: DataFrame, n: int, parts: int, hot_share: int) -> list[int]:
     """Numbers of the words with over 1/hot_share of all training tokens: at most hot_share."""
-    parts = words.where("not of_model").select("answer")
+    answers = words.where("not of_model").select("part", "answer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: set[int] = set()
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                number, total = unpack(blob)
-                found.update(number[total.astype(np.int64) * hot_share > n].tolist())
+            for part, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                step, total = unpack(blob)
+                found.update(_numbers(step, part, parts)[total.astype(np.int64) * hot_share > n].tolist())
         yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], names=["number"])
 
-    return [r["number"] for r in parts.mapInArrow(run, "number long").distinct().collect()]
+    return [r["number"] for r in answers.mapInArrow(run, "number long").distinct().collect()]
 
 
 def op9_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -209,7 +209,7 @@ def test_contexts_and_part_answers_stay_narrow():
     lengths = np.full(100, 600)
     index = rng.integers(0, 20_000, lengths.sum() + 1)
     total = np.bincount(index, minlength=20_000)
-    words = [{"part": 0, "answer": K.pack(np.arange(20_000) + K.FIRST_WORD, total)}]
+    words = [{"part": 0, "answer": K.pack(np.ones(20_000, dtype=int), total)}]
     b = K.Block(K.pack(np.ones(100, dtype=bool), lengths, index), words, n=60_100, parts=1, hot_share=10_000)
     asked = pd.DataFrame({"part": [0], "block": [7], "message": [b.level.message(0)], "local": [None]})
     answered = K._answers(Groups(), 2, False, 60_100, 1, 10_000)
@@ -239,7 +239,7 @@ def test_scores_are_the_same_whatever_number_of_contexts_is_wide_at_a_time(monke
     words, index = np.unique(np.concatenate(w), return_inverse=True)
     index = np.append(index, 0)
     lengths, total = np.array([len(x) for x in w]), np.bincount(index) + 5
-    answer = [{"part": 0, "answer": K.pack(np.arange(len(words)) + K.FIRST_WORD, total)}]
+    answer = [{"part": 0, "answer": K.pack(np.ones(len(words), dtype=int), total)}]
     for contexts in (7, 1 << 15):
         monkeypatch.setattr(K, "CONTEXTS", contexts)
         b = K.Block(K.pack(np.ones(len(w), dtype=bool), lengths, index), answer, n=1000, parts=1, hot_share=50)
@@ -251,3 +251,17 @@ def test_scores_are_the_same_whatever_number_of_contexts_is_wide_at_a_time(monke
                       hot, [np.array([300])] * (K.MOST_DISCOUNTED + 2))
         log_p.append((p.tolist(), below.tolist()))
     assert log_p[0] == log_p[1] and len(set(log_p[0][1])) > 20
+
+
+def test_word_numbers_are_sent_as_steps():
+    # 4 blocks with a fourth of 40,000 words each: a step fits in a byte, a number would not.
+    hashes = np.sort(np.random.default_rng(4).integers(1, 1 << 62, 40_000).astype(np.uint64))
+    sent = [hashes[i::4] for i in range(4)]
+    got = K._word_answers(Groups(), 3)(pd.DataFrame({"part": [1] * 4, "block": range(4), "words": [x.tobytes() for x in sent],
+                                                     "counts": [K.pack((x % np.uint64(5) > 0).astype(int)) for x in sent]}))
+    number = dict(zip(hashes[hashes % np.uint64(5) > 0].tolist(), K.FIRST_WORD + 1 + 3 * np.arange(40_000), strict=False))
+    for block, x in enumerate(sent):
+        step, total = K.unpack(got[got["block"] == block]["answer"].iloc[0])
+        assert step.itemsize == 1
+        assert K._numbers(step, 1, 3).tolist() == [number.get(v, K.UNKNOWN) for v in x.tolist()]
+        assert total.tolist() == [int(v % 5 > 0) for v in x.tolist()]
