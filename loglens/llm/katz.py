@@ -262,10 +262,12 @@ class Level:
         names = numbers[by_number]
         index = np.empty(len(numbers), dtype=np.uint64)
         index[by_number] = np.arange(len(numbers), dtype=np.uint64)
+        del by_number
         self.known = numbers[ctx] != UNKNOWN
         everywhere = bool(self.known.all())
         of = (lambda a: a) if everywhere else (lambda a: a[self.known])
         keys = index[of(ctx)]
+        del index
         keys <<= np.uint64(32)
         keys |= of(w).astype(np.uint64)
         # Of a key's tokens any will do: all have the same counts of its context and of the order below.
@@ -322,7 +324,7 @@ class Level:
             seen = count[own] > 0
             found, sums = _context_sums(index[seen], count[own][seen], self.low[own][seen], self.order_n)
             names.append(h)
-            columns.append([_spread(_narrow(c), found, len(h)) for c in sums])
+            columns.append([_spread(c, found, len(h)) for c in sums])
         return np.concatenate(names), [np.concatenate(c) for c in zip(*columns, strict=True)]
 
 
@@ -474,7 +476,7 @@ def _context_sums(h: np.ndarray, counts: np.ndarray, low: np.ndarray, order: int
     bigrams' words the sum of c(w) + 1, of longer n-grams the same numbers of their counts one order below."""
     names, starts = np.unique(h, return_index=True)
     columns = _by_count(counts) + ([low + 1] if order == 2 else _by_count(low))
-    return names, [np.add.reduceat(c.astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64) for c in columns]
+    return names, [_narrow(np.add.reduceat(c.astype(np.int64), starts)) if len(starts) else np.zeros(0, np.uint8) for c in columns]
 
 
 def _answers(messages: DataFrame, order: int, last: bool, n: int, parts: int, hot_share: int) -> DataFrame:
