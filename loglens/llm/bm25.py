@@ -2,19 +2,25 @@
 
 Global statistics (documents, mean length, document frequencies) are counted
 over all documents first, so every shard scores alike. Documents are dealt by
-hash into shards of about ``SHARD_BYTES`` of text; a task builds its shard's
+hash into bins, and a task takes those of its bin in shards of about
+``SHARD_BYTES`` of text. It builds a shard's
 index in memory: postings with their term-frequency parts, and for each term
 and block of ``BLOCK`` documents the largest of them. Queries visit every
-shard in packed groups. A block's bound is the sum of the query's weighted
+shard in packed batches; a bin's best scores so far are the floor of its later shards. A block's bound is the sum of the query's weighted
 block maxima; blocks are taken by falling bound, and those whose bound is
 below the k-th best score so far are skipped, which cannot lose a result. Where a
 query's postings are too thinly spread over blocks for that (those of a long text:
 fewer than ``RUN_POSTINGS`` to a block, so bounds cost more than scores and few blocks
-stay below), all its postings are scored, list by list. The
-shards' top lists are merged by a grouped top-k.
+stay below), all its postings are scored, together with those of the batch's other long
+queries: words in many of the queries and documents by a product of matrices, of
+others the postings, each read once for all queries that have its word. The
+bins' top lists are merged by a grouped top-k.
+
+Bins are as many as shards, but so few that the queries, which go to each, stay below
+half of the texts: what is shuffled grows with the input, not with its square.
 
 Within a shard documents are ordered by their most frequent word and length,
-so blocks hold like documents and their bounds are tight.
+so blocks hold like documents and their bounds are tight; queries are batched by their most frequent word.
 
 Scores are rounded to ``DIGITS`` digits and ties go to the smaller doc_id.
 
@@ -27,7 +33,10 @@ Empty in, empty out.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
+from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +45,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loglens.llm import text as T
-from loglens.llm.store import stored
+from loglens.llm.store import small_batches, stored
 
 K1, B = 1.2, 0.75
 BLOCK = 16
 # Half a block: with fewer postings to a block, bounds cost more than they save (measured on texts as queries).
 RUN_POSTINGS = 8
 SHARD_BYTES = 24 << 20
-QUERY_GROUP = 256
+# A bin's texts are gathered to shards of so many times this, so that one a little larger than a shard isn't two.
+SHARD_OVER = 1.25
+# Of a bin's packed queries so many bytes are held in memory, more in a temporary file; of its texts this many are added to a shard at a time.
+HELD_QUERIES, PIECE_BYTES = 32 << 20, 2 << 20
+# Long queries are scored so many, and with about so many terms, at a time, against wide blocks of documents.
+BATCH_QUERIES, BATCH_TERMS, GROUP_BATCHES, WIDE = 512, 1 << 18, 16, 4096
+# A word's cells (its queries times its documents of a wide block) of all cells, from which a row of a matrix costs less than its postings.
+MATRIX_SHARE, MATRIX_WORDS = 0.015, 512
+# Postings that are scored at a time.
+CHUNK = 1 << 15
 COUNT_BYTES = 8 << 20
 DIGITS = 6
 
@@ -97,30 +115,78 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return found.groupBy("query_id", "term").agg(F.sum("times").alias("times"))
 
 
-def packed_queries(terms: DataFrame, group: int = QUERY_GROUP) -> DataFrame:
-    """Weighted terms (query_id, term, weight) in groups of about ``group`` queries, compressed."""
-    number = F.approx_count_distinct("query_id")
-    groups = max(1, -(-terms.agg(number.alias("n")).first()["n"] // group))
+def packed_queries(terms: DataFrame, queries: int = BATCH_QUERIES, size: int = BATCH_TERMS) -> DataFrame:
+    """Terms of queries (query_id, term, times, idf) in batches of at most ``queries`` like ones and about ``size`` terms, compressed."""
+    groups = max(1, -(-terms.count() // (GROUP_BATCHES * size)))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("query_id", "ascending"), ("term", "ascending")])
-        ids = table["query_id"].to_numpy()
+        ids, term = table["query_id"].to_numpy(), table["term"].to_numpy().astype(np.int64).view(np.uint64)
+        times, idf = table["times"].to_numpy().astype(np.int64), table["idf"].to_numpy()
         first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        blob = b"".join([np.int64(len(first)).tobytes(), np.int64(len(ids)).tobytes(), ids[first].astype(np.int64).tobytes(),
-                         np.append(first, len(ids)).astype(np.int64).tobytes(),
-                         table["term"].to_numpy().astype(np.int64).tobytes(), table["weight"].to_numpy().tobytes()])
-        return pa.table({"queries": pa.array([zstandard.compress(blob, 3)], pa.binary())})
+        count = np.diff(np.append(first, len(ids)))
+        # Like queries side by side: by their most frequent word.
+        order = np.argsort(term[np.lexsort((term, times, np.repeat(np.arange(len(first)), count)))[np.cumsum(count) - 1]], kind="stable")
+        blobs = []
+        while len(order):
+            now = order[:max(1, min(queries, int(np.searchsorted(np.cumsum(count[order[:queries]]), size, "right"))))]
+            order = order[len(now):]
+            own = _spread(first[now], count[now])
+            row = np.repeat(np.arange(len(now)), count[now])
+            by_word = np.lexsort((row, term[own]))
+            own, row = own[by_word], row[by_word]
+            words, at, uses = np.unique(term[own], return_index=True, return_counts=True)
+            blobs.append(zstandard.compress(b"".join([
+                np.array([len(now), len(words), len(own)], np.int64).tobytes(), ids[first[now]].astype(np.int64).tobytes(), np.diff(words, prepend=np.uint64(0)).tobytes(),
+                idf[own[at]].tobytes(), uses.astype(np.int32).tobytes(), row.astype(np.int32).tobytes(), times[own].astype(np.int32).tobytes()]), 3))
+        return pa.table({"queries": pa.array(blobs, pa.binary())})
 
     return (terms.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("g")
             .applyInArrow(run, "queries binary"))
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+class Queries(NamedTuple):
+    """A batch of queries: those with ``words[i]`` are ``row[first[i]:first[i + 1]]``, with the weights at these places."""
+
+    ids: np.ndarray
+    words: np.ndarray
+    first: np.ndarray
+    row: np.ndarray
+    weight: np.ndarray
+
+
+def _unpacked(blob: bytes) -> Queries:
     raw = zstandard.decompress(blob)
-    n, m = np.frombuffer(raw, np.int64, 2).tolist()
-    ids, first = np.frombuffer(raw, np.int64, n, 16), np.frombuffer(raw, np.int64, n + 1, 16 + 8 * n)
-    at = 16 + 8 * (2 * n + 1)
-    return ids, first, np.frombuffer(raw, np.uint64, m, at), np.frombuffer(raw, np.float64, m, at + 8 * m)
+    n, v, m = np.frombuffer(raw, np.int64, 3).tolist()
+    ids, words = np.frombuffer(raw, np.int64, n, 24), np.frombuffer(raw, np.uint64, v, at := 24 + 8 * n)
+    idf, uses = np.frombuffer(raw, np.float64, v, at := at + 8 * v), np.frombuffer(raw, np.int32, v, at := at + 8 * v)
+    row, times = np.frombuffer(raw, np.int32, m, at := at + 4 * v), np.frombuffer(raw, np.int32, m, at + 4 * m)
+    return Queries(ids, np.cumsum(words, dtype=np.uint64), np.concatenate([[0], np.cumsum(uses)]), row.astype(np.int64), times * np.repeat(idf, uses))
+
+
+class Best:
+    """The k best documents so far of each query of a group; places still free have the score minus infinity."""
+
+    def __init__(self, queries: int, k: int):
+        self.ids = np.full((queries, k), np.iinfo(np.int64).max)
+        self.scores = np.full((queries, k), -np.inf)
+
+    def add(self, rows: np.ndarray, of: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Documents ``ids`` with ``scores`` of the queries ``rows[of]``."""
+        if not len(of):
+            return
+        k = self.ids.shape[1]
+        of = np.concatenate([np.repeat(np.arange(len(rows)), k), of])
+        ids, scores = np.concatenate([self.ids[rows].ravel(), ids]), np.concatenate([self.scores[rows].ravel(), scores])
+        order = np.lexsort((ids, -scores, of))
+        of = of[order]
+        order = order[np.arange(len(of)) - np.searchsorted(of, np.arange(len(rows)))[of] < k]
+        self.ids[rows], self.scores[rows] = ids[order].reshape(-1, k), scores[order].reshape(-1, k)
+
+
+def _spread(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """lo[0], lo[0] + 1, ... (size[0] numbers), lo[1], ..."""
+    return np.arange(size.sum()) + np.repeat(lo - (np.cumsum(size) - size), size)
 
 
 class Shard:
@@ -170,13 +236,27 @@ class Shard:
         self.term_run = np.searchsorted(p_term[self.run], np.arange(len(self.terms) + 1))
         self.term_at = np.searchsorted(p_term, np.arange(len(self.terms) + 1))
         self.blocks = -(-n // block)
+        # The same in wide blocks.
+        place = p_term * (n // WIDE + 1) + self.doc // WIDE
+        self.wide = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else np.zeros(0, np.int64)
+        self.wide_size = np.diff(np.append(self.wide, len(place)))
+        self.wide_block = self.doc[self.wide] // WIDE
+        self.term_wide = np.searchsorted(self.wide, self.term_at)
+        self.cells = np.zeros(0)
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(doc ids, rounded scores) of the k best, with all ties of the last one that may matter cut by id."""
+        at = self._found(terms)
+        return self._top(at[at >= 0], weights[at >= 0], k)
+
+    def _found(self, terms: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.terms, terms)
         there = at < len(self.terms)
         there[there] = self.terms[at[there]] == terms[there]
-        at, w = at[there], weights[there]
+        return np.where(there, at, -1)
+
+    def _top(self, at: np.ndarray, w: np.ndarray, k: int, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the k best that reach ``floor``; some below it may be among them."""
         lo, hi = self.term_run[at], self.term_run[at + 1]
         count = hi - lo
         if (self.term_at[at + 1] - self.term_at[at]).sum() < RUN_POSTINGS * count.sum():
@@ -190,9 +270,9 @@ class Shard:
         ids, scores = np.zeros(0, np.int64), np.zeros(0)
         done, step = 0, max(4, 4 * k // self.block)
         while done < len(order):
-            if len(scores) >= k:
+            least = max(floor, scores[k - 1] if len(scores) >= k else -np.inf) - 10.0 ** -DIGITS
+            if least > -np.inf:
                 # Bounds fall: all blocks from the first one too low on can be skipped.
-                least = scores[k - 1] - 10.0 ** -DIGITS
                 left = done + int(np.searchsorted(-bound[order[done:]], -least, "right"))
                 if left == done:
                     break
@@ -206,6 +286,95 @@ class Shard:
             done, step = done + len(take), 4 * step
         return ids, scores
 
+    def improve(self, queries: Queries, best: Best) -> None:
+        """Put the documents that are among the best of any query into ``best``."""
+        n, k = best.ids.shape
+        at = self._found(queries.words)
+        there = at >= 0
+        at, uses = at[there], np.diff(queries.first)[there]
+        entry = _spread(queries.first[:-1][there], uses)
+        row, w, word = queries.row[entry], queries.weight[entry], np.repeat(np.arange(len(at)), uses)
+        postings = np.bincount(row, np.repeat(self.term_at[at + 1] - self.term_at[at], uses), n)
+        thin = postings < RUN_POSTINGS * np.bincount(row, np.repeat(self.term_run[at + 1] - self.term_run[at], uses), n)
+        rows = np.flatnonzero((postings > 0) & ~thin)
+        if len(rows):
+            own = np.flatnonzero(~thin[row])
+            own = own[np.argsort(row[own], kind="stable")]
+            for i, e in zip(rows.tolist(), np.split(own, np.searchsorted(row[own], rows[1:])), strict=True):
+                ids, scores = self._top(at[word[e]], w[e], k, best.scores[i, -1])
+                best.add(np.array([i]), np.zeros(len(ids), np.int64), ids, scores)
+            own = np.flatnonzero(thin[row])
+            row, w, word = row[own], w[own], word[own]
+            uses = np.bincount(word, minlength=len(at))
+        rows = np.flatnonzero(thin)
+        if not len(rows):
+            return
+        row = np.searchsorted(rows, row)
+        # Runs of the words by wide block, those of the most queries first.
+        count = self.term_wide[at + 1] - self.term_wide[at]
+        run, word = _spread(self.term_wide[at], count), np.repeat(np.arange(len(at)), count)
+        block, uses, first = self.wide_block[run], uses[word], (np.cumsum(uses) - uses)[word]
+        key = block * (len(rows) + 1) + len(rows) - uses
+        order = np.argsort(key.astype(np.uint16) if (block.max() + 1) * (len(rows) + 1) <= 1 << 16 else key, kind="stable")
+        run, uses, first = run[order], uses[order], first[order]
+        ends = np.searchsorted(block[order], np.arange(-(-len(self.ids) // WIDE) + 1)).tolist()
+        for block, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+            if a < b:
+                total = self._tile(block, run[a:b], uses[a:b], first[a:b], row, w, len(rows))
+                self._keep(total, block * WIDE, rows, best)
+
+    def _tile(self, block: int, run: np.ndarray, uses: np.ndarray, first: np.ndarray, row: np.ndarray, w: np.ndarray, queries: int) -> np.ndarray:
+        """Scores (query, document) of a wide block. ``run[i]`` is of ``uses[i]`` queries, the rows and weights from ``first[i]`` on.
+        Words that many of the queries and documents have are scored by a product of matrices, the postings of others one by one."""
+        start, n = block * WIDE, min(WIDE, len(self.ids) - block * WIDE)
+        lo, size = self.wide[run], self.wide_size[run]
+        dense = uses * size > MATRIX_SHARE * queries * n
+        if len(self.cells) < queries * n:
+            self.cells = np.empty(queries * n)
+        cells = self.cells[:queries * n]
+        total = cells.reshape(queries, n)
+        own = np.flatnonzero(dense)
+        if not len(own):
+            total[:] = 0
+        for a in range(0, len(own), MATRIX_WORDS):
+            i = own[a:a + MATRIX_WORDS]
+            weight, part = np.zeros((len(i), queries)), np.zeros((len(i), n))
+            e, p = _spread(first[i], uses[i]), _spread(lo[i], size[i])
+            weight[np.repeat(np.arange(len(i)), uses[i]), row[e]] = w[e]
+            part[np.repeat(np.arange(len(i)), size[i]), self.doc[p] - start] = self.part[p]
+            if a:
+                total += weight.T @ part
+            else:
+                np.matmul(weight.T, part, out=total)
+        row = row * n
+        own = np.flatnonzero(~dense & (uses > 0))
+        cuts = [*np.flatnonzero(np.diff(np.cumsum(size[own]) // CHUNK, prepend=-1)).tolist(), len(own)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            i = own[a:b]
+            p, s, at = _spread(lo[i], size[i]), size[i], first[i]
+            doc, part = self.doc[p] - start, self.part[p]
+            # The j-th queries of all these runs: a shrinking part of them, as those of the most queries are first.
+            left = np.searchsorted(-uses[i], -np.arange(uses[i[0]]))
+            for j, (r, m) in enumerate(zip(left.tolist(), np.cumsum(s)[left - 1].tolist(), strict=True)):
+                cell = np.repeat(row[at[:r] + j], s[:r])
+                cell += doc[:m]
+                value = np.repeat(w[at[:r] + j], s[:r])
+                value *= part[:m]
+                np.add.at(cells, cell, value)
+        return total
+
+    def _keep(self, total: np.ndarray, start: int, rows: np.ndarray, best: Best) -> None:
+        """Put documents from ``start`` on, with scores ``total`` by query, into the best of ``rows``."""
+        n, k = total.shape[1], best.ids.shape[1]
+        # Those that may round to the k-th best score or above.
+        floor = np.maximum(best.scores[rows, -1] - 10.0 ** -DIGITS, np.finfo(float).tiny)
+        hit = np.flatnonzero(total >= floor[:, None])
+        if len(hit) > 8 * k * len(rows) and (some := total[:, ::4]).shape[1] > k:
+            floor = np.maximum(floor, np.partition(some, some.shape[1] - k, axis=1)[:, some.shape[1] - k] - 10.0 ** -DIGITS)
+            hit = np.flatnonzero(total >= floor[:, None])
+        of, doc = np.divmod(hit, n)
+        best.add(rows, of, self.ids[start + doc], np.round(total.reshape(-1)[hit], DIGITS))
+
     def _score_all(self, at: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         total = np.zeros(len(self.ids))
         for lo, hi, weight in zip(self.term_at[at].tolist(), self.term_at[at + 1].tolist(), w.tolist(), strict=True):
@@ -232,37 +401,81 @@ class Shard:
         return self.ids[take[hit // self.block] * self.block + hit % self.block], np.round(total[hit], DIGITS)
 
 
+def _search(batches: Iterator[pa.RecordBatch], mean_length: float, k: int, shard_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The k best of each query of a bin (bin, queries, doc_id, text): its packed queries come first, then its documents, shard by shard."""
+    held: list[tuple[np.ndarray, pa.Array]] = []
+    best: list[tuple[np.ndarray, Best]] = []
+    size, at, ends = 0, None, [0]
+
+    def searched() -> None:
+        nonlocal held, size
+        if held and best:
+            shard = Shard(np.concatenate([i for i, _ in held]), pa.concat_arrays([t for _, t in held]), mean_length)
+            held = []
+            for j, (_, top) in enumerate(best):
+                blobs.seek(ends[j])
+                shard.improve(_unpacked(blobs.read(ends[j + 1] - ends[j])), top)
+        held, size = [], 0
+
+    def found() -> Iterator[pa.RecordBatch]:
+        searched()
+        for ids, top in best:
+            row, place = np.nonzero(top.scores > -np.inf)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(top.ids[row, place]), pa.array(top.scores[row, place])],
+                                             names=["query_id", "doc_id", "score"])
+
+    with tempfile.SpooledTemporaryFile(HELD_QUERIES) as blobs:
+        for batch in batches:
+            place = batch.column("bin").to_numpy()
+            asks = batch.column("queries").is_valid().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((place[1:] != place[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(place)], strict=True):
+                if a == b:
+                    continue
+                if place[a] != at:
+                    yield from found()
+                    best, at, ends = [], place[a], [0]
+                    blobs.seek(0)
+                rows = batch.slice(a, b - a)
+                if asks[a]:
+                    for blob in rows.column("queries").to_pylist():
+                        ids = _unpacked(blob).ids.copy()
+                        best.append((ids, Best(len(ids), k)))
+                        ends.append(ends[-1] + blobs.write(blob))
+                    continue
+                ids, text = rows.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64), rows.column("text")
+                for c, d, buf, _ in T.slices(text, PIECE_BYTES):
+                    held.append((ids[c:d], text.slice(c, d - c)))
+                    size += len(buf)
+                    if size > SHARD_OVER * shard_bytes:
+                        searched()
+        yield from found()
+
+
+def bin_count(text_bytes: int, query_bytes: int, shard_bytes: int) -> int:
+    """As many bins as there are shards, but no more than let the queries, sent to each, stay below half of the texts."""
+    return max(1, min(-(-text_bytes // shard_bytes), text_bytes // (2 * query_bytes + 1)))
+
+
 def bm25_search(docs: DataFrame, queries: DataFrame, k: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The ``k`` best documents (integer doc_id, text) of every query (integer query_id, text): query_id, rank, doc_id, score."""
-    spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     stats = stored(term_statistics(docs), "bm25-terms")
     head = stats.where("term is null").first()
     number, mean = (head["df"], head["words"] / head["df"] if head["df"] else 0.0) if head else (0, 0.0)
     idf = F.log(1 + (number - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = stored(query_terms(queries.where("query_id is not null")).join(stats.where("term is not null"), "term")
-                      .select("query_id", "term", (F.col("times") * idf).alias("weight")), "bm25-queries")
-    groups = packed_queries(weighted)
+                      .select("query_id", "term", "times", idf.alias("idf")), "bm25-queries")
+    packed = stored(packed_queries(weighted), "bm25-packed")
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    shards = max(1, -(-size // shard_bytes))
-    dealt = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
-    asked = groups.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        shard = Shard(left["doc_id"].to_numpy().astype(np.int64), left["text"].combine_chunks(), mean)
-        columns: tuple[list, list, list] = ([], [], [])
-        for blob in right["queries"].to_pylist() if left.num_rows else []:
-            ids, first, terms, weights = _unpacked(blob)
-            for i, query in enumerate(ids.tolist()):
-                found, scores = shard.top(terms[first[i]:first[i + 1]], weights[first[i]:first[i + 1]], k)
-                columns[0].append(np.full(len(found), query, dtype=np.int64))
-                columns[1].append(found)
-                columns[2].append(scores)
-        flat = [np.concatenate(c) if c else np.zeros(0) for c in columns]
-        return pa.table({"query_id": pa.array(flat[0], pa.int64()), "doc_id": pa.array(flat[1], pa.int64()), "score": pa.array(flat[2], pa.float64())})
-
-    found = dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(run, "query_id long, doc_id long, score double")
-    # At most k rows per query and shard get here.
+    asked = packed.agg(F.sum(F.octet_length("queries")).alias("b")).first()["b"] or 0
+    bins = bin_count(size, asked, shard_bytes)
+    rows = (packed.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).select("bin", "queries")
+            .unionByName(docs.withColumn("bin", F.pmod(F.xxhash64("doc_id", "text"), F.lit(bins)).cast("int")), allowMissingColumns=True))
+    found = (rows.repartitionById(bins, "bin").sortWithinPartitions("bin", F.col("queries").isNull())
+             .mapInArrow(partial(_search, mean_length=mean, k=k, shard_bytes=shard_bytes), "query_id long, doc_id long, score double"))
+    # At most k rows per query and bin get here.
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 

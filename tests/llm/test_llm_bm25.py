@@ -98,3 +98,58 @@ def test_long_queries_are_scored_list_by_list():
         assert got[0].tolist() == [d for _, d in best]
         assert np.allclose(got[1], [-x for x, _ in best])
     assert not looked
+
+
+def test_batches_of_queries_equal_single_ones(spark, monkeypatch):
+    for name, value in (("WIDE", 128), ("MATRIX_WORDS", 16), ("CHUNK", 512), ("MATRIX_SHARE", 0.05)):
+        monkeypatch.setattr(M, name, value)
+    rng = np.random.default_rng(5)
+    tongues = [np.array([f"{c}{i}" for i in range(800)]) for c in "xy"]
+    long = [" ".join(tongues[rng.integers(2)][np.minimum(rng.zipf(1.3, rng.integers(1, 120)) - 1, 799)]) for _ in range(500)]
+    texts = [*long, *long[:40], None, "", "x0 y0"]
+    ids = rng.permutation(len(texts))
+    asked = [*long[:90], "x0", "x0 y0 x1", "unheard", ""]
+    rows = []
+    for q, text in enumerate(asked):
+        _, _, buf, offsets = next(iter(T.slices(pa.array([text]))))
+        terms, times = np.unique(T.word_hashes(buf, offsets)[0], return_counts=True)
+        rows += [(q, int(t), int(n), 1 + int(t) % 97 / 10) for t, n in zip(terms.view(np.int64), times, strict=True)]
+    blobs = [r["queries"] for r in M.packed_queries(spark.createDataFrame(rows, "query_id long, term long, times long, idf double"), 40, 900).collect()]
+    shards = [M.Shard(ids[part], pa.array([texts[i] for i in part]), 40.0) for part in np.array_split(np.arange(len(texts)), 3)]
+    read = []
+    inner = M._spread
+    seen = {}
+    for batch in map(M._unpacked, blobs):
+        best = M.Best(len(batch.ids), 10)
+        assert len(batch.ids) <= 40
+        for shard in shards:
+            shard.improve(batch, best)
+        monkeypatch.setattr(M, "_spread", lambda lo, size: (read.append(int(size.sum())), inner(lo, size))[1])
+        shards[0].improve(batch, M.Best(len(batch.ids), 10))
+        monkeypatch.setattr(M, "_spread", inner)
+        seen |= {q: [*zip(best.ids[i].tolist(), best.scores[i].tolist(), strict=True)] for i, q in enumerate(batch.ids.tolist())}
+    postings = 0
+    for q in {r[0] for r in rows}:
+        terms, weights = np.array([r[1] for r in rows if r[0] == q]).view(np.uint64), np.array([r[2] * r[3] for r in rows if r[0] == q])
+        want = sorted((-s, d) for shard in shards for d, s in zip(*(x.tolist() for x in shard.top(terms, weights, 10)), strict=True))[:10]
+        got = [(d, s) for d, s in seen.pop(q) if s > -np.inf]
+        assert [d for d, _ in got] == [d for _, d in want]
+        assert np.allclose([s for _, s in got], [-s for s, _ in want])
+        at = shards[0]._found(terms)
+        postings += int((shards[0].term_at[at[at >= 0] + 1] - shards[0].term_at[at[at >= 0]]).sum())
+    assert not seen
+    # A posting is read once for all queries of a batch that have its word.
+    assert sum(read) < postings / 2
+
+
+def test_many_queries_go_to_few_bins_of_several_shards(spark, docs):
+    assert M.bin_count(800 << 20, 4 << 20, 24 << 20) == 34 and M.bin_count(0, 0, 24 << 20) == 1
+    # Ten times the documents and queries: as many bytes of queries for one of texts, not ten times as many.
+    for times in (10, 100):
+        assert 0.4 < M.bin_count(times * 800 << 20, times * 4 << 20, 24 << 20) * 4 / 800 <= 0.5
+    texts = corpus(6, 70)
+    asked = spark.createDataFrame(list(enumerate(texts)), "query_id long, text string")
+    got = M.bm25_search(docs(texts), asked, 5, shard_bytes=4000).collect()
+    want = brute(list(enumerate(texts)), list(enumerate(texts)), 5)
+    assert sorted((r.query_id, r.rank, r.doc_id) for r in got) == [w[:3] for w in want]
+    assert np.allclose([r.score for r in sorted(got, key=lambda r: (r.query_id, r.rank))], [w[3] for w in want], atol=2e-6)
