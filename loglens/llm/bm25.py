@@ -35,7 +35,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
-from functools import partial
+from functools import cached_property, partial
 from typing import NamedTuple
 
 import numpy as np
@@ -55,13 +55,15 @@ SHARD_BYTES = 24 << 20
 # A bin's texts are gathered to shards of so many times this, so that one a little larger than a shard isn't two.
 SHARD_OVER = 1.25
 # Of a bin's packed queries so many bytes are held in memory, more in a temporary file; of its texts this many are added to a shard at a time.
-HELD_QUERIES, PIECE_BYTES = 32 << 20, 2 << 20
-# Long queries are scored so many, and with about so many terms, at a time, against wide blocks of documents.
-BATCH_QUERIES, BATCH_TERMS, GROUP_BATCHES, WIDE = 512, 1 << 18, 16, 4096
+HELD_QUERIES, PIECE_BYTES = 16 << 20, 2 << 20
+# Long queries are scored so many, and with about so many terms, at a time, against wide blocks of documents; a packing task has up to so many batches.
+BATCH_QUERIES, BATCH_TERMS, GROUP_BATCHES, WIDE = 512, 1 << 18, 4, 4096
 # A word's cells (its queries times its documents of a wide block) of all cells, from which a row of a matrix costs less than its postings.
-MATRIX_SHARE, MATRIX_WORDS = 0.015, 512
+MATRIX_SHARE, MATRIX_WORDS = 0.01, 512
 # Postings that are scored at a time.
-CHUNK = 1 << 15
+CHUNK = 1 << 16
+# Postings are sorted as one integer of word, document and frequency if these fit so many bits.
+KEY_BITS = 63
 COUNT_BYTES = 8 << 20
 DIGITS = 6
 
@@ -202,48 +204,77 @@ class Shard:
             lengths.append(np.diff(first))
         length = np.concatenate(lengths)
         words = np.concatenate(words) if words else np.zeros(0, np.uint64)
-        self.terms, term = np.unique(words, return_inverse=True)
+        # Numbers of words by a hash table, then in order of the words.
+        coded = pa.array(words).dictionary_encode()
         del words
+        self.terms = coded.dictionary.to_numpy()
+        order = np.argsort(self.terms)
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = np.arange(len(order))
+        self.terms = self.terms[order]
         # One sorted key per word occurrence, in place: the largest array of the build.
-        key = term.astype(np.int64, copy=False)
+        key = number[coded.indices.to_numpy()]
+        del coded, number, order
         key *= max(n, 1)
         key += np.repeat(np.arange(n), length)
         key.sort()
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         tf = np.diff(np.append(first, len(key)))
         pairs = key[first]
-        del key, term, first
-        p_term, p_doc = pairs // max(n, 1), pairs % max(n, 1)
+        del key, first
+        p_term, p_doc = np.divmod(pairs, max(n, 1))
         del pairs
         # Like documents side by side: by their most frequent word, then length.
-        main = np.zeros(n, dtype=np.int64)
-        by_tf = np.lexsort((p_term, tf))
-        main[p_doc[by_tf]] = p_term[by_tf]
+        main = np.full(n, -1)
+        np.maximum.at(main, p_doc, tf * max(len(self.terms), 1) + p_term)
+        main %= max(len(self.terms), 1)
         rank = np.empty(n, dtype=np.int64)
         rank[np.lexsort((length, main))] = np.arange(n)
         self.ids = np.empty(n, dtype=np.int64)
         self.ids[rank] = ids
-        order = np.lexsort((rank[p_doc], p_term))
-        p_term, self.doc, tf = p_term[order], rank[p_doc[order]], tf[order]
-        part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[p_doc[order]] / mean_length)) if mean_length else np.zeros(len(tf))
-        self.part = part
-        # Runs of postings of one term in one block.
-        place = p_term * (n // block + 1) + self.doc // block
-        self.run = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else np.zeros(0, np.int64)
-        self.run_end = np.append(self.run[1:], len(place))
-        self.run_block = self.doc[self.run] // block
-        self.run_max = np.maximum.reduceat(part, self.run) if len(place) else part
-        self.term_run = np.searchsorted(p_term[self.run], np.arange(len(self.terms) + 1))
+        ranked = np.empty(n, dtype=np.int64)
+        ranked[rank] = length
+        for_doc, for_tf = n.bit_length(), int(tf.max(initial=0)).bit_length()
+        if len(self.terms).bit_length() + for_doc + for_tf <= KEY_BITS:
+            key = p_term << (for_doc + for_tf)
+            key |= rank[p_doc] << for_tf
+            key |= tf
+            del p_doc, tf
+            key.sort()
+            self.doc, tf = key >> for_tf & (1 << for_doc) - 1, key & (1 << for_tf) - 1
+            del key
+        else:
+            order = np.lexsort((rank[p_doc], p_term))
+            self.doc, tf = rank[p_doc][order], tf[order]
+        self.part = tf * (K1 + 1) / (tf + (K1 * (1 - B + B * ranked / mean_length))[self.doc]) if mean_length else np.zeros(len(tf))
         self.term_at = np.searchsorted(p_term, np.arange(len(self.terms) + 1))
+        # Runs of postings of one term in one block, and in one wide block.
         self.blocks = -(-n // block)
-        # The same in wide blocks.
-        place = p_term * (n // WIDE + 1) + self.doc // WIDE
-        self.wide = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else np.zeros(0, np.int64)
-        self.wide_size = np.diff(np.append(self.wide, len(place)))
+        self.run, self.term_run = self._runs(p_term, block)
+        self.wide, self.term_wide = self._runs(p_term, WIDE)
+        self.wide_size = np.diff(np.append(self.wide, len(self.doc)))
         self.wide_block = self.doc[self.wide] // WIDE
-        self.term_wide = np.searchsorted(self.wide, self.term_at)
         self.cells = np.zeros(0)
 
+    def _runs(self, p_term: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+        place = p_term * (len(self.ids) // block + 1)
+        place += self.doc // block
+        run = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else np.zeros(0, np.int64)
+        return run, np.searchsorted(run, self.term_at)
+
+    # Only queries that are scored by blocks need these.
+    @cached_property
+    def run_end(self) -> np.ndarray:
+        return np.append(self.run[1:], len(self.doc))
+
+    @cached_property
+    def run_block(self) -> np.ndarray:
+        return self.doc[self.run] // self.block
+
+    @cached_property
+    def run_max(self) -> np.ndarray:
+        return np.maximum.reduceat(self.part, self.run) if len(self.part) else self.part
+
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(doc ids, rounded scores) of the k best, with all ties of the last one that may matter cut by id."""
         at = self._found(terms)
@@ -410,8 +441,10 @@ def _search(batches: Iterator[pa.RecordBatch], mean_length: float, k: int, shard
     def searched() -> None:
         nonlocal held, size
         if held and best:
-            shard = Shard(np.concatenate([i for i, _ in held]), pa.concat_arrays([t for _, t in held]), mean_length)
+            ids, texts = np.concatenate([i for i, _ in held]), pa.concat_arrays([t for _, t in held])
             held = []
+            shard = Shard(ids, texts, mean_length)
+            del texts
             for j, (_, top) in enumerate(best):
                 blobs.seek(ends[j])
                 shard.improve(_unpacked(blobs.read(ends[j + 1] - ends[j])), top)

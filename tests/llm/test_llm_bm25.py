@@ -153,3 +153,12 @@ def test_many_queries_go_to_few_bins_of_several_shards(spark, docs):
     want = brute(list(enumerate(texts)), list(enumerate(texts)), 5)
     assert sorted((r.query_id, r.rank, r.doc_id) for r in got) == [w[:3] for w in want]
     assert np.allclose([r.score for r in sorted(got, key=lambda r: (r.query_id, r.rank))], [w[3] for w in want], atol=2e-6)
+
+
+def test_postings_too_wide_for_one_integer_are_sorted_alike(monkeypatch):
+    texts = pa.array(corpus(2, 50))
+    narrow = M.Shard(np.arange(len(texts)), texts, 50.0)
+    monkeypatch.setattr(M, "KEY_BITS", 0)
+    wide = M.Shard(np.arange(len(texts)), texts, 50.0)
+    for name in ("terms", "ids", "doc", "part", "run", "run_end", "run_block", "run_max", "term_run", "term_at"):
+        assert np.array_equal(getattr(narrow, name), getattr(wide, name))
